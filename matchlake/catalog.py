@@ -72,3 +72,178 @@ def gold_team_stats_single_window(spark, sf_dir):
     s = silver_all(spark, sf_dir)
     return gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
                                 chunk=None)
+
+
+# --------------------------------------------------------------------------
+# Single-operator queries (joins, set operations, predicates, planning)
+# --------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from matchlake.functions import scalar  # noqa: E402
+from matchlake.operators import joins  # noqa: E402
+from matchlake.plans import requests  # noqa: E402
+
+W = oracle.with_ctes
+
+
+@register("team_rows_unpivot", W(["silver_fixture"], """
+SELECT fixture_id, home_team_id AS team_id, away_team_id AS opponent_id, fixture_date, season, true AS is_home
+FROM silver_fixture
+UNION ALL
+SELECT fixture_id, away_team_id AS team_id, home_team_id AS opponent_id, fixture_date, season, false AS is_home
+FROM silver_fixture"""))
+def team_rows_unpivot(spark, sf_dir):
+    sf = silver_all(spark, sf_dir)["silver_fixture"]
+    return joins.to_team_rows(
+        sf,
+        home=[F.col("fixture_id"), F.col("home_team_id").alias("team_id"), F.col("away_team_id").alias("opponent_id"),
+              F.col("fixture_date"), F.col("season"), F.lit(True).alias("is_home")],
+        away=[F.col("fixture_id"), F.col("away_team_id").alias("team_id"), F.col("home_team_id").alias("opponent_id"),
+              F.col("fixture_date"), F.col("season"), F.lit(False).alias("is_home")],
+    )
+
+
+@register("union_distinct", oracle.table_sql("team_opponent_rows"))
+def union_distinct(spark, sf_dir):
+    s = silver_all(spark, sf_dir)
+    return gold.team_opponent_rows(s["silver_fixture"], s["silver_standing"])
+
+
+@register("union_distinct_two_scans", oracle.table_sql("team_opponent_rows"))
+def union_distinct_two_scans(spark, sf_dir):
+    """The reference's shape: two joined views combined with UNION (distinct)."""
+    s = silver_all(spark, sf_dir)
+    fd = s["silver_fixture"].select("fixture_date", "fixture_id", "season", "away_team_id", "home_team_id").distinct()
+    st = joins.prior_standing(s["silver_standing"])
+    home = joins.prior_season_join(fd, st, team_col="away_team_id").select(
+        "fixture_id", F.col("home_team_id").alias("team_id"), "fixture_date", "season", "prior_season_rank")
+    away = joins.prior_season_join(fd, st, team_col="home_team_id").select(
+        "fixture_id", F.col("away_team_id").alias("team_id"), "fixture_date", "season", "prior_season_rank")
+    return joins.union_distinct(home, away)
+
+
+@register("coach_on_date", W(["silver_fixture", "silver_coach"], """
+SELECT sf.fixture_id, sf.home_team_id, sf.fixture_date, c.coach_id
+FROM silver_fixture sf JOIN silver_coach c
+  ON c.team_id = sf.home_team_id AND sf.fixture_date BETWEEN c.start_date AND c.calc_end_date"""))
+def coach_on_date(spark, sf_dir):
+    s = silver_all(spark, sf_dir)
+    fx = s["silver_fixture"].select("fixture_id", "home_team_id", "fixture_date")
+    return joins.coach_on_date(fx, s["silver_coach"], "home_team_id")
+
+
+@register("semi_join_known", W(["bronze_fixture_stat", "bronze_standings"], """
+SELECT fixture_id, team_id, total_shots FROM bronze_fixture_stat
+WHERE team_id IN (SELECT DISTINCT team_id FROM bronze_standings)"""))
+def semi_join_known(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    return silver.known(b["bronze_fixture_stat"], b["bronze_standings"], "team_id") \
+        .select("fixture_id", "team_id", "total_shots")
+
+
+@register("prior_season_join", W(["silver_fixture_stat", "silver_fixture", "prior_standing"], """
+SELECT s.fixture_id, s.team_id, f.season, st.prior_season_rank
+FROM silver_fixture_stat s JOIN silver_fixture f ON s.fixture_id = f.fixture_id
+JOIN prior_standing st ON st.team_id = s.team_id AND st.season = f.season - 1"""))
+def prior_season_join(spark, sf_dir):
+    s = silver_all(spark, sf_dir)
+    x = s["silver_fixture_stat"].select("fixture_id", "team_id") \
+        .join(s["silver_fixture"].select("fixture_id", "season"), "fixture_id")
+    return joins.prior_season_join(x, joins.prior_standing(s["silver_standing"]), "team_id") \
+        .select("fixture_id", "team_id", "season", "prior_season_rank")
+
+
+@register("distinct_cols", oracle.table_sql("prior_standing"))
+def distinct_cols(spark, sf_dir):
+    return joins.prior_standing(silver_all(spark, sf_dir)["silver_standing"])
+
+
+@register("case_label", W(["bronze_fixture"], """
+SELECT fixture_id, away_goals, home_goals,
+       CASE WHEN away_goals > home_goals THEN 'Away' WHEN away_goals < home_goals THEN 'Home'
+            ELSE 'Draw' END AS match_result
+FROM bronze_fixture"""))
+def case_label(spark, sf_dir):
+    f = bronze(spark, sf_dir)["bronze_fixture"]
+    return f.select("fixture_id", "away_goals", "home_goals", scalar.match_result().alias("match_result"))
+
+
+@register("pct_to_double", W(["bronze_fixture_stat"], """
+SELECT fixture_id, team_id, possession AS possession_text,
+       try_cast(regexp_replace(possession, '%', '', 'g') AS double) AS possession,
+       try_cast(total_shots AS double) AS total_shots
+FROM bronze_fixture_stat"""))
+def pct_to_double(spark, sf_dir):
+    b = bronze(spark, sf_dir)["bronze_fixture_stat"]
+    return b.select("fixture_id", "team_id", F.col("possession").alias("possession_text"),
+                    scalar.pct_to_double("possession").alias("possession"),
+                    scalar.to_double("total_shots").alias("total_shots"))
+
+
+@register("null_default", W(["bronze_fixture_stat"], """
+SELECT fixture_id, team_id, red_cards AS red_cards_text,
+       ifnull(try_cast(red_cards AS double), 0) AS red_cards
+FROM bronze_fixture_stat"""))
+def null_default(spark, sf_dir):
+    b = bronze(spark, sf_dir)["bronze_fixture_stat"]
+    return b.select("fixture_id", "team_id", F.col("red_cards").alias("red_cards_text"),
+                    scalar.null_default(scalar.to_double("red_cards"), 0.0).alias("red_cards"))
+
+
+@register("date_spine", W(["bronze_fixture"], """
+SELECT cast(cast(d AS date) AS varchar) AS date,
+       'fixtures?date=' || cast(cast(d AS date) AS varchar) AS request
+FROM (SELECT unnest(generate_series(cast(min(fixture_date) AS date), cast(max(fixture_date) AS date),
+                                     INTERVAL 1 DAY)) AS d FROM bronze_fixture) t"""))
+def date_spine(spark, sf_dir):
+    f = bronze(spark, sf_dir)["bronze_fixture"]
+    bounds = f.agg(F.min("fixture_date").alias("start"), F.max("fixture_date").alias("end"))
+    return requests.render(requests.date_spine(bounds), requests.FIXTURES_BY_DATE, "date")
+
+
+@register("year_spine", W(["bronze_fixture"], """
+SELECT unnest(generate_series(try_cast(y0 AS bigint), try_cast(y1 AS bigint))) AS season
+FROM (SELECT cast(min(season) AS varchar) AS y0, cast(max(season) AS varchar) AS y1 FROM bronze_fixture) t"""))
+def year_spine(spark, sf_dir):
+    f = bronze(spark, sf_dir)["bronze_fixture"]
+    bounds = f.agg(F.min("season").cast("string").alias("start"), F.max("season").cast("string").alias("end"))
+    return requests.year_spine(bounds)
+
+
+@register("request_plan", W(["bronze_fixture"], """
+SELECT league_id, season, 'standings?season=' || cast(season AS varchar) || '&league=' || cast(league_id AS varchar)
+       AS request
+FROM (SELECT league_id, unnest(generate_series(min(season), max(season))) AS season
+      FROM bronze_fixture GROUP BY league_id) t"""))
+def request_plan(spark, sf_dir):
+    f = bronze(spark, sf_dir)["bronze_fixture"]
+    leagues = f.groupBy("league_id").agg(F.min("season").alias("first_season"),
+                                         F.max("season").alias("last_season"))
+    plan = requests.request_plan(leagues)
+    return requests.render(plan, requests.STANDINGS_BY_SEASON_LEAGUE, "season", "league_id")
+
+
+@register("stats_requests", W(["bronze_fixture"], """
+SELECT fixture_date, fixture_id, 'fixtures/statistics?fixture=' || cast(fixture_id AS varchar) AS request
+FROM bronze_fixture"""))
+def stats_requests(spark, sf_dir):
+    f = bronze(spark, sf_dir)["bronze_fixture"].select("fixture_date", "fixture_id")
+    return requests.render(f, requests.STATS_BY_FIXTURE, "fixture_id")
+
+
+@register("coach_requests", W(["bronze_standings"], """
+SELECT team_id, 'coachs?team=' || cast(team_id AS varchar) AS request
+FROM (SELECT DISTINCT team_id FROM bronze_standings) t"""))
+def coach_requests(spark, sf_dir):
+    ids = bronze(spark, sf_dir)["bronze_standings"].select("team_id").distinct()
+    return requests.render(ids, requests.COACH_BY_TEAM, "team_id")
+
+
+@register("order_top1", W(["bronze_standings"], """
+SELECT league_id, season, team_id, 3 * won + draw AS points
+FROM bronze_standings ORDER BY points DESC, season DESC, team_id LIMIT 1"""))
+def order_top1(spark, sf_dir):
+    st = bronze(spark, sf_dir)["bronze_standings"]
+    pts = st.select("league_id", "season", "team_id", (3 * F.col("won") + F.col("draw")).alias("points"))
+    return pts.orderBy(F.col("points").desc(), F.col("season").desc(), F.col("team_id").asc()).limit(1)
