@@ -247,3 +247,93 @@ def order_top1(spark, sf_dir):
     st = bronze(spark, sf_dir)["bronze_standings"]
     pts = st.select("league_id", "season", "team_id", (3 * F.col("won") + F.col("draw")).alias("points"))
     return pts.orderBy(F.col("points").desc(), F.col("season").desc(), F.col("team_id").asc()).limit(1)
+
+
+# --------------------------------------------------------------------------
+# Nested payload path: build API-shaped JSON from the projection, land it,
+# read it back with explicit schemas and flatten it again.
+# --------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from matchlake.session import scratch_dir  # noqa: E402
+from matchlake.sources import raw as rawmod  # noqa: E402
+from matchlake.streaming.ingest import ingest_new  # noqa: E402
+
+BRONZE_FIXTURE_SCHEMA = ("fixture_date string, fixture_id bigint, referee string, status string, venue_id bigint, "
+                         "away_goals bigint, home_goals bigint, league_id bigint, season bigint, "
+                         "away_team_id bigint, home_team_id bigint")
+
+
+def _landing(spark, kind: str) -> str:
+    return scratch_dir(spark, f"landing-{uuid.uuid4().hex}/raw/{kind}")
+
+
+def landed(spark, sf_dir: str, kind: str) -> str:
+    """Land the projection's payloads of one kind; return the folder."""
+    b = bronze(spark, sf_dir)
+    path = _landing(spark, kind)
+    if kind == "fixtures":
+        rawmod.land(rawmod.by_month(rawmod.fixture_payloads(b["bronze_fixture"])), path, ["month"])
+    elif kind == "fixture-stats":
+        pl = rawmod.stat_payloads(b["bronze_fixture_stat"], b["bronze_fixture"])
+        rawmod.land(rawmod.by_month(pl), path, ["month"])
+    elif kind == "standing":
+        rawmod.land(rawmod.standing_payloads(b["bronze_standings"]), path, ["league", "season"])
+    else:
+        rawmod.land(rawmod.coach_payloads(b["bronze_coach"]), path, ["team"])
+    return path
+
+
+@register("payload_roundtrip_fixture", oracle.table_sql("bronze_fixture"))
+def payload_roundtrip_fixture(spark, sf_dir):
+    return rawmod.bronze_fixture(rawmod.read_raw(spark, landed(spark, sf_dir, "fixtures"), "fixtures"))
+
+
+@register("payload_roundtrip_stat", oracle.table_sql("bronze_fixture_stat"))
+def payload_roundtrip_stat(spark, sf_dir):
+    path = landed(spark, sf_dir, "fixture-stats")
+    return rawmod.bronze_fixture_stat(rawmod.read_raw(spark, path, "fixture-stats"))
+
+
+@register("payload_roundtrip_stat_by_name", oracle.table_sql("bronze_fixture_stat"))
+def payload_roundtrip_stat_by_name(spark, sf_dir):
+    path = landed(spark, sf_dir, "fixture-stats")
+    return rawmod.bronze_fixture_stat(rawmod.read_raw(spark, path, "fixture-stats"), by_name=True)
+
+
+@register("payload_roundtrip_standings", oracle.table_sql("bronze_standings"))
+def payload_roundtrip_standings(spark, sf_dir):
+    return rawmod.bronze_standings(rawmod.read_raw(spark, landed(spark, sf_dir, "standing"), "standing"))
+
+
+@register("payload_roundtrip_coach", oracle.table_sql("bronze_coach"))
+def payload_roundtrip_coach(spark, sf_dir):
+    return rawmod.bronze_coach(rawmod.read_raw(spark, landed(spark, sf_dir, "coach"), "coach"))
+
+
+@register("payload_team_ids", W(["bronze_standings"], "SELECT DISTINCT team_id FROM bronze_standings"))
+def payload_team_ids(spark, sf_dir):
+    return rawmod.standing_team_ids(rawmod.read_raw(spark, landed(spark, sf_dir, "standing"), "standing"))
+
+
+@register("payload_ids", W(["bronze_fixture"], "SELECT fixture_id FROM bronze_fixture"))
+def payload_ids(spark, sf_dir):
+    return rawmod.payload_ids(rawmod.read_raw(spark, landed(spark, sf_dir, "fixtures"), "fixtures"))
+
+
+@register("envelope", W(["bronze_fixture_stat", "bronze_fixture"], """
+SELECT DISTINCT f.fixture_date AS date, cast(s.fixture_id AS varchar) AS fixture
+FROM bronze_fixture_stat s JOIN bronze_fixture f ON s.fixture_id = f.fixture_id"""))
+def envelope(spark, sf_dir):
+    r = rawmod.read_raw(spark, landed(spark, sf_dir, "fixture-stats"), "fixture-stats")
+    return rawmod.good_records(r).select(F.col("Date").alias("date"), F.col("Data.parameters.fixture").alias("fixture"))
+
+
+@register("ingest_new", oracle.table_sql("bronze_fixture"))
+def ingest_new_query(spark, sf_dir):
+    src = landed(spark, sf_dir, "fixtures")
+    out = src.rsplit("/raw/", 1)[0] + "/bronze/fixture"
+    ingest_new(spark, src, "fixtures", out, out + "_checkpoint")
+    cols = [c.split()[0] for c in BRONZE_FIXTURE_SCHEMA.split(", ")]
+    return spark.read.schema(BRONZE_FIXTURE_SCHEMA).parquet(out).select(*cols)
