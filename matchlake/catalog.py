@@ -337,3 +337,194 @@ def ingest_new_query(spark, sf_dir):
     ingest_new(spark, src, "fixtures", out, out + "_checkpoint")
     cols = [c.split()[0] for c in BRONZE_FIXTURE_SCHEMA.split(", ")]
     return spark.read.schema(BRONZE_FIXTURE_SCHEMA).parquet(out).select(*cols)
+
+
+# --------------------------------------------------------------------------
+# Features, evaluation and models
+# --------------------------------------------------------------------------
+
+from matchlake.ml import evaluate, features, models  # noqa: E402
+
+FEATS = features.RATIO_FEATURES
+SHOTS_RULE = ("CASE WHEN total_shots_r < 0.95 THEN 'Win' WHEN total_shots_r > 1.05 THEN 'Lose' "
+              "ELSE 'Draw' END")
+OUTCOME_SQL = "CASE match_result WHEN 'Home' THEN 'Win' WHEN 'Away' THEN 'Lose' ELSE 'Draw' END"
+BUCKET_SQL = "(('0x' || substr(md5(cast({k} AS varchar)), 1, 8))::bigint % 100)"
+
+
+def gold_match(spark, sf_dir):
+    return gold_all(spark, sf_dir)[1]["gold_match_table"]
+
+
+def shots_rule(df):
+    r = F.col("total_shots_r")
+    return df.withColumn("outcome", features.outcome()).withColumn(
+        "predicted", F.when(r < 0.95, "Win").when(r > 1.05, "Lose").otherwise("Draw"))
+
+
+def _rank_sql(col: str) -> str:
+    return (f"(SELECT v, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS double) AS idx FROM "
+            f"(SELECT cast({col} AS varchar) AS v, count(*) AS n FROM gold_match_table GROUP BY 1) t)")
+
+
+@register("index_categories", W(["gold_match_table"], f"""
+SELECT g.coach_id_home, g.league_id, g.season, g.coach_id_away,
+       a.idx AS coach_id_homeIndex, b.idx AS league_idIndex, c.idx AS seasonIndex, d.idx AS coach_id_awayIndex
+FROM gold_match_table g
+JOIN {_rank_sql('coach_id_home')} a ON cast(g.coach_id_home AS varchar) = a.v
+JOIN {_rank_sql('league_id')} b ON cast(g.league_id AS varchar) = b.v
+JOIN {_rank_sql('season')} c ON cast(g.season AS varchar) = c.v
+JOIN {_rank_sql('coach_id_away')} d ON cast(g.coach_id_away AS varchar) = d.v"""))
+def index_categories(spark, sf_dir):
+    x = features.index_categories(gold_match(spark, sf_dir))
+    return x.select(*features.CATEGORICAL, *[c + "Index" for c in features.CATEGORICAL])
+
+
+_MODEL_COLS = ["away_goals", "home_goals"] + FEATS
+
+
+@register("model_frame", W(["gold_match_table"], f"""
+SELECT {', '.join(_MODEL_COLS)} FROM gold_match_table
+WHERE {' AND '.join(c + ' IS NOT NULL' for c in _MODEL_COLS)}"""))
+def model_frame(spark, sf_dir):
+    mf = features.model_frame(gold_match(spark, sf_dir))
+    return mf.select(*_MODEL_COLS)
+
+
+@register("upsample_counts", W(["silver_fixture"], """
+WITH r AS (
+  SELECT fixture_id, match_result,
+         row_number() OVER (PARTITION BY match_result
+             ORDER BY ('0x' || substr(md5(cast(fixture_id AS varchar)), 1, 15))::bigint, fixture_id) AS rk,
+         count(*) OVER (PARTITION BY match_result) AS n
+  FROM silver_fixture),
+m AS (SELECT r.*, max(n) OVER () AS mx FROM r)
+SELECT fixture_id, match_result, cast(c.copy AS bigint) AS copy
+FROM m, LATERAL (SELECT unnest(generate_series(1, mx // n + CASE WHEN rk <= mx % n THEN 1 ELSE 0 END)) AS copy) c"""))
+def upsample_counts(spark, sf_dir):
+    sf = silver_all(spark, sf_dir)["silver_fixture"].select("fixture_id", "match_result")
+    return features.upsample(sf, "match_result", "fixture_id")
+
+
+_STATS = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_passes", "a_passes"]
+
+
+@register("standardize", W(["silver_fixture_stat"], "SELECT fixture_id, team_id, " + ", ".join(
+    f"round((({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()), 6) AS z_{c}" for c in _STATS)
+    + " FROM silver_fixture_stat"))
+def standardize(spark, sf_dir):
+    s = silver_all(spark, sf_dir)["silver_fixture_stat"]
+    z = features.standardize(s, _STATS)
+    return z.select("fixture_id", "team_id", *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in _STATS])
+
+
+@register("corr_matrix", W(["silver_fixture_stat"], " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM silver_fixture_stat"
+    for a in _STATS for b in _STATS)))
+def corr_matrix(spark, sf_dir):
+    s = silver_all(spark, sf_dir)["silver_fixture_stat"]
+    return features.corr_matrix(s, _STATS).select("col_a", "col_b", F.round("corr", 6).alias("corr"))
+
+
+@register("fixed_effects", W(["silver_fixture"], """
+WITH c AS (SELECT fixture_id, cast(home_team_id AS varchar) || '_' || cast(away_team_id AS varchar) AS match_combo
+           FROM silver_fixture),
+r AS (SELECT match_combo, cast(row_number() OVER (ORDER BY count(*) DESC, match_combo) - 1 AS double) AS match_combo_index
+      FROM c GROUP BY match_combo)
+SELECT c.fixture_id, c.match_combo, r.match_combo_index FROM c JOIN r USING (match_combo)"""))
+def fixed_effects(spark, sf_dir):
+    sf = silver_all(spark, sf_dir)["silver_fixture"]
+    return features.fixed_effects(sf).select("fixture_id", "match_combo", "match_combo_index")
+
+
+@register("split_counts", W(["gold_match_table"], f"""
+SELECT fixture_id, CASE WHEN {BUCKET_SQL.format(k='fixture_id')} < 84 THEN 'train'
+                        WHEN {BUCKET_SQL.format(k='fixture_id')} < 92 THEN 'validation' ELSE 'test' END AS split
+FROM gold_match_table"""))
+def split_counts(spark, sf_dir):
+    return features.split(gold_match(spark, sf_dir).select("fixture_id"), "fixture_id")
+
+
+@register("pca_variance", None)
+def pca_variance(spark, sf_dir):
+    mf = features.model_frame(gold_match(spark, sf_dir))
+    return features.pca_variance(mf, FEATS)
+
+
+@register("confusion", W(["gold_match_table"], f"""
+WITH p AS (SELECT {OUTCOME_SQL} AS actual, {SHOTS_RULE} AS predicted FROM gold_match_table),
+g AS (SELECT a.l AS actual, b.l AS predicted FROM (VALUES ('Lose'), ('Draw'), ('Win')) a(l),
+      (VALUES ('Lose'), ('Draw'), ('Win')) b(l))
+SELECT g.actual, g.predicted, cast(count(p.actual) AS bigint) AS n
+FROM g LEFT JOIN p ON g.actual = p.actual AND g.predicted = p.predicted GROUP BY g.actual, g.predicted"""))
+def confusion(spark, sf_dir):
+    return evaluate.confusion(shots_rule(gold_match(spark, sf_dir)), "outcome", "predicted")
+
+
+@register("accuracy", W(["gold_match_table"], f"""
+SELECT avg(CASE WHEN {OUTCOME_SQL} = {SHOTS_RULE} THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n
+FROM gold_match_table"""))
+def accuracy(spark, sf_dir):
+    return evaluate.accuracy(shots_rule(gold_match(spark, sf_dir)), "outcome", "predicted")
+
+
+@register("class_recall", W(["gold_match_table"], f"""
+SELECT {OUTCOME_SQL} AS actual, avg(CASE WHEN {OUTCOME_SQL} = {SHOTS_RULE} THEN 1.0 ELSE 0.0 END) AS recall,
+       count(*) AS n
+FROM gold_match_table GROUP BY 1"""))
+def class_recall(spark, sf_dir):
+    return evaluate.class_recall(shots_rule(gold_match(spark, sf_dir)), "outcome", "predicted")
+
+
+@register("mae_within_tol", W(["gold_match_table"], """
+WITH p AS (SELECT away_goals, home_goals, 1.2 * total_shots_r AS pred_away, 1.2 / nullif(total_shots_r, 0) AS pred_home
+           FROM gold_match_table),
+m AS (SELECT avg(abs(away_goals - pred_away)) AS mae_away_goals, avg(abs(home_goals - pred_home)) AS mae_home_goals,
+       avg(CASE WHEN abs(away_goals - pred_away) <= 0.4 THEN 1.0 WHEN pred_away IS NULL THEN NULL ELSE 0.0 END)
+         AS within_away_goals,
+       avg(CASE WHEN abs(home_goals - pred_home) <= 0.4 THEN 1.0 WHEN pred_home IS NULL THEN NULL ELSE 0.0 END)
+         AS within_home_goals,
+       avg(abs(away_goals - pred_away)) + avg(abs(home_goals - pred_home)) AS mae_total,
+       (avg(CASE WHEN abs(away_goals - pred_away) <= 0.4 THEN 1.0 WHEN pred_away IS NULL THEN NULL ELSE 0.0 END)
+        + avg(CASE WHEN abs(home_goals - pred_home) <= 0.4 THEN 1.0 WHEN pred_home IS NULL THEN NULL ELSE 0.0 END))
+        / 2 AS within_tol
+FROM p)
+SELECT round(mae_away_goals, 9) AS mae_away_goals, round(mae_home_goals, 9) AS mae_home_goals,
+       round(within_away_goals, 9) AS within_away_goals, round(within_home_goals, 9) AS within_home_goals,
+       round(mae_total, 9) AS mae_total, round(within_tol, 9) AS within_tol FROM m"""))
+def mae_within_tol(spark, sf_dir):
+    g = gold_match(spark, sf_dir)
+    p = g.select("away_goals", "home_goals", (1.2 * F.col("total_shots_r")).alias("pred_away"),
+                 F.try_divide(F.lit(1.2), F.col("total_shots_r")).alias("pred_home"))
+    m = evaluate.mae_within_tol(p, [("away_goals", "pred_away"), ("home_goals", "pred_home")])
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+@register("lda_means", W(["gold_match_table"], f"""
+SELECT {OUTCOME_SQL} AS outcome, count(*) AS n, {', '.join(f'round(avg({c}), 9) AS mean_{c}' for c in FEATS)}
+FROM gold_match_table WHERE {' AND '.join(c + ' IS NOT NULL' for c in FEATS)} GROUP BY 1"""))
+def lda_means(spark, sf_dir):
+    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome()).dropna(subset=FEATS)
+    return g.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"),
+                                    *[F.round(F.avg(c), 9).alias(f"mean_{c}") for c in FEATS])
+
+
+KNN_SQL = f"""
+WITH e AS (SELECT vec_id, cast(embedding AS double[]) AS v, cast(label AS bigint) AS label,
+                  {BUCKET_SQL.format(k='vec_id')} AS b FROM embeddings),
+tr AS (SELECT * FROM e WHERE b >= 20), te AS (SELECT * FROM e WHERE b < 20),
+d AS (SELECT te.vec_id AS test_id, tr.vec_id AS train_id, tr.label AS nb_label,
+             round(list_distance(te.v, tr.v), 9) AS dist FROM te, tr),
+top AS (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY dist, train_id) AS rn FROM d),
+v AS (SELECT test_id, nb_label, count(*) AS votes, min(rn) AS nearest FROM top WHERE rn <= 5 GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY votes DESC, nearest) AS r FROM v)
+SELECT test_id AS vec_id, nb_label AS knn_label FROM best WHERE r = 1"""
+
+
+@register("knn", KNN_SQL)
+def knn(spark, sf_dir):
+    e = binding.read_table(spark, sf_dir, "embeddings").withColumn("b", features.bucket100("vec_id"))
+    train = e.where(F.col("b") >= 20).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"),
+                                              F.col("label").cast("bigint").alias("label"))
+    test = e.where(F.col("b") < 20).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return models.knn(train, test, k=5).withColumnRenamed("id", "vec_id")

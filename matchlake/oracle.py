@@ -205,7 +205,10 @@ def with_ctes(names: list[str], final: str) -> str:
     """``WITH <closure of names> <final>``."""
     order = closure(names)
     body = ",\n".join(f"{n} AS (\n{CTE[n][1]}\n)" for n in order)
-    return f"WITH {body}\n{final.strip()}"
+    final = final.strip()
+    if final[:5].upper() == "WITH ":  # merge the final query's own CTEs
+        return f"WITH {body},\n{final[5:]}"
+    return f"WITH {body}\n{final}"
 
 
 def table_sql(name: str) -> str:
