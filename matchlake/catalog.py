@@ -528,3 +528,125 @@ def knn(spark, sf_dir):
                                               F.col("label").cast("bigint").alias("label"))
     test = e.where(F.col("b") < 20).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     return models.knn(train, test, k=5).withColumnRenamed("id", "vec_id")
+
+
+# ---- outcome models (rows-only: fitted models have no SQL twin) ----------
+
+def outcome_data(spark, sf_dir):
+    """(train, test) for the outcome classifiers: match features with the
+    home-team outcome; earlier seasons train, the last season tests.  The
+    frame is checkpointed (reliable, shared checkpoint dir) so the iterative
+    fits do not re-run the gold jobs."""
+    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome())
+    g = g.select("fixture_id", "season", "outcome", "away_goals", "home_goals", *FEATS).dropna(subset=FEATS)
+    g = g.checkpoint(eager=True)
+    last = g.agg(F.max("season")).first()[0]
+    tr, te = features.season_split(g, last)
+    return models.prepare(tr, FEATS, "outcome"), models.prepare(te, FEATS, "outcome")
+
+
+def _pred(df):
+    return df.select("fixture_id", F.col("outcome").alias("actual"), "prediction_label")
+
+
+@register("multinomial_logit", None)
+def multinomial_logit(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_classes(models.multinomial_logit(tr), te))
+
+
+@register("ordered_logit", None)
+def ordered_logit(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_ordered(models.ordered_logit(tr), te))
+
+
+@register("lasso", None)
+def lasso(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_classes(models.penalized_logit(tr, alpha=1.0), te))
+
+
+@register("elastic_net", None)
+def elastic_net(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_classes(models.penalized_logit(tr, alpha=0.5), te))
+
+
+@register("random_forest", None)
+def random_forest(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_classes(models.random_forest(tr), te))
+
+
+@register("boosted_trees", None)
+def boosted_trees(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    return _pred(models.predict_boosted(models.fit_boosted(tr), te))
+
+
+@register("svm_ovo", None)
+def svm_ovo(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    fit = models.svm_ovo(tr, n_in=len(FEATS))
+    return _pred(models.predict_svm_ovo(fit, te))
+
+
+@register("lda_predict", None)
+def lda_predict(spark, sf_dir):
+    tr, te = outcome_data(spark, sf_dir)
+    m = models.lda_fit(tr, FEATS, "outcome")
+    return models.predict_lda(m, te).select("fixture_id", F.col("outcome").alias("actual"),
+                                            F.col("lda_label").alias("prediction_label"))
+
+
+@register("knn_outcome", None)
+def knn_outcome(spark, sf_dir):
+    """5-NN on centred/scaled match features (scaled on both sides)."""
+    tr, te = outcome_data(spark, sf_dir)
+    both = features.standardize(tr.select("fixture_id", "outcome", *FEATS).withColumn("__t", F.lit(True))
+                                .unionByName(te.select("fixture_id", "outcome", *FEATS).withColumn("__t", F.lit(False))),
+                                FEATS)
+    zc = F.array(*[F.col("z_" + c) for c in FEATS])
+    lab = models.label_index(both, "outcome")
+    train = lab.where("__t").select(F.col("fixture_id").alias("id"), zc.alias("vec"),
+                                    F.col("label").cast("bigint").alias("label"))
+    test = lab.where(~F.col("__t")).select(F.col("fixture_id").alias("id"), zc.alias("vec"))
+    pred = models.knn(train, test, k=5)
+    levels = F.array(*[F.lit(x) for x in features.LEVELS])
+    out = pred.join(te.select(F.col("fixture_id").alias("id"), "outcome").distinct(), "id")
+    return out.select(F.col("id").alias("fixture_id"), F.col("outcome").alias("actual"),
+                      F.element_at(levels, F.col("knn_label").cast("int") + 1).alias("prediction_label"))
+
+
+@register("score_regressor", None)
+def score_regressor(spark, sf_dir):
+    """Goals regressor (absolute loss) on the score-model frame, evaluated on
+    each hash split: MAE per target, summed, and share within 0.4."""
+    mf = features.model_frame(gold_match(spark, sf_dir), keep_id=True)
+    mf = features.split(mf, "fixture_id").checkpoint(eager=True)
+    feats = [c for c in mf.columns if c not in ("away_goals", "home_goals", "fixture_id", "split")]
+    mf = mf.select(*[F.col(c).alias(c, metadata={}) for c in mf.columns])
+    model = models.fit_scores(mf.where(F.col("split") == "train"), feats)
+    pred = model.transform(mf)
+    parts = [evaluate.mae_within_tol(pred.where(F.col("split") == s),
+                                     [("away_goals", "pred_away_goals"), ("home_goals", "pred_home_goals")])
+             .withColumn("split", F.lit(s)) for s in ("train", "validation", "test")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("leaderboard", None)
+def leaderboard(spark, sf_dir):
+    """Accuracy of the fitted classifiers side by side with the random baseline."""
+    tr, te = outcome_data(spark, sf_dir)
+    preds = {
+        "multinomial_logit": models.predict_classes(models.multinomial_logit(tr), te),
+        "ordered_logit": models.predict_ordered(models.ordered_logit(tr), te),
+        "lda": models.predict_lda(models.lda_fit(tr, FEATS, "outcome"), te)
+        .withColumnRenamed("lda_label", "prediction_label"),
+        "random_forest": models.predict_classes(models.random_forest(tr, trees=100), te),
+    }
+    return evaluate.leaderboard({k: evaluate.accuracy(v, "outcome", "prediction_label") for k, v in preds.items()})

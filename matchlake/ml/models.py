@@ -323,6 +323,9 @@ def fit_scores(train: DataFrame, features: Sequence[str], targets=("away_goals",
                rounds: int = 50, step: float = 0.1, seed: int = 123):
     """Two-output goals regressor under absolute loss: one GBT per target in
     one pipeline."""
+    # index columns are numeric inputs here (as in the reference's network),
+    # not categorical splits: drop the nominal metadata the indexer attached
+    train = train.select(*[F.col(c).alias(c, metadata={}) if c in features else F.col(c) for c in train.columns])
     stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")]
     for t in targets:
         stages.append(GBTRegressor(featuresCol="features", labelCol=t, predictionCol=f"pred_{t}",
