@@ -12,8 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import uuid
+
 from matchlake import oracle
 from matchlake.operators import gold, silver
+from matchlake.session import scratch_dir
 from matchlake.sources import binding
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,24 @@ def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return silver.silver_tables(bronze(spark, sf_dir))
 
 
+def write_table(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Persist a layer as parquet in the shared checkpoint folder and read it
+    back: lineage is cut (an executor loss re-reads files instead of
+    recomputing upstream joins) and later scans get column pruning and
+    filter push-down."""
+    path = f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def silver_tables_materialized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze and silver written once each (the reference keeps both layers
+    as tables), so gold plans read files instead of re-deriving them."""
+    folder = scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
+    b = {k: write_table(spark, v, folder, k) for k, v in bronze(spark, sf_dir).items()}
+    return {k: write_table(spark, v, folder, k) for k, v in silver.silver_tables(b).items()}
+
+
 def gold_all(spark: SparkSession, sf_dir: str, direction: str = "desc", chunk=gold.DEFAULT_CHUNK):
     s = silver_all(spark, sf_dir)
     return s, gold.gold_tables(s, direction=direction, chunk=chunk)
@@ -254,9 +275,6 @@ def order_top1(spark, sf_dir):
 # read it back with explicit schemas and flatten it again.
 # --------------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from matchlake.session import scratch_dir  # noqa: E402
 from matchlake.sources import raw as rawmod  # noqa: E402
 from matchlake.streaming.ingest import ingest_new  # noqa: E402
 

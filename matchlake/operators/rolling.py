@@ -61,27 +61,33 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     n_max = max(n for _, _, n in specs)
     vals = [e.alias(f"__v{i}") for i, (_, e, _) in enumerate(specs)]
+    part = keys + ["__chunk"]
+    # one hash exchange on (key, chunk) feeds both windows below (the union
+    # keeps that partitioning, so the final window adds no exchange)
     base = df.select(*keys, *[c for c in dict.fromkeys(order + out_cols) if c not in keys],
-                     chunk.alias("__chunk"), *vals)
+                     chunk.alias("__chunk"), *vals).repartition(*part)
 
-    # ordinal of every non-empty chunk inside its key (chunks x keys: small)
-    chunks = base.select(*keys, "__chunk").distinct()
+    # the last n rows (in frame order) of every chunk: candidates for the halo
+    tail_w = Window.partitionBy(*part).orderBy(*_reverse(order, direction))
+    tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max).drop("__rn")
+
+    # ordinal of every non-empty chunk inside its key; every non-empty chunk
+    # has tail rows, so this small table is derived from the tail alone
+    chunks = tail.select(*part).distinct()
     ordinal = chunks.withColumn(
         "__ord", F.dense_rank().over(Window.partitionBy(*keys).orderBy(
             F.col("__chunk").desc() if direction == "desc" else F.col("__chunk").asc())))
 
-    # the last n rows (in frame order) of every chunk: candidates for the halo
-    tail_w = Window.partitionBy(*keys, "__chunk").orderBy(*_reverse(order, direction))
-    tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max)
-    tail = tail.join(ordinal, keys + ["__chunk"]).drop("__rn")
     # chunk with ordinal m feeds chunks m+1 .. m+n; route through the ordinal table
-    tail = tail.withColumn("__target_ord", F.explode(F.sequence(F.col("__ord") + 1, F.col("__ord") + n_max)))
+    t = tail.join(ordinal, part)
+    t = t.withColumn("__target_ord", F.explode(F.sequence(F.col("__ord") + 1, F.col("__ord") + n_max)))
     target = ordinal.select(*keys, F.col("__ord").alias("__target_ord"), F.col("__chunk").alias("__target"))
-    halo = tail.join(target, keys + ["__target_ord"]).drop("__chunk", "__ord", "__target_ord") \
-        .withColumnRenamed("__target", "__chunk").withColumn("__halo", F.lit(True))
+    halo = t.join(target, keys + ["__target_ord"]).drop("__chunk", "__ord", "__target_ord") \
+        .withColumnRenamed("__target", "__chunk").withColumn("__halo", F.lit(True)) \
+        .select(*base.columns, "__halo").repartition(*part)
 
     rows = base.withColumn("__halo", F.lit(False)).unionByName(halo)
-    w = Window.partitionBy(*keys, "__chunk").orderBy(*_order(order, direction))
+    w = Window.partitionBy(*part).orderBy(*_order(order, direction))
     res = rows.select(
         *out_cols, "__halo",
         *[F.avg(F.col(f"__v{i}")).over(w.rowsBetween(-n, -1)).alias(name)

@@ -17,7 +17,7 @@ Fixed values of the projection (must stay equal on both sides):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 N_TEAMS = 40
@@ -93,7 +93,6 @@ def standings_from_fixture(fixture: DataFrame) -> DataFrame:
         F.sum("lost").cast("bigint").alias("lost"),
         F.sum("draw").cast("bigint").alias("draw"),
     )
-    from pyspark.sql import Window
     w = Window.partitionBy("league_id", "season").orderBy(
         (3 * F.col("won") + F.col("draw")).desc(), F.col("team_id").asc())
     return table.select(
