@@ -668,3 +668,24 @@ def leaderboard(spark, sf_dir):
         "random_forest": models.predict_classes(models.random_forest(tr, trees=100), te),
     }
     return evaluate.leaderboard({k: evaluate.accuracy(v, "outcome", "prediction_label") for k, v in preds.items()})
+
+
+@register("knn_tune", None)
+def knn_tune(spark, sf_dir):
+    """Repeated (3x) 10-fold CV accuracy of k-NN on the embeddings for 20
+    candidate k (5, 7, ..., 43), all folds in one distance pass."""
+    e = binding.read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.col("label").cast("bigint").alias("label"))
+    return models.knn_cv(e, ks=list(range(5, 44, 2)), folds=10, repeats=3)
+
+
+@register("boosting_history", None)
+def boosting_history(spark, sf_dir):
+    """Per-round loss of the one-vs-rest boosted members on the test season,
+    with the best round per member (min and arg-min)."""
+    tr, te = outcome_data(spark, sf_dir)
+    m = models.fit_boosted(tr)
+    h = models.boosting_history(m, te)
+    return h.groupBy("member").agg(F.min("metric").alias("best"),
+                                   F.min_by("round", F.struct("metric", "round")).alias("best_round"),
+                                   F.max("round").alias("rounds"))

@@ -341,3 +341,96 @@ __all__ = ["label_index", "prepare", "multinomial_logit", "penalized_logit", "or
            "predict_ordered", "random_forest", "fit_boosted", "predict_boosted", "tune_boosted",
            "fourier_features", "svm_ovo", "predict_svm_ovo", "lda_fit", "predict_lda", "knn",
            "fit_scores", "predict_classes", "fold_column", "stable_hash"]
+
+
+# ---------------------------------------------------------------- choosing k by repeated CV
+
+def knn_cv(df: DataFrame, ks: Sequence[int], folds: int = 10, repeats: int = 3, id_col: str = "id",
+           vec_col: str = "vec", label_col: str = "label", max_broadcast_rows: int = 200_000) -> DataFrame:
+    """Repeated k-fold CV accuracy of k-NN for every k in ``ks`` -> (k, accuracy).
+
+    Every row is a test row for its own fold.  All folds and repeats are
+    scored in ONE distance pass: the broadcast block carries each row's fold
+    per repeat, and a candidate from the same fold is masked out before the
+    map-side top-k.  Neighbours are found once at max(ks); the ranked prefix
+    gives every smaller k.
+    """
+    spark = df.sparkSession
+    kmax = max(ks)
+    folded = df.select(id_col, vec_col, label_col, *[
+        (F.conv(F.substring(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(r)))), 1, 8), 16, 10)
+         .cast("bigint") % folds).cast("int").alias(f"f{r}") for r in range(repeats)])
+    n = folded.limit(max_broadcast_rows + 1).count()
+    if n > max_broadcast_rows:
+        raise ValueError("knn_cv broadcasts the scored rows; use knn() per fold beyond max_broadcast_rows")
+    rows = folded.select(id_col, F.col(vec_col).cast("array<double>").alias("v"),
+                         *[f"f{r}" for r in range(repeats)]).toPandas()
+    tid = rows[id_col].to_numpy()
+    tm = np.stack(rows["v"].to_numpy())
+    tf = np.stack([rows[f"f{r}"].to_numpy() for r in range(repeats)])
+    bc = spark.sparkContext.broadcast((tid, tm, tf))
+    schema = "rep int, test_id long, train_id long, nb_label long, dist double"
+
+    def top_k(batches):
+        tid, tm, tf = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            m = np.stack(pdf["v"].to_numpy())
+            d = np.sqrt(np.maximum((tm * tm).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * tm @ m.T, 0.0))
+            ids = pdf[id_col].to_numpy()
+            labs = pdf[label_col].to_numpy()
+            for r in range(tf.shape[0]):
+                fr = pdf[f"f{r}"].to_numpy()
+                dm = np.where(tf[r][:, None] == fr[None, :], np.inf, d)
+                kk = min(kmax + 4, m.shape[0])
+                idx = np.argpartition(dm, kk - 1, axis=1)[:, :kk] if kk < m.shape[0] else \
+                    np.tile(np.arange(m.shape[0]), (len(tid), 1))
+                rr = np.repeat(np.arange(len(tid)), idx.shape[1])
+                cc = idx.ravel()
+                keep = np.isfinite(dm[rr, cc])
+                rr, cc = rr[keep], cc[keep]
+                diff = tm[rr] - m[cc]
+                yield pd.DataFrame({"rep": np.full(len(rr), r, dtype="int32"),
+                                    "test_id": tid[rr].astype("int64"), "train_id": ids[cc].astype("int64"),
+                                    "nb_label": labs[cc].astype("int64"),
+                                    "dist": np.round(np.sqrt((diff * diff).sum(1)), 9)})
+
+    src = folded.select(id_col, F.col(vec_col).cast("array<double>").alias("v"), label_col,
+                        *[f"f{r}" for r in range(repeats)])
+    cand = src.mapInPandas(top_k, schema)
+    w = Window.partitionBy("rep", "test_id").orderBy("dist", "train_id")
+    ranked = cand.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= kmax)
+    # one row per (rep, test, k): expand each neighbour to every k it counts for
+    kk = F.explode(F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rk")))
+    votes = ranked.select("rep", "test_id", "nb_label", "rk", kk.alias("k")) \
+        .groupBy("rep", "test_id", "k", "nb_label").agg(F.count(F.lit(1)).alias("votes"), F.min("rk").alias("nearest"))
+    wv = Window.partitionBy("rep", "test_id", "k").orderBy(F.col("votes").desc(), F.col("nearest"))
+    best = votes.withColumn("r", F.row_number().over(wv)).where(F.col("r") == 1)
+    truth = df.select(F.col(id_col).alias("test_id"), F.col(label_col).cast("bigint").alias("truth"))
+    scored = best.join(truth, "test_id")
+    return scored.groupBy("k").agg(F.avg((F.col("nb_label") == F.col("truth")).cast("double")).alias("accuracy"),
+                                   F.count(F.lit(1)).alias("n")).orderBy("k")
+
+
+# ---------------------------------------------------------------- history and formula
+
+def boosting_history(model, df: DataFrame, loss: str = "logistic") -> DataFrame:
+    """Per-round loss of every one-vs-rest member on ``df`` -> (member, round, metric)."""
+    spark = df.sparkSession
+    rows = []
+    members = model.models if hasattr(model, "models") else [model]
+    for i, m in enumerate(members):
+        # one-vs-rest members read a binary label under their own column name
+        lab = df.withColumn(m.getLabelCol(), (F.col(LABEL) == float(i)).cast("double")) \
+            if hasattr(model, "models") else df
+        for r, v in enumerate(m.evaluateEachIteration(lab)):
+            rows.append((i, r + 1, float(v)))
+    return spark.createDataFrame(rows, "member int, round int, metric double")
+
+
+def formula_frame(df: DataFrame, label: str, predictors: Sequence[str]) -> DataFrame:
+    """``label ~ a + b + ...`` through RFormula (strings are one-hot encoded)."""
+    from pyspark.ml.feature import RFormula
+    f = RFormula(formula=f"{label} ~ " + " + ".join(predictors), featuresCol="features", labelCol=LABEL)
+    return f.fit(df).transform(df)

@@ -89,3 +89,32 @@ def test_knn_matches_brute_force(spark):
     # same answer when the test side is processed in several broadcast blocks
     got2 = {r.id: r.knn_label for r in models.knn(train, test, k=5, max_broadcast_rows=7).collect()}
     assert got2 == got
+
+
+def test_knn_cv_matches_brute_force(spark):
+    import hashlib
+    rnd = np.random.default_rng(11)
+    x = rnd.normal(size=(90, 3))
+    lab = rnd.integers(0, 3, size=90)
+    df = spark.createDataFrame([(i, list(map(float, v)), int(lab[i])) for i, v in enumerate(x)],
+                               "id long, vec array<double>, label long").repartition(2)
+    got = {r.k: r.accuracy for r in models.knn_cv(df, ks=[1, 3, 5], folds=3, repeats=2).collect()}
+    exp = {}
+    for k in (1, 3, 5):
+        hits = []
+        for r in range(2):
+            fold = [int(hashlib.md5(f"{i}|{r}".encode()).hexdigest()[:8], 16) % 3 for i in range(90)]
+            for i in range(90):
+                cand = [j for j in range(90) if fold[j] != fold[i]]
+                d = {j: round(float(np.sqrt(((x[i] - x[j]) ** 2).sum())), 9) for j in cand}
+                nb = sorted(cand, key=lambda j: (d[j], j))[:k]
+                votes = {}
+                for rank, j in enumerate(nb):
+                    c, first = votes.get(lab[j], (0, rank))
+                    votes[lab[j]] = (c + 1, first)
+                pred = sorted(votes.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[0][0]
+                hits.append(pred == lab[i])
+        exp[k] = sum(hits) / len(hits)
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert abs(got[k] - exp[k]) < 1e-12
