@@ -48,17 +48,35 @@ def write_table(spark: SparkSession, df: DataFrame, folder: str, name: str) -> D
     return spark.read.parquet(path)
 
 
-def silver_tables_materialized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Bronze and silver written once each (the reference keeps both layers
-    as tables), so gold plans read files instead of re-deriving them."""
+def silver_tables_materialized(spark: SparkSession, sf_dir: str, folder: str | None = None) -> dict[str, DataFrame]:
+    """Silver written once per table (the reference keeps silver as tables):
+    every later plan scans four small parquet tables instead of re-deriving
+    bronze (and the standings it semi-joins against) in each branch."""
+    folder = folder or scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
+    return {k: write_table(spark, v, folder, k) for k, v in silver.silver_tables(bronze(spark, sf_dir)).items()}
+
+
+def gold_all(spark: SparkSession, sf_dir: str, direction: str = "desc", chunk=gold.DEFAULT_CHUNK,
+             needed: tuple[str, ...] = ("gold_team_stats", "gold_avg_team_difficulty", "gold_match_table")):
+    """Silver and gold layers.  Silver is materialised; when the match table
+    is needed, the two team-level gold tables are materialised as well (each
+    is read twice, as the away and as the home side), so every layer is
+    computed exactly once.  Tables not in ``needed`` are left out."""
     folder = scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
-    b = {k: write_table(spark, v, folder, k) for k, v in bronze(spark, sf_dir).items()}
-    return {k: write_table(spark, v, folder, k) for k, v in silver.silver_tables(b).items()}
-
-
-def gold_all(spark: SparkSession, sf_dir: str, direction: str = "desc", chunk=gold.DEFAULT_CHUNK):
-    s = silver_all(spark, sf_dir)
-    return s, gold.gold_tables(s, direction=direction, chunk=chunk)
+    s = silver_tables_materialized(spark, sf_dir, folder)
+    out: dict[str, DataFrame] = {}
+    want_match = "gold_match_table" in needed
+    if want_match or "gold_team_stats" in needed:
+        ts = gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
+                                  direction=direction, chunk=chunk)
+        out["gold_team_stats"] = write_table(spark, ts, folder, "gold_team_stats") if want_match else ts
+    if want_match or "gold_avg_team_difficulty" in needed:
+        d = gold.gold_avg_team_difficulty(s["silver_fixture"], s["silver_standing"], direction=direction, chunk=chunk)
+        out["gold_avg_team_difficulty"] = write_table(spark, d, folder, "gold_avg_team_difficulty") if want_match else d
+    if want_match:
+        out["gold_match_table"] = gold.gold_match_table(s["silver_fixture"], out["gold_team_stats"],
+                                                        out["gold_avg_team_difficulty"], s["silver_coach"])
+    return s, out
 
 
 def _table(kind: str, name: str) -> Query:
@@ -67,7 +85,7 @@ def _table(kind: str, name: str) -> Query:
             return bronze(spark, sf_dir)[name]
         if kind == "silver":
             return silver_all(spark, sf_dir)[name]
-        return gold_all(spark, sf_dir)[1][name]
+        return gold_all(spark, sf_dir, needed=(name,))[1][name]
     q.__name__ = name
     return q
 
@@ -82,7 +100,7 @@ for _name in ("gold_team_stats", "gold_avg_team_difficulty", "gold_match_table")
 
 @register("gold_team_stats_asc", oracle.table_sql("gold_team_stats_asc"))
 def gold_team_stats_asc(spark, sf_dir):
-    s = silver_all(spark, sf_dir)
+    s = silver_tables_materialized(spark, sf_dir)
     return gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
                                 direction="asc")
 
@@ -90,7 +108,7 @@ def gold_team_stats_asc(spark, sf_dir):
 @register("gold_team_stats_single_window", oracle.table_sql("gold_team_stats"))
 def gold_team_stats_single_window(spark, sf_dir):
     """Same result as gold_team_stats through one window per team (no chunking)."""
-    s = silver_all(spark, sf_dir)
+    s = silver_tables_materialized(spark, sf_dir)
     return gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
                                 chunk=None)
 
@@ -371,7 +389,7 @@ BUCKET_SQL = "(('0x' || substr(md5(cast({k} AS varchar)), 1, 8))::bigint % 100)"
 
 
 def gold_match(spark, sf_dir):
-    return gold_all(spark, sf_dir)[1]["gold_match_table"]
+    return gold_all(spark, sf_dir, needed=("gold_match_table",))[1]["gold_match_table"]
 
 
 def shots_rule(df):

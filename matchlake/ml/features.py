@@ -93,10 +93,13 @@ def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> DataF
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair as a long table, from one
     aggregate pass (each ``corr`` is a partial/final aggregate)."""
-    pairs = [(a, b) for a in cols for b in cols]
-    one = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{i}").alias("corr"))
-                     for i, (a, b) in enumerate(pairs)])
+    cols = list(cols)
+    # corr is symmetric: aggregate the upper triangle only, mirror it in the output
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    one = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in upper])
+    rows = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
+                              F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
+                     for i in range(len(cols)) for j in range(len(cols))])
     return one.select(F.inline(rows))
 
 
