@@ -12,8 +12,8 @@ per key in a given order.  Two physical strategies, same result:
   last ``n`` rows of each of the ``n`` previous non-empty chunks (a chunk holds
   at least one row, so ``n`` chunks hold at least ``n`` rows).  Halo rows are
   found with a per-chunk top-n (``row_number <= n``, which Spark limits on the
-  map side) and routed to the chunks that need them with a small join on the
-  chunk ordinal.  A hot key (a third of all rows) is therefore spread over as
+  map side) and routed to the next n chunks (``lead`` over the small
+  (key, chunk) table).  A hot key (a third of all rows) is therefore spread over as
   many tasks as it has chunks, and nothing is ever collected into one group.
 
 Frame semantics follow SQL: NULLs inside a frame are skipped, an empty or
@@ -71,20 +71,18 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     tail_w = Window.partitionBy(*part).orderBy(*_reverse(order, direction))
     tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max).drop("__rn")
 
-    # ordinal of every non-empty chunk inside its key; every non-empty chunk
-    # has tail rows, so this small table is derived from the tail alone
+    # the next n non-empty chunks (in frame order) of every chunk, from the
+    # small (key, chunk) table; every non-empty chunk has tail rows
     chunks = tail.select(*part).distinct()
-    ordinal = chunks.withColumn(
-        "__ord", F.dense_rank().over(Window.partitionBy(*keys).orderBy(
-            F.col("__chunk").desc() if direction == "desc" else F.col("__chunk").asc())))
-
-    # chunk with ordinal m feeds chunks m+1 .. m+n; route through the ordinal table
-    t = tail.join(ordinal, part)
-    t = t.withColumn("__target_ord", F.explode(F.sequence(F.col("__ord") + 1, F.col("__ord") + n_max)))
-    target = ordinal.select(*keys, F.col("__ord").alias("__target_ord"), F.col("__chunk").alias("__target"))
-    halo = t.join(target, keys + ["__target_ord"]).drop("__chunk", "__ord", "__target_ord") \
-        .withColumnRenamed("__target", "__chunk").withColumn("__halo", F.lit(True)) \
-        .select(*base.columns, "__halo").repartition(*part)
+    wk = Window.partitionBy(*keys).orderBy(
+        F.col("__chunk").desc() if direction == "desc" else F.col("__chunk").asc())
+    nexts = chunks.select(*part, F.array(*[F.lead("__chunk", j).over(wk) for j in range(1, n_max + 1)])
+                          .alias("__targets"))
+    # route each chunk's tail rows to the chunks whose frames can reach them
+    t = tail.join(nexts, part)
+    halo = t.select(*[c for c in base.columns if c != "__chunk"],
+                    F.explode(F.filter("__targets", lambda x: x.isNotNull())).alias("__chunk")) \
+        .withColumn("__halo", F.lit(True)).select(*base.columns, "__halo").repartition(*part)
 
     rows = base.withColumn("__halo", F.lit(False)).unionByName(halo)
     w = Window.partitionBy(*part).orderBy(*_order(order, direction))
