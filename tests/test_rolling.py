@@ -55,3 +55,24 @@ def test_latest_match_has_empty_frame(spark):
     got = {r.id: r.m for r in rolling_mean(df, ["k"], ["d", "id"], [("m", F.col("v"), 9)],
                                            chunk=F.col("d")).collect()}
     assert got == {2: None, 1: 3.0}     # DESC frame looks at later matches
+
+
+def test_chunked_plan_partitions_by_key_and_chunk(spark):
+    df = spark.createDataFrame(_data(n=200), "k long, d string, id long, v double")
+    res = rolling_mean(df, ["k"], ["d", "id"], [("m", F.col("v"), 9)], chunk=F.col("d"))
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    # the only full-data exchange hashes on (key, chunk); no window runs on a bare key partitioning
+    assert "hashpartitioning(k#" in plan and "__chunk" in plan
+    lines = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(k#" in ln]
+    assert lines and all("__chunk" in ln or "__targets" in ln or "ENSURE_REQUIREMENTS" in ln for ln in lines)
+
+
+def test_small_side_broadcasts_only_under_bound(spark):
+    from matchlake.operators.joins import small_side
+    small = spark.range(10)
+    big = spark.range(1000)
+    a = spark.range(5).join(small_side(small, 100), "id")
+    b = spark.range(5).join(small_side(big, 100), "id")
+    assert "ResolvedHint (strategy=broadcast)" in a._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in a._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in b._jdf.queryExecution().logical().toString().lower()
