@@ -18,3 +18,18 @@ def test_ingest_once_per_file(spark, tmp_path):
     raw.land(raw.by_month(raw.fixture_payloads(more)), src, ["month"], mode="append")
     ingest_new(spark, src, "fixtures", out, ck)
     assert sorted(r.fixture_id for r in spark.read.schema(schema).parquet(out).collect()) == [1, 2, 3]
+
+
+def test_relanded_date_replaces_its_rows(spark, tmp_path):
+    schema = ("fixture_date string, fixture_id long, referee string, status string, venue_id long, away_goals long, "
+              "home_goals long, league_id long, season long, away_team_id long, home_team_id long")
+    first = spark.createDataFrame([("2022-01-01", 1, "R", "NS", 1, None, None, 1, 2022, 3, 4),
+                                   ("2022-01-02", 2, "R", "FT", 1, 2, 2, 1, 2022, 5, 6)], schema)
+    src, out, ck = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "ck")
+    raw.land(raw.by_month(raw.fixture_payloads(first)), src, ["month"])
+    ingest_new(spark, src, "fixtures", out, ck)
+    played = spark.createDataFrame([("2022-01-01", 1, "R", "FT", 1, 3, 1, 1, 2022, 3, 4)], schema)
+    raw.land(raw.by_month(raw.fixture_payloads(played)), src, ["month"], mode="append")
+    ingest_new(spark, src, "fixtures", out, ck)
+    rows = {r.fixture_id: (r.status, r.away_goals) for r in spark.read.schema(schema).parquet(out).collect()}
+    assert rows == {1: ("FT", 3), 2: ("FT", 2)}
