@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality
+from matchlake.llm import mcd_quality, simhash_ball
 from matchlake.llm.common import read_table, stored
 
 
@@ -21,8 +21,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return assessed.filter(F.col(verdict)["kept"]).select(*names)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies."""
+    return simhash_ball.one_of_each(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", near_dedup),
 ]
 
 #: The fitted estimates, random rounding and merges of the stages have no SQL form;

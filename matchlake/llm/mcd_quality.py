@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.llm.common import broadcast_if_small, col, free_name, packed, stored, unpacked
 
@@ -93,7 +94,7 @@ def text_statistics(raw: bytes) -> tuple[int, ...]:
             lines, int(count[_IS_UPPER].sum()), int(count[_IS_LOWER].sum()), int(count[_IS_DIGIT].sum()), int(count[_IS_PUNCT].sum()))
 
 
-@F.pandas_udf(", ".join(f"{c} long" for c in STATS))
+@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in STATS]))
 def statistics_of(raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_statistics(bytes(x) if x is not None else b"") for x in raw], columns=STATS)
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality
+from matchlake.llm import mcd_quality, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,10 @@ def op2_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("quality")
     return out.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
                       F.round(q["distance"], 6).alias("distance"))
+
+
+@query("op8_simhash_ball")
+def op8_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_ball.groups(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    n = F.col("near")
+    return out.select("doc_id", F.lower(F.lpad(F.hex(n["fingerprint"]), 16, "0")).alias("fingerprint"), n["component_id"].alias("component_id"))
