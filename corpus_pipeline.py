@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, simhash_ball
+from matchlake.llm import mcd_quality, pii_sanitise, simhash_ball
 from matchlake.llm.common import read_table, stored
 
 
@@ -26,9 +26,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_ball.one_of_each(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data and the terms that disclose it in the texts."""
+    names = docs.columns
+    clean = pii_sanitise.sanitise(docs)
+    text = F.col(clean.columns[-1])["text"]
+    changed = {"text": text, "n_chars": F.length(text).cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return clean.select(*[changed.get(c, F.col(c)).alias(c) for c in names])
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_dedup),
+    ("personal data", personal_data),
 ]
 
 #: The fitted estimates, random rounding and merges of the stages have no SQL form;

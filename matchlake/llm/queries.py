@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, simhash_ball
+from matchlake.llm import mcd_quality, pii_sanitise, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,13 @@ def op8_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_ball.groups(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
     n = F.col("near")
     return out.select("doc_id", F.lower(F.lpad(F.hex(n["fingerprint"]), 16, "0")).alias("fingerprint"), n["component_id"].alias("component_id"))
+
+
+@query("op3_pii_information")
+def op3_pii_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_sanitise.sanitise(read_table(spark, sf_dir, "documents"), rewrite=False, carry=["doc_id"])
+    spans = F.col("pii")["spans"]
+    base = F.filter(spans, lambda s: s["kind"] != "term")
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone", "term")]
+    return out.select("doc_id", *counts, F.sha2(pii_sanitise.joined_spans(base), 256).alias("base_sha256"), pii_sanitise.joined_spans(spans).alias("spans"))
