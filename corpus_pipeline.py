@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, pii_sanitise, simhash_ball
+from matchlake.llm import mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table, stored
 
 
@@ -35,10 +35,19 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return clean.select(*[changed.get(c, F.col(c)).alias(c) for c in names])
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents so that each source meets its target."""
+    names = docs.columns
+    mixed = pivotal_mixing.mix(docs)
+    copies = F.col(mixed.columns[-1])["copies"].cast("int")
+    return mixed.withColumn(mixed.columns[-1], F.explode(F.array_repeat(F.lit(0), copies))).select(*names)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_dedup),
     ("personal data", personal_data),
+    ("mixing", mixing),
 ]
 
 #: The fitted estimates, random rounding and merges of the stages have no SQL form;

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, pii_sanitise, simhash_ball
+from matchlake.llm import mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op3_pii_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform(spans, lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone", "term")]
     return out.select("doc_id", *counts, F.sha2(pii_sanitise.joined_spans(base), 256).alias("base_sha256"), pii_sanitise.joined_spans(spans).alias("spans"))
+
+
+@query("op6_pivotal_mixing")
+def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pivotal_mixing.mix(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.copies", "mix.taken")
