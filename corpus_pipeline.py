@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
+import public_tokenizers
+
+from matchlake.llm import bpe_rounds, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table, stored
 
 
@@ -43,11 +45,19 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn(mixed.columns[-1], F.explode(F.array_repeat(F.lit(0), copies))).select(*names)
 
 
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
+    """Token ids of every document left, and the text decoded from them."""
+    encoded = bpe_rounds.encode(docs, vocabulary, carry=["doc_id", "lang", "source"])
+    t = F.col(encoded.columns[-1])
+    return encoded.select("doc_id", "lang", "source", F.size(t["ids"]).cast("long").alias("n_tokens"), t["ids"].alias("ids"), t["decoded"].alias("text"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_dedup),
     ("personal data", personal_data),
     ("mixing", mixing),
+    ("byte-level BPE", encoding),
 ]
 
 #: The fitted estimates, random rounding and merges of the stages have no SQL form;

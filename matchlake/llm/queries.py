@@ -9,7 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
+import public_tokenizers
+
+from matchlake.llm import bpe_rounds, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +56,11 @@ def op3_pii_information(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pivotal_mixing.mix(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.copies", "mix.taken")
+
+
+@query("op9_bpe_rounds")
+def op9_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe_rounds.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    t = F.col("tokens")
+    return out.select("doc_id", F.size(t["ids"]).cast("long").alias("n_tokens"), F.sha2(F.array_join(t["ids"].cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2(t["decoded"], 256).alias("decoded_sha256"))
