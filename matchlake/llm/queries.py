@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
+from matchlake.llm import bpe_rounds, extendible_sharding, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,19 @@ def op9_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("tokens")
     return out.select("doc_id", F.size(t["ids"]).cast("long").alias("n_tokens"), F.sha2(F.array_join(t["ids"].cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2(t["decoded"], 256).alias("decoded_sha256"))
+
+
+@query("op4_extendible_sharding", f"""
+with r as (
+  select doc_id, strlen(coalesce(text, ''))::bigint as bytes,
+         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint as h
+  from documents),
+s as (
+  select doc_id, h, bytes, d::integer as depth, sum(bytes) over (partition by d, h >> (60 - d))::bigint as shard_bytes
+  from r, range(0, 61) t(d))
+select doc_id, substr(lpad(bin(h), 60, '0'), 1, min(depth)) as shard, min(depth) as depth, bytes, max(shard_bytes) as shard_bytes
+from s where shard_bytes <= {extendible_sharding.LIMIT}
+group by doc_id, h, bytes""")
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extendible_sharding.shard(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", F.col("shard.id").alias("shard"), "shard.depth", "shard.bytes", "shard.shard_bytes")
