@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
+from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,19 @@ group by doc_id, h, bytes""")
 def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extendible_sharding.shard(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", F.col("shard.id").alias("shard"), "shard.depth", "shard.bytes", "shard.shard_bytes")
+
+
+@query("op7_kdtree_topk", """
+with v as (
+  select vec_id, [floor(1024 * x::double) for x in embedding] as e
+  from embeddings
+  where embedding is not null and vec_id is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 100 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from s qualify rank <= 10""")
+def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    rows = rows.select("vec_id", kdtree_topk.scaled(F.col("embedding")).alias("v"))
+    return kdtree_topk.top_k(rows, F.col("vec_id") % 100 == 0)
