@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball
+from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,17 @@ def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     rows = rows.select("vec_id", kdtree_topk.scaled(F.col("embedding")).alias("v"))
     return kdtree_topk.top_k(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op10_warc_split", """
+with p as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as first from pages),
+r as (select *, strlen(html)::bigint as payload_bytes, strlen(html) >= 1000 and page_id <> first as again from p)
+select page_id, payload_bytes, sha1(html) as payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then first end as refers_to
+from r""")
+def op10_warc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc_split.write_archives(read_table(spark, sf_dir, "pages"), warc_split.archive_folder(spark))
+    records = warc_split.read_archives(written)
+    own = F.col("payload").isNotNull()
+    return records.select("page_id", F.when(own, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+                          F.when(own, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"), "record_type", "refers_to")
