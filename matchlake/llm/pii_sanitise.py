@@ -156,6 +156,15 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     texts = docs.select(col(text).alias("text"), F.xxhash64(col(text)).alias("h"))
     pairs = stored(texts.filter("text is not null").select("h", "text").mapInPandas(_evidence, _EVIDENCE).distinct(), "evidence")
     joint = stored(pairs.filter("t <> ''").groupBy("e", "t").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= min_texts), "joint")
+    # A term has at least the texts that show it beside any entity, which bounds its
+    # information from above: common words drop out before the corpus is counted.
+    beside = pairs.filter("t <> ''").select("t", "h").distinct().groupBy("t").agg(F.count("*").alias("n_t"))
+    n_e = pairs.filter("t = ''").groupBy("e").agg(F.count("*").alias("n_e"))
+    total = texts.filter("text is not null").select("h").distinct().count()
+    pmi = F.log(F.col("n_et") * float(total) / (F.col("n_e") * F.col("n_t")))
+    ic = F.log(float(total) / F.col("n_e"))
+    enough = (ic > 0) & (pmi >= ic / alpha - 1e-9)
+    joint = stored(joint.join(n_e, "e").join(beside, "t").filter(enough).drop("n_t"), "bounded")
     candidates = joint.select("t").distinct()
     schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("h", T.LongType())])
     known = [r["t"] for r in candidates.limit(BROADCAST_TERMS + 1).collect()]
@@ -166,12 +175,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     if not few:
         seen = seen.join(candidates, "t", "left_semi")
     n_t = seen.distinct().groupBy("t").agg(F.count("*").alias("n_t"))
-    n_e = pairs.filter("t = ''").groupBy("e").agg(F.count("*").alias("n_e"))
-    total = texts.filter("text is not null").select("h").distinct().count()
-    found = joint.join(n_e, "e").join(n_t, "t")
-    pmi = F.log(F.col("n_et") * float(total) / (F.col("n_e") * F.col("n_t")))
-    ic = F.log(float(total) / F.col("n_e"))
-    found = found.select("t", pmi.alias("pmi"), ic.alias("ic")).filter("ic > 0").filter(F.col("pmi") >= F.col("ic") / alpha - 1e-9)
+    found = joint.join(n_t, "t").filter(enough).select("t", pmi.alias("pmi"), ic.alias("ic"))
     return stored(found.groupBy("t").agg(F.max(F.col("pmi") >= F.col("ic") / alpha_remove - 1e-9).alias("remove")), "terms")
 
 
