@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
+from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,12 @@ def op10_warc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.col("payload").isNotNull()
     return records.select("page_id", F.when(own, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
                           F.when(own, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op1_ordinal_toxicity")
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = ordinal_toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    t = F.col("toxicity")
+    return ordinal_toxicity.grade(docs, model, carry=["doc_id"]).select(
+        "doc_id", F.round(t["expected_severity"], 4).alias("expected_severity"), F.round(t["p_toxic"], 4).alias("p_toxic"), t["grade"].alias("grade"), (t["grade"] > 0).alias("toxic"))
