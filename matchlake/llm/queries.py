@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
+from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
 from matchlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,10 @@ def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("toxicity")
     return ordinal_toxicity.grade(docs, model, carry=["doc_id"]).select(
         "doc_id", F.round(t["expected_severity"], 4).alias("expected_severity"), F.round(t["p_toxic"], 4).alias("p_toxic"), t["grade"].alias("grade"), (t["grade"] > 0).alias("toxic"))
+
+
+@query("op5_fused_langid")
+def op5_fused_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fused_langid.train(read_table(spark, sf_dir, "documents"))
+    out = fused_langid.identify(read_table(spark, sf_dir, "pages"), model, carry=["page_id"])
+    return out.select("page_id", "language.lang", F.round("language.posterior", 6).alias("posterior"), "language.text_lang", "language.declared", "language.host")
