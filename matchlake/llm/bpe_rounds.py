@@ -240,5 +240,5 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", *, decode: bool
     underscore; other names are free.  An empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     return docs.select(packed(docs, names).alias("row"), transcoded(col(text), vocabulary, decode).alias("t")).select(*unpacked(names), F.col("t").alias(out))

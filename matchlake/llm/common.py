@@ -26,9 +26,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def free_name(df: DataFrame, base: str) -> str:
-    """A column name that ``df`` does not have yet (names compare without case)."""
-    taken = {c.lower() for c in df.columns}
+def free_name(names: list[str], base: str) -> str:
+    """A column name that is not among ``names`` (names compare without case)."""
+    taken = {c.lower() for c in names}
     name = base
     while name.lower() in taken:
         name = "_" + name

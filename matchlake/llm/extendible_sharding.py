@@ -100,7 +100,7 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", *, limit: in
     table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     size = F.coalesce(F.octet_length(col(text)), F.lit(0)).cast("long")
     table = stored(docs.select(packed(docs, names).alias("row"), hash_bits(col(key)).alias("h"), size.alias("bytes"), F.monotonically_increasing_id().alias("pos")), "hashed")
     leaves = directory(table.select("h", "bytes"), limit)

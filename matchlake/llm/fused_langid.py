@@ -124,7 +124,7 @@ def identify(pages: DataFrame, model: TextModel, url: str = "url", html: str = "
     leading underscore; other names are free.  An empty table gives an empty result.
     """
     names = pages.columns if carry is None else carry
-    out = free_name(pages, out)
+    out = free_name(names, out)
     langs = model.languages
     host = F.lower(F.regexp_extract(F.coalesce(col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     table = pages.select(packed(pages, names).alias("row"), host.alias("host"), col(html).alias("html"))

@@ -246,12 +246,12 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     rules; NULL languages and sources are groups of their own; sources with fewer
     than ``min_group`` rows that pass the base rules are pooled by language, and
     pools still smaller together; if that last pool is too small as well, its rows
-    are kept.  Repeated rows each count and get the same verdict.  If ``docs`` has
+    are kept.  Repeated rows each count and get the same verdict.  If there is
     a column ``out`` already, the new one gets a leading underscore; all other
     names are free.  An empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     name = lambda c: F.coalesce(F.concat(F.lit("="), col(c).cast("string")), F.lit("-"))
     raw = docs.select(packed(docs, names).alias("row"), statistics_of(col(text).cast("binary")).alias("s"), name(lang).alias("wide"), F.concat(name(lang), F.lit(" "), name(source)).alias("own"))
     table = stored(raw, "statistics")

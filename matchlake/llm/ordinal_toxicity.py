@@ -191,5 +191,5 @@ def grade(docs: DataFrame, model: Model, text: str = "text", *, carry: list[str]
     An empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     return docs.select(packed(docs, names).alias("row"), scored(col(text), model).alias("s")).select(*unpacked(names), F.col("s").alias(out))

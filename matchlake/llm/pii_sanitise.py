@@ -235,7 +235,7 @@ def sanitise(docs: DataFrame, text: str = "text", *, rewrite: bool = True, carry
     gets a leading underscore.  An empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     terms = disclosing_terms(docs, text, **options)
     passes = max(1, math.ceil(terms.count() / BROADCAST_TERMS * 1.25)) if terms.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS else 1
     table = docs.select(packed(docs, names).alias("row"), col(text).alias("t"))

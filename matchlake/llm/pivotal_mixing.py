@@ -149,7 +149,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     size = F.coalesce(F.regexp_count(col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     src = F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("-"))
     table = docs.select(packed(docs, names).alias("row"), col(source).cast("string").alias("source"), src.alias("src"), size.alias("size"),

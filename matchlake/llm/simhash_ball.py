@@ -199,7 +199,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, size:
     gets a leading underscore.
     """
     names = docs.columns if carry is None else carry
-    out = free_name(docs, out)
+    out = free_name(names, out)
     table = stored(docs.select(packed(docs, names).alias("row"), col(doc_id).alias("id"), fingerprint_column(col(text), size).alias("fp")), "prints")
     fps = stored(table.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
     stars = components(links(fps.select("fp"), distance, slice_variants))
