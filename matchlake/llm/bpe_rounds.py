@@ -7,8 +7,7 @@ all its pairs of that rank are merged, left to right without overlap.  Words
 without a pair left drop out; the rounds end when none is active.
 
 The vocabulary is a public tokenizer file in JSON whose path is a parameter.  It
-is read on the driver, and its tables (fixed by the file: about 2 MB) travel with
-the tasks.
+is read on the driver, and its tables (fixed by the file: about 2 MB) are broadcast.
 """
 
 from __future__ import annotations
@@ -21,13 +20,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.llm.common import col, free_name, packed, unpacked
 
-CACHE_WORDS = 300_000  # distinct words that a task remembers between batches
+CACHE_WORDS = 400_000  # distinct words that a worker remembers: some 70 MB
 CACHE_CHARS = 64  # longer words are encoded anew
 NO_RANK = np.iinfo(np.int32).max
 
@@ -96,8 +95,8 @@ class Vocabulary:
         return Vocabulary(first, keys[order], order.astype(np.int32), np.array([vocab[a + b] for a, b in pairs], np.int32), size, pieces, added)
 
 
-def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
-    """The ids of each (non-empty) word."""
+def encode_words(words: list[bytes], v: Vocabulary) -> list[bytes]:
+    """The ids of each (non-empty) word, as the bytes of 32-bit integers."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     sym = v.first[np.frombuffer(b"".join(words), np.uint8)]
     word = np.repeat(np.arange(len(words)), lengths)
@@ -135,7 +134,7 @@ def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
         look_up(np.concatenate([hit[hit > 0] - 1, hit]))
     sym, word = np.concatenate(done_sym), np.concatenate(done_word)
     order = np.argsort(word, kind="stable")
-    ids, ends = sym[order].tolist(), np.cumsum(np.bincount(word, minlength=len(words))).tolist()
+    ids, ends = sym[order].astype(np.int32).tobytes(), (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
     return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -143,46 +142,46 @@ class Codec:
     """Encodes and decodes lists of texts; remembers words between calls."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known = v, {}
+        self.v = v
+        self.known: dict[str, bytes] = {}
         longest = sorted(v.added, key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self.special = {t: np.int32(i).tobytes() for t, i in v.added.items()}
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encoded(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as the bytes of 32-bit integers."""
         split = []
         for text in texts:
             parts = self.added.split(text or "") if self.added else [text or ""]
-            split.append([(words_of(p), None) if k % 2 == 0 else ([], self.v.added[p]) for k, p in enumerate(parts)])
-        known, new = self.known, dict.fromkeys(chain.from_iterable(w for parts in split for w, _ in parts))
-        new = [w for w in new if w not in known]
+            split.append([(words_of(p), b"") if k % 2 == 0 else ((), self.special[p]) for k, p in enumerate(parts)])
+        known = self.known
+        new = [w for w in dict.fromkeys(chain.from_iterable(w for parts in split for w, _ in parts)) if w not in known]
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
             new = list(dict.fromkeys(chain.from_iterable(w for parts in split for w, _ in parts)))
         if new:
             known.update(zip(new, encode_words([w.encode() for w in new], self.v), strict=True))
-        out = []
-        for parts in split:
-            ids: list[int] = []
-            for words, special in parts:
-                ids.extend(chain.from_iterable(map(known.__getitem__, words)))
-                if special is not None:
-                    ids.append(special)
-            out.append(ids)
+        out = [b"".join(chain.from_iterable((*map(known.__getitem__, words), special) for words, special in parts)) for parts in split]
         for w in new:
             if len(w) > CACHE_CHARS:
                 del known[w]
         return out
 
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(x, np.int32).tolist() for x in self.encoded(texts)]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.v.pieces.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-TEXT_CHARS = 4_000_000  # characters whose words are held at once
+TEXT_CHARS = 2_000_000  # characters whose words are held at once
 
 
-def _in_parts(texts: list[str | None]):
+def _in_parts(texts: pa.Array):
     """Runs of texts of about TEXT_CHARS together."""
     part, size = [], 0
-    for t in texts:
+    for x in texts:
+        t = x.as_py()
         part.append(t)
         size += len(t or "")
         if size > TEXT_CHARS:
@@ -195,23 +194,36 @@ def _in_parts(texts: list[str | None]):
 _RESULT = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
 
 
+class _Shared:
+    """A codec that is made once in a worker and serves all its tasks: broadcast
+    values stay in the worker while their query runs."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.codec = v, None
+
+    def get(self) -> Codec:
+        self.codec = self.codec or Codec(self.v)
+        return self.codec
+
+
+def _broadcast(vocabulary: str):
+    return SparkSession.active().sparkContext.broadcast(_Shared(Vocabulary.read(vocabulary)))
+
+
 def transcoded(text: Column, vocabulary: str, decode: bool = True) -> Column:
     """Struct of a text's ``ids`` and, if ``decode``, the text ``decoded`` from them."""
-    v = Vocabulary.read(vocabulary)
-    state: dict[str, Codec] = {}
+    shared = _broadcast(vocabulary)
 
     @F.arrow_udf(_RESULT)
     def udf(batch: pa.Array) -> pa.Array:
-        codec = state.setdefault("codec", Codec(v))
-        offsets, values, decoded = [0], [], []
-        for part in _in_parts(batch.to_pylist()):
-            for ids in codec.encode(part):
-                offsets.append(offsets[-1] + len(ids))
-                values.append(np.array(ids, np.int32))
-                decoded.append(codec.decode(ids) if decode else None)
-        flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-        return pa.StructArray.from_arrays([ids, pa.array(decoded, pa.string())], ["ids", "decoded"])
+        codec, offsets, ids, texts = shared.value.get(), [0], [], []
+        for part in _in_parts(batch):
+            for x in codec.encoded(part):
+                offsets.append(offsets[-1] + len(x) // 4)
+                ids.append(x)
+                texts.append(codec.decode(np.frombuffer(x, np.int32).tolist()) if decode else None)
+        flat = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat), pa.array(texts, pa.string())], ["ids", "decoded"])
 
     return udf(text)
 
@@ -219,11 +231,11 @@ def transcoded(text: Column, vocabulary: str, decode: bool = True) -> Column:
 def decoded(ids: Column, vocabulary: str) -> Column:
     """The text of a column of ids; NULL for NULL.  Bytes that form no character
     become U+FFFD, as do those of a character that was cut."""
-    v = Vocabulary.read(vocabulary)
+    shared = _broadcast(vocabulary)
 
     @F.arrow_udf(T.StringType())
     def udf(batch: pa.Array) -> pa.Array:
-        codec = Codec(v)
+        codec = shared.value.get()
         return pa.array([None if x is None else codec.decode(x) for x in batch.to_pylist()], pa.string())
 
     return udf(ids)
