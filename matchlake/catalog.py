@@ -34,10 +34,6 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return binding.bronze_tables(spark, sf_dir)
 
 
-def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return silver.silver_tables(bronze(spark, sf_dir))
-
-
 def write_table(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
     """Persist a layer as parquet in the shared checkpoint folder and read it
     back: lineage is cut (an executor loss re-reads files instead of
@@ -48,22 +44,47 @@ def write_table(spark: SparkSession, df: DataFrame, folder: str, name: str) -> D
     return spark.read.parquet(path)
 
 
-def silver_tables_materialized(spark: SparkSession, sf_dir: str, folder: str | None = None) -> dict[str, DataFrame]:
-    """Silver written once per table (the reference keeps silver as tables):
-    every later plan scans four small parquet tables instead of re-deriving
-    bronze (and the standings it semi-joins against) in each branch."""
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    return write_table(spark, df, scratch_dir(spark, f"tables-{uuid.uuid4().hex}"), name)
+
+
+def bronze_known(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze with the standings written once: they are an aggregation of all
+    matches, and silver and gold read them several times."""
+    b = dict(bronze(spark, sf_dir))
+    b["bronze_standings"] = stored(spark, b["bronze_standings"], "bronze_standings")
+    return b
+
+
+def silver_all(spark: SparkSession, sf_dir: str, *needed: str) -> dict[str, DataFrame]:
+    """The named silver tables, as plans over bronze."""
+    lazily = set(needed) <= {"silver_standing", "silver_coach"}
+    return silver.silver_tables(bronze(spark, sf_dir) if lazily else bronze_known(spark, sf_dir), needed)
+
+
+def silver_tables_materialized(spark: SparkSession, sf_dir: str, needed: tuple[str, ...], folder: str | None = None) -> dict[str, DataFrame]:
+    """The named silver tables, each written once (the reference keeps silver as
+    tables): every later plan scans small parquet tables instead of deriving
+    bronze again in each branch."""
     folder = folder or scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
-    return {k: write_table(spark, v, folder, k) for k, v in silver.silver_tables(bronze(spark, sf_dir)).items()}
+    return {k: write_table(spark, v, folder, k) for k, v in silver_all(spark, sf_dir, *needed).items()}
+
+
+NEEDS = {
+    "gold_team_stats": ("silver_fixture", "silver_standing", "silver_fixture_stat"),
+    "gold_avg_team_difficulty": ("silver_fixture", "silver_standing"),
+    "gold_match_table": silver.SILVER,
+}
 
 
 def gold_all(spark: SparkSession, sf_dir: str, direction: str = "desc", chunk=gold.DEFAULT_CHUNK,
              needed: tuple[str, ...] = ("gold_team_stats", "gold_avg_team_difficulty", "gold_match_table")):
-    """Silver and gold layers.  Silver is materialised; when the match table
-    is needed, the two team-level gold tables are materialised as well (each
-    is read twice, as the away and as the home side), so every layer is
-    computed exactly once.  Tables not in ``needed`` are left out."""
+    """Silver and gold layers.  The silver tables that the ``needed`` gold tables
+    read are materialised, and no others; when the match table is needed, the two
+    team-level gold tables are materialised as well (each is read twice, as the
+    away and as the home side), so every layer is computed exactly once."""
     folder = scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
-    s = silver_tables_materialized(spark, sf_dir, folder)
+    s = silver_tables_materialized(spark, sf_dir, tuple(n for n in silver.SILVER if any(n in NEEDS[g] for g in needed)), folder)
     out: dict[str, DataFrame] = {}
     want_match = "gold_match_table" in needed
     if want_match or "gold_team_stats" in needed:
@@ -84,7 +105,7 @@ def _table(kind: str, name: str) -> Query:
         if kind == "bronze":
             return bronze(spark, sf_dir)[name]
         if kind == "silver":
-            return silver_all(spark, sf_dir)[name]
+            return silver_all(spark, sf_dir, name)[name]
         return gold_all(spark, sf_dir, needed=(name,))[1][name]
     q.__name__ = name
     return q
@@ -100,17 +121,13 @@ for _name in ("gold_team_stats", "gold_avg_team_difficulty", "gold_match_table")
 
 @register("gold_team_stats_asc", oracle.table_sql("gold_team_stats_asc"))
 def gold_team_stats_asc(spark, sf_dir):
-    s = silver_tables_materialized(spark, sf_dir)
-    return gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
-                                direction="asc")
+    return gold_all(spark, sf_dir, direction="asc", needed=("gold_team_stats",))[1]["gold_team_stats"]
 
 
 @register("gold_team_stats_single_window", oracle.table_sql("gold_team_stats"))
 def gold_team_stats_single_window(spark, sf_dir):
     """Same result as gold_team_stats through one window per team (no chunking)."""
-    s = silver_tables_materialized(spark, sf_dir)
-    return gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
-                                chunk=None)
+    return gold_all(spark, sf_dir, chunk=None, needed=("gold_team_stats",))[1]["gold_team_stats"]
 
 
 # --------------------------------------------------------------------------
@@ -133,7 +150,7 @@ UNION ALL
 SELECT fixture_id, away_team_id AS team_id, home_team_id AS opponent_id, fixture_date, season, false AS is_home
 FROM silver_fixture"""))
 def team_rows_unpivot(spark, sf_dir):
-    sf = silver_all(spark, sf_dir)["silver_fixture"]
+    sf = silver_all(spark, sf_dir, "silver_fixture")["silver_fixture"]
     return joins.to_team_rows(
         sf,
         home=[F.col("fixture_id"), F.col("home_team_id").alias("team_id"), F.col("away_team_id").alias("opponent_id"),
@@ -145,21 +162,20 @@ def team_rows_unpivot(spark, sf_dir):
 
 @register("union_distinct", oracle.table_sql("team_opponent_rows"))
 def union_distinct(spark, sf_dir):
-    s = silver_all(spark, sf_dir)
+    s = silver_all(spark, sf_dir, "silver_fixture", "silver_standing")
     return gold.team_opponent_rows(s["silver_fixture"], s["silver_standing"])
 
 
 @register("union_distinct_two_scans", oracle.table_sql("team_opponent_rows"))
 def union_distinct_two_scans(spark, sf_dir):
-    """The reference's shape: two joined views combined with UNION (distinct)."""
-    s = silver_all(spark, sf_dir)
-    fd = s["silver_fixture"].select("fixture_date", "fixture_id", "season", "away_team_id", "home_team_id").distinct()
-    st = joins.prior_standing(s["silver_standing"])
-    home = joins.prior_season_join(fd, st, team_col="away_team_id").select(
-        "fixture_id", F.col("home_team_id").alias("team_id"), "fixture_date", "season", "prior_season_rank")
-    away = joins.prior_season_join(fd, st, team_col="home_team_id").select(
-        "fixture_id", F.col("away_team_id").alias("team_id"), "fixture_date", "season", "prior_season_rank")
-    return joins.union_distinct(home, away)
+    """The same rows as a distinct union of two tables: opponents seen from home
+    and from away, each with the prior rank."""
+    s = silver_all(spark, sf_dir, "silver_fixture", "silver_standing")
+    ranks = joins.prior_standing(s["silver_standing"])
+    views = [joins.prior_season_join(s["silver_fixture"].withColumnRenamed(own, "team_id"), ranks, team_col=opponent)
+             .select("fixture_id", "team_id", "fixture_date", "season", "prior_season_rank")
+             for own, opponent in (("home_team_id", "away_team_id"), ("away_team_id", "home_team_id"))]
+    return joins.union_distinct(*views)
 
 
 @register("coach_on_date", W(["silver_fixture", "silver_coach"], """
@@ -167,7 +183,7 @@ SELECT sf.fixture_id, sf.home_team_id, sf.fixture_date, c.coach_id
 FROM silver_fixture sf JOIN silver_coach c
   ON c.team_id = sf.home_team_id AND sf.fixture_date BETWEEN c.start_date AND c.calc_end_date"""))
 def coach_on_date(spark, sf_dir):
-    s = silver_all(spark, sf_dir)
+    s = silver_all(spark, sf_dir, "silver_fixture", "silver_coach")
     fx = s["silver_fixture"].select("fixture_id", "home_team_id", "fixture_date")
     return joins.coach_on_date(fx, s["silver_coach"], "home_team_id")
 
@@ -176,7 +192,7 @@ def coach_on_date(spark, sf_dir):
 SELECT fixture_id, team_id, total_shots FROM bronze_fixture_stat
 WHERE team_id IN (SELECT DISTINCT team_id FROM bronze_standings)"""))
 def semi_join_known(spark, sf_dir):
-    b = bronze(spark, sf_dir)
+    b = bronze_known(spark, sf_dir)
     return silver.known(b["bronze_fixture_stat"], b["bronze_standings"], "team_id") \
         .select("fixture_id", "team_id", "total_shots")
 
@@ -186,7 +202,7 @@ SELECT s.fixture_id, s.team_id, f.season, st.prior_season_rank
 FROM silver_fixture_stat s JOIN silver_fixture f ON s.fixture_id = f.fixture_id
 JOIN prior_standing st ON st.team_id = s.team_id AND st.season = f.season - 1"""))
 def prior_season_join(spark, sf_dir):
-    s = silver_all(spark, sf_dir)
+    s = silver_all(spark, sf_dir, "silver_fixture", "silver_fixture_stat", "silver_standing")
     x = s["silver_fixture_stat"].select("fixture_id", "team_id") \
         .join(s["silver_fixture"].select("fixture_id", "season"), "fixture_id")
     return joins.prior_season_join(x, joins.prior_standing(s["silver_standing"]), "team_id") \
@@ -195,7 +211,7 @@ def prior_season_join(spark, sf_dir):
 
 @register("distinct_cols", oracle.table_sql("prior_standing"))
 def distinct_cols(spark, sf_dir):
-    return joins.prior_standing(silver_all(spark, sf_dir)["silver_standing"])
+    return joins.prior_standing(silver_all(spark, sf_dir, "silver_standing")["silver_standing"])
 
 
 @register("case_label", W(["bronze_fixture"], """
@@ -389,7 +405,8 @@ BUCKET_SQL = "(('0x' || substr(md5(cast({k} AS varchar)), 1, 8))::bigint % 100)"
 
 
 def gold_match(spark, sf_dir):
-    return gold_all(spark, sf_dir, needed=("gold_match_table",))[1]["gold_match_table"]
+    """The match table, written once: fits and transforms read it again and again."""
+    return stored(spark, gold_all(spark, sf_dir, needed=("gold_match_table",))[1]["gold_match_table"], "gold_match_table")
 
 
 def shots_rule(df):
@@ -438,7 +455,7 @@ m AS (SELECT r.*, max(n) OVER () AS mx FROM r)
 SELECT fixture_id, match_result, cast(c.copy AS bigint) AS copy
 FROM m, LATERAL (SELECT unnest(generate_series(1, mx // n + CASE WHEN rk <= mx % n THEN 1 ELSE 0 END)) AS copy) c"""))
 def upsample_counts(spark, sf_dir):
-    sf = silver_all(spark, sf_dir)["silver_fixture"].select("fixture_id", "match_result")
+    sf = silver_tables_materialized(spark, sf_dir, ("silver_fixture",))["silver_fixture"].select("fixture_id", "match_result")
     return features.upsample(sf, "match_result", "fixture_id")
 
 
@@ -449,7 +466,7 @@ _STATS = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_pa
     f"round((({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()), 6) AS z_{c}" for c in _STATS)
     + " FROM silver_fixture_stat"))
 def standardize(spark, sf_dir):
-    s = silver_all(spark, sf_dir)["silver_fixture_stat"]
+    s = silver_tables_materialized(spark, sf_dir, ("silver_fixture_stat",))["silver_fixture_stat"]
     z = features.standardize(s, _STATS)
     return z.select("fixture_id", "team_id", *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in _STATS])
 
@@ -458,7 +475,7 @@ def standardize(spark, sf_dir):
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM silver_fixture_stat"
     for a in _STATS for b in _STATS)))
 def corr_matrix(spark, sf_dir):
-    s = silver_all(spark, sf_dir)["silver_fixture_stat"]
+    s = silver_tables_materialized(spark, sf_dir, ("silver_fixture_stat",))["silver_fixture_stat"]
     return features.corr_matrix(s, _STATS).select("col_a", "col_b", F.round("corr", 6).alias("corr"))
 
 
@@ -469,7 +486,7 @@ r AS (SELECT match_combo, cast(row_number() OVER (ORDER BY count(*) DESC, match_
       FROM c GROUP BY match_combo)
 SELECT c.fixture_id, c.match_combo, r.match_combo_index FROM c JOIN r USING (match_combo)"""))
 def fixed_effects(spark, sf_dir):
-    sf = silver_all(spark, sf_dir)["silver_fixture"]
+    sf = silver_tables_materialized(spark, sf_dir, ("silver_fixture",))["silver_fixture"]
     return features.fixed_effects(sf).select("fixture_id", "match_combo", "match_combo_index")
 
 

@@ -7,8 +7,8 @@ matches (a forward-looking feature; the latest match has an empty frame).
 ``direction='asc'`` averages the previous matches (leak-free).
 
 ``chunk`` selects the rolling strategy (see ``operators.rolling``): by default
-each team is split by match day, so a team holding a large share of all
-matches is still spread over many tasks.
+each team is split by month, so a team holding a large share of all matches is
+still spread over many tasks, and a month gets at most nine halo rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from matchlake.functions.scalar import ratio
 from matchlake.operators.joins import coach_on_date, prior_season_join, prior_standing, to_team_rows
 from matchlake.operators.rolling import rolling_mean
 
-DEFAULT_CHUNK = "fixture_date"
+DEFAULT_CHUNK = "month"
 
 FORM_SPECS = [  # (output, input expression, frame rows)
     ("total_shots_avg", "total_shots", 9),
@@ -34,6 +34,8 @@ FORM_SPECS = [  # (output, input expression, frame rows)
 def _chunk(chunk):
     if chunk is None or chunk is False:
         return None
+    if chunk == "month":
+        return F.substring("fixture_date", 1, 7)
     return F.col(chunk) if isinstance(chunk, str) else chunk
 
 
@@ -123,15 +125,3 @@ def gold_match_table(silver_fixture: DataFrame, team_stats: DataFrame, difficult
         "coach_id_away", "coach_id_home",
     )
     return out.dropDuplicates() if dedupe else out
-
-
-def gold_tables(silver: dict[str, DataFrame], direction: str = "desc", chunk=DEFAULT_CHUNK) -> dict[str, DataFrame]:
-    ts = gold_team_stats(silver["silver_fixture"], silver["silver_standing"], silver["silver_fixture_stat"],
-                         direction=direction, chunk=chunk)
-    diff = gold_avg_team_difficulty(silver["silver_fixture"], silver["silver_standing"],
-                                    direction=direction, chunk=chunk)
-    return {
-        "gold_team_stats": ts,
-        "gold_avg_team_difficulty": diff,
-        "gold_match_table": gold_match_table(silver["silver_fixture"], ts, diff, silver["silver_coach"]),
-    }

@@ -1,11 +1,10 @@
 """Join operators of the gold layer.
 
-All joins here have an equality key.  Build sides are dimension-sized
-(standings: teams x seasons, coaches: teams x stints); we do not force
-``broadcast`` on them -- AQE measures the shuffled build side at run time and
-converts to a broadcast hash join only under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, keeping the sort-merge
-plan otherwise.  ``small_side`` is the explicit, size-checked alternative.
+All joins here have an equality key, and their build sides are dimension-sized
+(standings: teams x seasons, coaches: teams x stints).  ``small_side`` checks that
+size on the data before it broadcasts one, so that the fact side is not shuffled
+on a key of few values; a larger side stays a shuffled join, whose skewed
+partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -14,15 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+BROADCAST_ROWS = 200_000  # of a few numbers and short texts: some 20 MB
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
-    so it stays cheap even when the answer is "too big"; in that case the
-    plain DataFrame is returned and the planner keeps a shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it holds at most ``max_rows`` rows, else as it
+    is.  Counting reads no more than one row beyond; callers pass narrow rows of
+    bounded width (ids, ranks, dates), from a stored table where it is costly to
+    derive."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def prior_standing(standings: DataFrame) -> DataFrame:
@@ -40,7 +39,7 @@ def prior_season_join(df: DataFrame, standing: DataFrame, team_col: str = "team_
     """
     s = standing.select(F.col("season").alias("__prior"), F.col("team_id").alias("__team"),
                         "prior_season_rank")
-    j = df.join(s, (F.col(season_col) - 1 == F.col("__prior")) & (F.col(team_col) == F.col("__team")))
+    j = df.join(small_side(s), (F.col(season_col) - 1 == F.col("__prior")) & (F.col(team_col) == F.col("__team")))
     return j.drop("__prior", "__team")
 
 
@@ -55,7 +54,7 @@ def coach_on_date(fx: DataFrame, coach: DataFrame, team_col: str, date_col: str
     c = coach.select(F.col("team_id").alias("__team"), F.col("start_date").alias("__start"),
                      F.col("calc_end_date").alias("__end"), F.col("coach_id").alias(out))
     cond = (F.col(team_col) == F.col("__team")) & F.col(date_col).between(F.col("__start"), F.col("__end"))
-    return fx.join(c, cond).drop("__team", "__start", "__end")
+    return fx.join(small_side(c), cond).drop("__team", "__start", "__end")
 
 
 def to_team_rows(fx: DataFrame, home: list[Column], away: list[Column]) -> DataFrame:

@@ -7,14 +7,16 @@ per key in a given order.  Two physical strategies, same result:
   task; fine while keys are many and small (real leagues: ~40 matches per team
   and season).
 * ``chunk=<column>`` -- split each key into ordered chunks (e.g. the match
-  day) and run the window per (key, chunk).  A row whose frame reaches into
-  earlier chunks needs at most ``n`` rows from them; those "halo" rows are the
-  last ``n`` rows of each of the ``n`` previous non-empty chunks (a chunk holds
-  at least one row, so ``n`` chunks hold at least ``n`` rows).  Halo rows are
-  found with a per-chunk top-n (``row_number <= n``, which Spark limits on the
-  map side) and routed to the next n chunks (``lead`` over the small
-  (key, chunk) table).  A hot key (a third of all rows) is therefore spread over as
-  many tasks as it has chunks, and nothing is ever collected into one group.
+  month) and run the window per (key, chunk).  A row whose frame reaches into
+  earlier chunks needs at most ``n`` rows from them, its chunk's *halo*.  Halo
+  rows come from the last ``n`` rows of the earlier chunks (``row_number <= n``,
+  which Spark limits on the map side); a row with reverse rank ``r`` goes to a
+  later chunk only if ``r`` plus the rows of the chunks in between is at most
+  ``n``, so a chunk gets at most ``n`` halo rows.  The rows in between are known
+  from the (key, chunk) counts, a grouped aggregation.  A hot key (a third of all
+  rows) is spread over as many tasks as it has chunks.  The (key, chunk) table
+  is windowed by key: a key's chunks (months of play: hundreds, not millions)
+  meet in one task, and that is the bound to keep in mind when choosing a chunk.
 
 Frame semantics follow SQL: NULLs inside a frame are skipped, an empty or
 all-NULL frame gives NULL.  ``direction='desc'`` reproduces the reference's
@@ -69,19 +71,23 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     # the last n rows (in frame order) of every chunk: candidates for the halo
     tail_w = Window.partitionBy(*part).orderBy(*_reverse(order, direction))
-    tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max).drop("__rn")
+    tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max)
 
-    # the next n non-empty chunks (in frame order) of every chunk, from the
-    # small (key, chunk) table; every non-empty chunk has tail rows
-    chunks = tail.select(*part).distinct()
+    # for every chunk the next n chunks (in frame order), each with the number
+    # of rows between: counts are combined map-side, one row per (key, chunk)
+    counts = df.groupBy(*keys, chunk.alias("__chunk")).agg(F.count(F.lit(1)).alias("__n"))
     wk = Window.partitionBy(*keys).orderBy(
         F.col("__chunk").desc() if direction == "desc" else F.col("__chunk").asc())
-    nexts = chunks.select(*part, F.array(*[F.lead("__chunk", j).over(wk) for j in range(1, n_max + 1)])
-                          .alias("__targets"))
-    # route each chunk's tail rows to the chunks whose frames can reach them
+    targets, between = [], F.lit(0).cast("bigint")
+    for j in range(1, n_max + 1):
+        targets.append(F.struct(F.lead("__chunk", j).over(wk).alias("chunk"), between.alias("between")))
+        between = between + F.lead("__n", j).over(wk)
+    nexts = counts.select(*part, F.array(*targets).alias("__targets"))
+    # a tail row goes to the chunks whose frames can reach it, and to no others
     t = tail.join(nexts, part)
-    halo = t.select(*[c for c in base.columns if c != "__chunk"],
-                    F.explode(F.filter("__targets", lambda x: x.isNotNull())).alias("__chunk")) \
+    reached = F.filter("__targets", lambda x: x["chunk"].isNotNull() & (x["between"] + F.col("__rn") <= n_max))
+    halo = t.select(*[c for c in base.columns if c != "__chunk"], F.explode(reached).alias("__t")) \
+        .select("*", F.col("__t.chunk").alias("__chunk")) \
         .withColumn("__halo", F.lit(True)).select(*base.columns, "__halo").repartition(*part)
 
     rows = base.withColumn("__halo", F.lit(False)).unionByName(halo)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions.scalar import calc_end, match_result, null_default, pct_to_double, to_double
+from matchlake.operators.joins import small_side
 
 STAT_COLS = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_passes", "a_passes"]
 
@@ -14,11 +15,10 @@ def known(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
     """``col IN (SELECT DISTINCT col FROM ids)`` as a left-semi join.
 
     The id list is reduced to distinct values first (a partial+final
-    aggregate), which keeps the build side as small as the key domain; AQE then
-    broadcasts it when its measured size is under the threshold, and falls
-    back to a shuffled semi join otherwise.
+    aggregate) and broadcast if its checked size allows, so the table itself is
+    not shuffled on a key of few values.
     """
-    return df.join(ids.select(col).distinct(), col, "left_semi")
+    return df.join(small_side(ids.select(col).distinct()), col, "left_semi")
 
 
 def silver_fixture(bronze_fixture: DataFrame, bronze_standings: DataFrame) -> DataFrame:
@@ -49,11 +49,17 @@ def silver_coach(bronze_coach: DataFrame) -> DataFrame:
     return c.select(*bronze_coach.columns, calc_end("end_date").alias("calc_end_date"))
 
 
-def silver_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+SILVER = ("silver_fixture", "silver_standing", "silver_fixture_stat", "silver_coach")
+
+
+def silver_tables(bronze: dict[str, DataFrame], needed: tuple[str, ...] = SILVER) -> dict[str, DataFrame]:
+    """The named silver tables.  Pass standings from a stored table: three of the
+    four read them."""
     st = bronze["bronze_standings"]
-    return {
-        "silver_fixture": silver_fixture(bronze["bronze_fixture"], st),
-        "silver_standing": silver_standing(st),
-        "silver_fixture_stat": silver_fixture_stat(bronze["bronze_fixture_stat"], st),
-        "silver_coach": silver_coach(bronze["bronze_coach"]),
+    make = {
+        "silver_fixture": lambda: silver_fixture(bronze["bronze_fixture"], st),
+        "silver_standing": lambda: silver_standing(st),
+        "silver_fixture_stat": lambda: silver_fixture_stat(bronze["bronze_fixture_stat"], st),
+        "silver_coach": lambda: silver_coach(bronze["bronze_coach"]),
     }
+    return {name: make[name]() for name in needed}

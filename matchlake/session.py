@@ -51,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # only reached outside a cluster: tests and local benches
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="matchlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,3 +62,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below the checkpoint directory (Spark
+    gives each application a folder of its own there).  Call it once results are
+    consumed; every stored layer is gone afterwards."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        path = spark._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark.sparkContext.setCheckpointDir(os.path.dirname(current.rstrip("/")))

@@ -67,6 +67,20 @@ def test_chunked_plan_partitions_by_key_and_chunk(spark):
     assert lines and all("__chunk" in ln or "__targets" in ln or "ENSURE_REQUIREMENTS" in ln for ln in lines)
 
 
+def test_a_chunk_gets_at_most_n_halo_rows(spark):
+    df = spark.createDataFrame(_data(), "k long, d string, id long, v double")
+    res = rolling_mean(df, ["k"], ["d", "id"], [("m9", F.col("v"), 9), ("m4", F.col("v"), 4)], chunk=F.col("d"), keep=["k", "id"])
+    plan = res._jdf.queryExecution().analyzed()
+    while "Union" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    halo = [c for c in (plan.children().apply(i) for i in range(2)) if "__targets" in c.toString()]
+    assert len(halo) == 1
+    rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, halo[0])
+    from pyspark.sql import DataFrame
+    sizes = DataFrame(rows, spark).groupBy("k", "__chunk").count().collect()
+    assert sizes and max(r["count"] for r in sizes) == 9
+
+
 def test_small_side_broadcasts_only_under_bound(spark):
     from matchlake.operators.joins import small_side
     small = spark.range(10)
