@@ -310,30 +310,28 @@ def order_top1(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from matchlake.sources import raw as rawmod  # noqa: E402
-from matchlake.streaming.ingest import ingest_new  # noqa: E402
-
-BRONZE_FIXTURE_SCHEMA = ("fixture_date string, fixture_id bigint, referee string, status string, venue_id bigint, "
-                         "away_goals bigint, home_goals bigint, league_id bigint, season bigint, "
-                         "away_team_id bigint, home_team_id bigint")
-
+from matchlake.streaming import ingest  # noqa: E402
 
 def _landing(spark, kind: str) -> str:
     return scratch_dir(spark, f"landing-{uuid.uuid4().hex}/raw/{kind}")
 
 
+def payloads(b: dict, kind: str):
+    """The payload texts of one kind with their landing keys."""
+    if kind == "fixtures":
+        return rawmod.by_month(rawmod.fixture_payloads(b["bronze_fixture"]))
+    if kind == "fixture-stats":
+        return rawmod.by_month(rawmod.stat_payloads(b["bronze_fixture_stat"], b["bronze_fixture"]))
+    return rawmod.standing_payloads(b["bronze_standings"]) if kind == "standing" else rawmod.coach_payloads(b["bronze_coach"])
+
+
+LANDING_KEYS = {"fixtures": ["month"], "fixture-stats": ["month"], "standing": ["league", "season"], "coach": ["team"]}
+
+
 def landed(spark, sf_dir: str, kind: str) -> str:
     """Land the projection's payloads of one kind; return the folder."""
-    b = bronze(spark, sf_dir)
     path = _landing(spark, kind)
-    if kind == "fixtures":
-        rawmod.land(rawmod.by_month(rawmod.fixture_payloads(b["bronze_fixture"])), path, ["month"])
-    elif kind == "fixture-stats":
-        pl = rawmod.stat_payloads(b["bronze_fixture_stat"], b["bronze_fixture"])
-        rawmod.land(rawmod.by_month(pl), path, ["month"])
-    elif kind == "standing":
-        rawmod.land(rawmod.standing_payloads(b["bronze_standings"]), path, ["league", "season"])
-    else:
-        rawmod.land(rawmod.coach_payloads(b["bronze_coach"]), path, ["team"])
+    rawmod.land(payloads(bronze(spark, sf_dir), kind), path, LANDING_KEYS[kind])
     return path
 
 
@@ -382,13 +380,32 @@ def envelope(spark, sf_dir):
     return rawmod.good_records(r).select(F.col("Date").alias("date"), F.col("Data.parameters.fixture").alias("fixture"))
 
 
-@register("ingest_new", oracle.table_sql("bronze_fixture"))
-def ingest_new_query(spark, sf_dir):
-    src = landed(spark, sf_dir, "fixtures")
-    out = src.rsplit("/raw/", 1)[0] + "/bronze/fixture"
-    ingest_new(spark, src, "fixtures", out, out + "_checkpoint")
-    cols = [c.split()[0] for c in BRONZE_FIXTURE_SCHEMA.split(", ")]
-    return spark.read.schema(BRONZE_FIXTURE_SCHEMA).parquet(out).select(*cols)
+def _ingest(kind: str):
+    """Lands a kind's payloads in a few files that mix all keys and ingests them one
+    file at a time: every batch touches partitions of the batches before."""
+    def q(spark, sf_dir):
+        src = scratch_dir(spark, f"landing-{uuid.uuid4().hex}/{kind}")
+        payloads(bronze(spark, sf_dir), kind).select("value").repartition(INGEST_FILES).write.text(src)
+        ingest.ingest_new(spark, src, kind, src + "_bronze", src + "_checkpoint", max_files_per_trigger=1)
+        return ingest.ingested(spark, src + "_bronze")
+    return q
+
+
+INGEST_FILES = 4
+register("ingest_new", oracle.table_sql("bronze_fixture"))(_ingest("fixtures"))
+register("ingest_new_stats", oracle.table_sql("bronze_fixture_stat"))(_ingest("fixture-stats"))
+register("ingest_new_standings", oracle.table_sql("bronze_standings"))(_ingest("standing"))
+register("ingest_new_coach", oracle.table_sql("bronze_coach"))(_ingest("coach"))
+
+
+@register("pretty_payloads", W(["bronze_fixture"], "SELECT fixture_id, fixture_date, referee FROM bronze_fixture"))
+def pretty_payloads(spark, sf_dir):
+    """Payload texts checked, indented and parsed again; broken ones are set apart."""
+    texts = payloads(bronze(spark, sf_dir), "fixtures").select("value")
+    broken = texts.limit(5).select(F.concat("value", F.lit("]")).alias("value"))
+    good, _ = rawmod.valid_json(texts.unionByName(broken))
+    parsed = good.select(F.from_json("value", rawmod.SCHEMAS["fixtures"]).alias("p")).select("p.*")
+    return rawmod.bronze_fixture(parsed).select("fixture_id", "fixture_date", "referee")
 
 
 # --------------------------------------------------------------------------

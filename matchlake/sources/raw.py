@@ -16,6 +16,10 @@ Schemas are explicit (no inference pass); malformed text lands in
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,21 +93,59 @@ def bad_records(raw: DataFrame) -> DataFrame:
     return raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def valid_json(df: DataFrame, col: str = "value", schema: T.DataType | None = None,
-               pretty: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Split text records into (good, bad).  With a ``schema`` and ``pretty``,
-    good rows are re-indented the way the extractor writes its files; bad rows
-    are returned for reporting instead of failing the job."""
-    parsed = df.withColumn("__ok", F.try_parse_json(F.col(col)).isNotNull())
-    good = parsed.where("__ok").drop("__ok")
-    if pretty and schema is not None:
-        good = good.withColumn(col, pretty_json(F.col(col), schema))
-    return good, parsed.where(~F.col("__ok")).drop("__ok")
+def valid_json(df: DataFrame, col: str = "value", pretty: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Split text records into (good, bad).  With ``pretty``, good rows are
+    re-indented the way the extractor writes its files, all their fields and
+    NULLs included; bad rows are returned for reporting instead of failing the
+    job."""
+    parsed = df.withColumn("__pretty", pretty_json(F.col(col)))
+    good = parsed.where(F.col("__pretty").isNotNull())
+    good = good.withColumn(col, F.col("__pretty")) if pretty else good
+    return good.drop("__pretty"), parsed.where(F.col("__pretty").isNull()).drop("__pretty")
+
+
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+')
+
+
+def indented(text: str, step: str = "  ") -> str:
+    """A JSON text laid out with one member or element to a line.  Only white space
+    changes: names, their order, numbers and NULLs stay as written."""
+    out, depth, opened = [], 0, False
+    for m in _JSON_TOKEN.finditer(text):
+        token = m[0]
+        closes = token in ("}", "]")
+        depth -= closes
+        if opened != closes and out:  # a first member, or the end of what is not empty
+            out.append("\n" + step * depth)
+        opened = token in ("{", "[")
+        depth += opened
+        out.append(token)
+        if token == ",":
+            out.append("\n" + step * depth)
+        elif token == ":":
+            out.append(" ")
+    return "".join(out)
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not JSON")
+
+
+def pretty_json(c: Column) -> Column:
+    """A column of JSON texts, indented; NULL where the text is not one JSON value."""
+
+    def one(text: str | None) -> str | None:
+        try:
+            json.loads(text or "", parse_constant=_no_constant)
+        except (ValueError, RecursionError):
+            return None
+        return indented(text)
 
+    @F.pandas_udf(T.StringType())
+    def udf(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
 
-def pretty_json(c: Column, schema: T.DataType) -> Column:
-    """Re-serialise a JSON text column with two-space indentation."""
-    return F.to_json(F.from_json(c, schema), {"pretty": "true"})
+    return udf(c)
 
 
 def ok_responses(df: DataFrame, error_col: str = "error") -> DataFrame:
@@ -114,15 +156,17 @@ def ok_responses(df: DataFrame, error_col: str = "error") -> DataFrame:
 
 # ---------------------------------------------------------------- flattening
 
-def explode_response(raw: DataFrame, *carry: Column, field: str = "response") -> DataFrame:
+def explode_response(raw: DataFrame, *carry: Column | str, field: str = "response") -> DataFrame:
     """One row per element of the response array; empty/NULL arrays (a file
     holding ``null``, an error body) give no row -- inner explode."""
     return good_records(raw).select(*carry, F.explode(F.col(field)).alias("r"))
 
 
-def bronze_fixture(raw: DataFrame) -> DataFrame:
-    x = explode_response(raw, F.col("parameters.date").alias("fixture_date"))
+def bronze_fixture(raw: DataFrame, *carry: str) -> DataFrame:
+    """Matches of fixtures payloads; ``carry`` names further columns to keep."""
+    x = explode_response(raw, *carry, F.col("parameters.date").alias("fixture_date"))
     return x.select(
+        *carry,
         "fixture_date",
         F.col("r.fixture.id").alias("fixture_id"),
         F.col("r.fixture.referee").alias("referee"),
@@ -137,10 +181,10 @@ def bronze_fixture(raw: DataFrame) -> DataFrame:
     )
 
 
-def bronze_fixture_stat(raw: DataFrame, by_name: bool = False) -> DataFrame:
+def bronze_fixture_stat(raw: DataFrame, *carry: str, by_name: bool = False) -> DataFrame:
     """Statistics by array position (reference behaviour; a short array gives
     NULLs), or by ``type`` name when ``by_name``."""
-    x = explode_response(raw, F.col("Data.parameters.fixture").try_cast("bigint").alias("fixture_id"),
+    x = explode_response(raw, *carry, F.col("Data.parameters.fixture").try_cast("bigint").alias("fixture_id"),
                          field="Data.response")
     stats = F.col("r.statistics")
     if by_name:
@@ -151,26 +195,26 @@ def bronze_fixture_stat(raw: DataFrame, by_name: bool = False) -> DataFrame:
     else:
         vals = {k: item(stats, p, "value") for k, p in STAT_POSITIONS.items()}
     order = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_passes", "a_passes"]
-    return x.select("fixture_id", F.col("r.team.id").alias("team_id"), *[vals[k].alias(k) for k in order])
+    return x.select(*carry, "fixture_id", F.col("r.team.id").alias("team_id"), *[vals[k].alias(k) for k in order])
 
 
-def bronze_standings(raw: DataFrame, group: int = 0) -> DataFrame:
+def bronze_standings(raw: DataFrame, *carry: str, group: int = 0) -> DataFrame:
     """Rows of one standings group (the reference reads group 0 only)."""
-    x = explode_response(raw)
-    x = x.select(F.col("r.league").alias("lg"),
+    x = explode_response(raw, *carry)
+    x = x.select(*carry, F.col("r.league").alias("lg"),
                  F.explode(item(F.col("r.league.standings"), group)).alias("s"))
     return x.select(
-        F.col("lg.id").alias("league_id"), F.col("lg.season").alias("season"),
+        *carry, F.col("lg.id").alias("league_id"), F.col("lg.season").alias("season"),
         F.col("s.rank").alias("rank"), F.col("s.team.id").alias("team_id"),
         F.col("s.all.played").alias("played"), F.col("s.all.win").alias("won"),
         F.col("s.all.lose").alias("lost"), F.col("s.all.draw").alias("draw"),
     )
 
 
-def bronze_coach(raw: DataFrame) -> DataFrame:
-    x = explode_response(raw)
-    x = x.select(F.col("r.id").alias("coach_id"), F.explode("r.career").alias("c"))
-    return x.select("coach_id", F.col("c.team.id").alias("team_id"),
+def bronze_coach(raw: DataFrame, *carry: str) -> DataFrame:
+    x = explode_response(raw, *carry)
+    x = x.select(*carry, F.col("r.id").alias("coach_id"), F.explode("r.career").alias("c"))
+    return x.select(*carry, "coach_id", F.col("c.team.id").alias("team_id"),
                     F.col("c.start").alias("start_date"), F.col("c.end").alias("end_date"))
 
 
