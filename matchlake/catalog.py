@@ -602,102 +602,151 @@ def knn(spark, sf_dir):
 
 # ---- outcome models (rows-only: fitted models have no SQL twin) ----------
 
+Z = ["z_" + c for c in FEATS]
+IDS = ["fixture_id", "season", "home_team_id", "away_team_id", "outcome"]
+
+
 def outcome_data(spark, sf_dir):
-    """(train, test) for the outcome classifiers: match features with the
-    home-team outcome; earlier seasons train, the last season tests.  The
-    frame is checkpointed (reliable, shared checkpoint dir) so the iterative
-    fits do not re-run the gold jobs."""
-    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome())
-    g = g.select("fixture_id", "season", "outcome", "away_goals", "home_goals", *FEATS).dropna(subset=FEATS)
-    g = g.checkpoint(eager=True)
+    """(train, test, incomplete) for the outcome classifiers: match features with the
+    home-team outcome; earlier seasons train, the last season tests.  Training rows
+    are balanced by class and scaled by their own mean and spread; test rows are
+    scaled by the training rows'.  Test rows with a NULL feature are set apart: they
+    stay in the result without a prediction."""
+    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome()).select(*IDS, *FEATS)
     last = g.agg(F.max("season")).first()[0]
     tr, te = features.season_split(g, last)
-    return models.prepare(tr, FEATS, "outcome"), models.prepare(te, FEATS, "outcome")
+    tr = tr.dropna(subset=FEATS)
+    scale = features.fit_scale(tr, FEATS)
+    tr = stored(spark, features.apply_scale(features.upsample(tr, "outcome", "fixture_id"), scale), "train")
+    te = features.apply_scale(te, scale)
+    whole = te.dropna(subset=FEATS)
+    missing = te.where(F.greatest(*[F.col(c).isNull() for c in FEATS]))
+    return models.prepare(tr, Z, "outcome"), models.prepare(whole, Z, "outcome"), missing
+
+
+def _knn_labels(tr, te, cols):
+    """5-NN on the given columns; copies made by balancing are rows of their own."""
+    vec = F.array(*cols).alias("vec")
+    train = tr.select(F.xxhash64("fixture_id", "copy").alias("id"), vec, F.col("label").cast("bigint").alias("label"))
+    test = te.withColumn("id", F.xxhash64("fixture_id", *cols))
+    found = models.knn(train, test.select("id", vec).dropDuplicates(["id"]), k=5)
+    return test.join(found, "id").withColumn("prediction_label", F.element_at(F.array(*[F.lit(x) for x in features.LEVELS]), F.col("knn_label").cast("int") + 1))
+
+
+def _lda_labels(tr, te, cols):
+    return models.predict_lda(models.lda_fit(tr, cols, "outcome"), te).withColumnRenamed("lda_label", "prediction_label")
+
+
+def _svm_labels(tr, te, n_in):
+    return models.predict_svm_ovo(models.svm_ovo(tr, n_in=n_in), te)
+
+
+def _pca(fn):
+    """A method on the components that together stay below 99 % of the variance,
+    fitted on the training rows; ``features`` also has the team dummies."""
+    def run(tr, te):
+        tr, te = tr.drop("features"), te.drop("features")
+        tr, te, scores = features.pca_frame(tr, te, Z)
+        return fn(*features.bind_effects(tr, te, scores), scores)
+    return run
+
+
+def _assembled(d, scores):
+    return features.assemble(d.drop("features"), scores)
+
+
+#: Rounds and steps here, and the grids below, are those of the registered queries;
+#: the functions take any.
+BOOST = {"step": 0.1, "rounds": 40, "depth": 4}
+PENALTIES, PENALTY_FOLDS = (1e-3, 1e-2, 1e-1), 3
+METHODS = {
+    "multinomial_logit": lambda tr, te: models.predict_classes(models.multinomial_logit(tr), te),
+    "ordered_logit": lambda tr, te: models.predict_ordered(models.ordered_logit(tr), te),
+    "lasso": lambda tr, te: models.predict_classes(models.penalized_logit(tr, 1.0, PENALTIES, PENALTY_FOLDS), te),
+    "elastic_net": lambda tr, te: models.predict_classes(models.penalized_logit(tr, 0.5, PENALTIES, PENALTY_FOLDS), te),
+    "random_forest": lambda tr, te: models.predict_classes(models.random_forest(tr, trees=200), te),
+    "boosted_trees": lambda tr, te: models.predict_boosted(models.fit_boosted(tr, key="fixture_id", **BOOST), te),
+    "svm_ovo": lambda tr, te: _svm_labels(tr, te, len(Z)),
+    "lda_predict": lambda tr, te: _lda_labels(tr, te, Z),
+    "knn_outcome": lambda tr, te: _knn_labels(tr, te, Z),
+    "pca_multinomial": _pca(lambda tr, te, s: models.predict_classes(models.multinomial_logit(tr), te)),
+    "pca_ordered_logit": _pca(lambda tr, te, s: models.predict_ordered(models.ordered_logit(tr), te)),
+    "pca_svm": _pca(lambda tr, te, s: _svm_labels(_assembled(tr, s), _assembled(te, s), len(s))),
+    "pca_lda": _pca(lambda tr, te, s: _lda_labels(tr, te, s)),
+    "pca_knn": _pca(lambda tr, te, s: _knn_labels(tr, te, s)),
+}
 
 
-def _pred(df):
-    return df.select("fixture_id", F.col("outcome").alias("actual"), "prediction_label")
+def _outcome_query(method):
+    def q(spark, sf_dir):
+        tr, te, missing = outcome_data(spark, sf_dir)
+        found = method(tr, te).select("fixture_id", F.col("outcome").alias("actual"), "prediction_label")
+        return found.unionByName(missing.select("fixture_id", F.col("outcome").alias("actual"), F.lit(None).cast("string").alias("prediction_label")))
+    return q
 
 
-@register("multinomial_logit", None)
-def multinomial_logit(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_classes(models.multinomial_logit(tr), te))
+for _name, _method in METHODS.items():
+    register(_name, None)(_outcome_query(_method))
 
 
-@register("ordered_logit", None)
-def ordered_logit(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_ordered(models.ordered_logit(tr), te))
+@register("leaderboard", None)
+def leaderboard(spark, sf_dir):
+    """Accuracy of all methods side by side with the random baseline, best first."""
+    tr, te, _ = outcome_data(spark, sf_dir)
+    return evaluate.leaderboard({k: evaluate.accuracy(m(tr, te), "outcome", "prediction_label") for k, m in METHODS.items()})
 
 
-@register("lasso", None)
-def lasso(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_classes(models.penalized_logit(tr, alpha=1.0), te))
+@register("forest_importances", None)
+def forest_importances(spark, sf_dir):
+    tr, _, _ = outcome_data(spark, sf_dir)
+    return models.importances(models.random_forest(tr, trees=50), FEATS)
 
 
-@register("elastic_net", None)
-def elastic_net(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_classes(models.penalized_logit(tr, alpha=0.5), te))
+@register("tune_boosted", None)
+def tune_boosted(spark, sf_dir):
+    """Log-loss of four points of the grid by two folds."""
+    tr, _, _ = outcome_data(spark, sf_dir)
+    return models.tune_boosted(tr, {"step": [0.1, 0.3], "depth": [2, 4], "rounds": [5]}, "fixture_id", folds=2)
 
 
-@register("random_forest", None)
-def random_forest(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_classes(models.random_forest(tr), te))
+@register("tune_svm", None)
+def tune_svm(spark, sf_dir):
+    """Accuracy of four points of the cost and gamma grid by two folds."""
+    tr, _, _ = outcome_data(spark, sf_dir)
+    return models.tune_svm(tr, len(Z), [0.1, 1.0], [0.02, 0.1], "fixture_id", folds=2)
 
 
-@register("boosted_trees", None)
-def boosted_trees(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    return _pred(models.predict_boosted(models.fit_boosted(tr), te))
+_PAIRS = [(a, b) for i, a in enumerate(FEATS) for b in FEATS[i:]]
 
 
-@register("svm_ovo", None)
-def svm_ovo(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    fit = models.svm_ovo(tr, n_in=len(FEATS))
-    return _pred(models.predict_svm_ovo(fit, te))
+@register("lda_covariance", W(["gold_match_table"], f"""
+WITH m AS (SELECT {OUTCOME_SQL} AS outcome, {', '.join(FEATS)} FROM gold_match_table WHERE {' AND '.join(c + ' IS NOT NULL' for c in FEATS)}),
+c AS (SELECT {', '.join(f'{c} - avg({c}) OVER (PARTITION BY outcome) AS {c}' for c in FEATS)} FROM m),
+k AS (SELECT count(*) AS n, count(DISTINCT outcome) AS k FROM m)
+""" + " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(sum({a} * {b}) / (SELECT n - k FROM k), 6) AS cov FROM c" for a, b in _PAIRS)))
+def lda_covariance(spark, sf_dir):
+    """Pooled within-class covariance of the match features."""
+    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome())
+    fit = models.lda_fit(g, FEATS, "outcome")
+    rows = [(a, b, round(float(fit["cov"][FEATS.index(a), FEATS.index(b)]), 6)) for a, b in _PAIRS]
+    return spark.createDataFrame(rows, "col_a string, col_b string, cov double")
 
 
-@register("lda_predict", None)
-def lda_predict(spark, sf_dir):
-    tr, te = outcome_data(spark, sf_dir)
-    m = models.lda_fit(tr, FEATS, "outcome")
-    return models.predict_lda(m, te).select("fixture_id", F.col("outcome").alias("actual"),
-                                            F.col("lda_label").alias("prediction_label"))
+def _score_frame(spark, sf_dir):
+    mf = features.split(features.model_frame(gold_match(spark, sf_dir), keep_id=True), "fixture_id")
+    return stored(spark, mf.select(*[F.col(c).alias(c, metadata={}) for c in mf.columns]), "score_frame")
 
 
-@register("knn_outcome", None)
-def knn_outcome(spark, sf_dir):
-    """5-NN on centred/scaled match features (scaled on both sides)."""
-    tr, te = outcome_data(spark, sf_dir)
-    both = features.standardize(tr.select("fixture_id", "outcome", *FEATS).withColumn("__t", F.lit(True))
-                                .unionByName(te.select("fixture_id", "outcome", *FEATS).withColumn("__t", F.lit(False))),
-                                FEATS)
-    zc = F.array(*[F.col("z_" + c) for c in FEATS])
-    lab = models.label_index(both, "outcome")
-    train = lab.where("__t").select(F.col("fixture_id").alias("id"), zc.alias("vec"),
-                                    F.col("label").cast("bigint").alias("label"))
-    test = lab.where(~F.col("__t")).select(F.col("fixture_id").alias("id"), zc.alias("vec"))
-    pred = models.knn(train, test, k=5)
-    levels = F.array(*[F.lit(x) for x in features.LEVELS])
-    out = pred.join(te.select(F.col("fixture_id").alias("id"), "outcome").distinct(), "id")
-    return out.select(F.col("id").alias("fixture_id"), F.col("outcome").alias("actual"),
-                      F.element_at(levels, F.col("knn_label").cast("int") + 1).alias("prediction_label"))
+def _score_features(mf):
+    return [c for c in mf.columns if c not in ("away_goals", "home_goals", "fixture_id", "split")]
 
 
 @register("score_regressor", None)
 def score_regressor(spark, sf_dir):
     """Goals regressor (absolute loss) on the score-model frame, evaluated on
     each hash split: MAE per target, summed, and share within 0.4."""
-    mf = features.model_frame(gold_match(spark, sf_dir), keep_id=True)
-    mf = features.split(mf, "fixture_id").checkpoint(eager=True)
-    feats = [c for c in mf.columns if c not in ("away_goals", "home_goals", "fixture_id", "split")]
-    mf = mf.select(*[F.col(c).alias(c, metadata={}) for c in mf.columns])
-    model = models.fit_scores(mf.where(F.col("split") == "train"), feats)
+    mf = _score_frame(spark, sf_dir)
+    model = models.fit_scores(mf.where(F.col("split") == "train"), _score_features(mf))
     pred = model.transform(mf)
     parts = [evaluate.mae_within_tol(pred.where(F.col("split") == s),
                                      [("away_goals", "pred_away_goals"), ("home_goals", "pred_home_goals")])
@@ -708,36 +757,149 @@ def score_regressor(spark, sf_dir):
     return out
 
 
-@register("leaderboard", None)
-def leaderboard(spark, sf_dir):
-    """Accuracy of the fitted classifiers side by side with the random baseline."""
-    tr, te = outcome_data(spark, sf_dir)
-    preds = {
-        "multinomial_logit": models.predict_classes(models.multinomial_logit(tr), te),
-        "ordered_logit": models.predict_ordered(models.ordered_logit(tr), te),
-        "lda": models.predict_lda(models.lda_fit(tr, FEATS, "outcome"), te)
-        .withColumnRenamed("lda_label", "prediction_label"),
-        "random_forest": models.predict_classes(models.random_forest(tr, trees=100), te),
-    }
-    return evaluate.leaderboard({k: evaluate.accuracy(v, "outcome", "prediction_label") for k, v in preds.items()})
-
-
-@register("knn_tune", None)
+@register("score_history", None)
+def score_history(spark, sf_dir):
+    """Validation error of the score model by round, with the best round."""
+    mf = _score_frame(spark, sf_dir)
+    model = models.fit_scores(mf.where(F.col("split") == "train"), _score_features(mf), rounds=20)
+    return evaluate.best_round(models.score_history(model, mf.where(F.col("split") == "validation")), ["target"])
+
+
+KNN_KS = list(range(5, 44, 2))
+KNN_TUNE_SQL = """
+WITH e AS (SELECT vec_id, cast(embedding AS double[]) AS v, cast(label AS bigint) AS label FROM embeddings),
+f AS (SELECT e.*, r.r AS rep, ('0x' || substr(md5(cast(vec_id AS varchar) || '|' || cast(r.r AS varchar)), 1, 8))::bigint % 10 AS fold
+      FROM e, (VALUES (0), (1), (2)) r(r)),
+near AS (SELECT a.rep, a.vec_id, a.label, b.label AS nb, row_number() OVER (PARTITION BY a.rep, a.vec_id
+              ORDER BY round(list_distance(a.v, b.v), 9), b.vec_id) AS rn
+         FROM f a JOIN f b ON a.rep = b.rep AND a.fold <> b.fold QUALIFY rn <= 43),
+votes AS (SELECT rep, vec_id, label, k, nb, count(*) AS votes, min(rn) AS nearest
+          FROM near JOIN (SELECT unnest(generate_series(5, 43, 2)) AS k) ks ON rn <= k GROUP BY ALL),
+best AS (SELECT k, label, nb FROM votes QUALIFY row_number() OVER (PARTITION BY rep, vec_id, k ORDER BY votes DESC, nearest) = 1)
+SELECT cast(k AS integer) AS k, avg(CASE WHEN nb = label THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM best GROUP BY k"""
+
+
+@register("knn_tune", KNN_TUNE_SQL)
 def knn_tune(spark, sf_dir):
     """Repeated (3x) 10-fold CV accuracy of k-NN on the embeddings for 20
     candidate k (5, 7, ..., 43), all folds in one distance pass."""
     e = binding.read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.col("label").cast("bigint").alias("label"))
-    return models.knn_cv(e, ks=list(range(5, 44, 2)), folds=10, repeats=3)
+    return models.knn_cv(e, ks=KNN_KS, folds=10, repeats=3)
 
 
 @register("boosting_history", None)
 def boosting_history(spark, sf_dir):
     """Per-round loss of the one-vs-rest boosted members on the test season,
     with the best round per member (min and arg-min)."""
-    tr, te = outcome_data(spark, sf_dir)
-    m = models.fit_boosted(tr)
-    h = models.boosting_history(m, te)
-    return h.groupBy("member").agg(F.min("metric").alias("best"),
-                                   F.min_by("round", F.struct("metric", "round")).alias("best_round"),
-                                   F.max("round").alias("rounds"))
+    tr, te, _ = outcome_data(spark, sf_dir)
+    m = models.fit_boosted(tr, key="fixture_id", **BOOST)
+    return evaluate.best_round(models.boosting_history(m, te), ["member"])
+
+
+# ---- operators that other queries use only inside ------------------------
+
+from matchlake.sources import tables  # noqa: E402
+
+
+@register("ok_calls", W(["bronze_fixture"], "SELECT fixture_id, fixture_date FROM bronze_fixture WHERE fixture_id % 10 <> 0"))
+def ok_calls(spark, sf_dir):
+    """Calls that failed in transport are dropped (every tenth, here)."""
+    calls = bronze(spark, sf_dir)["bronze_fixture"].select(
+        "fixture_id", "fixture_date", F.when(F.col("fixture_id") % 10 == 0, "timeout").alias("error"))
+    return rawmod.ok_responses(calls).drop("error")
+
+
+@register("managed_standing", oracle.table_sql("silver_standing"))
+def managed_standing(spark, sf_dir):
+    """Standings as a managed table and a view on it, read by name."""
+    standing = silver_all(spark, sf_dir, "silver_standing")["silver_standing"]
+    tables.materialize(tables.materialize(standing, "matchlake_silver_standing", kind="table"), "matchlake_standing_view")
+    return tables.table(spark, "matchlake_standing_view")
+
+
+@register("difficulty_ordered", oracle.table_sql("gold_avg_team_difficulty"))
+def difficulty_ordered(spark, sf_dir):
+    """The difficulty table in the order of its match ids (a range-partitioned sort)."""
+    gold_t = gold_all(spark, sf_dir, needed=("gold_avg_team_difficulty",))[1]
+    return gold_t["gold_avg_team_difficulty"].orderBy("fixture_id", "team_id")
+
+
+@register("class_from_probs", W(["bronze_fixture"], """
+SELECT fixture_id, CASE WHEN w > d AND w > l THEN 'Win' WHEN d > w AND d > l THEN 'Draw' ELSE 'Lose' END AS label
+FROM (SELECT fixture_id, fixture_id % 3 AS l, venue_id % 3 AS d, league_id % 3 AS w FROM bronze_fixture) t"""))
+def class_from_probs(spark, sf_dir):
+    """Largest of three numbers, with many ties."""
+    f = bronze(spark, sf_dir)["bronze_fixture"]
+    return f.select("fixture_id", scalar.class_from_probs(F.col("fixture_id") % 3, F.col("venue_id") % 3,
+                                                          F.col("league_id") % 3).alias("label"))
+
+
+@register("level_code", W(["silver_fixture"], f"""
+SELECT fixture_id, CASE {OUTCOME_SQL} WHEN 'Lose' THEN 0 WHEN 'Draw' THEN 1 ELSE 2 END AS code FROM silver_fixture"""))
+def level_code(spark, sf_dir):
+    f = silver_all(spark, sf_dir, "silver_fixture")["silver_fixture"]
+    return f.select("fixture_id", scalar.level_code(features.outcome()).alias("code"))
+
+
+@register("season_frames", W(["silver_fixture"], """
+SELECT fixture_id, season, CASE WHEN season < (SELECT max(season) FROM silver_fixture) THEN 'train' ELSE 'test' END AS frame
+FROM silver_fixture"""))
+def season_frames(spark, sf_dir):
+    """Training and test frames by season, stored and read again."""
+    f = silver_tables_materialized(spark, sf_dir, ("silver_fixture",))["silver_fixture"].select("fixture_id", "season")
+    folder = scratch_dir(spark, f"frames-{uuid.uuid4().hex}")
+    parts = dict(zip(("train", "test"), features.season_split(f, f.agg(F.max("season")).first()[0])))
+    for name, part in parts.items():
+        part.write.parquet(f"{folder}/{name}")
+    out = [tables.read_frames(spark, f"{folder}/{name}").withColumn("frame", F.lit(name)) for name in parts]
+    return out[0].unionByName(out[1])
+
+
+@register("formula_frame", W(["silver_fixture"], """
+WITH n AS (SELECT match_result, cast(row_number() OVER (ORDER BY count(*) DESC, match_result) - 1 AS double) AS label
+           FROM silver_fixture WHERE home_goals IS NOT NULL GROUP BY match_result)
+SELECT fixture_id, label, cast(home_goals AS double) AS home_goals, cast(season AS double) AS season
+FROM silver_fixture JOIN n USING (match_result) WHERE home_goals IS NOT NULL"""))
+def formula_frame(spark, sf_dir):
+    f = silver_tables_materialized(spark, sf_dir, ("silver_fixture",))["silver_fixture"].where("home_goals IS NOT NULL")
+    v = models.vector_to_array("features")
+    return models.formula_frame(f, "match_result", ["home_goals", "season"]).select(
+        "fixture_id", "label", v[0].alias("home_goals"), v[1].alias("season"))
+
+
+@register("team_profile", W(["silver_fixture_stat", "silver_fixture"], "SELECT s.team_id, f.season, " + ", ".join(
+    f"round(avg({c}), 9) AS {c}" for c in _STATS) + """
+FROM silver_fixture_stat s JOIN silver_fixture f USING (fixture_id) GROUP BY s.team_id, f.season"""))
+def team_profile(spark, sf_dir):
+    s = silver_all(spark, sf_dir, "silver_fixture_stat", "silver_fixture")
+    rows = s["silver_fixture_stat"].join(s["silver_fixture"].select("fixture_id", "season"), "fixture_id")
+    p = features.team_profile(rows, ["team_id", "season"], _STATS)
+    return p.select("team_id", "season", *[F.round(c, 9).alias(c) for c in _STATS])
+
+
+@register("select_columns", W(["gold_match_table"], """
+SELECT rank_team_faced_away, rank_team_faced_home, total_shots_r, prior_season_rank FROM gold_match_table"""))
+def select_columns(spark, sf_dir):
+    """Columns by range, by position and by prefix."""
+    r = features.select_range(gold_match(spark, sf_dir), "match_result", "prior_season_rank")
+    return features.select_prefix(features.select_from(r, 1), "coach", exclude=True)
+
+
+@register("landing_paths", W(["bronze_standings"], """
+SELECT DISTINCT league_id, season,
+       'raw/standing/' || cast(league_id AS varchar) || '/' || cast(season AS varchar) || '.json' AS path
+FROM bronze_standings"""))
+def landing_paths(spark, sf_dir):
+    b = bronze(spark, sf_dir)["bronze_standings"].select("league_id", "season").distinct()
+    return b.select("*", requests.landing_path("standing", league=F.col("league_id"), season=F.col("season")).alias("path"))
+
+
+@register("league_requests", W(["bronze_fixture"], f"""
+SELECT season, league_id, 'standings?season=' || cast(season AS varchar) || '&league=' || cast(league_id AS varchar) AS request
+FROM (SELECT DISTINCT season FROM bronze_fixture) s, (SELECT unnest({requests.LEAGUE_IDS})::bigint AS league_id) l"""))
+def league_requests(spark, sf_dir):
+    """Every season of the data for each league of the extractor's list."""
+    seasons = bronze(spark, sf_dir)["bronze_fixture"].select("season").distinct()
+    plan = seasons.withColumn("league_id", F.explode(F.array(*[F.lit(x).cast("bigint") for x in requests.LEAGUE_IDS])))
+    return requests.render(plan, requests.STANDINGS_BY_SEASON_LEAGUE, "season", "league_id")

@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.scalar import OUTCOME_LEVELS
+from matchlake.operators.joins import small_side
 
-# Columns the score model drops from the match table before training.
+# Column names of the match table that the score model drops before
+# training, its categorical columns, its targets, and the classifiers' features.
 MODEL_DROP = ["fixture_date", "fixture_id", "referee", "venue_id", "status", "away_team_id",
               "home_team_id", "match_result", "coach_id_home", "coach_id_away", "league_id", "season"]
 CATEGORICAL = ["coach_id_home", "league_id", "season", "coach_id_away"]
@@ -28,6 +29,13 @@ RATIO_FEATURES = ["rank_team_faced_away", "rank_team_faced_home", "total_shots_r
                   "pass_accuracy_r"]
 
 
+# ---------------------------------------------------------------- team profile
+
+def team_profile(players: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Mean of each metric by team and season (NULLs are left out of a mean)."""
+    return players.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in metrics])
+
+
 # ---------------------------------------------------------------- selection helpers
 
 def select_range(df: DataFrame, first: str, last: str) -> DataFrame:
@@ -82,12 +90,20 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
+def fit_scale(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and sample standard deviation of each column (one aggregate)."""
+    r = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    return {c: (r[f"m{i}"] or 0.0, r[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
+
+
+def apply_scale(df: DataFrame, scale: dict[str, tuple[float, float]], prefix: str = "z_") -> DataFrame:
+    """Centred and scaled columns beside the others; a NULL stays NULL."""
+    return df.select("*", *[((F.col(c) - m) / s).alias(prefix + c) for c, (m, s) in scale.items()])
+
+
 def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> DataFrame:
     """Centre and scale (sample standard deviation, like R's ``scale``)."""
-    v = assemble(df, cols, "__v")
-    m = StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True).fit(v)
-    z = m.transform(v).withColumn("__za", vector_to_array("__z"))
-    return z.select(*df.columns, *[F.col("__za")[i].alias(prefix + c) for i, c in enumerate(cols)])
+    return apply_scale(df, fit_scale(df, cols), prefix)
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -150,8 +166,7 @@ def rank_in_class(df: DataFrame, label: str, key: str, bits: int = 16) -> DataFr
     offs = hist.withColumn("__off", F.sum("__n").over(
         Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
     offs = offs.select(label, "__b", F.coalesce("__off", F.lit(0)).alias("__off"))
-    # offsets table: classes x 2**bits rows at most -> bounded broadcast
-    x = x.join(F.broadcast(offs), [label, "__b"])
+    x = x.join(small_side(offs), [label, "__b"])
     w = Window.partitionBy(label, "__b").orderBy("__h", key)
     return x.withColumn("__rank", F.col("__off") + F.row_number().over(w)).drop("__h", "__b", "__off")
 
@@ -168,7 +183,7 @@ def upsample(df: DataFrame, label: str, key: str) -> DataFrame:
     # it and the broadcast are bounded by the number of classes
     counts = class_counts(df, label)
     cm = counts.withColumn("mx", F.max("n").over(Window.partitionBy(F.lit(0))))
-    ranked = rank_in_class(df, label, key).join(F.broadcast(cm), label)
+    ranked = rank_in_class(df, label, key).join(small_side(cm), label)
     copies = (F.col("mx") / F.col("n")).cast("bigint") + \
         F.when(F.col("__rank") <= F.col("mx") % F.col("n"), 1).otherwise(0)
     out = ranked.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
@@ -178,12 +193,40 @@ def upsample(df: DataFrame, label: str, key: str) -> DataFrame:
 # ---------------------------------------------------------------- PCA
 
 def pca_fit(df: DataFrame, cols: Sequence[str], k: int | None = None):
-    """Standardise then PCA with all components; returns (scaler, pca) models."""
-    v = assemble(df, cols, "__v")
-    sm = StandardScaler(inputCol="__v", outputCol="__z", withMean=True, withStd=True).fit(v)
-    z = sm.transform(v)
-    pm = PCA(k=k or len(cols), inputCol="__z", outputCol="pcs").fit(z)
-    return sm, pm
+    """Scale and principal components of complete rows: (scale, model)."""
+    rows = df.dropna(subset=list(cols))
+    scale = fit_scale(rows, cols)
+    z = assemble(apply_scale(rows, scale), ["z_" + c for c in cols], "__z")
+    return scale, PCA(k=k or len(cols), inputCol="__z", outputCol="pcs").fit(z)
+
+
+def pca_scores(df: DataFrame, fit, keep: int, prefix: str = "pc") -> DataFrame:
+    """Scores ``pc1 ..`` of the first ``keep`` components, from the scale and the
+    components of the training rows; rows with a NULL feature get NULL scores."""
+    scale, model = fit
+    loadings = model.pc.toArray()
+    z = {c: (F.col(c) - m) / s for c, (m, s) in scale.items()}
+    scores = [sum((x * float(loadings[i, j]) for i, x in enumerate(z.values())), F.lit(0.0)).alias(f"{prefix}{j + 1}") for j in range(keep)]
+    return df.select("*", *scores)
+
+
+def pca_frame(train: DataFrame, test: DataFrame, cols: Sequence[str], share: float = 0.99) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test with the scores of the training components that together stay
+    below ``share`` of the variance; also the scores' names."""
+    fit = pca_fit(train, cols)
+    keep = pca_keep([float(x) for x in fit[1].explainedVariance], share)
+    return pca_scores(train, fit, keep), pca_scores(test, fit, keep), [f"pc{j + 1}" for j in range(keep)]
+
+
+def bind_effects(train: DataFrame, test: DataFrame, scores: Sequence[str], home: str = "home_team_id", away: str = "away_team_id",
+                 out: str = "features") -> tuple[DataFrame, DataFrame]:
+    """One vector of the scores and the dummies of the home and the away team.  Teams
+    that only the test has get no dummy; the pairings of ``fixed_effects`` are as
+    many as the square of the teams, the teams themselves are not."""
+    idx = StringIndexer(inputCols=[home, away], outputCols=["__h", "__a"], handleInvalid="keep").fit(train)
+    hot = OneHotEncoder(inputCols=["__h", "__a"], outputCols=["__hv", "__av"], dropLast=True).fit(idx.transform(train))
+    bind = VectorAssembler(inputCols=[*scores, "__hv", "__av"], outputCol=out, handleInvalid="skip")
+    return tuple(bind.transform(hot.transform(idx.transform(d))).drop("__h", "__a", "__hv", "__av") for d in (train, test))
 
 
 def pca_keep(explained: Sequence[float], share: float = 0.99) -> int:

@@ -9,6 +9,7 @@ Lose < Draw < Win (home-team view); predictions come back as
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -19,13 +20,15 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.functions.scalar import OUTCOME_LEVELS, class_from_probs
-from matchlake.ml.features import bucket100, stable_hash
+from matchlake.ml.features import bucket100
+from matchlake.ml.neighbours import knn, knn_cv  # noqa: F401
 
 LABEL = "label"
 
@@ -104,16 +107,23 @@ def random_forest(train: DataFrame, trees: int = 500, seed: int = 123):
     return RandomForestClassifier(numTrees=trees, seed=seed, featuresCol="features", labelCol=LABEL).fit(train)
 
 
+def validation_rows(key: str, percent: int = 10) -> Column:
+    """A fixed share of the rows by the hash of a key: copies of a row stay together."""
+    return bucket100(key) < percent
+
+
 def fit_boosted(train: DataFrame, step: float = 0.01, rounds: int = 2500, depth: int = 6,
-                subsample: float = 1.0, seed: int = 123, validation_fraction: float = 0.1):
-    """One-vs-rest gradient-boosted trees (Spark's GBT is binary).  Early
-    stopping on a seeded random validation slice of the training rows."""
+                subsample: float = 1.0, seed: int = 123, key: str | None = None, **params):
+    """One-vs-rest gradient-boosted trees (Spark's GBT is binary).  With a ``key``,
+    each member stops in the first round whose loss on the validation rows does
+    not fall (Spark has no longer patience; its default tolerance of 1 % of the
+    loss would end a fit of small steps after one tree)."""
     gbt = GBTClassifier(stepSize=step, maxIter=rounds, maxDepth=depth, subsamplingRate=subsample,
-                        seed=seed, featuresCol="features", labelCol=LABEL)
+                        seed=seed, featuresCol="features", labelCol=LABEL, **params)
     t = train
-    if validation_fraction:
-        gbt.setValidationIndicatorCol("__is_val")
-        t = train.withColumn("__is_val", (F.rand(seed) < validation_fraction))
+    if key:
+        gbt.setValidationIndicatorCol("__is_val").setValidationTol(0.0)
+        t = train.withColumn("__is_val", validation_rows(key))
     return OneVsRest(classifier=gbt, featuresCol="features", labelCol=LABEL).fit(t)
 
 
@@ -130,20 +140,50 @@ def predict_boosted(model, test: DataFrame) -> DataFrame:
     return x.withColumn("prediction_label", class_from_probs("p_lose", "p_draw", "p_win"))
 
 
-def tune_boosted(train: DataFrame, grid: dict[str, Sequence], folds: int = 5, seed: int = 123,
-                 parallelism: int = 4):
-    """Grid search by k-fold CV on accuracy over one-vs-rest GBT members."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, seed=seed)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol=LABEL)
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(gbt.getParam(name), list(values))
-    cv = CrossValidator(estimator=ovr, estimatorParamMaps=b.build(),
-                        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    m = cv.fit(train)
-    return m.bestModel, list(zip([{p.name: v for p, v in pm.items()} for pm in cv.getEstimatorParamMaps()],
-                                 m.avgMetrics))
+def log_loss(pred: DataFrame) -> float:
+    """Mean negative log of the true class's probability (p_lose, p_draw, p_win)."""
+    p = F.element_at(F.array("p_lose", "p_draw", "p_win"), F.col(LABEL).cast("int") + 1)
+    return pred.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15))))).first()[0]
+
+
+def _tuned(train: DataFrame, grid: dict[str, Sequence], key: str, folds: int, measure, columns: str) -> DataFrame:
+    """A row for each point of the grid and fold; folds are by the hash of ``key``."""
+    points = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    fold = bucket100(key) % folds
+    rows = []
+    for point in points:  # a point's fits are Spark jobs; the grid is the caller's
+        for f in range(folds):
+            rows.append((*point.values(), f, float(measure(train.where(fold != f), train.where(fold == f), point))))
+    return train.sparkSession.createDataFrame(rows, columns)
+
+
+def tune_boosted(train: DataFrame, grid: dict[str, Sequence], key: str, folds: int = 5, seed: int = 123) -> DataFrame:
+    """Log-loss of boosted trees for each point of ``grid`` (step, rounds, depth,
+    subsample, minInstancesPerNode ...): mean over the folds, points with a
+    positive score only, best first."""
+    names = {k: ("double" if any(isinstance(v, float) for v in vs) else "long") for k, vs in grid.items()}
+
+    def measure(tr, te, point):
+        return log_loss(predict_boosted(fit_boosted(tr, seed=seed, **point), te))
+
+    table = _tuned(train, grid, key, folds, measure, ", ".join(f"{k} {t}" for k, t in names.items()) + ", fold int, score double")
+    return table.groupBy(*grid).agg(F.avg("score").alias("score")).where("score > 0").orderBy("score", *grid)
+
+
+def tune_svm(train: DataFrame, n_in: int, costs: Sequence[float], gammas: Sequence[float], key: str, folds: int = 5, seed: int = 123) -> DataFrame:
+    """Accuracy of the kernel SVM for each cost and gamma, best first."""
+    def measure(tr, te, point):
+        pred = predict_svm_ovo(svm_ovo(tr, n_in, seed=seed, **point), te)
+        return pred.agg(F.avg((F.col("prediction_label") == _level_of(F.col(LABEL))).cast("double"))).first()[0]
+
+    table = _tuned(train, {"cost": costs, "gamma": gammas}, key, folds, measure, "cost double, gamma double, fold int, accuracy double")
+    return table.groupBy("cost", "gamma").agg(F.avg("accuracy").alias("accuracy")).orderBy(F.desc("accuracy"), "cost", "gamma")
+
+
+def importances(model, names: Sequence[str]) -> DataFrame:
+    """A forest's feature importances, largest first."""
+    rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray(), strict=True)]
+    return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
 # ---------------------------------------------------------------- kernel SVM (approximation)
@@ -201,36 +241,36 @@ def predict_svm_ovo(fit, test: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- linear discriminant analysis
 
+def lda_statistics(train: DataFrame, features: Sequence[str], label_col: str = LABEL) -> DataFrame:
+    """Class sizes and means: a row for each class, from one grouped aggregate of
+    the feature vectors."""
+    v = VectorAssembler(inputCols=list(features), outputCol="__f", handleInvalid="skip").transform(train.where(F.col(label_col).isNotNull()))
+    return v.groupBy(label_col).agg(Summarizer.metrics("mean", "count").summary(F.col("__f")).alias("s")) \
+        .select(F.col(label_col).alias("label"), F.col("s.count").alias("n"), vector_to_array("s.mean").alias("mean"))
+
+
 def lda_fit(train: DataFrame, features: Sequence[str], label_col: str = LABEL) -> dict:
-    """Class means, priors and pooled covariance from ONE grouped aggregate
-    (sums, cross-products, counts per class); the p x p solve is on the
-    driver because the model itself is p x p."""
+    """Class means, priors and pooled covariance.  The means are one grouped
+    aggregate; the covariance is that of the rows centred by their class's mean, from
+    Spark's correlation of the centred vectors and their spreads (p x p, as is the
+    model, which is solved on the driver)."""
     fs = list(features)
-    p = len(fs)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(fs)]
-    aggs += [F.sum(F.col(fs[i]) * F.col(fs[j])).alias(f"x{i}_{j}") for i in range(p) for j in range(i, p)]
-    stats = train.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(*aggs).collect()
-    n_tot = sum(r["n"] for r in stats)
-    k = len(stats)
-    cov = np.zeros((p, p))
-    means, priors, labels = [], [], []
-    for r in stats:
-        n = r["n"]
-        s = np.array([r[f"s{i}"] for i in range(p)], dtype=float)
-        mu = s / n
-        xx = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                xx[i, j] = xx[j, i] = r[f"x{i}_{j}"]
-        cov += xx - n * np.outer(mu, mu)
-        means.append(mu)
-        priors.append(n / n_tot)
-        labels.append(r[label_col])
-    cov /= max(n_tot - k, 1)
+    stats = sorted(lda_statistics(train, fs, label_col).collect(), key=lambda r: str(r["label"]))
+    n_tot, k = sum(r["n"] for r in stats), len(stats)
+    labels, means = [r["label"] for r in stats], [np.array(r["mean"]) for r in stats]
+    priors = [r["n"] / n_tot for r in stats]
+    centre = F.create_map(*[x for r in stats for x in (F.lit(r["label"]), F.array(*[F.lit(float(v)) for v in r["mean"]]))])
+    rows = train.where(F.col(label_col).isNotNull()).dropna(subset=fs)
+    c = centre[F.col(label_col)]
+    centred = rows.select(array_to_vector(F.array(*[F.col(f).cast("double") - c[i] for i, f in enumerate(fs)])).alias("v"))
+    spread = centred.agg(Summarizer.metrics("std").summary(F.col("v")).alias("s")).first()["s"]["std"].toArray()
+    corr = np.nan_to_num(Correlation.corr(centred, "v").first()[0].toArray())
+    np.fill_diagonal(corr, 1.0)
+    cov = corr * np.outer(spread, spread) * (n_tot - 1) / max(n_tot - k, 1)
     inv = np.linalg.pinv(cov)
     coefs = [inv @ mu for mu in means]
     consts = [float(-0.5 * mu @ inv @ mu + np.log(pi)) for mu, pi in zip(means, priors)]
-    return {"features": fs, "labels": labels, "coef": coefs, "const": consts, "means": means}
+    return {"features": fs, "labels": labels, "coef": coefs, "const": consts, "means": means, "priors": priors, "cov": cov}
 
 
 def predict_lda(model: dict, test: DataFrame) -> DataFrame:
@@ -245,78 +285,6 @@ def predict_lda(model: dict, test: DataFrame) -> DataFrame:
     return test.withColumn("lda_label", best)
 
 
-# ---------------------------------------------------------------- k nearest neighbours
-
-def knn(train: DataFrame, test: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
-        label_col: str = "label", max_broadcast_rows: int = 200_000) -> DataFrame:
-    """Exact k-NN majority vote (Euclidean, ties -> nearer, then smaller id).
-
-    The test side is broadcast as a numpy block after a size check; each
-    training partition computes distances to the block in Arrow batches and
-    keeps only its local top-k per test row (map-side top-k), so the shuffle
-    carries partitions x k rows per test row, never all pairs.  A larger
-    test side is processed in hash blocks of at most ``max_broadcast_rows``.
-    """
-    spark = train.sparkSession
-    n_test = test.limit(max_broadcast_rows + 1).count()
-    blocks = 1 if n_test <= max_broadcast_rows else None
-    if blocks is None:
-        blocks = int(np.ceil(test.count() / max_broadcast_rows))
-    outs = []
-    for b in range(blocks):
-        part = test if blocks == 1 else test.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == b)
-        rows = part.select(id_col, F.col(vec_col).cast("array<double>").alias("v")).toPandas()
-        if rows.empty:
-            continue
-        tid = rows[id_col].to_numpy()
-        tm = np.stack(rows["v"].to_numpy())
-        bc = spark.sparkContext.broadcast((tid, tm))
-        outs.append(_knn_block(train, bc, k, id_col, vec_col, label_col))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    # global top-k per test row among partitions x k candidates
-    w = Window.partitionBy("test_id").orderBy("dist", "train_id")
-    top = res.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
-    votes = top.groupBy("test_id", "nb_label").agg(F.count(F.lit(1)).alias("votes"),
-                                                   F.min("__r").alias("nearest"))
-    wv = Window.partitionBy("test_id").orderBy(F.col("votes").desc(), F.col("nearest").asc())
-    best = votes.withColumn("__r", F.row_number().over(wv)).where(F.col("__r") == 1)
-    return best.select(F.col("test_id").alias(id_col), F.col("nb_label").alias("knn_label"))
-
-
-def _knn_block(train: DataFrame, bc, k: int, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    schema = "test_id long, train_id long, nb_label long, dist double"
-
-    def top_k(batches):
-        tid, tm = bc.value
-        tn = (tm * tm).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = np.stack(pdf["v"].to_numpy())
-            n = m.shape[0]
-            # cheap expansion |t|^2 + |m|^2 - 2 t.m to pick candidates (a few
-            # spare ones against rounding), then exact distances for those
-            d2 = tn[:, None] + (m * m).sum(axis=1)[None, :] - 2.0 * tm @ m.T
-            kk = min(k + 4, n)
-            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < n else \
-                np.tile(np.arange(n), (len(tid), 1))
-            rows = np.repeat(np.arange(len(tid)), idx.shape[1])
-            cols = idx.ravel()
-            diff = tm[rows] - m[cols]
-            dist = np.round(np.sqrt((diff * diff).sum(axis=1)), 9)
-            yield pd.DataFrame({
-                "test_id": tid[rows].astype("int64"),
-                "train_id": pdf[id_col].to_numpy()[cols].astype("int64"),
-                "nb_label": pdf[label_col].to_numpy()[cols].astype("int64"),
-                "dist": dist,
-            })
-
-    src = train.select(id_col, F.col(vec_col).cast("array<double>").alias("v"), label_col)
-    return src.mapInPandas(top_k, schema)
-
-
 # ---------------------------------------------------------------- score model
 
 def fit_scores(train: DataFrame, features: Sequence[str], targets=("away_goals", "home_goals"),
@@ -333,86 +301,6 @@ def fit_scores(train: DataFrame, features: Sequence[str], targets=("away_goals",
     return Pipeline(stages=stages).fit(train)
 
 
-def fold_column(df: DataFrame, key: str, folds: int) -> DataFrame:
-    return df.withColumn("fold", (bucket100(key) % folds).cast("int"))
-
-
-__all__ = ["label_index", "prepare", "multinomial_logit", "penalized_logit", "ordered_logit",
-           "predict_ordered", "random_forest", "fit_boosted", "predict_boosted", "tune_boosted",
-           "fourier_features", "svm_ovo", "predict_svm_ovo", "lda_fit", "predict_lda", "knn",
-           "fit_scores", "predict_classes", "fold_column", "stable_hash"]
-
-
-# ---------------------------------------------------------------- choosing k by repeated CV
-
-def knn_cv(df: DataFrame, ks: Sequence[int], folds: int = 10, repeats: int = 3, id_col: str = "id",
-           vec_col: str = "vec", label_col: str = "label", max_broadcast_rows: int = 200_000) -> DataFrame:
-    """Repeated k-fold CV accuracy of k-NN for every k in ``ks`` -> (k, accuracy).
-
-    Every row is a test row for its own fold.  All folds and repeats are
-    scored in ONE distance pass: the broadcast block carries each row's fold
-    per repeat, and a candidate from the same fold is masked out before the
-    map-side top-k.  Neighbours are found once at max(ks); the ranked prefix
-    gives every smaller k.
-    """
-    spark = df.sparkSession
-    kmax = max(ks)
-    folded = df.select(id_col, vec_col, label_col, *[
-        (F.conv(F.substring(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(r)))), 1, 8), 16, 10)
-         .cast("bigint") % folds).cast("int").alias(f"f{r}") for r in range(repeats)])
-    n = folded.limit(max_broadcast_rows + 1).count()
-    if n > max_broadcast_rows:
-        raise ValueError("knn_cv broadcasts the scored rows; use knn() per fold beyond max_broadcast_rows")
-    rows = folded.select(id_col, F.col(vec_col).cast("array<double>").alias("v"),
-                         *[f"f{r}" for r in range(repeats)]).toPandas()
-    tid = rows[id_col].to_numpy()
-    tm = np.stack(rows["v"].to_numpy())
-    tf = np.stack([rows[f"f{r}"].to_numpy() for r in range(repeats)])
-    bc = spark.sparkContext.broadcast((tid, tm, tf))
-    schema = "rep int, test_id long, train_id long, nb_label long, dist double"
-
-    def top_k(batches):
-        tid, tm, tf = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = np.stack(pdf["v"].to_numpy())
-            d = np.sqrt(np.maximum((tm * tm).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * tm @ m.T, 0.0))
-            ids = pdf[id_col].to_numpy()
-            labs = pdf[label_col].to_numpy()
-            for r in range(tf.shape[0]):
-                fr = pdf[f"f{r}"].to_numpy()
-                dm = np.where(tf[r][:, None] == fr[None, :], np.inf, d)
-                kk = min(kmax + 4, m.shape[0])
-                idx = np.argpartition(dm, kk - 1, axis=1)[:, :kk] if kk < m.shape[0] else \
-                    np.tile(np.arange(m.shape[0]), (len(tid), 1))
-                rr = np.repeat(np.arange(len(tid)), idx.shape[1])
-                cc = idx.ravel()
-                keep = np.isfinite(dm[rr, cc])
-                rr, cc = rr[keep], cc[keep]
-                diff = tm[rr] - m[cc]
-                yield pd.DataFrame({"rep": np.full(len(rr), r, dtype="int32"),
-                                    "test_id": tid[rr].astype("int64"), "train_id": ids[cc].astype("int64"),
-                                    "nb_label": labs[cc].astype("int64"),
-                                    "dist": np.round(np.sqrt((diff * diff).sum(1)), 9)})
-
-    src = folded.select(id_col, F.col(vec_col).cast("array<double>").alias("v"), label_col,
-                        *[f"f{r}" for r in range(repeats)])
-    cand = src.mapInPandas(top_k, schema)
-    w = Window.partitionBy("rep", "test_id").orderBy("dist", "train_id")
-    ranked = cand.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= kmax)
-    # one row per (rep, test, k): expand each neighbour to every k it counts for
-    kk = F.explode(F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rk")))
-    votes = ranked.select("rep", "test_id", "nb_label", "rk", kk.alias("k")) \
-        .groupBy("rep", "test_id", "k", "nb_label").agg(F.count(F.lit(1)).alias("votes"), F.min("rk").alias("nearest"))
-    wv = Window.partitionBy("rep", "test_id", "k").orderBy(F.col("votes").desc(), F.col("nearest"))
-    best = votes.withColumn("r", F.row_number().over(wv)).where(F.col("r") == 1)
-    truth = df.select(F.col(id_col).alias("test_id"), F.col(label_col).cast("bigint").alias("truth"))
-    scored = best.join(truth, "test_id")
-    return scored.groupBy("k").agg(F.avg((F.col("nb_label") == F.col("truth")).cast("double")).alias("accuracy"),
-                                   F.count(F.lit(1)).alias("n")).orderBy("k")
-
-
 # ---------------------------------------------------------------- history and formula
 
 def boosting_history(model, df: DataFrame, loss: str = "logistic") -> DataFrame:
@@ -429,6 +317,14 @@ def boosting_history(model, df: DataFrame, loss: str = "logistic") -> DataFrame:
     return spark.createDataFrame(rows, "member int, round int, metric double")
 
 
+def score_history(model, df: DataFrame, targets=("away_goals", "home_goals")) -> DataFrame:
+    """Mean absolute error on ``df`` after each round of the score model, by target."""
+    x = model.stages[0].transform(df)
+    rows = [(t, r + 1, float(v)) for t, m in zip(targets, model.stages[1:], strict=True)
+            for r, v in enumerate(m.evaluateEachIteration(x, "absolute"))]
+    return df.sparkSession.createDataFrame(rows, "target string, round int, metric double")
+
+
 def formula_frame(df: DataFrame, label: str, predictors: Sequence[str]) -> DataFrame:
     """``label ~ a + b + ...`` through RFormula (strings are one-hot encoded)."""
     from pyspark.ml.feature import RFormula

@@ -1,6 +1,7 @@
 """Invariants of features, evaluation and models."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from matchlake.ml import evaluate, features, models
@@ -86,11 +87,26 @@ def test_knn_matches_brute_force(spark):
             votes[lab[j]] = (c + 1, first)
         best = sorted(votes.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[0][0]
         assert got[1000 + i] == best
-    # same answer when the test side is processed in several broadcast blocks
-    got2 = {r.id: r.knn_label for r in models.knn(train, test, k=5, max_broadcast_rows=7).collect()}
+    # same answer when cells are cut into parts of a few rows
+    got2 = {r.id: r.knn_label for r in models.knn(train, test, k=5, cell_rows=7).collect()}
     assert got2 == got
 
 
+@pytest.mark.parametrize("partitions,batch,cell_rows", [(1, 10000, 4096), (7, 10, 30)])
+def test_knn_ties_go_to_the_smaller_ids(spark, partitions, batch, cell_rows):
+    """200 equal vectors: the five smallest ids vote, however rows are dealt."""
+    train = spark.createDataFrame([(i, [1.0, 2.0], int(i >= 5)) for i in range(200)], "id long, vec array<double>, label long").repartition(partitions)
+    test = spark.createDataFrame([(1000, [1.0, 2.0]), (1001, [3.0, 0.0])], "id long, vec array<double>")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch)
+    try:
+        got = {r.id: r.knn_label for r in models.knn(train, test, k=5, cell_rows=cell_rows).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {1000: 0, 1001: 0}
+
+
 def test_knn_cv_matches_brute_force(spark):
     import hashlib
     rnd = np.random.default_rng(11)
