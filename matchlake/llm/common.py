@@ -61,3 +61,18 @@ def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
 def unpacked(names: list[str], row: str = "row") -> list[Column]:
     """The caller's columns back out of the struct that :func:`packed` made."""
     return [F.col(row).getField(c).alias(c) for c in names]
+
+
+def keyed(docs: DataFrame, names: list[str], doc_id: str) -> DataFrame:
+    """``(row, key)``: the named columns as a struct and a number of the row's own.
+
+    If the ids are whole numbers, distinct and not NULL, they are the keys and
+    nothing is stored, so that large rows can be matched with decisions about them
+    from a second scan.  Otherwise the rows are stored with a number each.
+    """
+    row = packed(docs, names).alias("row")
+    if dict(docs.dtypes)[doc_id] in ("bigint", "int", "smallint", "tinyint"):
+        n = docs.agg(F.count("*").alias("rows"), F.count_distinct(col(doc_id)).alias("ids")).first()
+        if n["rows"] == n["ids"]:
+            return docs.select(row, col(doc_id).cast("long").alias("key"))
+    return stored(docs.select(row, F.monotonically_increasing_id().alias("key")), "keyed")

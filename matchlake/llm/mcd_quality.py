@@ -254,12 +254,15 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     out = free_name(names, out)
     name = lambda c: F.coalesce(F.concat(F.lit("="), col(c).cast("string")), F.lit("-"))
     raw = docs.select(packed(docs, names).alias("row"), statistics_of(col(text).cast("binary")).alias("s"), name(lang).alias("wide"), F.concat(name(lang), F.lit(" "), name(source)).alias("own"))
-    table = stored(raw, "statistics")
+    # Narrow rows are stored with their statistics; whole texts are read again
+    # instead, as the verdict needs nothing but a row's own statistics and its fit.
+    narrow = stored(raw if carry is not None else raw.drop("row"), "statistics")
+    table = narrow if carry is not None else raw
     s = F.col("s")
     failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
     vector = [v.alias(f"x{k}") for k, v in enumerate(_vector(s))]
     xs = [f"x{k}" for k in range(DIMS)]
-    part = table.filter(~failed).select("own", "wide", *vector)
+    part = narrow.filter(~failed).select("own", "wide", *vector)
     sizes = stored(part.groupBy("own", "wide").agg(F.count("*").alias("n")), "sizes")
     pools = sizes.filter(F.col("n") < min_group).groupBy("wide").agg(F.sum("n").alias("pool"))
     grp = F.when(F.col("n") >= min_group, F.concat(F.lit("1"), F.col("own"))).when(F.col("pool") >= min_group, F.concat(F.lit("2"), F.col("wide"))).otherwise(F.lit("3"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import WORD_PATTERN, broadcast_if_small, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import WORD_PATTERN, broadcast_if_small, free_name, keyed, stored, unpacked
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
@@ -28,6 +28,7 @@ BLOCK = 128
 SEED = 20240
 SNAP = 1e-7
 BROADCAST_SOURCES = 50_000
+BROADCAST_KEYS = 400_000  # rows of seven numbers: some 40 MB as a hash table
 
 
 def _uniform(*parts: Column) -> Column:
@@ -150,20 +151,22 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     """
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
-    size = F.coalesce(F.regexp_count(col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    src = F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("-"))
-    table = docs.select(packed(docs, names).alias("row"), col(source).cast("string").alias("source"), src.alias("src"), size.alias("size"),
-                        F.xxhash64(col(doc_id), F.lit(seed)).alias("u"), F.monotonically_increasing_id().alias("pos"))
-    table = stored(table, "sizes")
+    rows = keyed(docs, [*names, *[c for c in (text, source, doc_id) if c not in names]], doc_id)
+    own = lambda c: F.col("row").getField(c)
+    size = F.coalesce(F.regexp_count(own(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    src = F.coalesce(F.concat(F.lit("="), own(source).cast("string")), F.lit("-"))
+    table = stored(rows.select(F.col("key").alias("pos"), own(source).cast("string").alias("source"), src.alias("src"), size.alias("size"), F.xxhash64(own(doc_id), F.lit(seed)).alias("u")), "sizes")
     goals = targets(table.select("source", "size"), weights, share, cap)
     goals = goals.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).alias("src"), "source_size", "target",
                          F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("ratio"))
     goals = broadcast_if_small(stored(goals, "targets"), BROADCAST_SOURCES)
     whole = F.when(F.col("ratio") % 1 < SNAP, F.floor("ratio")).when(F.col("ratio") % 1 > 1 - SNAP, F.ceil("ratio")).otherwise(F.floor("ratio")).cast("long")
-    rows = table.join(goals, "src").withColumn("whole", whole).withColumn("rest", F.greatest(F.lit(0.0), F.col("ratio") - F.col("whole")))
-    items = rows.filter((F.col("size") > 0) & (F.col("rest") > SNAP)).select(F.col("src").alias("source"), "u", "pos", "size", (F.col("size") * F.col("rest")).alias("mass"))
+    sized = table.join(goals, "src").withColumn("whole", whole).withColumn("rest", F.greatest(F.lit(0.0), F.col("ratio") - F.col("whole")))
+    items = sized.filter((F.col("size") > 0) & (F.col("rest") > SNAP)).select(F.col("src").alias("source"), "u", "pos", "size", (F.col("size") * F.col("rest")).alias("mass"))
     up = rounded(items, block, seed)
     lone = (F.col("size") == 0) & (_uniform(F.col("u"), F.lit(-2)) < F.col("rest"))
     copies = F.col("whole") + F.coalesce(F.col("up"), lone).cast("long")
-    joined = rows.join(up, "pos", "left").withColumn("copies", copies)
-    return joined.select(*unpacked(names), F.struct("size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")).alias(out))
+    decided = sized.join(up, "pos", "left").select(F.col("pos").alias("key"), F.struct("size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")).alias("m"))
+    decided = stored(decided, "copies")
+    wanted = rows.select("key", F.struct(*unpacked(names)).alias("row")) if names else rows
+    return wanted.join(broadcast_if_small(decided, BROADCAST_KEYS), "key").select(*unpacked(names), F.col("m").alias(out))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import col, free_name, packed, stored, unpacked
+from matchlake.llm.common import broadcast_if_small, col, free_name, keyed, packed, stored, unpacked
 from matchlake.llm.components import components
 
 SHINGLE = 4
@@ -36,6 +36,7 @@ SEED = 42
 BITS = 64
 SLICE_VARIANTS = 2_000_000  # variants that a slice's task should emit: 16 MB
 SPLIT_BITS = 4
+BROADCAST_KEYS = 1_000_000  # longs: some 30 MB as a hash table
 
 
 def fingerprint(raw: bytes | None, size: int = SHINGLE) -> int:
@@ -184,6 +185,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, slice_variants: int = SLICE_
         bits += more
 
 
+def _roots(prints: DataFrame, distance: int, slice_variants: int) -> DataFrame:
+    """``prints(id, fp)`` to ``(fp, id, root)``: each fingerprint with its smallest
+    id and the smallest fingerprint of its group."""
+    fps = stored(prints.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
+    stars = components(links(fps.select("fp"), distance, slice_variants))
+    roots = fps.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
+    return stored(roots.select("fp", "id", F.coalesce("root", "fp").alias("root")), "roots")
+
+
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, size: int = SHINGLE, distance: int = DISTANCE,
            slice_variants: int = SLICE_VARIANTS, carry: list[str] | None = None, out: str = "near") -> DataFrame:
     """The columns of ``docs`` (or those in ``carry``) plus a struct column
@@ -201,27 +211,27 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, size:
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     table = stored(docs.select(packed(docs, names).alias("row"), col(doc_id).alias("id"), fingerprint_column(col(text), size).alias("fp")), "prints")
-    fps = stored(table.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
-    stars = components(links(fps.select("fp"), distance, slice_variants))
-    roots = fps.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    roots = stored(roots, "roots")
+    roots = _roots(table, distance, slice_variants)
     least = roots.groupBy("root").agg(F.min("id").alias("component_id"))
     joined = table.join(roots.select("fp", "root").join(least, "root"), "fp")
     return joined.select(*unpacked(names), F.struct(F.col("fp").alias("fingerprint"), "root", "component_id").alias(out))
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """One row of each group: the one with the smallest ``doc_id``.  If several
-    rows of a group have that id (or all ids are NULL), the one with the smallest
-    text stays.  Columns are those of ``docs``."""
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, size: int = SHINGLE, distance: int = DISTANCE,
+                slice_variants: int = SLICE_VARIANTS) -> DataFrame:
+    """One row of each group of :func:`groups`, with the columns of ``docs``: the
+    one with the smallest ``doc_id`` (NULL last).  Of several with that id, the one
+    whose text has the smallest hash stays, and of those any one.
+
+    Decisions are made on narrow rows; texts are not shuffled if the list of rows
+    to drop is small enough to be broadcast.
+    """
     names = docs.columns
-    near = groups(docs, text, doc_id, **options)
-    g = near.columns[-1]
-    first = near.filter(col(doc_id).eqNullSafe(F.col(g)["component_id"])).select(packed(near, names).alias("row"), F.col(g)["root"].alias("root"), col(text).alias("t"))
-    first = stored(first, "candidates")
-    again = stored(first.groupBy("root").count().filter("count > 1").select("root"), "again")
-    if again.limit(1).count() == 0:
-        return first.select(*unpacked(names))
-    lone = first.join(again, "root", "left_anti").select("row")
-    rest = first.join(again, "root", "left_semi").groupBy("root").agg(F.min_by("row", F.coalesce("t", F.lit(""))).alias("row")).select("row")
-    return lone.unionByName(rest).select(*unpacked(names))
+    rows = keyed(docs, names, doc_id)
+    own = lambda c: F.col("row").getField(c)
+    narrow = stored(rows.select("key", own(doc_id).alias("id"), fingerprint_column(own(text), size).alias("fp"), F.xxhash64(own(text)).alias("h")), "prints")
+    roots = _roots(narrow, distance, slice_variants)
+    placed = stored(narrow.join(roots.select("fp", "root"), "fp").select("key", "root", F.struct(F.col("id").isNull().alias("none"), "id", "h", "key").alias("order")), "placed")
+    kept = placed.groupBy("root").agg(F.min("order").alias("order")).select("order.key")
+    dropped = stored(placed.join(kept, "key", "left_anti").select("key"), "dropped")
+    return rows.join(broadcast_if_small(dropped, BROADCAST_KEYS), "key", "left_anti").select(*unpacked(names))
