@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import col, free_name, packed, unpacked
+from matchlake.llm.common import bounded_batches, col, free_name, packed, unpacked
 
 CACHE_WORDS = 400_000  # distinct words that a worker remembers: some 70 MB
 CACHE_CHARS = 64  # longer words are encoded anew
@@ -251,6 +251,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", *, decode: bool
     results.  If ``docs`` has a column ``out``, the new one gets a leading
     underscore; other names are free.  An empty table gives an empty result.
     """
+    bounded_batches(docs)
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     return docs.select(packed(docs, names).alias("row"), transcoded(col(text), vocabulary, decode).alias("t")).select(*unpacked(names), F.col("t").alias(out))

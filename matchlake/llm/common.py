@@ -12,6 +12,23 @@ from matchlake.session import scratch_dir
 #: ASCII white space; every operator's "word" is a maximal run of other characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+#: What one Arrow batch may hold.  A batch exists several times at once (in the JVM,
+#: as Arrow and as Python objects), and texts reach 100 KB and more.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Lower the size of the session's Arrow batches to the bounds above; smaller
+    settings stay."""
+    conf = df.sparkSession.conf
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
+    now = conf.get(size)
+    if not (now.rstrip("b").isdigit() and 0 < int(now.rstrip("b")) <= BATCH_BYTES):
+        conf.set(size, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

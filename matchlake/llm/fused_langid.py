@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import broadcast_if_small, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, unpacked
 
 BUCKETS = 1 << 13
 MAX_PER_LANGUAGE = 400
@@ -83,6 +83,7 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", *, max_per_language: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> TextModel:
     """Trigram models from labelled documents; rows without language, id or text
     are left out."""
+    bounded_batches(docs)
     rows = docs.select(col(doc_id).alias("id"), F.lower(col(lang)).alias("lang"), col(text).alias("text")).filter("id is not null and lang is not null and text is not null")
     languages = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect())
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
@@ -123,6 +124,7 @@ def identify(pages: DataFrame, model: TextModel, url: str = "url", html: str = "
     Repeated rows each count.  If ``pages`` has a column ``out``, the new one gets a
     leading underscore; other names are free.  An empty table gives an empty result.
     """
+    bounded_batches(pages)
     names = pages.columns if carry is None else carry
     out = free_name(names, out)
     langs = model.languages

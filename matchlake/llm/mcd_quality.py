@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import broadcast_if_small, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, unpacked
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -250,6 +250,7 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     a column ``out`` already, the new one gets a leading underscore; all other
     names are free.  An empty table gives an empty result.
     """
+    bounded_batches(docs)
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     name = lambda c: F.coalesce(F.concat(F.lit("="), col(c).cast("string")), F.lit("-"))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, col, free_name, packed, stored, unpacked
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 5_000
@@ -144,6 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
           max_features: int = MAX_FEATURES, levels: int = LEVELS) -> Model:
     """Fits the model.  Labels that are NULL or name no document count for nothing;
     a document with several labels counts as toxic if one says so."""
+    bounded_batches(docs)
     chosen = labels.select(col(doc_id).alias("id"), (col(toxic).cast("int") != 0).alias("toxic")).filter("id is not null and toxic is not null")
     chosen = chosen.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     chosen = stored(chosen, "labelled")
@@ -190,6 +191,7 @@ def grade(docs: DataFrame, model: Model, text: str = "text", *, carry: list[str]
     column ``out``, the new one gets a leading underscore; other names are free.
     An empty table gives an empty result.
     """
+    bounded_batches(docs)
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     return docs.select(packed(docs, names).alias("row"), scored(col(text), model).alias("s")).select(*unpacked(names), F.col("s").alias(out))

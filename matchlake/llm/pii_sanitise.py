@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, col, free_name, packed, stored, unpacked
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -153,6 +153,7 @@ def _occurrences(wanted: frozenset[str] | None):
 def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEXTS, alpha: float = ALPHA, alpha_remove: float = ALPHA_REMOVE) -> DataFrame:
     """``(t, remove)``: the terms that disclose an entity by more than the
     threshold, and whether they do so fully.  Also see the module's text."""
+    bounded_batches(docs)
     texts = docs.select(col(text).alias("text"), F.xxhash64(col(text)).alias("h"))
     pairs = stored(texts.filter("text is not null").select("h", "text").mapInPandas(_evidence, _EVIDENCE).distinct(), "evidence")
     joint = stored(pairs.filter("t <> ''").groupBy("e", "t").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= min_texts), "joint")

@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import broadcast_if_small, col, free_name, keyed, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, keyed, packed, stored, unpacked
 from matchlake.llm.components import components
 
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 BITS = 64
-SLICE_VARIANTS = 2_000_000  # variants that a slice's task should emit: 16 MB
+SLICE_VARIANTS = 500_000  # variants that a slice's task should emit: 4 MB
 SPLIT_BITS = 4
 BROADCAST_KEYS = 1_000_000  # longs: some 30 MB as a hash table
 
@@ -110,7 +110,7 @@ def _meetings(fp: np.ndarray, slice_: int, bits: int, radius: int, distance: int
         if len(at):
             masks = np.array(_masks(low, radius - u), np.uint64)
             values.append((base[at][:, None] ^ masks[None, :]).ravel())
-            owners.append(np.repeat(at, len(masks)))
+            owners.append(np.repeat(at.astype(np.int32), len(masks)))
     if not values:
         return np.zeros((0, 2), np.uint64)
     value, owner = np.concatenate(values), np.concatenate(owners)
@@ -121,7 +121,7 @@ def _meetings(fp: np.ndarray, slice_: int, bits: int, radius: int, distance: int
         return np.zeros((0, 2), np.uint64)
     place = np.minimum(np.searchsorted(shared, value), len(shared) - 1)
     hit = shared[place] == value
-    place, owner = place[hit], owner[hit]
+    place, owner = place[hit], owner[hit].astype(np.int64)
     first = np.full(len(shared), len(fp), np.int64)
     np.minimum.at(first, place, owner)
     a, b = owner, first[place]
@@ -208,6 +208,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, size:
     result.  Clashing names: only ``out`` is taken; if it exists, the new column
     gets a leading underscore.
     """
+    bounded_batches(docs)
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     table = stored(docs.select(packed(docs, names).alias("row"), col(doc_id).alias("id"), fingerprint_column(col(text), size).alias("fp")), "prints")
@@ -226,6 +227,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *,
     Decisions are made on narrow rows; texts are not shuffled if the list of rows
     to drop is small enough to be broadcast.
     """
+    bounded_batches(docs)
     names = docs.columns
     rows = keyed(docs, names, doc_id)
     own = lambda c: F.col("row").getField(c)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import broadcast_if_small, col, stored
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, stored
 from matchlake.session import scratch_dir
 
 MAGIC = b"\x1f\x8b\x08"
@@ -212,6 +212,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     full; a NULL URL is left out.  Extra columns are not written.  An empty table
     writes no archive.
     """
+    bounded_batches(pages)
     rows = pages.select(col(page_id).cast("long").alias("page_id"), col(url).cast("string").alias("url"), F.coalesce(col(payload).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumns({"sha": F.sha1("payload"), "h": F.xxhash64("payload"), "n": F.octet_length("payload")})
     key = ["sha", "h", "n"]
