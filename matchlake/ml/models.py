@@ -122,7 +122,7 @@ def fit_boosted(train: DataFrame, step: float = 0.01, rounds: int = 2500, depth:
                         seed=seed, featuresCol="features", labelCol=LABEL, **params)
     t = train
     if key:
-        gbt.setValidationIndicatorCol("__is_val").setValidationTol(0.0)
+        gbt.setParams(validationIndicatorCol="__is_val", validationTol=0.0)
         t = train.withColumn("__is_val", validation_rows(key))
     return OneVsRest(classifier=gbt, featuresCol="features", labelCol=LABEL).fit(t)
 

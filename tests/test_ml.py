@@ -134,3 +134,70 @@ def test_knn_cv_matches_brute_force(spark):
     assert got.keys() == exp.keys()
     for k in exp:
         assert abs(got[k] - exp[k]) < 1e-12
+
+
+def test_scaling_keeps_null_rows(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, None)], "id long, x double")
+    z = {r.id: r.z_x for r in features.standardize(df, ["x"]).collect()}
+    assert z[3] is None and abs(z[1] + z[2]) < 1e-12 and abs(z[2] - 2 ** -0.5) < 1e-12
+
+
+def _blobs(spark, n=240):
+    rnd = np.random.default_rng(7)
+    rows = []
+    for i in range(n):
+        k = i % 3
+        rows.append((i, ["Lose", "Draw", "Win"][k], float(3 * k + rnd.normal()), float(rnd.normal()), float(-3 * k + rnd.normal()), i % 5, i % 4))
+    return spark.createDataFrame(rows, "fixture_id long, outcome string, f1 double, f2 double, f3 double, home_team_id int, away_team_id int").cache()
+
+
+def test_pca_scores_match_numpy(spark):
+    d = _blobs(spark)
+    cols = ["f1", "f2", "f3"]
+    tr, te = d.where("fixture_id < 200"), d.where("fixture_id >= 200")
+    a, b, names = features.pca_frame(tr, te, cols, share=0.999)
+    x = np.array(tr.orderBy("fixture_id").select(*cols).collect())
+    y = np.array(te.orderBy("fixture_id").select(*cols).collect())
+    mean, std = x.mean(0), x.std(0, ddof=1)
+    values, vectors = np.linalg.eigh(np.cov(((x - mean) / std).T))
+    vectors = vectors[:, np.argsort(-values)][:, :len(names)]
+    for frame, raw in ((a, x), (b, y)):
+        got = np.abs(np.array(frame.orderBy("fixture_id").select(*names).collect()))
+        assert np.allclose(got, np.abs((raw - mean) / std @ vectors), atol=1e-8)
+    p, q = features.bind_effects(a, b, names)
+    first = p.orderBy("fixture_id").first()["features"].toArray()
+    assert len(first) == len(names) + 5 + 4 and p.count() == 200 and q.count() == 40
+
+
+def test_lda_covariance_matches_numpy(spark):
+    d = _blobs(spark)
+    fit = models.lda_fit(d, ["f1", "f2", "f3"], "outcome")
+    x = np.array(d.orderBy("fixture_id").select("f1", "f2", "f3").collect())
+    pooled = sum(np.cov(x[k::3].T) * (len(x[k::3]) - 1) for k in range(3)) / (len(x) - 3)
+    assert np.allclose(fit["cov"], pooled, atol=1e-8)
+
+
+def test_boosted_fit_grows_many_trees_and_tuning_orders_points(spark):
+    d = models.prepare(_blobs(spark), ["f1", "f2", "f3"], "outcome")
+    m = models.fit_boosted(d, step=0.1, rounds=25, depth=2, key="fixture_id")
+    assert min(x.getNumTrees for x in m.models) > 10
+    pred = models.predict_boosted(m, d)
+    assert {r[0] for r in pred.select("prediction_label").distinct().collect()} == {"Lose", "Draw", "Win"}
+    assert evaluate.accuracy(pred, "outcome", "prediction_label").first().accuracy > 0.8
+    best = evaluate.best_round(models.boosting_history(m, d), ["member"]).collect()
+    assert len(best) == 3 and all(r.rounds > 10 and 1 <= r.best_round <= r.rounds for r in best)
+    table = models.tune_boosted(d, {"depth": [1, 2], "step": [0.3], "rounds": [3]}, "fixture_id", folds=2).collect()
+    assert len(table) == 2 and 0 < table[0].score <= table[1].score
+
+
+def test_svm_predicts_all_classes(spark):
+    d = models.prepare(features.standardize(_blobs(spark), ["f1", "f2", "f3"]), ["z_f1", "z_f2", "z_f3"], "outcome")
+    pred = models.predict_svm_ovo(models.svm_ovo(d, n_in=3, gamma=0.1), d)
+    assert pred.select("prediction_label").distinct().count() == 3
+    assert evaluate.accuracy(pred, "outcome", "prediction_label").first().accuracy > 0.8
+
+
+def test_importances_are_ordered(spark):
+    d = models.prepare(_blobs(spark), ["f1", "f2", "f3"], "outcome")
+    rows = models.importances(models.random_forest(d, trees=10), ["f1", "f2", "f3"]).collect()
+    assert [r.importance for r in rows] == sorted((r.importance for r in rows), reverse=True) and rows[-1].feature == "f2"
