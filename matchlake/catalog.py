@@ -790,11 +790,10 @@ def knn_tune(spark, sf_dir):
 
 @register("boosting_history", None)
 def boosting_history(spark, sf_dir):
-    """Per-round loss of the one-vs-rest boosted members on the test season,
-    with the best round per member (min and arg-min)."""
-    tr, te, _ = outcome_data(spark, sf_dir)
-    m = models.fit_boosted(tr, key="fixture_id", **BOOST)
-    return evaluate.best_round(models.boosting_history(m, te), ["member"])
+    """Validation loss of the boosted members by round: the best, where it is, and
+    the number of rounds."""
+    tr, _, _ = outcome_data(spark, sf_dir)
+    return evaluate.best_round(models.boosting_history(models.fit_boosted(tr, key="fixture_id", **BOOST)), ["member"])
 
 
 # ---- operators that other queries use only inside ------------------------

@@ -15,6 +15,7 @@ from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssemble
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchlake.functions.ranking import global_index
 from matchlake.functions.scalar import OUTCOME_LEVELS
 from matchlake.operators.joins import small_side
 
@@ -80,9 +81,13 @@ def model_frame(gold_match: DataFrame, keep_id: bool = False) -> DataFrame:
 
 def fixed_effects(df: DataFrame, home: str = "home_team_id", away: str = "away_team_id",
                   out: str = "match_combo") -> DataFrame:
-    """One dummy per (home, away) pairing, as a sparse one-hot vector."""
+    """One dummy per (home, away) pairing, as a sparse one-hot vector.  Pairings are
+    as many as the square of the teams, so they are numbered (by frequency, then by
+    text) in a table that is joined back, not in a fitted label list."""
     x = df.withColumn(out, F.concat_ws("_", F.col(home).cast("string"), F.col(away).cast("string")))
-    x = StringIndexer(inputCol=out, outputCol=out + "_index", stringOrderType="frequencyDesc").fit(x).transform(x)
+    counts = x.groupBy(out).agg(F.count(F.lit(1)).alias("__n"))
+    index = global_index(counts, [F.desc("__n"), F.asc(out)], out + "_index").drop("__n")
+    x = x.join(index.withColumn(out + "_index", F.col(out + "_index").cast("double")), out)
     return OneHotEncoder(inputCols=[out + "_index"], outputCols=[out + "_vec"], dropLast=False).fit(x).transform(x)
 
 

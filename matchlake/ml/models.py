@@ -14,7 +14,7 @@ from itertools import product
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRestModel,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
@@ -112,19 +112,44 @@ def validation_rows(key: str, percent: int = 10) -> Column:
     return bucket100(key) < percent
 
 
+def _first_lasting_minimum(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the best one, looking no further than ``patience``
+    rounds without a better one."""
+    best = 0
+    for r, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = r
+        elif r - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted(train: DataFrame, step: float = 0.01, rounds: int = 2500, depth: int = 6,
-                subsample: float = 1.0, seed: int = 123, key: str | None = None, **params):
-    """One-vs-rest gradient-boosted trees (Spark's GBT is binary).  With a ``key``,
-    each member stops in the first round whose loss on the validation rows does
-    not fall (Spark has no longer patience; its default tolerance of 1 % of the
-    loss would end a fit of small steps after one tree)."""
-    gbt = GBTClassifier(stepSize=step, maxIter=rounds, maxDepth=depth, subsamplingRate=subsample,
-                        seed=seed, featuresCol="features", labelCol=LABEL, **params)
-    t = train
-    if key:
-        gbt.setParams(validationIndicatorCol="__is_val", validationTol=0.0)
-        t = train.withColumn("__is_val", validation_rows(key))
-    return OneVsRest(classifier=gbt, featuresCol="features", labelCol=LABEL).fit(t)
+                subsample: float = 1.0, seed: int = 123, key: str | None = None, patience: int = 10, **params):
+    """One-vs-rest gradient-boosted trees (Spark's GBT is binary).
+
+    With a ``key``, each member is first fitted without the validation rows (by the
+    key's hash); its loss there after each round gives the best number of rounds,
+    with the given patience, and the member is fitted again on all rows with that
+    many.  Spark's own early stop has no patience, and its default tolerance of 1 %
+    of the loss would end a fit of small steps after one tree.  The losses are the
+    result's ``history``.
+    """
+    members, history = [], []
+    for i in range(len(OUTCOME_LEVELS)):
+        label = f"__y{i}"
+        gbt = GBTClassifier(stepSize=step, maxIter=rounds, maxDepth=depth, subsamplingRate=subsample,
+                            seed=seed, featuresCol="features", labelCol=label, **params)
+        t = train.withColumn(label, (F.col(LABEL) == float(i)).cast("double"))
+        losses = []
+        if key:
+            losses = gbt.fit(t.where(~validation_rows(key))).evaluateEachIteration(t.where(validation_rows(key)))
+            gbt.setMaxIter(_first_lasting_minimum(losses, patience))
+        members.append(gbt.fit(t))
+        history += [(i, r + 1, float(v)) for r, v in enumerate(losses)]
+    model = OneVsRestModel(models=members).setFeaturesCol("features")
+    model.history = history
+    return model
 
 
 def predict_boosted(model, test: DataFrame) -> DataFrame:
@@ -303,18 +328,9 @@ def fit_scores(train: DataFrame, features: Sequence[str], targets=("away_goals",
 
 # ---------------------------------------------------------------- history and formula
 
-def boosting_history(model, df: DataFrame, loss: str = "logistic") -> DataFrame:
-    """Per-round loss of every one-vs-rest member on ``df`` -> (member, round, metric)."""
-    spark = df.sparkSession
-    rows = []
-    members = model.models if hasattr(model, "models") else [model]
-    for i, m in enumerate(members):
-        # one-vs-rest members read a binary label under their own column name
-        lab = df.withColumn(m.getLabelCol(), (F.col(LABEL) == float(i)).cast("double")) \
-            if hasattr(model, "models") else df
-        for r, v in enumerate(m.evaluateEachIteration(lab)):
-            rows.append((i, r + 1, float(v)))
-    return spark.createDataFrame(rows, "member int, round int, metric double")
+def boosting_history(model) -> DataFrame:
+    """Validation loss of every member after each round: member, round, metric."""
+    return SparkSession.active().createDataFrame(model.history, "member int, round int, metric double")
 
 
 def score_history(model, df: DataFrame, targets=("away_goals", "home_goals")) -> DataFrame:

@@ -82,108 +82,94 @@ SELECT min(c_custkey) AS coach_id, team_id, start_date, end_date FROM (
   FROM customer) c
 GROUP BY team_id, start_date, end_date""")
 
+# --- silver -----------------------------------------------------------------
+
 _cte("silver_fixture", ["bronze_fixture", "bronze_standings"], """
-SELECT *, CASE WHEN away_goals > home_goals THEN 'Away'
-               WHEN away_goals < home_goals THEN 'Home'
-               ELSE 'Draw' END AS match_result
-FROM bronze_fixture bf
-WHERE bf.league_id IN (SELECT DISTINCT league_id FROM bronze_standings)
-  AND away_goals IS NOT NULL""")
+SELECT f.*, CASE sign(away_goals - home_goals) WHEN 1 THEN 'Away' WHEN -1 THEN 'Home' ELSE 'Draw' END AS match_result
+FROM bronze_fixture f SEMI JOIN bronze_standings k ON k.league_id = f.league_id
+WHERE away_goals IS NOT NULL""")
 
 _cte("silver_standing", ["bronze_standings"], "SELECT * FROM bronze_standings")
 
-_cte("silver_fixture_stat", ["bronze_fixture_stat", "bronze_standings"], """
-SELECT fixture_id, team_id,
-       try_cast(total_shots AS double) AS total_shots,
-       try_cast(regexp_replace(possession, '%', '', 'g') AS double) AS possession,
-       ifnull(try_cast(red_cards AS double), 0) AS red_cards,
-       try_cast(gk_saves AS double) AS gk_saves,
-       try_cast(fouls AS double) AS fouls,
-       try_cast(tot_passes AS double) AS tot_passes,
-       try_cast(a_passes AS double) AS a_passes
-FROM bronze_fixture_stat bf
-WHERE bf.team_id IN (SELECT DISTINCT team_id FROM bronze_standings)
-  AND total_shots IS NOT NULL""")
+#: statistic -> the text that is read as a number
+STAT_TEXT = {c: c for c in ("total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_passes", "a_passes")}
+STAT_TEXT["possession"] = "replace(possession, '%', '')"
+_NUMBERS = {c: f"try_cast({text} AS double)" for c, text in STAT_TEXT.items()}
+_NUMBERS["red_cards"] = f"coalesce({_NUMBERS['red_cards']}, 0)"
+
+_cte("silver_fixture_stat", ["bronze_fixture_stat", "bronze_standings"], f"""
+SELECT fixture_id, team_id, {', '.join(f'{number} AS {c}' for c, number in _NUMBERS.items())}
+FROM bronze_fixture_stat s SEMI JOIN bronze_standings k ON k.team_id = s.team_id
+WHERE total_shots IS NOT NULL""")
 
 _cte("silver_coach", ["bronze_coach"], """
-SELECT *, coalesce(end_date, '2099-12-31') AS calc_end_date FROM bronze_coach WHERE team_id IS NOT NULL""")
+SELECT *, CASE WHEN end_date IS NULL THEN '2099-12-31' ELSE end_date END AS calc_end_date
+FROM bronze_coach WHERE team_id IS NOT NULL""")
+
+# --- gold: everything hangs on one row for each team of a match ---------------
+
+_cte("team_matches", ["silver_fixture"], """
+SELECT f.fixture_id, f.fixture_date, f.season, x.side, x.team_id, x.opponent_id
+FROM silver_fixture f, LATERAL (VALUES ('home', f.home_team_id, f.away_team_id),
+                                       ('away', f.away_team_id, f.home_team_id)) x(side, team_id, opponent_id)""")
 
 _cte("prior_standing", ["silver_standing"], """
-SELECT DISTINCT season, team_id, rank AS prior_season_rank FROM silver_standing""")
+SELECT season, team_id, rank AS prior_season_rank FROM silver_standing GROUP BY ALL""")
+
+
+def _recent(direction: str) -> str:
+    """Named windows over a team's rows: the nine and the four before the current one
+    in the given direction of time."""
+    def window(n: int) -> str:
+        keys = ", ".join(f"{c} {direction}" for c in ("fixture_date", "fixture_id", "prior_season_rank"))
+        return f"(PARTITION BY team_id ORDER BY {keys} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    return f"WINDOW nine AS {window(9)}, four AS {window(4)}"
+
 
-_cte("team_form_input", ["silver_fixture", "silver_fixture_stat", "prior_standing"], """
-SELECT s.*, fd.fixture_date, st.prior_season_rank
+_cte("form", ["silver_fixture_stat", "team_matches", "prior_standing"], """
+SELECT s.*, s.a_passes / nullif(s.tot_passes, 0) AS pass_accuracy, m.fixture_date, p.prior_season_rank
 FROM silver_fixture_stat s
-JOIN (SELECT DISTINCT fixture_date, fixture_id, season FROM silver_fixture) fd USING (fixture_id)
-JOIN prior_standing st ON st.team_id = s.team_id AND (fd.season - 1) = st.season""")
-
-
-def _form(direction: str) -> str:
-    o = f"ORDER BY fixture_date {direction}, fixture_id {direction}, prior_season_rank {direction}"
-    w9 = f"OVER (PARTITION BY team_id {o} ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING)"
-    w4 = f"OVER (PARTITION BY team_id {o} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)"
-    return f"""
-SELECT team_id, fixture_id, prior_season_rank,
-       avg(total_shots) {w9} AS total_shots_avg,
-       avg(possession) {w9} AS possession_avg,
-       avg(red_cards) {w4} AS red_cards,
-       avg(gk_saves) {w9} AS gk_saves_avg,
-       avg(fouls) {w9} AS fouls_avg,
-       avg(a_passes / nullif(tot_passes, 0)) {w9} AS pass_accuracy_avg
-FROM team_form_input"""
-
-
-_cte("gold_team_stats", ["team_form_input"], _form("DESC"))
-_cte("gold_team_stats_asc", ["team_form_input"], _form("ASC"))
-
-_cte("team_opponent_rows", ["silver_fixture", "prior_standing"], """
-WITH fd AS (SELECT DISTINCT fixture_date, fixture_id, season, away_team_id, home_team_id FROM silver_fixture)
-SELECT fd.fixture_id, fd.home_team_id AS team_id, fd.fixture_date, fd.season, st.prior_season_rank
-FROM fd JOIN prior_standing st ON (fd.season - 1) = st.season AND st.team_id = fd.away_team_id
-UNION
-SELECT fd.fixture_id, fd.away_team_id AS team_id, fd.fixture_date, fd.season, st.prior_season_rank
-FROM fd JOIN prior_standing st ON (fd.season - 1) = st.season AND st.team_id = fd.home_team_id""")
-
-
-def _difficulty(direction: str) -> str:
-    return f"""
-SELECT fixture_id, team_id,
-       avg(prior_season_rank) OVER (PARTITION BY team_id
-            ORDER BY fixture_date {direction}, fixture_id {direction}, prior_season_rank {direction}
-            ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS rank_team_faced
-FROM team_opponent_rows"""
-
-
-_cte("gold_avg_team_difficulty", ["team_opponent_rows"], _difficulty("DESC"))
-
-_cte("team_lvl", ["gold_team_stats", "gold_avg_team_difficulty"], """
-SELECT g.*, d.rank_team_faced
-FROM gold_team_stats g
-JOIN gold_avg_team_difficulty d ON g.fixture_id = d.fixture_id AND g.team_id = d.team_id
-WHERE g.total_shots_avg IS NOT NULL""")
-
-_cte("gold_match_table", ["silver_fixture", "team_lvl", "silver_coach"], """
-SELECT sf.*,
-       away.rank_team_faced AS rank_team_faced_away,
-       home.rank_team_faced AS rank_team_faced_home,
-       away.total_shots_avg / nullif(home.total_shots_avg, 0) AS total_shots_r,
-       away.prior_season_rank / nullif(home.prior_season_rank, 0) AS prior_season_rank,
-       away.possession_avg / nullif(home.possession_avg, 0) AS possession_r,
-       away.red_cards AS red_cards_away,
-       home.red_cards AS red_cards_home,
-       away.gk_saves_avg / nullif(home.gk_saves_avg, 0) AS gk_saves_r,
-       away.fouls_avg / nullif(home.fouls_avg, 0) AS fouls_r,
-       away.pass_accuracy_avg / nullif(home.pass_accuracy_avg, 0) AS pass_accuracy_r,
-       away_coach.coach_id AS coach_id_away,
-       home_coach.coach_id AS coach_id_home
-FROM silver_fixture sf
-JOIN team_lvl away ON sf.fixture_id = away.fixture_id AND sf.away_team_id = away.team_id
-JOIN team_lvl home ON sf.fixture_id = home.fixture_id AND sf.home_team_id = home.team_id
-JOIN silver_coach away_coach ON away_coach.team_id = sf.away_team_id
-     AND sf.fixture_date BETWEEN away_coach.start_date AND away_coach.calc_end_date
-JOIN silver_coach home_coach ON home_coach.team_id = sf.home_team_id
-     AND sf.fixture_date BETWEEN home_coach.start_date AND home_coach.calc_end_date
-WHERE away.total_shots_avg / nullif(home.total_shots_avg, 0) IS NOT NULL""")
+JOIN (SELECT fixture_id, fixture_date, season FROM team_matches GROUP BY ALL) m ON m.fixture_id = s.fixture_id
+JOIN prior_standing p ON p.team_id = s.team_id AND p.season + 1 = m.season""")
+
+#: output -> (statistic, window)
+FORM = {"total_shots_avg": ("total_shots", "nine"), "possession_avg": ("possession", "nine"), "red_cards": ("red_cards", "four"),
+        "gk_saves_avg": ("gk_saves", "nine"), "fouls_avg": ("fouls", "nine"), "pass_accuracy_avg": ("pass_accuracy", "nine")}
+for _name, _direction in (("gold_team_stats", "DESC"), ("gold_team_stats_asc", "ASC")):
+    _cte(_name, ["form"], f"""
+SELECT team_id, fixture_id, prior_season_rank, {', '.join(f'avg({c}) OVER {w} AS {out}' for out, (c, w) in FORM.items())}
+FROM form {_recent(_direction)}""")
+
+_cte("team_opponent_rows", ["team_matches", "prior_standing"], """
+SELECT m.fixture_id, m.team_id, m.fixture_date, m.season, p.prior_season_rank
+FROM team_matches m JOIN prior_standing p ON p.team_id = m.opponent_id AND p.season + 1 = m.season
+GROUP BY ALL""")
+
+_cte("gold_avg_team_difficulty", ["team_opponent_rows"], f"""
+SELECT fixture_id, team_id, avg(prior_season_rank) OVER nine AS rank_team_faced
+FROM team_opponent_rows {_recent('DESC')}""")
+
+_cte("side", ["team_matches", "gold_team_stats", "gold_avg_team_difficulty", "silver_coach"], """
+SELECT m.side, t.*, d.rank_team_faced, c.coach_id
+FROM team_matches m
+JOIN gold_team_stats t ON t.fixture_id = m.fixture_id AND t.team_id = m.team_id
+JOIN gold_avg_team_difficulty d ON d.fixture_id = m.fixture_id AND d.team_id = m.team_id
+JOIN silver_coach c ON c.team_id = m.team_id AND c.start_date <= m.fixture_date AND m.fixture_date <= c.calc_end_date
+WHERE t.total_shots_avg IS NOT NULL""")
+
+#: column of both sides -> its ratio (away by home) in the match table
+RATIOS = {"total_shots_avg": "total_shots_r", "prior_season_rank": "prior_season_rank", "possession_avg": "possession_r",
+          "gk_saves_avg": "gk_saves_r", "fouls_avg": "fouls_r", "pass_accuracy_avg": "pass_accuracy_r"}
+#: columns that both sides keep
+KEPT = {"rank_team_faced": "rank_team_faced", "red_cards": "red_cards", "coach_id": "coach_id"}
+
+_cte("gold_match_table", ["silver_fixture", "side"], f"""
+SELECT f.*, {', '.join(f'a.{c} / nullif(h.{c}, 0) AS {out}' for c, out in RATIOS.items())},
+       {', '.join(f'a.{c} AS {out}_away, h.{c} AS {out}_home' for c, out in KEPT.items())}
+FROM silver_fixture f
+JOIN side a ON a.side = 'away' AND a.fixture_id = f.fixture_id
+JOIN side h ON h.side = 'home' AND h.fixture_id = f.fixture_id
+WHERE h.total_shots_avg <> 0""")
 
 
 def closure(names: list[str]) -> list[str]:

@@ -181,10 +181,11 @@ def test_boosted_fit_grows_many_trees_and_tuning_orders_points(spark):
     d = models.prepare(_blobs(spark), ["f1", "f2", "f3"], "outcome")
     m = models.fit_boosted(d, step=0.1, rounds=25, depth=2, key="fixture_id")
     assert min(x.getNumTrees for x in m.models) > 10
+    assert models._first_lasting_minimum([5, 4, 4.5, 4.2, 3, 9, 9, 9, 1], 3) == 5
     pred = models.predict_boosted(m, d)
     assert {r[0] for r in pred.select("prediction_label").distinct().collect()} == {"Lose", "Draw", "Win"}
     assert evaluate.accuracy(pred, "outcome", "prediction_label").first().accuracy > 0.8
-    best = evaluate.best_round(models.boosting_history(m, d), ["member"]).collect()
+    best = evaluate.best_round(models.boosting_history(m), ["member"]).collect()
     assert len(best) == 3 and all(r.rounds > 10 and 1 <= r.best_round <= r.rounds for r in best)
     table = models.tune_boosted(d, {"depth": [1, 2], "step": [0.3], "rounds": [3]}, "fixture_id", folds=2).collect()
     assert len(table) == 2 and 0 < table[0].score <= table[1].score
