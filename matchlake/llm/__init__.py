@@ -4,11 +4,3 @@ Every operator is a function from DataFrames to DataFrames with its own
 general interface; :mod:`matchlake.llm.queries` holds the thin registered
 queries.  Nothing outside this folder imports it.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions of this package travel to the executors with the tasks, so the
-# package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
