@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from matchlake.llm.common import bounded_batches, col, free_name, packed, unpacked
 
-CACHE_WORDS = 400_000  # distinct words that a worker remembers: some 70 MB
+CACHE_WORDS = 150_000  # distinct words that a worker remembers: some 30 MB
 CACHE_CHARS = 64  # longer words are encoded anew
 NO_RANK = np.iinfo(np.int32).max
 
@@ -99,7 +99,7 @@ def encode_words(words: list[bytes], v: Vocabulary) -> list[bytes]:
     """The ids of each (non-empty) word, as the bytes of 32-bit integers."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     sym = v.first[np.frombuffer(b"".join(words), np.uint8)]
-    word = np.repeat(np.arange(len(words)), lengths)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     done_sym, done_word = [], []
     rank = np.full(len(sym), NO_RANK, np.int32)
 
@@ -174,7 +174,7 @@ class Codec:
         return b"".join(map(self.v.pieces.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-TEXT_CHARS = 2_000_000  # characters whose words are held at once
+TEXT_CHARS = 400_000  # characters whose words are held at once
 
 
 def _in_parts(texts: pa.Array):
@@ -216,6 +216,7 @@ def transcoded(text: Column, vocabulary: str, decode: bool = True) -> Column:
 
     @F.arrow_udf(_RESULT)
     def udf(batch: pa.Array) -> pa.Array:
+        pa.default_memory_pool().release_unused()  # what earlier batches took goes back to the system
         codec, offsets, ids, texts = shared.value.get(), [0], [], []
         for part in _in_parts(batch):
             for x in codec.encoded(part):
