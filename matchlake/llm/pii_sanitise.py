@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,28 +184,6 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("end", T.IntegerType()), T.StructField("remove", T.BooleanType())])
 
 
-def _spans_udf(terms: dict[str, bool], base: bool):
-    """Spans of a text: personal data (if ``base``) and the given terms outside it."""
-
-    def spans(text: str | None) -> list[tuple[int, str, int, bool]]:
-        if not text:
-            return []
-        own = base_spans(text)
-        out = [(s, k, e, False) for s, k, e in own] if base else []
-        if terms and not terms.keys().isdisjoint({w.lower() for w in set(_WORD.findall(text))}):
-            for b, z, t in _terms(text):
-                if t in terms and not any(s < z and b < e for s, _, e in own):
-                    out.append((b, 4, z, terms[t]))
-            out.sort()
-        return [(s, KINDS[k], e, r) for s, k, e, r in out]
-
-    @F.pandas_udf(T.ArrayType(_SPAN))
-    def udf(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("start", "kind", "end", "remove"), x, strict=True)) for x in spans(t)] for t in texts], dtype=object)
-
-    return udf
-
-
 def rewritten(text: str, spans: list) -> str:
     """The text with each span replaced by its kind, or by nothing; spans that
     overlap an earlier one extend it."""
@@ -216,9 +195,38 @@ def rewritten(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
-@F.pandas_udf(T.StringType())
-def _rewrite(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([t if t is None or len(s) == 0 else rewritten(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+def _spans_of(text: str | None, terms: dict[str, bool], base: bool) -> list[dict]:
+    """Spans of a text: personal data (if ``base``) and the given terms outside it."""
+    if not text:
+        return []
+    own = base_spans(text)
+    out = [(s, k, e, False) for s, k, e in own] if base else []
+    if terms and not terms.keys().isdisjoint({w.lower() for w in set(_WORD.findall(text))}):
+        for b, z, t in _terms(text):
+            if t in terms and not any(s < z and b < e for s, _, e in own):
+                out.append((b, 4, z, terms[t]))
+        out.sort()
+    return [{"start": s, "kind": KINDS[k], "end": e, "remove": r} for s, k, e, r in out]
+
+
+def _sanitiser(terms: dict[str, bool], base: bool, rewrite: bool):
+    """Struct of spans and, if ``rewrite``, the rewritten text, from a text and the
+    spans found so far.  One function, so that a task needs one Python worker."""
+    result = T.StructType([T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("text", T.StringType())])
+
+    @F.pandas_udf(result)
+    def udf(texts: pd.Series, known: pd.Series) -> pd.DataFrame:
+        pa.default_memory_pool().release_unused()
+        spans, clean = [], []
+        for text, before in zip(texts, known, strict=True):
+            found = _spans_of(text, terms, base)
+            if before is not None and len(before):
+                found = sorted([*before, *found], key=lambda s: (s["start"], KINDS.index(s["kind"])))
+            spans.append(found)
+            clean.append(rewritten(text, found) if rewrite and found else text if rewrite else None)
+        return pd.DataFrame({"spans": pd.Series(spans, dtype=object), "text": pd.Series(clean, dtype=object)})
+
+    return udf
 
 
 def sanitise(docs: DataFrame, text: str = "text", *, rewrite: bool = True, carry: list[str] | None = None, out: str = "pii", **options) -> DataFrame:
@@ -240,13 +248,15 @@ def sanitise(docs: DataFrame, text: str = "text", *, rewrite: bool = True, carry
     terms = disclosing_terms(docs, text, **options)
     passes = max(1, math.ceil(terms.count() / BROADCAST_TERMS * 1.25)) if terms.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS else 1
     table = docs.select(packed(docs, names).alias("row"), col(text).alias("t"))
+    table = table.withColumn("spans", F.lit(None).cast(T.ArrayType(_SPAN)))
     for k in range(passes):
         part = terms if passes == 1 else terms.filter(F.pmod(F.xxhash64("t"), F.lit(passes)) == k)
-        spans = _spans_udf({r["t"]: r["remove"] for r in part.collect()}, k == 0)(F.col("t"))
-        table = table.withColumn("spans", spans if k == 0 else F.sort_array(F.concat("spans", spans)))
-        if k < passes - 1:
-            table = stored(table, f"pass{k}")
-    fields = [F.col("spans").alias("spans")] + ([_rewrite(F.col("t"), F.col("spans")).alias("text")] if rewrite else [])
+        last = k == passes - 1
+        found = _sanitiser({r["t"]: r["remove"] for r in part.collect()}, k == 0, rewrite and last)(F.col("t"), F.col("spans"))
+        table = table.select("row", "t", found.alias("found"))
+        if not last:
+            table = stored(table.select("row", "t", "found.spans"), f"pass{k}")
+    fields = [F.col("found.spans").alias("spans")] + ([F.col("found.text").alias("text")] if rewrite else [])
     return table.select(*unpacked(names), F.struct(*fields).alias(out))
 
 
