@@ -37,7 +37,7 @@ MIN_DOCUMENTS = 4  # labelled documents that must show a feature
 STRONG_ODDS = 3.0  # log odds from which a word counts as strongly toxic
 LEVELS = 3  # grades above 0
 MIN_RATIO = 12.0
-RIDGE = 3e-4
+RIDGE = 1e-4
 STEPS = 300
 PREFIXES = (4, 5)
 FEATURE_CHARS = 40
