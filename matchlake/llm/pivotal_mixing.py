@@ -169,4 +169,6 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     decided = sized.join(up, "pos", "left").select(F.col("pos").alias("key"), F.struct("size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")).alias("m"))
     decided = stored(decided, "copies")
     wanted = rows.select("key", F.struct(*unpacked(names)).alias("row")) if names else rows
-    return wanted.join(broadcast_if_small(decided, BROADCAST_KEYS), "key").select(*unpacked(names), F.col("m").alias(out))
+    if carry is None:  # whole texts stay where they are, if the decisions may be broadcast
+        decided = broadcast_if_small(decided, BROADCAST_KEYS)
+    return wanted.join(decided, "key").select(*unpacked(names), F.col("m").alias(out))
