@@ -811,10 +811,12 @@ def ok_calls(spark, sf_dir):
 
 @register("managed_standing", oracle.table_sql("silver_standing"))
 def managed_standing(spark, sf_dir):
-    """Standings as a managed table and a view on it, read by name."""
+    """Standings as a table of the catalog and a view on it, read by name.  Each call
+    has a table of its own, so that none overwrites one that is being read."""
     standing = silver_all(spark, sf_dir, "silver_standing")["silver_standing"]
-    tables.materialize(tables.materialize(standing, "matchlake_silver_standing", kind="table"), "matchlake_standing_view")
-    return tables.table(spark, "matchlake_standing_view")
+    name = f"silver_standing_{uuid.uuid4().hex}"
+    tables.materialize(tables.materialize(standing, name, kind="table", path=scratch_dir(spark, name)), f"{name}_view")
+    return tables.table(spark, f"{name}_view")
 
 
 @register("difficulty_ordered", oracle.table_sql("gold_avg_team_difficulty"))
