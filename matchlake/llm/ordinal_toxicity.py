@@ -85,13 +85,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -500, 500)))
 
 
-def fit(rows: list[list[tuple[int, float]]], grades: np.ndarray, size: int, levels: int = LEVELS, ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+def fit(doc: np.ndarray, at: np.ndarray, x: np.ndarray, grades: np.ndarray, size: int, levels: int = LEVELS, ridge: float = RIDGE,
+        steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient steps (Adam) on the likelihood of the
-    grades.  Thresholds are the first one plus positive gaps, so they stay ordered."""
-    n = len(rows)
-    doc = np.repeat(np.arange(n), [len(r) for r in rows])
-    at = np.array([i for r in rows for i, _ in r], np.int64)
-    x = np.array([v for r in rows for _, v in r], float)
+    grades.  Document ``doc[j]`` has value ``x[j]`` for feature ``at[j]``.  Thresholds
+    are the first one plus positive gaps, so they stay ordered."""
+    n = len(grades)
     share = np.clip([np.mean(grades > k) if n else 0.0 for k in range(levels)], 1e-3, 1 - 1e-3)
     theta = np.log((1 - share) / share)
     gaps = np.log(np.maximum(np.diff(theta), 0.1))
@@ -118,23 +117,23 @@ def _vectors(index: dict[str, int], strong: frozenset[str]):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
-            for text, t in zip(pdf["text"], pdf["toxic"], strict=True):
+            for text, t, h in zip(pdf["text"], pdf["toxic"], pdf["h"], strict=True):
                 found = features(text)
                 pairs = sorted((index[f], float(np.log1p(n))) for f, n in found.items() if f in index)
-                rows.append((bool(t), [i for i, _ in pairs], [v for _, v in pairs], sum(n for f, n in found.items() if f in strong)))
-            yield pd.DataFrame(rows, columns=["toxic", "at", "value", "strong"])
+                rows.append((bool(t), h, [i for i, _ in pairs], [v for _, v in pairs], sum(n for f, n in found.items() if f in strong)))
+            yield pd.DataFrame(rows, columns=["toxic", "h", "at", "value", "strong"])
 
     return run
 
 
 def _fitted(size: int, levels: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(key=[(t, s, tuple(a), tuple(v)) for t, s, a, v in zip(pdf["toxic"], pdf["strong"], pdf["at"], pdf["value"], strict=True)]).sort_values("key")
+        pdf = pdf.sort_values(["h", "toxic"])  # the same order, and so the same sums, in every run
         toxic, strong = pdf["toxic"].to_numpy(bool), pdf["strong"].to_numpy(float)
         cuts = np.quantile(strong[toxic], np.arange(1, levels) / levels) if toxic.any() else np.zeros(levels - 1)
         grades = np.where(toxic, 1 + (strong[:, None] > cuts[None, :]).sum(axis=1), 0)
-        rows = [list(zip(a, v, strict=True)) for a, v in zip(pdf["at"], pdf["value"], strict=True)]
-        weights, thresholds = fit(rows, grades, size, levels)
+        doc = np.repeat(np.arange(len(pdf)), [len(a) for a in pdf["at"]])
+        weights, thresholds = fit(doc, np.concatenate([*pdf["at"], []]).astype(np.int64), np.concatenate([*pdf["value"], []]), grades, size, levels)
         return pd.DataFrame({"weights": [weights.tolist()], "thresholds": [thresholds.tolist()]})
 
     return run
@@ -148,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     chosen = labels.select(col(doc_id).alias("id"), (col(toxic).cast("int") != 0).alias("toxic")).filter("id is not null and toxic is not null")
     chosen = chosen.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     chosen = stored(chosen, "labelled")
-    sample = docs.select(col(doc_id).alias("id"), col(text).alias("text")).join(F.broadcast(chosen), "id").select("text", "toxic")
+    sample = docs.select(col(doc_id).alias("id"), col(text).alias("text")).join(F.broadcast(chosen), "id").select("text", "toxic", F.xxhash64("text").alias("h"))
     counts = sample.mapInPandas(_counted, "f string, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).filter(F.col("n") >= MIN_DOCUMENTS)
     total = sample.agg(F.count("*").alias("n"), F.sum(F.col("toxic").cast("int")).alias("t")).first()
     of_toxic, of_clean = float(total["t"] or 0), float(total["n"] - (total["t"] or 0))
@@ -160,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     best = counts.select("f", odds.alias("odds"), ratio.alias("ratio")).filter(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "f").limit(max_features).collect()
     index = {r["f"]: k for k, r in enumerate(best)}
     strong = frozenset(r["f"] for r in best if r["odds"] >= STRONG_ODDS and not r["f"].endswith("*"))
-    vectors = sample.mapInPandas(_vectors(index, strong), "toxic boolean, at array<int>, value array<double>, strong long")
+    vectors = sample.mapInPandas(_vectors(index, strong), "toxic boolean, h long, at array<int>, value array<double>, strong long")
     one = vectors.groupBy(F.lit("all").alias("model")).applyInPandas(_fitted(len(index), levels), "weights array<double>, thresholds array<double>").first()
     if one is None:  # no labelled document: nothing is toxic
         return Model({}, np.zeros(0), np.full(levels, 50.0))

@@ -191,7 +191,7 @@ def test_ordinal_fit_recovers_thresholds():
     rng = np.random.default_rng(0)
     x = rng.normal(size=4000) * 2
     grades = (1.5 * x[:, None] + rng.logistic(size=(4000, 1)) > np.array([[-1.0, 1.0, 3.0]])).sum(axis=1)
-    w, theta = ordinal_toxicity.fit([[(0, v)] for v in x], grades, 1, ridge=0.0)
+    w, theta = ordinal_toxicity.fit(np.arange(4000), np.zeros(4000, int), x, grades, 1, ridge=0.0)
     assert abs(w[0] - 1.5) < 0.15 and np.abs(theta - [-1, 1, 3]).max() < 0.25
 
 
