@@ -57,11 +57,6 @@ def item(arr, index: int, field: str | None = None) -> Column:
     return e.getField(field) if field else e
 
 
-def render(template: str, *cols) -> Column:
-    """printf-style request text, e.g. render('league=%d&season=%d', 'league', 'season')."""
-    return F.format_string(template, *[_c(c) for c in cols])
-
-
 def class_from_probs(p_lose, p_draw, p_win) -> Column:
     """Largest of three probabilities -> level; both tests strict, so ties go to 'Lose'."""
     lo, dr, wi = _c(p_lose), _c(p_draw), _c(p_win)

@@ -24,7 +24,6 @@ from matchlake.operators.joins import small_side
 MODEL_DROP = ["fixture_date", "fixture_id", "referee", "venue_id", "status", "away_team_id",
               "home_team_id", "match_result", "coach_id_home", "coach_id_away", "league_id", "season"]
 CATEGORICAL = ["coach_id_home", "league_id", "season", "coach_id_away"]
-TARGETS = ["away_goals", "home_goals"]
 RATIO_FEATURES = ["rank_team_faced_away", "rank_team_faced_home", "total_shots_r", "prior_season_rank",
                   "possession_r", "red_cards_away", "red_cards_home", "gk_saves_r", "fouls_r",
                   "pass_accuracy_r"]

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.functions.scalar import within
+
 
 BROADCAST_ROWS = 200_000  # of a few numbers and short texts: some 20 MB
 
@@ -53,7 +55,7 @@ def coach_on_date(fx: DataFrame, coach: DataFrame, team_col: str, date_col: str
     """
     c = coach.select(F.col("team_id").alias("__team"), F.col("start_date").alias("__start"),
                      F.col("calc_end_date").alias("__end"), F.col("coach_id").alias(out))
-    cond = (F.col(team_col) == F.col("__team")) & F.col(date_col).between(F.col("__start"), F.col("__end"))
+    cond = (F.col(team_col) == F.col("__team")) & within(date_col, "__start", "__end")
     return fx.join(small_side(c), cond).drop("__team", "__start", "__end")
 
 

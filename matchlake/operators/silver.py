@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from matchlake.functions.scalar import calc_end, match_result, null_default, pct_to_double, to_double
 from matchlake.operators.joins import small_side
 
-STAT_COLS = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "tot_passes", "a_passes"]
-
 
 def known(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
     """``col IN (SELECT DISTINCT col FROM ids)`` as a left-semi join.
