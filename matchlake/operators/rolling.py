@@ -64,14 +64,17 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     n_max = max(n for _, _, n in specs)
     vals = [e.alias(f"__v{i}") for i, (_, e, _) in enumerate(specs)]
     part = keys + ["__chunk"]
-    # one hash exchange on (key, chunk) feeds both windows below (the union
-    # keeps that partitioning, so the final window adds no exchange)
-    base = df.select(*keys, *[c for c in dict.fromkeys(order + out_cols) if c not in keys],
-                     chunk.alias("__chunk"), *vals).repartition(*part)
-
-    # the last n rows (in frame order) of every chunk: candidates for the halo
+    rows = df.select(*keys, *[c for c in dict.fromkeys(order + out_cols) if c not in keys],
+                     chunk.alias("__chunk"), *vals)
+    # the only exchange of all rows; the union keeps its partitioning, so the
+    # final window adds none
+    base = rows.repartition(*part)
+
+    # the last n rows (in frame order) of every chunk: candidates for the halo.
+    # Not taken from ``base``: before its own exchange Spark limits them to n rows
+    # of a chunk in each task
     tail_w = Window.partitionBy(*part).orderBy(*_reverse(order, direction))
-    tail = base.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max)
+    tail = rows.withColumn("__rn", F.row_number().over(tail_w)).where(F.col("__rn") <= n_max)
 
     # for every chunk the next n chunks (in frame order), each with the number
     # of rows between: counts are combined map-side, one row per (key, chunk)
@@ -90,9 +93,9 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         .select("*", F.col("__t.chunk").alias("__chunk")) \
         .withColumn("__halo", F.lit(True)).select(*base.columns, "__halo").repartition(*part)
 
-    rows = base.withColumn("__halo", F.lit(False)).unionByName(halo)
+    every = base.withColumn("__halo", F.lit(False)).unionByName(halo)
     w = Window.partitionBy(*part).orderBy(*_order(order, direction))
-    res = rows.select(
+    res = every.select(
         *out_cols, "__halo",
         *[F.avg(F.col(f"__v{i}")).over(w.rowsBetween(-n, -1)).alias(name)
           for i, (name, _, n) in enumerate(specs)],

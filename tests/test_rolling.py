@@ -67,6 +67,15 @@ def test_chunked_plan_partitions_by_key_and_chunk(spark):
     assert lines and all("__chunk" in ln or "__targets" in ln or "ENSURE_REQUIREMENTS" in ln for ln in lines)
 
 
+def test_tail_rows_are_limited_before_their_exchange(spark):
+    df = spark.createDataFrame(_data(n=200), "k long, d string, id long, v double")
+    res = rolling_mean(df, ["k"], ["d", "id"], [("m", F.col("v"), 9)], chunk=F.substring("d", 1, 7))
+    text = res._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in text and "Partial" in text
+    full = [ln for ln in text.splitlines() if "REPARTITION_BY_COL" in ln or "RepartitionByExpression" in ln]
+    assert len(full) == 2          # all rows once, and the halo rows
+
+
 def test_a_chunk_gets_at_most_n_halo_rows(spark):
     df = spark.createDataFrame(_data(), "k long, d string, id long, v double")
     res = rolling_mean(df, ["k"], ["d", "id"], [("m9", F.col("v"), 9), ("m4", F.col("v"), 4)], chunk=F.col("d"), keep=["k", "id"])
