@@ -24,8 +24,8 @@ def bounded_batches(df: DataFrame) -> None:
     rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
         conf.set(rows, str(BATCH_ROWS))
-    now = conf.get(size)
-    if not (now.rstrip("b").isdigit() and 0 < int(now.rstrip("b")) <= BATCH_BYTES):
+    now = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(size))
+    if not 0 < now <= BATCH_BYTES:
         conf.set(size, str(BATCH_BYTES))
 
 
