@@ -46,6 +46,7 @@ MIN_TEXTS = 5  # distinct texts that must show a term beside an entity
 ALPHA = 1.25  # a term is generalised at PMI >= IC / ALPHA ...
 ALPHA_REMOVE = 1.05  # ... and removed at PMI >= IC / ALPHA_REMOVE
 MIN_TERM = 3  # letters
+PARTS = 16  # a term is first counted in one of so many parts of the corpus, for a lower bound
 BROADCAST_TERMS = 200_000  # terms of at most TERM_CHARS characters: at most some 20 MB
 TERM_CHARS = 100
 
@@ -151,6 +152,17 @@ def _occurrences(wanted: frozenset[str] | None):
     return run
 
 
+def _texts_with(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(t, n_t)``: in how many distinct texts each of the terms occurs."""
+    schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("h", T.LongType())])
+    known = [r["t"] for r in terms.limit(BROADCAST_TERMS + 1).collect()]
+    few = len(known) <= BROADCAST_TERMS
+    seen = texts.select("h", "text").mapInPandas(_occurrences(frozenset(known) if few else None), schema)
+    if not few:
+        seen = seen.join(terms, "t", "left_semi")
+    return seen.distinct().groupBy("t").agg(F.count("*").alias("n_t"))
+
+
 def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEXTS, alpha: float = ALPHA, alpha_remove: float = ALPHA_REMOVE) -> DataFrame:
     """``(t, remove)``: the terms that disclose an entity by more than the
     threshold, and whether they do so fully.  Also see the module's text."""
@@ -167,17 +179,15 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     ic = F.log(float(total) / F.col("n_e"))
     enough = (ic > 0) & (pmi >= ic / alpha - 1e-9)
     joint = stored(joint.join(n_e, "e").join(beside, "t").filter(enough).drop("n_t"), "bounded")
-    candidates = joint.select("t").distinct()
-    schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("h", T.LongType())])
-    known = [r["t"] for r in candidates.limit(BROADCAST_TERMS + 1).collect()]
-    few = len(known) <= BROADCAST_TERMS
-    if not known:
+    if joint.limit(1).count() == 0:
         return joint.select("t", F.lit(False).alias("remove"))
-    seen = texts.select("h", "text").mapInPandas(_occurrences(frozenset(known) if few else None), schema)
-    if not few:
-        seen = seen.join(candidates, "t", "left_semi")
-    n_t = seen.distinct().groupBy("t").agg(F.count("*").alias("n_t"))
-    found = joint.join(n_t, "t").filter(enough).select("t", pmi.alias("pmi"), ic.alias("ic"))
+    # So has it at least the texts of a part of the corpus that show it anywhere.
+    part = _texts_with(texts.filter(F.pmod("h", F.lit(PARTS)) == 0), joint.select("t").distinct())
+    at_least = F.greatest(F.coalesce("n_t", F.lit(0)), F.lit(1))
+    joint = stored(joint.join(part, "t", "left").withColumn("n_t", at_least).filter(enough).drop("n_t"), "rare")
+    if joint.limit(1).count() == 0:
+        return joint.select("t", F.lit(False).alias("remove"))
+    found = joint.join(_texts_with(texts, joint.select("t").distinct()), "t").filter(enough).select("t", pmi.alias("pmi"), ic.alias("ic"))
     return stored(found.groupBy("t").agg(F.max(F.col("pmi") >= F.col("ic") / alpha_remove - 1e-9).alias("remove")), "terms")
 
 
