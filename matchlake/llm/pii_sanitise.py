@@ -10,9 +10,10 @@ some entity reveal too much: fully revealing ones (``PMI >= IC / alpha_remove``)
 are removed, the others generalised to a placeholder.
 
 Probabilities are shares of distinct texts (copies are one piece of evidence).
-``p(e, t)`` counts texts with ``t`` within ``reach`` words of ``e``: each
-occurrence of an entity gives at most ``2 * reach`` pairs, so pairs grow with the
-personal data and not with the square of anything.
+``p(e, t)`` counts the texts that hold both, wherever in the text.  As a term passes
+only up to a number of texts that follows from ``e`` alone, common words drop out
+before they are paired; entities that lie in the same texts have equal information
+and are paired once, so a text full of personal data does not multiply its words.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,14 +44,12 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _SEPARATORS = str.maketrans("", "", " -")
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
-REACH = 5  # words on either side of an entity
-MIN_TEXTS = 5  # distinct texts that must show a term beside an entity
+MIN_TEXTS = 5  # distinct texts that must show a term with an entity
 ALPHA = 1.25  # a term is generalised at PMI >= IC / ALPHA ...
 ALPHA_REMOVE = 1.05  # ... and removed at PMI >= IC / ALPHA_REMOVE
 MIN_TERM = 3  # letters
-PARTS = 16  # a term is first counted in one of so many parts of the corpus, for a lower bound
-BROADCAST_TERMS = 200_000  # terms of at most TERM_CHARS characters: at most some 20 MB
 TERM_CHARS = 100
+BROADCAST_TERMS = 4_000_000  # terms by hash, 12 bytes each: at most 48 MB
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -99,96 +100,144 @@ def entity(text: str, span: Span) -> str:
     return f"{KINDS[span[1]]}:{value}"
 
 
-def _terms(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in _WORD.finditer(text):
+def _terms(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """The words outside the spans, in lower case."""
+    parts, at = [], 0
+    for start, _, end in spans:  # by start; they may overlap
+        if end > at:
+            parts += [text[at:start], " " * (end - max(at, start))]
+            at = end
+    for m in _WORD.finditer("".join([*parts, text[at:]]) if spans else text):
         if MIN_TERM <= m.end() - m.start() <= TERM_CHARS:
             yield m.start(), m.end(), m[0].lower()
 
 
-def contexts(text: str, reach: int = REACH) -> set[tuple[str, str]]:
-    """(entity, term) for the terms within ``reach`` words of an entity; entities
-    without a term nearby appear with an empty one."""
-    spans, out = base_spans(text), set()
-    for s in spans:
-        e = entity(text, s)
-        out.add((e, ""))
-        width = reach * 40
-        while True:  # widen the window until it holds enough words or ends at the text's
-            left, right = max(0, s[0] - width), min(len(text), s[2] + width)
-            before = [(b, z) for b, z, _ in ((m.start() + left, m.end() + left, 0) for m in re.finditer(r"[^\x20\x09-\x0D]+", text[left:s[0]]))]
-            after = [(m.start() + s[2], m.end() + s[2]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text[s[2]:right])]
-            if (left == 0 or len(before) > reach) and (right == len(text) or len(after) > reach):
-                break
-            width *= 4
-        parts = ([(before[-reach:][0][0], s[0])] if before[-reach:] else []) + ([(s[2], after[:reach][-1][1])] if after[:reach] else [])
-        for left, right in parts:
-            for b, z, term in _terms(text[left:right]):
-                if not any(o[0] < left + z and left + b < o[2] for o in spans):
-                    out.add((e, term))
-    return out
-
-
-_EVIDENCE = T.StructType([T.StructField("e", T.StringType()), T.StructField("t", T.StringType()), T.StructField("h", T.LongType())])
-
-
-def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _distinct_terms(text: str, spans: list[Span]) -> list[str]:
+    if spans:
+        return list({t for _, _, t in _terms(text, spans)})
+    return list({w.lower() for w in set(_WORD.findall(text)) if MIN_TERM <= len(w) <= TERM_CHARS})
+
+
+def _keys(terms: list[str]) -> np.ndarray:
+    """Spark's xxhash64 of each term."""
+    return np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in terms), np.uint64, len(terms)).view(np.int64)
+
+
+def _places(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Where each of ``of`` is in the sorted ``keys``; -1 if it is not."""
+    if not len(keys):
+        return np.full(len(of), -1)
+    at = np.minimum(np.searchsorted(keys, of), len(keys) - 1)
+    return np.where(keys[at] == of, at, -1)
+
+
+def entities(text: str, spans: list[Span]) -> set[str]:
+    return {entity(text, s) for s in spans}
+
+
+def contexts(text: str) -> set[tuple[str, str]]:
+    """(entity, term) for the entities and terms of a text; each entity also
+    appears with an empty term."""
+    spans = base_spans(text)
+    terms = ["", *_distinct_terms(text, spans)]
+    return {(e, t) for e in entities(text, spans) for t in terms}
+
+
+_PRIVATE = T.StructType([T.StructField("h", T.LongType()), T.StructField("es", T.ArrayType(T.StringType())), T.StructField("ts", T.ArrayType(T.StringType()))])
+
+
+def _private(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The entities and terms of the texts that hold an entity."""
     for pdf in frames:
-        rows = [(e, t, h) for h, text in zip(pdf["h"], pdf["text"], strict=True) if text for e, t in contexts(text)]
-        yield pd.DataFrame(rows, columns=["e", "t", "h"])
+        rows = []
+        for h, text in zip(pdf["h"], pdf["text"], strict=True):
+            if text and (spans := base_spans(text)):
+                rows.append((h, sorted(entities(text, spans)), sorted(_distinct_terms(text, spans))))
+        yield pd.DataFrame(rows, columns=["h", "es", "ts"])
+
+
+_SEEN = T.StructType([T.StructField("k", T.LongType()), T.StructField("h", T.LongType())])
 
 
-def _occurrences(wanted: frozenset[str] | None):
-    """(term, text hash) for the distinct terms of each text, or those ``wanted``."""
+def _occurrences(keys: np.ndarray, limits: np.ndarray):
+    """(term key, text hash) for the given terms of each text.  A task shows at most
+    one text more than a term's limit, which is enough to see that it has too many."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, done = limits.astype(np.int64) + 1, set()
         for pdf in frames:
-            rows = []
+            ks, hs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for h, text in zip(pdf["h"], pdf["text"], strict=True):
-                if text:
-                    words = {w.lower() for w in set(_WORD.findall(text)) if MIN_TERM <= len(w) <= TERM_CHARS}
-                    rows += [(t, h) for t in (words if wanted is None else words & wanted)]
-            yield pd.DataFrame(rows, columns=["t", "h"])
+                if text and h not in done:
+                    done.add(h)
+                    at = _places(keys, _keys(_distinct_terms(text, base_spans(text))))
+                    at = at[at >= 0]
+                    at = at[left[at] > 0]
+                    left[at] -= 1
+                    ks.append(keys[at])
+                    hs.append(np.full(len(at), h, np.int64))
+            yield pd.DataFrame({"k": np.concatenate(ks), "h": np.concatenate(hs)})
 
     return run
 
 
+def _passes(terms: DataFrame) -> list[DataFrame]:
+    """``terms`` in parts of at most about BROADCAST_TERMS."""
+    n = terms.count()
+    if n <= BROADCAST_TERMS:
+        return [terms]
+    parts = math.ceil(n / BROADCAST_TERMS * 1.25)
+    return [terms.filter(F.pmod("k", F.lit(parts)) == p) for p in range(parts)]
+
+
 def _texts_with(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(t, n_t)``: in how many distinct texts each of the terms occurs."""
-    schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("h", T.LongType())])
-    known = [r["t"] for r in terms.limit(BROADCAST_TERMS + 1).collect()]
-    few = len(known) <= BROADCAST_TERMS
-    seen = texts.select("h", "text").mapInPandas(_occurrences(frozenset(known) if few else None), schema)
-    if not few:
-        seen = seen.join(terms, "t", "left_semi")
-    return seen.distinct().groupBy("t").agg(F.count("*").alias("n_t"))
+    """``(k, n_t)``: in how many distinct texts each of the terms ``(k, most)``
+    occurs; beyond ``most``, some number that is larger than it."""
+    seen = None
+    for part in _passes(terms):
+        known = part.select("k", F.least("most", F.lit(2.0**30)).cast("int").alias("most")).toArrow()
+        keys, limits = known["k"].to_numpy(), known["most"].to_numpy()
+        order = np.argsort(keys)
+        found = texts.select("h", "text").mapInPandas(_occurrences(keys[order], limits[order]), _SEEN)
+        seen = found if seen is None else seen.unionByName(found)
+    return seen.distinct().groupBy("k").agg(F.count("*").alias("n_t"))
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEXTS, alpha: float = ALPHA, alpha_remove: float = ALPHA_REMOVE) -> DataFrame:
-    """``(t, remove)``: the terms that disclose an entity by more than the
-    threshold, and whether they do so fully.  Also see the module's text."""
+    """``(t, remove, k)``: the terms that disclose an entity by more than the
+    threshold, whether they do so fully, and their hash.  Also see the module's text.
+
+    With ``p = n_e / N``, ``PMI >= IC / alpha`` is ``n_t <= n_et / p ** (1 - 1 / alpha)``.
+    As ``n_et <= n_e``, an entity has a greatest ``n_t`` of its own; and a term needs
+    of all its entities only the greatest ``n_t`` that any of them allows it.
+    """
     bounded_batches(docs)
-    texts = docs.select(col(text).alias("text"), F.xxhash64(col(text)).alias("h"))
-    pairs = stored(texts.filter("text is not null").select("h", "text").mapInPandas(_evidence, _EVIDENCE).distinct(), "evidence")
-    joint = stored(pairs.filter("t <> ''").groupBy("e", "t").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= min_texts), "joint")
-    # A term has at least the texts that show it beside any entity, which bounds its
-    # information from above: common words drop out before the corpus is counted.
-    beside = pairs.filter("t <> ''").select("t", "h").distinct().groupBy("t").agg(F.count("*").alias("n_t"))
-    n_e = pairs.filter("t = ''").groupBy("e").agg(F.count("*").alias("n_e"))
-    total = texts.filter("text is not null").select("h").distinct().count()
-    pmi = F.log(F.col("n_et") * float(total) / (F.col("n_e") * F.col("n_t")))
-    ic = F.log(float(total) / F.col("n_e"))
-    enough = (ic > 0) & (pmi >= ic / alpha - 1e-9)
-    joint = stored(joint.join(n_e, "e").join(beside, "t").filter(enough).drop("n_t"), "bounded")
-    if joint.limit(1).count() == 0:
-        return joint.select("t", F.lit(False).alias("remove"))
-    # So has it at least the texts of a part of the corpus that show it anywhere.
-    part = _texts_with(texts.filter(F.pmod("h", F.lit(PARTS)) == 0), joint.select("t").distinct())
-    at_least = F.greatest(F.coalesce("n_t", F.lit(0)), F.lit(1))
-    joint = stored(joint.join(part, "t", "left").withColumn("n_t", at_least).filter(enough).drop("n_t"), "rare")
+    texts = docs.select(col(text).alias("text"), F.xxhash64(col(text)).alias("h")).filter("text is not null")
+    private = stored(texts.select("h", "text").mapInPandas(_private, _PRIVATE).dropDuplicates(["h"]), "private")
+    total = float(texts.select("h").distinct().count())
+    share = F.col("n_e") / F.lit(total)
+
+    def most(n_et: Column, a: float) -> Column:
+        return n_et * F.pow(share, F.lit(1 / a - 1)) * math.exp(1e-9)
+
+    held = private.select(F.explode("es").alias("e"), "h")
+    same = [F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")]
+    found = held.groupBy("e").agg(F.count("*").alias("n_e"), *same).filter(F.col("n_e") < total)
+    one = found.groupBy("n_e", "x", "y").agg(F.min("e").alias("e"))
+    one = stored(one.select("e", "n_e", most(F.col("n_e"), alpha).alias("bound")), "entities")
+    words = private.select(F.explode("ts").alias("t"), "h")
+    widest = one.agg(F.max("bound")).first()[0] or 0.0
+    # A term has at least the texts that show it with any entity.
+    least = words.groupBy("t").agg(F.count("*").alias("least")).filter(F.col("least") <= widest)
+    pairs = words.join(least, "t").join(held.join(one, "e"), "h").filter(F.col("least") <= F.col("bound"))
+    joint = pairs.groupBy("e", "t", "least", "n_e").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= min_texts)
+    joint = joint.select("t", "least", most(F.col("n_et"), alpha).alias("most"), most(F.col("n_et"), alpha_remove).alias("most_removed"))
+    joint = joint.filter(F.col("least") <= F.col("most")).groupBy("t").agg(F.max("most").alias("most"), F.max("most_removed").alias("most_removed"))
+    joint = stored(joint.withColumn("k", F.xxhash64("t")), "joint")
     if joint.limit(1).count() == 0:
-        return joint.select("t", F.lit(False).alias("remove"))
-    found = joint.join(_texts_with(texts, joint.select("t").distinct()), "t").filter(enough).select("t", pmi.alias("pmi"), ic.alias("ic"))
-    return stored(found.groupBy("t").agg(F.max(F.col("pmi") >= F.col("ic") / alpha_remove - 1e-9).alias("remove")), "terms")
+        return joint.select("t", F.lit(False).alias("remove"), "k")
+    counted = joint.join(_texts_with(texts, joint), "k").filter(F.col("n_t") <= F.col("most"))
+    return stored(counted.select("t", (F.col("n_t") <= F.col("most_removed")).alias("remove"), "k"), "terms")
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("end", T.IntegerType()), T.StructField("remove", T.BooleanType())])
@@ -205,21 +254,23 @@ def rewritten(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
-def _spans_of(text: str | None, terms: dict[str, bool], base: bool) -> list[dict]:
-    """Spans of a text: personal data (if ``base``) and the given terms outside it."""
+def _spans_of(text: str | None, keys: np.ndarray, remove: np.ndarray, base: bool) -> list[dict]:
+    """Spans of a text: personal data (if ``base``) and the terms of the given keys outside it."""
     if not text:
         return []
     own = base_spans(text)
     out = [(s, k, e, False) for s, k, e in own] if base else []
-    if terms and not terms.keys().isdisjoint({w.lower() for w in set(_WORD.findall(text))}):
-        for b, z, t in _terms(text):
-            if t in terms and not any(s < z and b < e for s, _, e in own):
-                out.append((b, 4, z, terms[t]))
-        out.sort()
+    if len(keys):
+        words = _distinct_terms(text, own)
+        at = _places(keys, _keys(words))
+        found = {words[k]: bool(remove[at[k]]) for k in np.flatnonzero(at >= 0)}
+        if found:
+            out += [(b, 4, z, found[t]) for b, z, t in _terms(text, own) if t in found]
+            out.sort()
     return [{"start": s, "kind": KINDS[k], "end": e, "remove": r} for s, k, e, r in out]
 
 
-def _sanitiser(terms: dict[str, bool], base: bool, rewrite: bool):
+def _sanitiser(keys: np.ndarray, remove: np.ndarray, base: bool, rewrite: bool):
     """Struct of spans and, if ``rewrite``, the rewritten text, from a text and the
     spans found so far.  One function, so that a task needs one Python worker."""
     result = T.StructType([T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("text", T.StringType())])
@@ -229,7 +280,7 @@ def _sanitiser(terms: dict[str, bool], base: bool, rewrite: bool):
         pa.default_memory_pool().release_unused()
         spans, clean = [], []
         for text, before in zip(texts, known, strict=True):
-            found = _spans_of(text, terms, base)
+            found = _spans_of(text, keys, remove, base)
             if before is not None and len(before):
                 found = sorted([*before, *found], key=lambda s: (s["start"], KINDS.index(s["kind"])))
             spans.append(found)
@@ -256,13 +307,15 @@ def sanitise(docs: DataFrame, text: str = "text", *, rewrite: bool = True, carry
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
     terms = disclosing_terms(docs, text, **options)
-    passes = max(1, math.ceil(terms.count() / BROADCAST_TERMS * 1.25)) if terms.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS else 1
+    parts = _passes(terms)
     table = docs.select(packed(docs, names).alias("row"), col(text).alias("t"))
     table = table.withColumn("spans", F.lit(None).cast(T.ArrayType(_SPAN)))
-    for k in range(passes):
-        part = terms if passes == 1 else terms.filter(F.pmod(F.xxhash64("t"), F.lit(passes)) == k)
-        last = k == passes - 1
-        found = _sanitiser({r["t"]: r["remove"] for r in part.collect()}, k == 0, rewrite and last)(F.col("t"), F.col("spans"))
+    for k, part in enumerate(parts):
+        last = k == len(parts) - 1
+        known = part.select("k", "remove").toArrow()
+        keys, remove = known["k"].to_numpy(), known["remove"].to_numpy()
+        order = np.argsort(keys)
+        found = _sanitiser(keys[order], remove[order], k == 0, rewrite and last)(F.col("t"), F.col("spans"))
         table = table.select("row", "t", found.alias("found"))
         if not last:
             table = stored(table.select("row", "t", "found.spans"), f"pass{k}")

@@ -193,6 +193,17 @@ def test_disclosing_terms_match_brute_force_and_are_rewritten(spark):
     assert pii_sanitise.sanitise(docs.limit(0)).count() == 0
 
 
+def test_terms_anywhere_in_a_text_disclose_its_entities(spark):
+    rng = random.Random(6)
+    filler = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    texts = [f"Zebulon {filler(20)} ann@mail.example.org {filler(20)} Quillon" for _ in range(20)] + [filler(20) for _ in range(300)]
+    far = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r["t"]: r["remove"] for r in pii_sanitise.disclosing_terms(far).collect()} == {"zebulon": True, "quillon": True}
+    # A text full of personal data, whose entities and words are paired once.
+    dump = " ".join(f"u{chr(97 + k % 26)}{k}@mail.example.org" for k in range(3000)) + " " + " ".join("wor" + "".join(chr(97 + int(c)) for c in str(k)) for k in range(3000))
+    assert pii_sanitise.disclosing_terms(spark.createDataFrame([(t,) for t in [*texts, dump, dump]], "text string"), min_texts=1).count() == 3002
+
+
 def test_rewriting_overlaps():
     spans = [{"start": 2, "kind": "ip", "end": 6, "remove": False}, {"start": 4, "kind": "card", "end": 8, "remove": False}, {"start": 9, "kind": "term", "end": 10, "remove": True}]
     assert pii_sanitise.rewritten("ab123456 xyz", spans) == "ab[IP] yz"
