@@ -1,7 +1,8 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the personal data found by pattern (e-mail and IP
-addresses, card and phone numbers), each distinct value being one entity ``e``.
+addresses, card and phone numbers), each distinct value being one entity ``e``, and
+so is what it shares with others: mail domain, address prefixes, issuer, number block.
 A term ``t`` discloses ``e`` by as much as seeing it raises the odds of ``e``:
 the point-wise mutual information ``PMI(e; t) = log p(e, t) / (p(e) p(t))``,
 estimated from the whole corpus, against what there is to disclose, the
@@ -10,7 +11,9 @@ some entity reveal too much: fully revealing ones (``PMI >= IC / alpha_remove``)
 are removed, the others generalised to a placeholder.
 
 Probabilities are shares of distinct texts (copies are one piece of evidence).
-``p(e, t)`` counts the texts that hold both, wherever in the text.  As a term passes
+``p(e, t)`` counts the texts that hold both, wherever in the text.  There is no least
+number of them: ``p(e | t)`` is drawn towards ``p(e)`` by PRIOR_TEXTS texts, so that
+a pair seen once says less than one seen often.  As a term passes
 only up to a number of texts that follows from ``e`` alone, common words drop out
 before they are paired; entities that lie in the same texts have equal information
 and are paired once, so a text full of personal data does not multiply its words.
@@ -44,7 +47,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _SEPARATORS = str.maketrans("", "", " -")
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
-MIN_TEXTS = 5  # distinct texts that must show a term with an entity
+MIN_TEXTS = 1  # distinct texts that must show a term with an entity: no floor
+PRIOR_TEXTS = 1.0  # texts without evidence that p(e | t) is smoothed by
 ALPHA = 1.25  # a term is generalised at PMI >= IC / ALPHA ...
 ALPHA_REMOVE = 1.05  # ... and removed at PMI >= IC / ALPHA_REMOVE
 MIN_TERM = 3  # letters
@@ -132,7 +136,22 @@ def _places(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 def entities(text: str, spans: list[Span]) -> set[str]:
-    return {entity(text, s) for s in spans}
+    """The values of the spans and the coarser ones that they belong to."""
+    out = set()
+    for s in spans:
+        e = entity(text, s)
+        out.add(e)
+        value = e.partition(":")[2]
+        if s[1] == 0:
+            out.add("domain:" + value.partition("@")[2])
+        elif s[1] == 1:
+            a, b, c, _ = value.split(".")
+            out |= {f"net:{a}.{b}.{c}", f"net:{a}.{b}"}
+        elif s[1] == 2:
+            out.add("issuer:" + value[:6])
+        else:
+            out.add("block:" + value[:-4])
+    return out
 
 
 def contexts(text: str) -> set[tuple[str, str]]:
@@ -207,7 +226,8 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     """``(t, remove, k)``: the terms that disclose an entity by more than the
     threshold, whether they do so fully, and their hash.  Also see the module's text.
 
-    With ``p = n_e / N``, ``PMI >= IC / alpha`` is ``n_t <= n_et / p ** (1 - 1 / alpha)``.
+    With ``p = n_e / N``, ``p(e | t) = (n_et + w p) / (n_t + w)`` and ``w`` for PRIOR_TEXTS,
+    ``PMI >= IC / alpha`` is ``n_t <= (n_et + w p) / p ** (1 - 1 / alpha) - w``.
     As ``n_et <= n_e``, an entity has a greatest ``n_t`` of its own; and a term needs
     of all its entities only the greatest ``n_t`` that any of them allows it.
     """
@@ -218,7 +238,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     share = F.col("n_e") / F.lit(total)
 
     def most(n_et: Column, a: float) -> Column:
-        return n_et * F.pow(share, F.lit(1 / a - 1)) * math.exp(1e-9)
+        return (n_et + PRIOR_TEXTS * share) * F.pow(share, F.lit(1 / a - 1)) * math.exp(1e-9) - PRIOR_TEXTS
 
     held = private.select(F.explode("es").alias("e"), "h")
     same = [F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")]
@@ -230,7 +250,9 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     # A term has at least the texts that show it with any entity.
     least = words.groupBy("t").agg(F.count("*").alias("least")).filter(F.col("least") <= widest)
     pairs = words.join(least, "t").join(held.join(one, "e"), "h").filter(F.col("least") <= F.col("bound"))
-    joint = pairs.groupBy("e", "t", "least", "n_e").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= min_texts)
+    joint = pairs.groupBy("e", "t", "least", "n_e").agg(F.count("*").alias("n_et"))
+    if min_texts > 1:
+        joint = joint.filter(F.col("n_et") >= min_texts)
     joint = joint.select("t", "least", most(F.col("n_et"), alpha).alias("most"), most(F.col("n_et"), alpha_remove).alias("most_removed"))
     joint = joint.filter(F.col("least") <= F.col("most")).groupBy("t").agg(F.max("most").alias("most"), F.max("most_removed").alias("most_removed"))
     joint = stored(joint.withColumn("k", F.xxhash64("t")), "joint")

@@ -204,6 +204,26 @@ def test_terms_anywhere_in_a_text_disclose_its_entities(spark):
     assert pii_sanitise.disclosing_terms(spark.createDataFrame([(t,) for t in [*texts, dump, dump]], "text string"), min_texts=1).count() == 3002
 
 
+def test_entities_of_one_text_have_terms(spark):
+    rng = random.Random(8)
+    filler = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    texts = [f"{filler(9)} Zebulon {filler(9)} ann@solo.example.org", f"Quillon {filler(30)} 9.8.7.6"]
+    texts += [f"Wexford {filler(9)} u{k}@shared.example.org {filler(9)} {name}" for k, name in enumerate(["Ada", "Bob", "Cyd", "Dan"])]
+    texts += [f"Tarn {filler(9)} +1 202 555 01{k}{k} {filler(3)}" for k in range(4)] + [filler(30) for _ in range(400)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r["t"]: r["remove"] for r in pii_sanitise.disclosing_terms(docs).collect()}
+    want, distinct = {}, [(set(re.findall("[a-z]{3,}", re.sub(r"\S+@\S+|\+1[ 0-9]+", " ", t.lower()))), t) for t in set(texts)]
+    groups = [r"ann@", r"9\.8\.7\.6", r"@shared", r"\+1 202 555 01", *(rf"\bu{k}@" for k in range(4)), *(rf"555 01{k}{k}" for k in range(4))]
+    for g in groups:
+        at = [w for w, t in distinct if re.search(g, t)]
+        p = len(at) / len(distinct)
+        for t in set().union(*at):
+            pmi = np.log((sum(t in w for w in at) + p) / (sum(t in w for w, _ in distinct) + 1) / p)
+            if pmi >= -np.log(p) / 1.25:
+                want[t] = want.get(t, False) or bool(pmi >= -np.log(p) / 1.05)
+    assert found == want and {"zebulon", "quillon", "wexford", "tarn", "ada", "bob"} <= found.keys() and not found.keys() & set(WORDS)
+
+
 def test_rewriting_overlaps():
     spans = [{"start": 2, "kind": "ip", "end": 6, "remove": False}, {"start": 4, "kind": "card", "end": 8, "remove": False}, {"start": 9, "kind": "term", "end": 10, "remove": True}]
     assert pii_sanitise.rewritten("ab123456 xyz", spans) == "ab[IP] yz"
