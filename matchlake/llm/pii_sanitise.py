@@ -10,7 +10,8 @@ information content ``IC(e) = -log p(e)``.  Terms with ``PMI >= IC / alpha`` for
 some entity reveal too much: fully revealing ones (``PMI >= IC / alpha_remove``)
 are removed, the others generalised to a placeholder.
 
-Probabilities are shares of distinct texts (copies are one piece of evidence).
+Terms are the words outside the personal data, of letters and digits and of any
+length.  Probabilities are shares of distinct texts (copies are one piece of evidence).
 ``p(e, t)`` counts the texts that hold both, wherever in the text.  There is no least
 number of them: ``p(e | t)`` is drawn towards ``p(e)`` by PRIOR_TEXTS texts, so that
 a pair seen once says less than one seen often.  As a term passes
@@ -43,7 +44,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_WORD = re.compile(r"\w+(?:['’-]\w+)*")
 _SEPARATORS = str.maketrans("", "", " -")
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
@@ -51,9 +52,8 @@ MIN_TEXTS = 1  # distinct texts that must show a term with an entity: no floor
 PRIOR_TEXTS = 1.0  # texts without evidence that p(e | t) is smoothed by
 ALPHA = 1.25  # a term is generalised at PMI >= IC / ALPHA ...
 ALPHA_REMOVE = 1.05  # ... and removed at PMI >= IC / ALPHA_REMOVE
-MIN_TERM = 3  # letters
-TERM_CHARS = 100
 BROADCAST_TERMS = 4_000_000  # terms by hash, 12 bytes each: at most 48 MB
+ABSENT_WORDS = 300_000  # words that a task remembers as no terms
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -112,14 +112,15 @@ def _terms(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
             parts += [text[at:start], " " * (end - max(at, start))]
             at = end
     for m in _WORD.finditer("".join([*parts, text[at:]]) if spans else text):
-        if MIN_TERM <= m.end() - m.start() <= TERM_CHARS:
-            yield m.start(), m.end(), m[0].lower()
+        yield m.start(), m.end(), m[0].lower()
 
 
-def _distinct_terms(text: str, spans: list[Span]) -> list[str]:
+def _distinct_terms(text: str, spans: list[Span]) -> set[str]:
     if spans:
-        return list({t for _, _, t in _terms(text, spans)})
-    return list({w.lower() for w in set(_WORD.findall(text)) if MIN_TERM <= len(w) <= TERM_CHARS})
+        return {t for _, _, t in _terms(text, spans)}
+    if "\u0130" in text or "\u03a3" in text:  # lower case of other length, or by the letters around
+        return {w.lower() for w in set(_WORD.findall(text))}
+    return set(_WORD.findall(text.lower()))
 
 
 def _keys(terms: list[str]) -> np.ndarray:
@@ -135,6 +136,23 @@ def _places(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == of, at, -1)
 
 
+def _lookup(keys: np.ndarray):
+    """The words of a set that are among the keys, and their places.  Words seen not
+    to be are remembered, as most words of a text are common ones."""
+    absent: set[str] = set()
+
+    def find(words: set[str]) -> tuple[list[str], np.ndarray]:
+        if len(absent) > ABSENT_WORDS:
+            absent.clear()
+        new = list(words - absent)
+        at = _places(keys, _keys(new))
+        absent.update(new[k] for k in np.flatnonzero(at < 0))
+        hit = np.flatnonzero(at >= 0)
+        return [new[k] for k in hit], at[hit]
+
+    return find
+
+
 def entities(text: str, spans: list[Span]) -> set[str]:
     """The values of the spans and the coarser ones that they belong to."""
     out = set()
@@ -183,14 +201,13 @@ def _occurrences(keys: np.ndarray, limits: np.ndarray):
     one text more than a term's limit, which is enough to see that it has too many."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, done = limits.astype(np.int64) + 1, set()
+        left, done, find = limits.astype(np.int64) + 1, set(), _lookup(keys)
         for pdf in frames:
             ks, hs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for h, text in zip(pdf["h"], pdf["text"], strict=True):
                 if text and h not in done:
                     done.add(h)
-                    at = _places(keys, _keys(_distinct_terms(text, base_spans(text))))
-                    at = at[at >= 0]
+                    _, at = find(_distinct_terms(text, base_spans(text)))
                     at = at[left[at] > 0]
                     left[at] -= 1
                     ks.append(keys[at])
@@ -276,16 +293,15 @@ def rewritten(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
-def _spans_of(text: str | None, keys: np.ndarray, remove: np.ndarray, base: bool) -> list[dict]:
-    """Spans of a text: personal data (if ``base``) and the terms of the given keys outside it."""
+def _spans_of(text: str | None, find, remove: np.ndarray, base: bool) -> list[dict]:
+    """Spans of a text: personal data (if ``base``) and the terms that ``find`` knows outside it."""
     if not text:
         return []
     own = base_spans(text)
     out = [(s, k, e, False) for s, k, e in own] if base else []
-    if len(keys):
-        words = _distinct_terms(text, own)
-        at = _places(keys, _keys(words))
-        found = {words[k]: bool(remove[at[k]]) for k in np.flatnonzero(at >= 0)}
+    if len(remove):
+        words, at = find(_distinct_terms(text, own))
+        found = dict(zip(words, remove[at].tolist(), strict=True))
         if found:
             out += [(b, 4, z, found[t]) for b, z, t in _terms(text, own) if t in found]
             out.sort()
@@ -296,13 +312,14 @@ def _sanitiser(keys: np.ndarray, remove: np.ndarray, base: bool, rewrite: bool):
     """Struct of spans and, if ``rewrite``, the rewritten text, from a text and the
     spans found so far.  One function, so that a task needs one Python worker."""
     result = T.StructType([T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("text", T.StringType())])
+    find = _lookup(keys)
 
     @F.pandas_udf(result)
     def udf(texts: pd.Series, known: pd.Series) -> pd.DataFrame:
         pa.default_memory_pool().release_unused()
         spans, clean = [], []
         for text, before in zip(texts, known, strict=True):
-            found = _spans_of(text, keys, remove, base)
+            found = _spans_of(text, find, remove, base)
             if before is not None and len(before):
                 found = sorted([*before, *found], key=lambda s: (s["start"], KINDS.index(s["kind"])))
             spans.append(found)

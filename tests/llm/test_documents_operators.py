@@ -224,6 +224,17 @@ def test_entities_of_one_text_have_terms(spark):
     assert found == want and {"zebulon", "quillon", "wexford", "tarn", "ada", "bob"} <= found.keys() and not found.keys() & set(WORDS)
 
 
+def test_terms_have_digits_and_any_length(spark):
+    rng = random.Random(11)
+    odd = ["AB12345", "40217", "user123", "Li", "王明", "é" * 150, "7", "A_b"]
+    texts = [f"{' '.join(odd)} {' '.join(rng.choice(WORDS) for _ in range(20))} 4111111111111111x9 ann@mail.example.org"]
+    texts += [" ".join(rng.choice(WORDS) for _ in range(20)) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r["t"] for r in pii_sanitise.disclosing_terms(docs).collect()} == {t.lower() for t in odd} | {"x9"}
+    got = next(r["pii"]["text"] for r in pii_sanitise.sanitise(docs).collect() if "@" in r["text"])
+    assert not any(t in got for t in odd) and got.endswith("[CARD][TERM] [EMAIL]")
+
+
 def test_rewriting_overlaps():
     spans = [{"start": 2, "kind": "ip", "end": 6, "remove": False}, {"start": 4, "kind": "card", "end": 8, "remove": False}, {"start": 9, "kind": "term", "end": 10, "remove": True}]
     assert pii_sanitise.rewritten("ab123456 xyz", spans) == "ab[IP] yz"
