@@ -4,6 +4,7 @@ driver contract by ``__spark_entry__.py``."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, warc_split
-from matchlake.llm.common import read_table
+from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, slice_codes, warc_split
+from matchlake.llm.common import broadcast_if_small, read_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,42 @@ def op5_fused_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fused_langid.train(read_table(spark, sf_dir, "documents"))
     out = fused_langid.identify(read_table(spark, sf_dir, "pages"), model, carry=["page_id"])
     return out.select("page_id", "language.lang", F.round("language.posterior", 6).alias("posterior"), "language.text_lang", "language.declared", "language.host")
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """The rounds written out; sums and distances of these integers are exact in double."""
+    sql = f"""
+with v as (
+  select row_number() over () as row, vec_id, label, [floor(4096 * x::double) for x in embedding] as e
+  from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+w as (select row, p::integer as p, e[p * (len(e) // {parts}) + 1 : (p + 1) * (len(e) // {parts})] as x from v, range({parts}) t(p)),
+x as (select *, list_inner_product(x, x) as xx from w),
+f as (select row, row_number() over (order by vec_id, e) - 1 as k from v qualify k < {entries}),
+c0 as (select p, k, x as c, xx as cc from x join f using (row))"""
+    near = "select row, x.p, min((xx - 2 * list_inner_product(x, c) + cc) * {n} + k) as m, any_value(x) as x from x join c{r} c on c.p = x.p group by all"
+    for r in range(rounds):
+        sql += f""",
+a{r} as ({near.format(n=entries, r=r)}),
+i{r} as (select p, m % {entries} as k, i, floor(sum(x[i]) / count(*)) as s from a{r}, range(1, len(x) + 1) t(i) group by all),
+u{r} as (select p, k, list(s order by i) as c from i{r} group by all),
+c{r + 1} as (select p, k, coalesce(u.c, o.c) as c, list_inner_product(coalesce(u.c, o.c), coalesce(u.c, o.c)) as cc from c{r} o left join u{r} u using (p, k))"""
+    return sql + f""",
+a as ({near.format(n=entries, r=rounds)}),
+d as (select row, string_agg(lpad(to_hex((m % {entries})::bigint), 2, '0'), '' order by p) as code, sum((m - m % {entries}) / {entries})::bigint as error from a group by row),
+h as (select sha256(string_agg(c[i]::bigint::varchar, ',' order by p, k, i)) as codebooks_sha256 from c{rounds}, range(1, len(c) + 1) t(i))
+select vec_id, lower(code) as code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from v join d using (row), h"""
+
+
+@query("op11_slice_codes", _codes_sql(slice_codes.PARTS, slice_codes.ENTRIES, slice_codes.ROUNDS))
+def op11_slice_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", slice_codes.scaled(F.col("embedding")).alias("v")).filter("v is not null")
+    books = slice_codes.train(rows)
+    digest = hashlib.sha256(",".join(map(str, books.flat())).encode()).hexdigest()
+    codes = slice_codes.encode(rows, books, carry=["vec_id", "label"])
+    digits = F.transform("codes.code", lambda k: F.lower(F.lpad(F.hex(k), 2, "0")))
+    codes = stored(codes.select("vec_id", "label", F.array_join(digits, "").alias("code"), F.col("codes.error").alias("error")), "codes")
+    sums = codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    joined = codes.join(broadcast_if_small(sums, 1_000_000), F.col("label").eqNullSafe(F.col("of")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
