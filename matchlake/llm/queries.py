@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, pii_sanitise, pivotal_mixing, simhash_ball, slice_codes, warc_split
+from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, periodic_runs, pii_sanitise, pivotal_mixing, simhash_ball, slice_codes, warc_split
 from matchlake.llm.common import broadcast_if_small, read_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,26 @@ def op11_slice_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
     joined = codes.join(broadcast_if_small(sums, 1_000_000), F.col("label").eqNullSafe(F.col("of")))
     return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The query's stated input: the words of a tenth of the documents, by CRC of the
+    id, repeat with some period from some word on.  Texts of NULL ids stay."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    altered = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int"))))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(altered, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.detect(_with_planted_periods(read_table(spark, sf_dir, "documents")), carry=["doc_id"])
+    runs = F.col("periodic.runs")
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.withColumn("top", periodic_runs.longest(runs))
+    return out.select("doc_id", F.size(runs).cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                      F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))

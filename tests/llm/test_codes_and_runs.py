@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import collections
+import hashlib
+import random
+import re
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm import slice_codes
+from matchlake.llm import periodic_runs, queries, slice_codes
 
 
 def _nearest(book: list, x) -> tuple[int, int]:
@@ -73,3 +79,100 @@ def test_masks_hold_exactly_the_entries_in_the_cube():
     for row, r, m in zip(x, radius, masks, strict=True):
         got = {64 * w + b for w in range(3) for b in range(64) if int(m[w]) >> b & 1}
         assert got == set(np.flatnonzero((np.abs(s.book - row) <= r).all(axis=1)).tolist())
+
+
+# --- periodic runs ---------------------------------------------------------
+
+def _runs(words: list) -> list[tuple[int, int, int]]:
+    """Runs straight from their definition."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            start, length = i, j - i + q
+            part = words[start:start + length]
+            if length >= max(6, 4 * q) and not any(part[p:] == part[:-p] for p in range(1, q)):
+                out.append((start, length, q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def _run_texts() -> list[list[str]]:
+    rng = random.Random(4)
+    texts = [[], ["a"], ["a"] * 5, ["a"] * 6, ["a"] * 400, ["a", "b"] * 3, ["a", "b"] * 4, (["a"] * 30 + ["b"]) * 5, (["a"] * 64 + ["b"]) * 4 + ["a"] * 20]
+    for _ in range(250):
+        out: list[str] = []
+        for _ in range(rng.randint(1, 6)):
+            block = [rng.choice("abcdefgh"[:rng.randint(1, 8)]) for _ in range(rng.randint(1, 12))]
+            if rng.random() < 0.4:  # periodic blocks within a period
+                block = block * rng.randint(2, 6) + [rng.choice("abc")] * rng.randint(0, 5)
+            whole = block * rng.randint(1, 7)
+            out += whole[:rng.randint(max(0, len(whole) - len(block)), len(whole))]
+        texts.append(out[:400])
+    return texts
+
+
+@pytest.mark.parametrize("most", [50, 10**6])
+def test_runs_match_brute_force(most):
+    texts = _run_texts()
+    ids = np.array([ord(w) for t in texts for w in t], np.int64)
+    bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
+    got = periodic_runs.runs_of(ids, bounds, most=most)
+    want = [(int(b) + s, n, q) for b, t in zip(bounds, texts, strict=False) for s, n, q in _runs(t)]
+    assert [tuple(r) for r in got.tolist()] == want and len(want) > 200
+
+
+def test_runs_of_a_table(spark):
+    texts = [*(" ".join(t) for t in _run_texts()[:80]), None, " \t\n", "x y " * 9, "a b " * 9 + "\x1f"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[20])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("periodic", F.lit(1)).withColumn("row", F.lit(2))
+    out = periodic_runs.detect(docs)
+    assert out.columns == ["doc_id", "text", "periodic", "row", "_periodic"]
+    got = out.select("text", "_periodic", periodic_runs.longest(F.col("_periodic.runs")).alias("top")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        words = re.findall(r"[^ \t\n\v\f\r]+", r["text"] or "")
+        want = _runs(words)
+        assert r["_periodic"]["n_words"] == len(words) and [tuple(x) for x in r["_periodic"]["runs"]] == want
+        drop = {i for s, n, q in want for i in range(s + q, s + n)}
+        assert r["_periodic"]["collapsed"] == " ".join(w for i, w in enumerate(words) if i not in drop)
+        assert (r["top"] and tuple(r["top"])) == (min(want, key=lambda x: (-x[1], x[0], x[2])) if want else None)
+    assert periodic_runs.detect(docs.limit(0)).count() == 0
+
+
+def test_runs_of_long_texts_stay_sparse():
+    for words in (["a"] * 60_000, (["a"] * 9_000 + ["b"]) * 5, ["a", "b", "c"] * 20_000, [str(i % 9_999) for i in range(50_000)]):
+        number: dict = {}
+        ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+        got = periodic_runs.runs_of(ids, np.array([0, len(ids)]))
+        assert len(got) <= 6 and got[:, 1].max() == len(words)
+
+
+def test_query_alters_and_digests_as_stated(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["ab", "c", "dd", "é", "f,"]) for _ in range(rng.choice([0, 1, 5, 30, 90])))) for i in range(300)] + [(7, None), (None, "a a a a a a a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op12_periodic_runs"](spark, str(tmp_path)).collect()
+    want, altered = collections.Counter(), 0
+    for i, t in rows:
+        words = (t or "").split()
+        n = len(words)
+        h = zlib.crc32(str(i).encode()) if i is not None else 1
+        g = h // 10
+        if h % 10 == 0 and n:
+            a, altered = g % n, altered + 1
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + [words[a + (k - a) % p] for k in range(a, n)]
+        runs = _runs(words)
+        drop = {k for s, m, q in runs for k in range(s + q, s + m)}
+        top = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None, None, None)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{s},{m},{q}\n" for s, m, q in runs), " ".join(w for k, w in enumerate(words) if k not in drop))]
+        want[(i, len(runs), *top, top[1] and 1000 * top[1] // top[2], *digests)] += 1
+    names = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert collections.Counter(tuple(r[c] for c in names) for r in got) == want and altered > 15
