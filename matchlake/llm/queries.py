@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, periodic_runs, pii_sanitise, pivotal_mixing, simhash_ball, slice_codes, warc_split
+from matchlake.llm import bpe_rounds, extendible_sharding, fused_langid, kdtree_topk, mcd_quality, ordinal_toxicity, periodic_runs, phrase_automata, pii_sanitise, pivotal_mixing, simhash_ball, slice_codes, warc_split
 from matchlake.llm.common import broadcast_if_small, read_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,17 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size(runs).cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
                       F.expr("1000 * top.length div top.period").alias("exponent_milli"),
                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op13_phrase_automata", f"""
+with d as (select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+p as (select row, doc_id, i, array_to_string(w[i : i + {phrase_automata.WORDS - 1}], ' ') as phrase from d, range(1, len(w) - {phrase_automata.WORDS - 2}) t(i)),
+h as (select phrase, min(doc_id) as home from p group by phrase having min(doc_id) < max(doc_id)),
+c as (select distinct row, i + k as i from p join h using (phrase), range({phrase_automata.WORDS}) t(k) where doc_id > home),
+k as (select row, string_agg(w[i], ' ' order by i) as kept from d, range(1, len(w) + 1) t(i) where not exists (select 1 from c where c.row = d.row and c.i = t.i) group by row),
+n as (select row, count(*) as n from c group by row)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (row) left join n using (row)""")
+def op13_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrase_automata.drop_repeats(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "unique.n_words", "unique.n_removed", F.sha2("unique.text", 256).alias("kept_sha256"))

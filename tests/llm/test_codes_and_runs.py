@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm import periodic_runs, queries, slice_codes
+from matchlake.llm import periodic_runs, phrase_automata, queries, slice_codes
 
 
 def _nearest(book: list, x) -> tuple[int, int]:
@@ -176,3 +176,57 @@ def test_query_alters_and_digests_as_stated(spark, tmp_path):
         want[(i, len(runs), *top, top[1] and 1000 * top[1] // top[2], *digests)] += 1
     names = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
     assert collections.Counter(tuple(r[c] for c in names) for r in got) == want and altered > 15
+
+
+# --- repeated passages -----------------------------------------------------
+
+def _kept(rows: list, size: int) -> list[str]:
+    """The words left of each row, straight from the definition."""
+    split = [re.findall(r"[^ \t\n\v\f\r]+", t or "") for _, t in rows]
+    home: dict = {}
+    for (i, _), w in zip(rows, split, strict=True):
+        for k in range(len(w) - size + 1 if i is not None else 0):
+            key = tuple(w[k:k + size])
+            home[key] = min(home.get(key, i), i)
+    out = []
+    for (i, _), w in zip(rows, split, strict=True):
+        cut = {k + j for k in range(len(w) - size + 1 if i is not None else 0) if home[tuple(w[k:k + size])] < i for j in range(size)}
+        out.append((i, len(w), len(cut), " ".join(x for k, x in enumerate(w) if k not in cut)))
+    return out
+
+
+def _passage_rows(rng: random.Random) -> list:
+    def prose(n):
+        return [f"{rng.choice('abcdefghij')}{rng.randrange(60)}" for _ in range(n)]
+
+    shared = [prose(n) for n in (13, 14, 20, 60, 200)]
+    rows = []
+    for i in range(150):
+        words = prose(rng.randint(0, 40))
+        for _ in range(rng.randint(0, 3)):
+            part = rng.choice(shared)
+            a = rng.randint(0, max(0, len(part) - 13))
+            words += part[a:a + rng.randint(10, len(part))] + prose(rng.randint(0, 15))
+        rows.append((1000 - i, rng.choice([" ", "\n", "  "]).join(words)))
+    rows += [(2000 + i, rows[40][1]) for i in range(40)]  # a large group of copies
+    rows += [(2, "a a a " * 30), (3, "a " * 17), (3, "a " * 12), (4, "a " * 12 + "b"), (5, None), (6, " \n"), (None, rows[40][1]), rows[41], (rows[41][0], rows[42][1])]
+    return rows
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_phrases": 7, "shard_documents": 3, "filter_bits": 1 << 15}, {"broadcast_rows": 0, "shard_phrases": 40}, {"words": 5, "anchor": 2}])
+def test_repeated_passages_match_brute_force(spark, options):
+    rows = _passage_rows(random.Random(5))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("unique", F.lit(1)).withColumn("key", F.lit("own")).withColumn("row", F.lit(3)).repartition(3)
+    out = phrase_automata.drop_repeats(docs, **options)
+    assert out.columns == ["doc_id", "text", "unique", "key", "row", "_unique"]
+    got = collections.Counter((r["doc_id"], *r["_unique"]) for r in out.collect())
+    want = collections.Counter(_kept(rows, options.get("words", 13)))
+    assert got == want and sum(n for _, _, n, _ in want) > 2000
+
+
+def test_no_passages_to_remove(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert [tuple(r["unique"]) for r in phrase_automata.drop_repeats(docs).orderBy("doc_id").collect()] == [(2, 0, "a b"), (0, 0, "")]
+    assert phrase_automata.drop_repeats(docs.limit(0)).count() == 0
+    long = spark.createDataFrame([(1, " ".join(map(str, range(70_000)))), (2, "x " + " ".join(map(str, range(69_990))) + " y")], "doc_id long, text string")
+    assert [tuple(r["unique"])[:2] for r in phrase_automata.drop_repeats(long).orderBy("doc_id").collect()] == [(70_000, 0), (69_992, 69_990)]
