@@ -7,7 +7,7 @@ smallest id that holds a phrase is its home and keeps it.
 1. Exact copies of a text leave the search: a text's phrases all start in the copy with
    the smallest id, so the others lose every word, and only their ids are compared.
 2. Recurring phrases are confirmed in two steps, both by grouped aggregation of
-   64-bit hashes with a map-side minimum and maximum of the ids.  First anchors: the
+   64-bit hashes (two phrases with one hash would be given one home; about one pair in 6 * 10^9 phrases) with a map-side minimum and maximum of the ids.  First anchors: the
    ANCHOR-word part of a phrase with the smallest hash, which neighbouring phrases
    mostly share.  Anchors of several documents go into a bit filter of at most
    FILTER_BITS bits (one hash; what it lets through too much costs time, not
@@ -22,14 +22,15 @@ smallest id that holds a phrase is its home and keeps it.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,20 +40,43 @@ from matchlake.llm.common import WORD_PATTERN, bounded_batches, broadcast_if_sma
 WORDS, ANCHOR = 13, 6
 FILTER_BITS = 1 << 29  # 64 MB
 SHARD_PHRASES = 50_000
-SHARD_DOCUMENTS = 4_096  # documents that one task streams through a shard's automaton
+SHARD_DOCUMENTS = 16_384  # documents that one task streams through a shard's automaton
 BROADCAST_ROWS = 1_000_000
 
 _WORD = re.compile(WORD_PATTERN)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of the texts, and the text it is in."""
-    numbers: dict[str, int] = {}
-    words = [_WORD.findall(t) if t else [] for t in texts]
-    at = np.fromiter((numbers.setdefault(w, len(numbers)) for own in words for w in own), np.int64)
-    table = np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in numbers), np.uint64, len(numbers))
-    return table[at], np.repeat(np.arange(len(texts)), [len(w) for w in words])
+_MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+_LETTER = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])  # bytes of words; no part of a longer UTF-8 character is among the others
+_BYTE = np.random.default_rng(13).integers(1, 1 << 63, 256, np.uint64)
+CHUNK = 1 << 20
+
+
+def _word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of a column of texts, and the text it is in: a polynomial of
+    the word's UTF-8 bytes, in chunks of about CHUNK bytes of whole texts."""
+    texts = column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    hashes, text = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK, "right")) - 1)
+        own = data[offsets[i]:offsets[j]]
+        edges = offsets[i:j] - offsets[i]
+        letter = _LETTER[own]
+        begin = letter.copy()
+        begin[1:] &= ~letter[:-1]
+        some = edges[edges < len(own)]
+        begin[some] = letter[some]
+        at, starts = np.flatnonzero(letter), np.flatnonzero(begin)
+        if len(starts):
+            first = np.flatnonzero(begin[at])
+            place = at - np.repeat(starts, np.diff(np.r_[first, len(at)]))
+            powers = np.multiply.accumulate(np.r_[np.uint64(1), np.full(int(place.max()), _BASE)])
+            h = np.add.reduceat(_BYTE[own[at]] * powers[place], first)
+            hashes.append((h ^ h >> np.uint64(32)) * _MIX)
+            text.append(i + np.searchsorted(edges, starts, "right") - 1)
+        i = j
+    return np.concatenate(hashes), np.concatenate(text)
 
 
 def _sequence(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -65,9 +89,9 @@ def _sequence(hashes: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def phrase_hashes(texts: list[str | None], words: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def phrase_hashes(texts: pa.Array, words: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The text, anchor and hash of each phrase of the texts, in order."""
-    hashes, text = _hashes(texts)
+    hashes, text = _word_hashes(texts)
     n = len(hashes) - words + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -79,30 +103,29 @@ def phrase_hashes(texts: list[str | None], words: int, anchor: int) -> tuple[np.
     return text[:n][whole], least[whole], _sequence(hashes, words)[whole]
 
 
-def _pairs(frame: pd.DataFrame, text: np.ndarray, hashes: np.ndarray) -> pd.DataFrame:
+def _pairs(batch: pa.RecordBatch, text: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
     """(hash, id) for each text, once where neighbours are equal."""
     new = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])]) if len(text) else text
-    return pd.DataFrame({"h": hashes[new].view(np.int64), "id": frame["id"].to_numpy(np.int64)[text[new]]})
+    ids = batch.column("id").to_numpy()[text[new]]
+    return pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), pa.array(ids, pa.int64())], names=["h", "id"])
 
 
 def _anchors(words: int, anchor: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            pa.default_memory_pool().release_unused()
-            text, least, _ = phrase_hashes(pdf["text"].tolist(), words, anchor)
-            yield _pairs(pdf, text, least)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, least, _ = phrase_hashes(batch.column("text"), words, anchor)
+            yield _pairs(batch, text, least)
 
     return run
 
 
 def _phrases(words: int, anchor: int, bits: np.ndarray, size: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            pa.default_memory_pool().release_unused()
-            text, least, whole = phrase_hashes(pdf["text"].tolist(), words, anchor)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, least, whole = phrase_hashes(batch.column("text"), words, anchor)
             place = least & np.uint64(size - 1)
             seen = np.flatnonzero(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1))
-            yield _pairs(pdf, text[seen], whole[seen])
+            yield _pairs(batch, text[seen], whole[seen])
 
     return run
 
@@ -126,25 +149,52 @@ def _filter(anchors: DataFrame, most_bits: int) -> tuple[np.ndarray, int]:
     return bits, size
 
 
+class Automaton:
+    """An Aho-Corasick automaton over words.
+
+    The library looks through a node's children one by one, so a word is written as
+    two letters from alphabets of its own, each about the root of the vocabulary in size:
+    a node has at most that many children.  ``homes`` has the id, words and first words of phrases of each home.
+    """
+
+    def __init__(self, homes: list[tuple[int, list[str], np.ndarray]], words: int):
+        self.words, self.numbers = words, {}
+        for _, own, _ in homes:
+            for w in own:
+                self.numbers.setdefault(w, len(self.numbers))
+        self.base = math.isqrt(len(self.numbers)) + 1
+        self.places = [home for home, _, _ in homes]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for place in reversed(range(len(homes))):  # homes are sorted by id: the smallest one of a phrase is set last
+            _, own, starts = homes[place]
+            letters = self._letters(self._numbered(own))
+            for s in starts.tolist():
+                self.automaton.add_word(letters[2 * s:2 * (s + words)], place)
+        self.automaton.make_automaton()
+
+    def _numbered(self, own: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.get, own, repeat(-1)), np.int64, len(own))
+
+    def _letters(self, ids: np.ndarray) -> tuple[int, ...]:
+        return tuple(np.column_stack([ids // self.base, ids % self.base + self.base]).ravel().tolist())
+
+    def ends(self, own: list[str], below: int) -> np.ndarray:
+        """The last words of the phrases in a text whose home is smaller than ``below``."""
+        if not len(self.automaton):
+            return np.zeros(0, np.int64)
+        ids = self._numbered(own)
+        edge = np.flatnonzero(np.diff(np.r_[False, ids >= 0, False].astype(np.int8)))
+        found = []
+        for a, z in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            if z - a >= self.words:  # words of no phrase end every match
+                found += [a + e // 2 for e, home in self.automaton.iter(self._letters(ids[a:z])) if self.places[home] < below]
+        return np.unique(np.array(found, np.int64))
+
+
 def _located(words: int):
     """Streams rows sorted by (shard, part, kind, id): the homes of a shard's phrases (kind 0),
     then the documents (kind 1); gives the stretches of each that phrases of smaller ids cover."""
 
-    def compiled(homes: list[tuple[int, list[str], np.ndarray]]):
-        numbers: dict[str, int] = {}
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        first: dict[tuple[int, ...], int] = {}
-        for home, own, starts in homes:  # by id: the smallest id keeps a phrase
-            ids = [numbers.setdefault(w, len(numbers) + 1) for w in own]
-            for s in starts.tolist():
-                first.setdefault(tuple(ids[s:s + words]), home)
-        places = sorted(set(first.values()))
-        number = {h: k for k, h in enumerate(places)}
-        for key, home in first.items():
-            automaton.add_word(key, number[home])
-        automaton.make_automaton()
-        return numbers, places, automaton
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, homes, ready = None, [], None
         for batch in batches:
@@ -154,7 +204,7 @@ def _located(words: int):
                     at, homes, ready = (r["shard"], r["part"]), [], None
                 own = _WORD.findall(r["text"] or "")
                 if r["kind"] == 0:
-                    found = _sequence(_hashes([r["text"]])[0], words).view(np.int64)
+                    found = _sequence(_word_hashes(pa.array([r["text"]], pa.string()))[0], words).view(np.int64)
                     wanted = np.flatnonzero(np.isin(found, np.array(r["hs"], np.int64)))
                     # only the words around its phrases
                     need = np.zeros(len(own) + 1, np.int64)
@@ -164,15 +214,10 @@ def _located(words: int):
                     homes.append((r["id"], [w for w, n in zip(own, need, strict=True) if n], (np.cumsum(need) - 1)[wanted]))
                     continue
                 if ready is None:
-                    ready, homes = compiled(homes), []
-                numbers, places, automaton = ready
-                if not len(automaton):
-                    continue
-                get = numbers.get
-                lasts = [e for e, home in automaton.iter(tuple([get(w, 0) for w in own])) if places[home] < r["id"]]
-                if not lasts:
+                    ready, homes = Automaton(homes, words), []
+                e = ready.ends(own, r["id"])
+                if not len(e):
                     continue
-                e = np.unique(np.array(lasts, np.int64))
                 new = np.flatnonzero(np.r_[True, e[1:] - e[:-1] > words])  # stretches that touch are one
                 keys.append(r["key"])
                 starts.append((e[new] - words + 1).tolist())
@@ -188,10 +233,10 @@ def passages(texts: DataFrame, *, words: int = WORDS, anchor: int = ANCHOR, filt
     """``(key, starts, ends)``: the stretches of words (end exclusive) of each text ``(key, id, text)`` that are
     covered by a phrase which also starts in a text with a smaller id.  Each row must
     have a key of its own."""
-    anchors = _recurring(texts.select("id", "text").mapInPandas(_anchors(words, anchor), "h long, id long"))
+    anchors = _recurring(texts.select("id", "text").mapInArrow(_anchors(words, anchor), "h long, id long"))
     anchors = stored(anchors.select("h"), "anchors")
     bits, size = _filter(anchors, filter_bits)
-    pairs = stored(texts.select("id", "text").mapInPandas(_phrases(words, anchor, bits, size), "h long, id long"), "phrases")
+    pairs = stored(texts.select("id", "text").mapInArrow(_phrases(words, anchor, bits, size), "h long, id long"), "phrases")
     recurring = stored(_recurring(pairs), "recurring")
     shards = max(1, -(-recurring.count() // shard_phrases))
     long = recurring.groupBy("home").agg(F.count("*").alias("n")).filter(F.col("n") > shard_phrases)
