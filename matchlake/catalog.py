@@ -716,6 +716,46 @@ def tune_svm(spark, sf_dir):
     return models.tune_svm(tr, len(Z), [0.1, 1.0], [0.02, 0.1], "fixture_id", folds=2)
 
 
+def _ordered_sql(steps: int) -> str:
+    """Newton steps of the proportional-odds likelihood on one feature, written out."""
+    logistic = "1 / (1 + exp(-({}))) ".format
+    sql = f"""
+WITH d AS (SELECT CASE {OUTCOME_SQL} WHEN 'Lose' THEN 0 WHEN 'Draw' THEN 1 ELSE 2 END AS y, total_shots_r AS x
+           FROM gold_match_table WHERE total_shots_r IS NOT NULL),
+p0 AS (SELECT ln(avg((y >= 1)::int) / (1 - avg((y >= 1)::int))) AS a, ln(avg((y >= 2)::int) / (1 - avg((y >= 2)::int))) AS c, 0.0::double AS b FROM d)"""
+    for k in range(steps + 1):
+        sql += f""",
+u{k} AS (SELECT y, x, CASE y WHEN 0 THEN 1 WHEN 1 THEN {logistic('a + b * x')} ELSE {logistic('c + b * x')} END AS u,
+              CASE y WHEN 2 THEN 0 WHEN 1 THEN {logistic('c + b * x')} ELSE {logistic('a + b * x')} END AS l FROM d, p{k})"""
+        if k == steps:
+            break
+        sql += f""",
+r{k} AS (SELECT *, u * (1 - u) AS fu, l * (1 - l) AS fl, u * (1 - u) / (u - l) AS ru, l * (1 - l) / (u - l) AS rl FROM u{k}),
+h{k} AS (SELECT sum(CASE y WHEN 1 THEN ru WHEN 0 THEN -rl ELSE 0 END) AS ga, sum(CASE y WHEN 2 THEN ru WHEN 1 THEN -rl ELSE 0 END) AS gc, sum(x * (1 - u - l)) AS gb,
+  -sum(CASE y WHEN 1 THEN ru * (1 - 2 * u) - ru * ru WHEN 0 THEN -rl * (1 - 2 * l) - rl * rl ELSE 0 END) AS aa,
+  -sum(CASE y WHEN 2 THEN ru * (1 - 2 * u) - ru * ru WHEN 1 THEN -rl * (1 - 2 * l) - rl * rl ELSE 0 END) AS cc,
+  -sum(CASE y WHEN 1 THEN ru * rl ELSE 0 END) AS ac, sum(x * CASE y WHEN 1 THEN fu WHEN 0 THEN fl ELSE 0 END) AS ab,
+  sum(x * CASE y WHEN 2 THEN fu WHEN 1 THEN fl ELSE 0 END) AS cb, sum(x * x * (fu + fl)) AS bb FROM r{k}),
+t{k} AS (SELECT *, aa * (cc * bb - cb * cb) - ac * (ac * bb - cb * ab) + ab * (ac * cb - cc * ab) AS det FROM h{k}),
+p{k + 1} AS (SELECT a + (ga * (cc * bb - cb * cb) - ac * (gc * bb - cb * gb) + ab * (gc * cb - cc * gb)) / det AS a,
+                  c + (aa * (gc * bb - cb * gb) - ga * (ac * bb - cb * ab) + ab * (ac * gb - gc * ab)) / det AS c,
+                  b + (aa * (cc * gb - gc * cb) - ac * (ac * gb - gc * ab) + ga * (ac * cb - cc * ab)) / det AS b FROM t{k}, p{k})"""
+    return sql + f"""
+SELECT 'Draw' AS term, round(a, 6) AS value FROM p{steps} UNION ALL SELECT 'Win', round(c, 6) FROM p{steps} UNION ALL SELECT 'total_shots_r', round(b, 6) FROM p{steps}
+UNION ALL SELECT 'log_likelihood', round(avg(ln(u - l)), 6) FROM u{steps}"""
+
+
+@register("ordered_logit_fit", W(["gold_match_table"], _ordered_sql(8)))
+def ordered_logit_fit(spark, sf_dir):
+    """Intercepts, slope and mean log-likelihood of the proportional-odds logit of the
+    outcome on the shots ratio."""
+    g = gold_match(spark, sf_dir).withColumn("outcome", features.outcome()).select("outcome", "total_shots_r").dropna()
+    fit = models.ordered_logit(stored(spark, models.prepare(g, ["total_shots_r"], "outcome"), "ordered"))
+    rows = [(scalar.OUTCOME_LEVELS[k], float(a)) for k, a in zip(fit.present[1:], fit.intercepts)]
+    rows += [("total_shots_r", float(fit.slopes[0])), ("log_likelihood", fit.log_likelihood / fit.rows)]
+    return spark.createDataFrame([(t, round(float(v), 6)) for t, v in rows], "term string, value double")
+
+
 _PAIRS = [(a, b) for i, a in enumerate(FEATS) for b in FEATS[i:]]
 
 

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranking import global_index
 from matchlake.functions.scalar import OUTCOME_LEVELS
+from matchlake.ml.sums import correlations
 from matchlake.operators.joins import small_side
 
 # Column names of the match table that the score model drops before
@@ -111,16 +114,13 @@ def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> DataF
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair as a long table, from one
-    aggregate pass (each ``corr`` is a partial/final aggregate)."""
+    """Pearson correlation of every column pair as a long table, over the rows where both are
+    known.  Two aggregates of block products, whatever the number of columns;
+    NULL where a column does not vary."""
     cols = list(cols)
-    # corr is symmetric: aggregate the upper triangle only, mirror it in the output
-    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in upper])
-    rows = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                              F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
-                     for i in range(len(cols)) for j in range(len(cols))])
-    return one.select(F.inline(rows))
+    corr = correlations(df, cols)
+    rows = [(a, b, None if np.isnan(corr[i, j]) else float(corr[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 # ---------------------------------------------------------------- splits and balancing
@@ -206,12 +206,14 @@ def pca_fit(df: DataFrame, cols: Sequence[str], k: int | None = None):
 
 def pca_scores(df: DataFrame, fit, keep: int, prefix: str = "pc") -> DataFrame:
     """Scores ``pc1 ..`` of the first ``keep`` components, from the scale and the
-    components of the training rows; rows with a NULL feature get NULL scores."""
+    components of the training rows, one vector product a row; rows with a NULL feature get NULL scores."""
     scale, model = fit
-    loadings = model.pc.toArray()
-    z = {c: (F.col(c) - m) / s for c, (m, s) in scale.items()}
-    scores = [sum((x * float(loadings[i, j]) for i, x in enumerate(z.values())), F.lit(0.0)).alias(f"{prefix}{j + 1}") for j in range(keep)]
-    return df.select("*", *scores)
+    z = F.array(*[((F.col(c) - m) / s).cast("double") for c, (m, s) in scale.items()])
+    whole = F.forall(z, lambda x: x.isNotNull())
+    vector = array_to_vector(F.transform(z, lambda x: F.coalesce(x, F.lit(0.0))))
+    scored = model.setInputCol("__z").setOutputCol("__pcs").transform(df.withColumn("__z", vector).withColumn("__whole", whole))
+    scores = vector_to_array("__pcs")
+    return scored.withColumn("__pcs", F.when(F.col("__whole"), scores)).select(*df.columns, *[F.col("__pcs")[j].alias(f"{prefix}{j + 1}") for j in range(keep)])
 
 
 def pca_frame(train: DataFrame, test: DataFrame, cols: Sequence[str], share: float = 0.99) -> tuple[DataFrame, DataFrame, list[str]]:

@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from matchlake.functions.scalar import OUTCOME_LEVELS, class_from_probs
 from matchlake.ml.features import bucket100
 from matchlake.ml.neighbours import knn, knn_cv  # noqa: F401
+from matchlake.ml.ordinal import OrderedLogit, fit_ordered
+from matchlake.ml.sums import gramian
 
 LABEL = "label"
 
@@ -77,28 +79,16 @@ def penalized_logit(train: DataFrame, alpha: float, reg_grid: Sequence[float] =
     return cv.fit(train).bestModel
 
 
-def ordered_logit(train: DataFrame, max_iter: int = 250):
-    """Cumulative logits P(Y > Lose), P(Y > Draw) as two binary fits."""
-    m1 = LogisticRegression(maxIter=max_iter, featuresCol="features", labelCol="__gt0",
-                            probabilityCol="__p1", rawPredictionCol="__r1", predictionCol="__y1")
-    m2 = LogisticRegression(maxIter=max_iter, featuresCol="features", labelCol="__gt1",
-                            probabilityCol="__p2", rawPredictionCol="__r2", predictionCol="__y2")
-    t = train.withColumn("__gt0", (F.col(LABEL) > 0).cast("double")).withColumn("__gt1", (F.col(LABEL) > 1).cast("double"))
-    return m1.fit(t), m2.fit(t)
+def ordered_logit(train: DataFrame, max_iter: int = 250) -> OrderedLogit:
+    """Proportional-odds logit: one slope vector, ordered intercepts."""
+    return fit_ordered(train, max_iter, label=LABEL, levels=len(OUTCOME_LEVELS))
 
 
-def predict_ordered(models, test: DataFrame) -> DataFrame:
-    """Class probabilities from the two cumulative curves; separate slopes
-    can cross, so a negative middle share is clipped to 0 and rows renormalised."""
-    m1, m2 = models
-    x = m2.transform(m1.transform(test))
-    g0 = vector_to_array("__p1")[1]
-    g1 = vector_to_array("__p2")[1]
-    lose, draw, win = 1 - g0, F.greatest(g0 - g1, F.lit(0.0)), g1
-    tot = lose + draw + win
-    x = x.withColumn("p_lose", lose / tot).withColumn("p_draw", draw / tot).withColumn("p_win", win / tot)
-    return x.withColumn("prediction_label", class_from_probs("p_lose", "p_draw", "p_win")) \
-        .drop("__p1", "__r1", "__y1", "__p2", "__r2", "__y2")
+def predict_ordered(model: OrderedLogit, test: DataFrame) -> DataFrame:
+    """Class probabilities; none is negative, as the cumulative curves are parallel."""
+    shares = model.probabilities(vector_to_array("features"))
+    x = test.withColumns({f"p_{lv.lower()}": p for lv, p in zip(OUTCOME_LEVELS, shares, strict=True)})
+    return x.withColumn("prediction_label", class_from_probs("p_lose", "p_draw", "p_win"))
 
 
 # ---------------------------------------------------------------- trees
@@ -276,9 +266,8 @@ def lda_statistics(train: DataFrame, features: Sequence[str], label_col: str = L
 
 def lda_fit(train: DataFrame, features: Sequence[str], label_col: str = LABEL) -> dict:
     """Class means, priors and pooled covariance.  The means are one grouped
-    aggregate; the covariance is that of the rows centred by their class's mean, from
-    Spark's correlation of the centred vectors and their spreads (p x p, as is the
-    model, which is solved on the driver)."""
+    aggregate; the covariance is the Gramian of the rows centred by their class's mean
+    (p x p, as is the model, which is solved on the driver)."""
     fs = list(features)
     stats = sorted(lda_statistics(train, fs, label_col).collect(), key=lambda r: str(r["label"]))
     n_tot, k = sum(r["n"] for r in stats), len(stats)
@@ -287,11 +276,8 @@ def lda_fit(train: DataFrame, features: Sequence[str], label_col: str = LABEL) -
     centre = F.create_map(*[x for r in stats for x in (F.lit(r["label"]), F.array(*[F.lit(float(v)) for v in r["mean"]]))])
     rows = train.where(F.col(label_col).isNotNull()).dropna(subset=fs)
     c = centre[F.col(label_col)]
-    centred = rows.select(array_to_vector(F.array(*[F.col(f).cast("double") - c[i] for i, f in enumerate(fs)])).alias("v"))
-    spread = centred.agg(Summarizer.metrics("std").summary(F.col("v")).alias("s")).first()["s"]["std"].toArray()
-    corr = np.nan_to_num(Correlation.corr(centred, "v").first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
-    cov = corr * np.outer(spread, spread) * (n_tot - 1) / max(n_tot - k, 1)
+    centred = rows.select(*[(F.col(f).cast("double") - c[i]).alias(f"f{i}") for i, f in enumerate(fs)])
+    cov = gramian(centred, centred.columns)[3] / max(n_tot - k, 1)
     inv = np.linalg.pinv(cov)
     coefs = [inv @ mu for mu in means]
     consts = [float(-0.5 * mu @ inv @ mu + np.log(pi)) for mu, pi in zip(means, priors)]
