@@ -14,8 +14,7 @@ from itertools import product
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRestModel,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.functions.scalar import OUTCOME_LEVELS, class_from_probs
+from matchlake.ml.boosting import Boosted, Point, boost, probabilities
 from matchlake.ml.features import bucket100
 from matchlake.ml.neighbours import knn, knn_cv  # noqa: F401
 from matchlake.ml.ordinal import OrderedLogit, fit_ordered
@@ -102,56 +102,34 @@ def validation_rows(key: str, percent: int = 10) -> Column:
     return bucket100(key) < percent
 
 
-def _first_lasting_minimum(losses: Sequence[float], patience: int) -> int:
-    """Number of rounds up to the best one, looking no further than ``patience``
-    rounds without a better one."""
-    best = 0
-    for r, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = r
-        elif r - best >= patience:
-            break
-    return best + 1
+def _boosting_rows(train: DataFrame, key: str | None, fold: Column) -> DataFrame:
+    named = F.xxhash64(key) if key else F.xxhash64("features")
+    return train.where(F.col(LABEL).isNotNull()).select(named.alias("h"), fold.cast("int").alias("fold"), vector_to_array("features").alias("x"), F.col(LABEL).cast("int").alias("y"))
 
 
 def fit_boosted(train: DataFrame, step: float = 0.01, rounds: int = 2500, depth: int = 6,
-                subsample: float = 1.0, seed: int = 123, key: str | None = None, patience: int = 10, **params):
-    """One-vs-rest gradient-boosted trees (Spark's GBT is binary).
-
-    With a ``key``, each member is first fitted without the validation rows (by the
-    key's hash); its loss there after each round gives the best number of rounds,
-    with the given patience, and the member is fitted again on all rows with that
-    many.  Spark's own early stop has no patience, and its default tolerance of 1 %
-    of the loss would end a fit of small steps after one tree.  The losses are the
-    result's ``history``.
+                subsample: float = 1.0, seed: int = 123, key: str | None = None, patience: int = 10, **params) -> Boosted:
+    """Multiclass boosted trees (softmax loss, one model for all classes).
+
+    With a ``key``, a model without the validation rows (by the key's hash) grows beside the
+    one on all rows; when its loss on them has not fallen for ``patience`` rounds both end, and
+    the result has as many rounds as its least loss.  The losses are the result's ``losses``.
+    Without a key there is no validation, and rows are named by their features' hash.
     """
-    members, history = [], []
-    for i in range(len(OUTCOME_LEVELS)):
-        label = f"__y{i}"
-        gbt = GBTClassifier(stepSize=step, maxIter=rounds, maxDepth=depth, subsamplingRate=subsample,
-                            seed=seed, featuresCol="features", labelCol=label, **params)
-        t = train.withColumn(label, (F.col(LABEL) == float(i)).cast("double"))
-        losses = []
-        if key:
-            losses = gbt.fit(t.where(~validation_rows(key))).evaluateEachIteration(t.where(validation_rows(key)))
-            gbt.setMaxIter(_first_lasting_minimum(losses, patience))
-        members.append(gbt.fit(t))
-        history += [(i, r + 1, float(v)) for r, v in enumerate(losses)]
-    model = OneVsRestModel(models=members).setFeaturesCol("features")
-    model.history = history
-    return model
-
-
-def predict_boosted(model, test: DataFrame) -> DataFrame:
-    """Member scores -> probabilities: each binary member's share
-    1/(1+exp(-2 raw)) normalised over the classes."""
-    pred = model.transform(test)
-    raw = vector_to_array("rawPrediction")
-    shares = [1 / (1 + F.exp(-2 * raw[i])) for i in range(len(OUTCOME_LEVELS))]
-    tot = sum(shares)
-    x = pred
-    for i, lv in enumerate(OUTCOME_LEVELS):
-        x = x.withColumn(f"p_{lv.lower()}", shares[i] / tot)
+    point = Point(step=step, depth=depth, subsample=subsample, **params)
+    fold = validation_rows(key).cast("int") if key else F.lit(0)
+    rows = _boosting_rows(train, key, fold)
+    if not key:
+        return boost(rows, [(point, -1)], classes=len(OUTCOME_LEVELS), rounds=rounds, seed=seed)[0]
+    part, whole = boost(rows, [(point, 1), (point, -1)], classes=len(OUTCOME_LEVELS), rounds=rounds, patience=patience, seed=seed, group=lambda m: "one")
+    best = part.best if part.losses else len(whole.rounds)
+    whole.losses = part.losses
+    return whole.cut_to(best)
+
+
+def predict_boosted(model: Boosted, test: DataFrame) -> DataFrame:
+    x = test.withColumn("__p", probabilities(model, vector_to_array("features")))
+    x = x.select("*", *[F.col("__p")[i].alias(f"p_{lv.lower()}") for i, lv in enumerate(OUTCOME_LEVELS)]).drop("__p")
     return x.withColumn("prediction_label", class_from_probs("p_lose", "p_draw", "p_win"))
 
 
@@ -172,17 +150,25 @@ def _tuned(train: DataFrame, grid: dict[str, Sequence], key: str, folds: int, me
     return train.sparkSession.createDataFrame(rows, columns)
 
 
-def tune_boosted(train: DataFrame, grid: dict[str, Sequence], key: str, folds: int = 5, seed: int = 123) -> DataFrame:
-    """Log-loss of boosted trees for each point of ``grid`` (step, rounds, depth,
-    subsample, minInstancesPerNode ...): mean over the folds, points with a
-    positive score only, best first."""
-    names = {k: ("double" if any(isinstance(v, float) for v in vs) else "long") for k, vs in grid.items()}
-
-    def measure(tr, te, point):
-        return log_loss(predict_boosted(fit_boosted(tr, seed=seed, **point), te))
+def tune_boosted(train: DataFrame, grid: dict[str, Sequence], key: str, folds: int = 5, rounds: int = 1500, patience: int = 10, seed: int = 123) -> DataFrame:
+    """Least mean log-loss over the folds, and the rounds that give it, for each point of
+    ``grid`` (the fields of ``Point``): points with a positive score only, best first.
 
-    table = _tuned(train, grid, key, folds, measure, ", ".join(f"{k} {t}" for k, t in names.items()) + ", fold int, score double")
-    return table.groupBy(*grid).agg(F.avg("score").alias("score")).where("score > 0").orderBy("score", *grid)
+    All points and folds grow in the same passes over the rows, so a grid takes as many
+    jobs as its longest model; a pass's work is the sum of the models still growing.
+    """
+    points = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    jobs = [(Point(**p), f) for p in points for f in range(folds)]
+    grown = boost(_boosting_rows(train, key, bucket100(key) % folds), jobs, classes=len(OUTCOME_LEVELS), rounds=rounds, patience=patience, seed=seed, group=lambda m: m // folds)
+    rows = []
+    for i, point in enumerate(points):
+        scored = [m.losses for m in grown[i * folds:(i + 1) * folds] if m.losses]
+        if scored:
+            mean = np.mean(scored, axis=0)
+            rows.append((*point.values(), int(np.argmin(mean)), float(mean.min())))
+    names = {k: ("double" if any(isinstance(v, float) for v in vs) else "long") for k, vs in grid.items()}
+    table = train.sparkSession.createDataFrame(rows, ", ".join(f"{k} {t}" for k, t in names.items()) + ", rounds int, score double")
+    return table.where("score > 0").orderBy("score", *grid)
 
 
 def tune_svm(train: DataFrame, n_in: int, costs: Sequence[float], gammas: Sequence[float], key: str, folds: int = 5, seed: int = 123) -> DataFrame:
@@ -314,9 +300,9 @@ def fit_scores(train: DataFrame, features: Sequence[str], targets=("away_goals",
 
 # ---------------------------------------------------------------- history and formula
 
-def boosting_history(model) -> DataFrame:
-    """Validation loss of every member after each round: member, round, metric."""
-    return SparkSession.active().createDataFrame(model.history, "member int, round int, metric double")
+def boosting_history(model: Boosted) -> DataFrame:
+    """Validation loss after each round: round, metric."""
+    return SparkSession.active().createDataFrame([(r, float(v)) for r, v in enumerate(model.losses) if r], "round int, metric double")
 
 
 def score_history(model, df: DataFrame, targets=("away_goals", "home_goals")) -> DataFrame:
