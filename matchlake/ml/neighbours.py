@@ -1,16 +1,20 @@
 """Exact nearest neighbours without all pairs in one place.
 
-Training vectors are assigned to the nearest of a bounded set of pivots; a pivot's
-vectors form a cell with a radius, and cells above CELL_ROWS vectors are cut into
-parts by a hash of the id.  A test vector is searched in one part of its own cell
-first.  Its k-th distance there bounds the search: by the triangle inequality a
-cell further than that bound plus its radius holds nothing nearer, so the test
-vector is sent to the other cells only.
-
-Rows reach a task sorted by part, training vectors first, so a task holds one part
-and one Arrow batch of test vectors at a time.  Of each part a test vector gets its
-best ``k`` by (distance, id), with all ties cut by id and none by batch borders.
-Nothing is collected but the pivots.
+Training vectors are put into a tree of pivots, level by level: a cell of more than
+CELL_ROWS vectors gets FAN of its distinct vectors as pivots, and its vectors go to the
+nearest of them.  A leaf has a pivot and a radius of its own, and so has every cell above it.  Only a
+cell of equal vectors stays large, and is cut into parts by a hash of the id.
+
+A test vector goes down the tree to its nearest leaf and is searched in one part of it
+first.  Its k-th distance there bounds the search: by the triangle inequality a cell
+further than that bound plus its radius holds nothing nearer, so the vector goes down the
+tree once more, only into cells that can hold something, and is sent to the leaves it reaches.
+
+The tree is a table with a row for each cell.  Rows reach a task sorted by cell and part,
+with the cell's pivots or training vectors first, so a task holds one cell's pivots, or one part of a leaf,
+and one Arrow batch of vectors at a time; cells that many vectors go through are
+dealt to several tasks.  Of each part a test vector gets its best ``k`` by (distance, id),
+with all ties cut by id and none by batch borders.  No vector is collected.
 """
 
 from __future__ import annotations
@@ -21,12 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from matchlake.operators.joins import small_side
 from matchlake.session import scratch_dir
 
-PIVOTS = 64
+FAN = 64
 CELL_ROWS = 4096
+TASK_ROWS = 65536  # vectors of one cell that one task takes down the tree
 BATCH = 256  # test vectors whose distances to a part are held at once: 8 MB
 DIGITS = 9  # distances are compared after rounding, as ties should not depend on summation
 SLACK = 1e-8
@@ -54,12 +59,78 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _to_pivots(vec: Column, pivots: np.ndarray) -> Column:
-    @F.arrow_udf(T.ArrayType(T.DoubleType()))
-    def udf(batch: pa.Array) -> pa.Array:
-        return pa.array(list(_distances(_matrix(batch), pivots)), pa.list_(pa.float64()))
+_STEP = "key long, cell string, d double"
 
-    return udf(vec)
+
+def _stepper(all_in_reach: bool):
+    """Streams rows sorted by (cell, part, kind): a cell's pivots (kind 0: their cells and radii) and
+    the vectors in it (kind 1).  Gives the nearest pivot's cell of each vector, or with
+    ``all_in_reach`` every cell that the vector's bound reaches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, pivots, names, radii = None, [], None, None, None
+        for batch in batches:
+            cell, part, kind = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("cell", "part", "kind"))
+            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])])
+            for a, b in zip(cuts, np.r_[cuts[1:], batch.num_rows], strict=True):
+                if at != (cell[a], part[a]):
+                    at, held, pivots = (cell[a], part[a]), [], None
+                rows = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    held.append(rows)
+                    continue
+                if pivots is None:
+                    pivots = np.concatenate([_matrix(h.column("vec")) for h in held])
+                    names = np.concatenate([h.column("child").to_numpy(zero_copy_only=False) for h in held])
+                    radii = np.concatenate([h.column("radius").to_numpy(zero_copy_only=False) for h in held])
+                d = _distances(_matrix(rows.column("vec")), pivots)
+                if all_in_reach:
+                    bound = rows.column("bound").to_numpy(zero_copy_only=False)
+                    i, j = np.nonzero(d - radii[None, :] <= bound[:, None] + SLACK)
+                else:
+                    i, j = np.arange(len(d)), d.argmin(axis=1)
+                key = rows.column("key").to_numpy()[i]
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(names[j], pa.string()), pa.array(d[i, j], pa.float64())], names=["key", "cell", "d"])
+
+    return run
+
+
+def _down(rows: DataFrame, cells: DataFrame, reach: bool = False) -> DataFrame:
+    """``(key, cell, d)``: one level down for rows ``(key, cell, vec, bound)`` in cells that have children."""
+    parts = rows.groupBy("cell").agg(F.ceil(F.count("*") / TASK_ROWS).cast("int").alias("parts"))
+    children = cells.select(F.col("parent").alias("cell"), F.col("cell").alias("child"), "vec", "radius")
+    own = children.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "child", "vec", "radius",
+                                              F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("bound"))
+    moving = rows.join(small_side(parts), "cell").select("cell", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("child"), "vec",
+                                                        F.lit(None).cast("double").alias("radius"), "key", "bound")
+    return own.unionByName(moving).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_stepper(reach), _STEP)
+
+
+def _tree(train: DataFrame, cell_rows: int, fan: int) -> tuple[DataFrame, DataFrame, int]:
+    """Training rows ``(id, label, vec, folds, key, cell, part)`` in their leaves; the cells
+    ``(parent, cell, vec, radius, leaf, parts)``, one row each but the root; and the number of levels."""
+    rows = _stored(train.withColumns({"key": F.monotonically_increasing_id(), "cell": F.lit(""), "d": F.lit(None).cast("double")}), "rows")
+    done, cells, level = None, None, 0
+    while True:
+        sizes = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("radius"))
+        sizes = _stored(sizes.withColumn("split", (F.col("n") > cell_rows) & (F.col("radius").isNull() | (F.col("radius") > 0))), f"sizes{level}")
+        leaf = rows.join(small_side(sizes.where("NOT split").select("cell", F.ceil(F.col("n") / cell_rows).cast("int").alias("parts"))), "cell")
+        leaf = leaf.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        done = leaf if done is None else done.unionByName(leaf)
+        if level:
+            found = pivots.join(sizes, "cell").select("parent", "cell", "vec", "radius", (~F.col("split")).alias("leaf"), F.ceil(F.col("n") / cell_rows).cast("int").alias("parts"), F.lit(level).alias("level"))
+            cells = found if cells is None else cells.unionByName(found)
+        if not sizes.where("split").limit(1).count():
+            return done, (_stored(cells, "cells") if cells is not None else None), level
+        inside = rows.join(small_side(sizes.where("split").select("cell")), "cell", "left_semi")
+        distinct = inside.groupBy("cell", F.xxhash64("vec").alias("h")).agg(F.min("vec").alias("vec"))
+        w = Window.partitionBy("cell").orderBy("h")
+        chosen = distinct.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= fan)
+        pivots = chosen.select(F.col("cell").alias("parent"), F.concat_ws("/", F.col("cell"), F.col("place").cast("string")).alias("cell"), "vec")
+        pivots = _stored(pivots, f"pivots{level}")
+        moved = _down(inside.withColumn("bound", F.lit(None).cast("double")), pivots.withColumn("radius", F.lit(0.0)))
+        rows = _stored(inside.drop("cell", "d").join(moved, "key"), f"rows{level + 1}")
+        level += 1
 
 
 _OUT = "test_id long, rep int, train_id long, nb_label long, dist double"
@@ -114,35 +185,55 @@ def _search(train: DataFrame, test: DataFrame, k: int) -> DataFrame:
     return rows.repartition("cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_searcher(k), _OUT)
 
 
-def nearest(train: DataFrame, test: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+def _reached(test: DataFrame, cells: DataFrame | None, levels: int, reach: bool) -> DataFrame:
+    """``(key, cell, parts)``: the leaf that each test row ``(key, vec, bound)`` is nearest to level by
+    level or, with ``reach``, all leaves within its bound."""
+    at = test.select("key", F.lit("").alias("cell"))
+    ended = None
+    for level in range(levels):
+        own = _stored(cells.where(F.col("level") == level + 1), f"level{level}")
+        moved = _down(at.join(test.select("key", "vec", "bound"), "key"), own, reach)
+        moved = _stored(moved.join(small_side(own.select("cell", "leaf", "parts")), "cell"), f"moved{level}")
+        leaf = moved.where("leaf").select("key", "cell", "parts")
+        ended = leaf if ended is None else ended.unionByName(leaf)
+        at = moved.where("NOT leaf").select("key", "cell")
+    return ended
+
+
+def nearest(train: DataFrame, test: DataFrame, k: int, cell_rows: int = CELL_ROWS, fan: int = FAN) -> DataFrame:
     """The ``k`` nearest training rows of each test row by (distance, id):
     ``test_id, rep, train_id, nb_label, dist, rank``.
 
     ``train(id, label, vec, folds)``; ``test(id, vec, rep, fold)``.  If a test row
     has ``rep >= 0``, training rows with ``folds[rep] = fold`` are left out for it.
     """
-    pivots = [r["vec"] for r in train.select("vec", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(PIVOTS).collect()]
-    if not pivots:
-        return train.sparkSession.createDataFrame([], _OUT + ", rank int")
-    pivots = np.array(pivots, float)
-    cell = lambda d: (F.array_position(d, F.array_min(d)) - 1).cast("int")
-    placed = train.withColumn("d", _to_pivots(F.col("vec"), pivots)).select("id", "label", "vec", "folds", cell(F.col("d")).alias("cell"), F.array_min("d").alias("from_pivot"))
-    placed = _stored(placed, "cells")
-    cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("parts"), F.max("from_pivot").alias("radius"))
-    cells = F.broadcast(_stored(cells, "radii"))  # a row for each pivot at most
-    train = placed.join(cells, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    test = test.withColumn("d", _to_pivots(F.col("vec"), pivots)).withColumn("cell", cell(F.col("d")))
-    # a test row's own cell may hold no training row (its pivot's cell always holds the pivot)
-    test = _stored(test.join(cells.select("cell", "parts"), "cell", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"), "test")
-    first = _stored(_search(train, test.withColumn("bound", F.lit(float("inf"))), k), "first")
-    kth = first.groupBy("test_id", "rep").agg(F.count("*").alias("n"), F.max("dist").alias("bound")).filter(F.col("n") >= k)
-    later = test.join(kth.select(F.col("test_id").alias("id"), "rep", "bound"), ["id", "rep"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    later = later.withColumnsRenamed({"cell": "own_cell", "part": "own_part"}).select("*", F.posexplode("d").alias("cell", "to_pivot"))
-    later = later.join(cells, "cell").filter(F.col("to_pivot") - F.col("radius") <= F.col("bound") + SLACK)
-    later = later.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter((F.col("cell") != F.col("own_cell")) | (F.col("part") != F.col("own_part")))
-    every = first.unionByName(_search(train, later, k))
+    return _ranked(searched(train, test, k, cell_rows, fan)[0], k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("test_id", "rep").orderBy("dist", "train_id")
-    return every.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def searched(train: DataFrame, test: DataFrame, k: int, cell_rows: int = CELL_ROWS, fan: int = FAN) -> tuple[DataFrame, DataFrame | None]:
+    """The best of each test row in each part it was sent to, and the later sends
+    ``(key, cell, part)`` beyond its first part; none if one part holds all."""
+    placed, cells, levels = _tree(train, cell_rows, fan)
+    infinite = F.lit(float("inf"))
+    if not levels:  # all in one cell, in parts only if its vectors are equal
+        parts = placed.agg(F.max("parts")).first()[0] or 1
+        whole = test.withColumns({"cell": F.lit(""), "bound": infinite, "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
+        return _search(placed, whole, k), None
+    test = _stored(test.withColumns({"key": F.monotonically_increasing_id(), "bound": infinite}), "test")
+    home = _reached(test, cells, levels, False).select("key", "cell", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"))
+    home = _stored(home, "home")
+    first = _stored(_search(placed, test.join(home, "key"), k), "first")
+    kth = first.groupBy("test_id", "rep").agg(F.count("*").alias("n"), F.max("dist").alias("bound")).filter(F.col("n") >= k)
+    bounded = test.drop("bound").join(kth.select(F.col("test_id").alias("id"), "rep", "bound"), ["id", "rep"], "left").withColumn("bound", F.coalesce("bound", infinite))
+    bounded = _stored(bounded, "bounded")
+    sends = _reached(bounded, cells, levels, True).select("key", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    sends = _stored(sends.join(home, ["key", "cell", "part"], "left_anti"), "sends")
+    return first.unionByName(_search(placed, bounded.join(sends, "key"), k)), sends
 
 
 def _vote(neighbours: DataFrame, by: list[str]) -> DataFrame:
