@@ -32,6 +32,7 @@ from matchlake.session import scratch_dir
 FAN = 64
 CELL_ROWS = 4096
 TASK_ROWS = 65536  # vectors of one cell that one task takes down the tree
+SEARCH_ROWS = 1024  # test vectors that one task compares with a part
 BATCH = 256  # test vectors whose distances to a part are held at once: 8 MB
 DIGITS = 9  # distances are compared after rounding, as ties should not depend on summation
 SLACK = 1e-8
@@ -59,6 +60,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _tasks(df: DataFrame) -> int:
+    """Partitions for rows that cost far more time than their bytes tell: adaptive execution would merge them."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 _STEP = "key long, cell string, d double"
 
 
@@ -103,7 +109,7 @@ def _down(rows: DataFrame, cells: DataFrame, reach: bool = False) -> DataFrame:
                                               F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("bound"))
     moving = rows.join(small_side(parts), "cell").select("cell", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("child"), "vec",
                                                         F.lit(None).cast("double").alias("radius"), "key", "bound")
-    return own.unionByName(moving).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_stepper(reach), _STEP)
+    return own.unionByName(moving).repartition(_tasks(rows), "cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_stepper(reach), _STEP)
 
 
 def _tree(train: DataFrame, cell_rows: int, fan: int) -> tuple[DataFrame, DataFrame, int]:
@@ -141,11 +147,11 @@ def _searcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, ids, labels, vectors, folds = None, [], None, None, None, None
         for batch in batches:
-            cell, part, kind = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("cell", "part", "kind"))
-            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])])
+            cell, part, copy, kind = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("cell", "part", "copy", "kind"))
+            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (copy[1:] != copy[:-1]) | (kind[1:] != kind[:-1])])
             for a, b in zip(cuts, np.r_[cuts[1:], batch.num_rows], strict=True):
-                if at != (cell[a], part[a]):
-                    at, held, ids = (cell[a], part[a]), [], None
+                if at != (cell[a], part[a], copy[a]):
+                    at, held, ids = (cell[a], part[a], copy[a]), [], None
                 rows = batch.slice(a, b - a)
                 if kind[a] == 0:
                     held.append(rows)
@@ -179,10 +185,15 @@ def _searcher(k: int):
 
 
 def _search(train: DataFrame, test: DataFrame, k: int) -> DataFrame:
+    """The best of each test row in its part; a part that many test rows are sent to is held by several tasks."""
+    copies = test.groupBy("cell", "part").agg(F.ceil(F.count("*") / SEARCH_ROWS).cast("int").alias("copies"))
+    copies = small_side(_stored(copies, "copies"))
     none = F.lit(None)
-    rows = train.select("cell", "part", F.lit(0).alias("kind"), "id", "label", "vec", "folds", none.cast("int").alias("rep"), none.cast("int").alias("fold"), none.cast("double").alias("bound"))
-    rows = rows.unionByName(test.select("cell", "part", F.lit(1).alias("kind"), "id", none.cast("long").alias("label"), "vec", none.cast("array<int>").alias("folds"), "rep", "fold", "bound"))
-    return rows.repartition("cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_searcher(k), _OUT)
+    held = train.join(copies, ["cell", "part"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    rows = held.select("cell", "part", "copy", F.lit(0).alias("kind"), "id", "label", "vec", "folds", none.cast("int").alias("rep"), none.cast("int").alias("fold"), none.cast("double").alias("bound"))
+    sent = test.join(copies, ["cell", "part"]).withColumn("copy", F.pmod(F.xxhash64("id", "rep"), F.col("copies")).cast("int"))
+    rows = rows.unionByName(sent.select("cell", "part", "copy", F.lit(1).alias("kind"), "id", none.cast("long").alias("label"), "vec", none.cast("array<int>").alias("folds"), "rep", "fold", "bound"))
+    return rows.repartition(_tasks(test), "cell", "part", "copy").sortWithinPartitions("cell", "part", "copy", "kind").mapInArrow(_searcher(k), _OUT)
 
 
 def _reached(test: DataFrame, cells: DataFrame | None, levels: int, reach: bool) -> DataFrame:
