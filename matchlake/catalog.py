@@ -8,12 +8,14 @@ property tests in ``tests/``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-import uuid
-
 from matchlake import oracle
 from matchlake.operators import gold, silver
 from matchlake.session import scratch_dir
@@ -67,7 +69,14 @@ def silver_tables_materialized(spark: SparkSession, sf_dir: str, needed: tuple[s
     tables): every later plan scans small parquet tables instead of deriving
     bronze again in each branch."""
     folder = folder or scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
-    return {k: write_table(spark, v, folder, k) for k, v in silver_all(spark, sf_dir, *needed).items()}
+    return side_by_side(spark, {k: partial(write_table, spark, v, folder, k) for k, v in silver_all(spark, sf_dir, *needed).items()})
+
+
+def side_by_side(spark: SparkSession, makers: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Layers that do not depend on each other, their jobs submitted at the same time."""
+    with ThreadPoolExecutor(max(1, len(makers))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(make)) for name, make in makers.items()}
+        return {name: job.result() for name, job in running.items()}
 
 
 NEEDS = {
@@ -85,15 +94,19 @@ def gold_all(spark: SparkSession, sf_dir: str, direction: str = "desc", chunk=go
     away and as the home side), so every layer is computed exactly once."""
     folder = scratch_dir(spark, f"tables-{uuid.uuid4().hex}")
     s = silver_tables_materialized(spark, sf_dir, tuple(n for n in silver.SILVER if any(n in NEEDS[g] for g in needed)), folder)
-    out: dict[str, DataFrame] = {}
     want_match = "gold_match_table" in needed
-    if want_match or "gold_team_stats" in needed:
-        ts = gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"],
-                                  direction=direction, chunk=chunk)
-        out["gold_team_stats"] = write_table(spark, ts, folder, "gold_team_stats") if want_match else ts
-    if want_match or "gold_avg_team_difficulty" in needed:
-        d = gold.gold_avg_team_difficulty(s["silver_fixture"], s["silver_standing"], direction=direction, chunk=chunk)
-        out["gold_avg_team_difficulty"] = write_table(spark, d, folder, "gold_avg_team_difficulty") if want_match else d
+
+    def team_stats() -> DataFrame:
+        ts = gold.gold_team_stats(s["silver_fixture"], s["silver_standing"], s["silver_fixture_stat"], direction=direction, chunk=chunk,
+                                  store=lambda df: write_table(spark, df, folder, "team_stats_input"))
+        return write_table(spark, ts, folder, "gold_team_stats") if want_match else ts
+
+    def difficulty() -> DataFrame:
+        d = gold.gold_avg_team_difficulty(s["silver_fixture"], s["silver_standing"], direction=direction, chunk=chunk,
+                                          store=lambda df: write_table(spark, df, folder, "difficulty_input"))
+        return write_table(spark, d, folder, "gold_avg_team_difficulty") if want_match else d
+
+    out = side_by_side(spark, {name: make for name, make in (("gold_team_stats", team_stats), ("gold_avg_team_difficulty", difficulty)) if want_match or name in needed})
     if want_match:
         out["gold_match_table"] = gold.gold_match_table(s["silver_fixture"], out["gold_team_stats"],
                                                         out["gold_avg_team_difficulty"], s["silver_coach"])

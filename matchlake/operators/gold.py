@@ -7,8 +7,9 @@ matches (a forward-looking feature; the latest match has an empty frame).
 ``direction='asc'`` averages the previous matches (leak-free).
 
 ``chunk`` selects the rolling strategy (see ``operators.rolling``): by default
-each team is split by month, so a team holding a large share of all matches is
-still spread over many tasks, and a month gets at most nine halo rows.
+teams of many matches are split into chunks of a bounded number of rows, so a team
+holding a large share of all matches, or all of them in one month, is still spread over many tasks, and
+a chunk gets at most nine halo rows.  ``store`` writes the windows' input once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from matchlake.functions.scalar import ratio
 from matchlake.operators.joins import coach_on_date, prior_season_join, prior_standing, to_team_rows
 from matchlake.operators.rolling import rolling_mean
 
-DEFAULT_CHUNK = "month"
+DEFAULT_CHUNK = "balanced"
 
 FORM_SPECS = [  # (output, input expression, frame rows)
     ("total_shots_avg", "total_shots", 9),
@@ -34,14 +35,14 @@ FORM_SPECS = [  # (output, input expression, frame rows)
 def _chunk(chunk):
     if chunk is None or chunk is False:
         return None
-    if chunk == "month":
+    if isinstance(chunk, str) and chunk == "month":
         return F.substring("fixture_date", 1, 7)
-    return F.col(chunk) if isinstance(chunk, str) else chunk
+    return F.col(chunk) if isinstance(chunk, str) and chunk != "balanced" else chunk
 
 
 def gold_team_stats(silver_fixture: DataFrame, silver_standing: DataFrame,
                     silver_fixture_stat: DataFrame, direction: str = "desc",
-                    chunk=DEFAULT_CHUNK) -> DataFrame:
+                    chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
     fixture_dates = silver_fixture.select("fixture_date", "fixture_id", "season").distinct()
     standing = prior_standing(silver_standing)
     temp = silver_fixture_stat.join(fixture_dates, "fixture_id")
@@ -51,7 +52,7 @@ def gold_team_stats(silver_fixture: DataFrame, silver_standing: DataFrame,
     return rolling_mean(
         temp, ["team_id"], ["fixture_date", "fixture_id", "prior_season_rank"], specs,
         direction=direction, chunk=_chunk(chunk),
-        keep=["team_id", "fixture_id", "prior_season_rank"],
+        keep=["team_id", "fixture_id", "prior_season_rank"], store=store,
     )
 
 
@@ -71,12 +72,12 @@ def team_opponent_rows(silver_fixture: DataFrame, silver_standing: DataFrame) ->
 
 
 def gold_avg_team_difficulty(silver_fixture: DataFrame, silver_standing: DataFrame,
-                             direction: str = "desc", chunk=DEFAULT_CHUNK) -> DataFrame:
+                             direction: str = "desc", chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
     combined = team_opponent_rows(silver_fixture, silver_standing)
     return rolling_mean(
         combined, ["team_id"], ["fixture_date", "fixture_id", "prior_season_rank"],
         [("rank_team_faced", F.col("prior_season_rank").cast("double"), 9)],
-        direction=direction, chunk=_chunk(chunk), keep=["fixture_id", "team_id"],
+        direction=direction, chunk=_chunk(chunk), keep=["fixture_id", "team_id"], store=store,
     )
 
 

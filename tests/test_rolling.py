@@ -99,3 +99,23 @@ def test_small_side_broadcasts_only_under_bound(spark):
     assert "ResolvedHint (strategy=broadcast)" in a._jdf.queryExecution().analyzed().toString() or \
         "broadcast" in a._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in b._jdf.queryExecution().logical().toString().lower()
+
+
+@pytest.mark.parametrize("direction", ["desc", "asc"])
+def test_balanced_chunks_spread_a_hot_day(spark, direction):
+    rnd = random.Random(3)
+    rows = [(0, "2020-01-15" if rnd.random() < 0.7 else f"2020-01-{rnd.randint(1, 28):02d}", i, float(rnd.randint(0, 9))) for i in range(4000)]
+    rows += [(k, f"2020-02-{d:02d}", 4000 + 30 * k + d, None if d % 5 else 1.0) for k in range(1, 4) for d in range(1, 29)]
+    df = spark.createDataFrame(rows, "k long, d string, id long, v double")
+    from matchlake.operators.rolling import balanced
+    pieces, chunk = balanced(df, ["k"], ["d", "id"], 100)
+    sizes = pieces.groupBy("k", chunk.alias("c")).count().collect()
+    hot = [r["count"] for r in sizes if r["k"] == 0]
+    assert max(hot) <= 400 and len(hot) >= 20 and sum(hot) == 4000
+    assert [r["count"] for r in sizes if r["k"] == 2] == [28]
+    got = rolling_mean(df, ["k"], ["d", "id"], [("m9", F.col("v"), 9)], direction=direction, chunk="balanced", chunk_rows=100)
+    want = _brute(rows, 9, direction)
+    found = {r.id: r.m9 for r in got.collect()}
+    assert found.keys() == want.keys()
+    assert all((found[i] is None and want[i] is None) or abs(found[i] - want[i]) < 1e-9 for i in want)
+    assert balanced(df, ["k"], ["d", "id"], 4000) is None
