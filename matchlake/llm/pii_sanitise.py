@@ -7,8 +7,9 @@ A term ``t`` discloses ``e`` by as much as seeing it raises the odds of ``e``:
 the point-wise mutual information ``PMI(e; t) = log p(e, t) / (p(e) p(t))``,
 estimated from the whole corpus, against what there is to disclose, the
 information content ``IC(e) = -log p(e)``.  Terms with ``PMI >= IC / alpha`` for
-some entity reveal too much: fully revealing ones (``PMI >= IC / alpha_remove``)
-are removed, the others generalised to a placeholder.
+some entity reveal too much in the texts that hold this entity: there, fully revealing ones
+(``PMI >= IC / alpha_remove``) are removed, the others generalised to a placeholder.
+A text that holds no entity has nothing to disclose and stays as it is.
 
 Terms are the words outside the personal data, of letters and digits and of any
 length.  Probabilities are shares of distinct texts (copies are one piece of evidence).
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import bounded_batches, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, unpacked
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -52,7 +53,8 @@ MIN_TEXTS = 1  # distinct texts that must show a term with an entity: no floor
 PRIOR_TEXTS = 1.0  # texts without evidence that p(e | t) is smoothed by
 ALPHA = 1.25  # a term is generalised at PMI >= IC / ALPHA ...
 ALPHA_REMOVE = 1.05  # ... and removed at PMI >= IC / ALPHA_REMOVE
-BROADCAST_TERMS = 4_000_000  # terms by hash, 12 bytes each: at most 48 MB
+FILTER_BITS = 1 << 29  # a bit filter of the candidate terms: at most 64 MB
+BROADCAST_TEXTS = 50_000  # texts with their terms, joined without a shuffle up to that many
 ABSENT_WORDS = 300_000  # words that a task remembers as no terms
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -128,27 +130,21 @@ def _keys(terms: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in terms), np.uint64, len(terms)).view(np.int64)
 
 
-def _places(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Where each of ``of`` is in the sorted ``keys``; -1 if it is not."""
-    if not len(keys):
-        return np.full(len(of), -1)
-    at = np.minimum(np.searchsorted(keys, of), len(keys) - 1)
-    return np.where(keys[at] == of, at, -1)
-
-
-def _lookup(keys: np.ndarray):
-    """The words of a set that are among the keys, and their places.  Words seen not
-    to be are remembered, as most words of a text are common ones."""
+def _lookup(bits: np.ndarray):
+    """The keys of a set's words that pass the bit filter.  Words seen not to are
+    remembered, as most words of a text are common ones."""
     absent: set[str] = set()
+    mask = np.uint64(8 * len(bits) - 1)
 
-    def find(words: set[str]) -> tuple[list[str], np.ndarray]:
+    def find(words: set[str]) -> np.ndarray:
         if len(absent) > ABSENT_WORDS:
             absent.clear()
         new = list(words - absent)
-        at = _places(keys, _keys(new))
-        absent.update(new[k] for k in np.flatnonzero(at < 0))
-        hit = np.flatnonzero(at >= 0)
-        return [new[k] for k in hit], at[hit]
+        keys = _keys(new)
+        place = keys.view(np.uint64) & mask
+        hit = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+        absent.update(new[k] for k in np.flatnonzero(~hit))
+        return keys[hit]
 
     return find
 
@@ -196,57 +192,58 @@ def _private(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _SEEN = T.StructType([T.StructField("k", T.LongType()), T.StructField("h", T.LongType())])
 
 
-def _occurrences(keys: np.ndarray, limits: np.ndarray):
-    """(term key, text hash) for the given terms of each text.  A task shows at most
-    one text more than a term's limit, which is enough to see that it has too many."""
+def _occurrences(bits: np.ndarray):
+    """(term key, text hash) for the words of each text that pass the filter."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, done, find = limits.astype(np.int64) + 1, set(), _lookup(keys)
+        done, find = set(), _lookup(bits)
         for pdf in frames:
             ks, hs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for h, text in zip(pdf["h"], pdf["text"], strict=True):
                 if text and h not in done:
                     done.add(h)
-                    _, at = find(_distinct_terms(text, base_spans(text)))
-                    at = at[left[at] > 0]
-                    left[at] -= 1
-                    ks.append(keys[at])
-                    hs.append(np.full(len(at), h, np.int64))
+                    ks.append(find(_distinct_terms(text, base_spans(text))))
+                    hs.append(np.full(len(ks[-1]), h, np.int64))
             yield pd.DataFrame({"k": np.concatenate(ks), "h": np.concatenate(hs)})
 
     return run
 
 
-def _passes(terms: DataFrame) -> list[DataFrame]:
-    """``terms`` in parts of at most about BROADCAST_TERMS."""
-    n = terms.count()
-    if n <= BROADCAST_TERMS:
-        return [terms]
-    parts = math.ceil(n / BROADCAST_TERMS * 1.25)
-    return [terms.filter(F.pmod("k", F.lit(parts)) == p) for p in range(parts)]
+def _bit_filter(keys: DataFrame, most_bits: int) -> np.ndarray:
+    """Bit ``k mod size`` of each key; ``size`` is 32 bits a key and at most ``most_bits``."""
+    size, n = 1 << 15, keys.count()
+    while size < min(most_bits, 32 * n):
+        size *= 2
+    place = F.col("k").bitwiseAND(F.lit(size - 1)) + 1  # bitmap buckets hold 32,768 values from 1 on
+    parts = keys.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in parts.toLocalIterator():  # at most size / 32,768 rows of 4 KB
+        bits[(r["part"] - 1) * 4096:r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return bits
 
 
 def _texts_with(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(k, n_t)``: in how many distinct texts each of the terms ``(k, most)``
-    occurs; beyond ``most``, some number that is larger than it."""
-    seen = None
-    for part in _passes(terms):
-        known = part.select("k", F.least("most", F.lit(2.0**30)).cast("int").alias("most")).toArrow()
-        keys, limits = known["k"].to_numpy(), known["most"].to_numpy()
-        order = np.argsort(keys)
-        found = texts.select("h", "text").mapInPandas(_occurrences(keys[order], limits[order]), _SEEN)
-        seen = found if seen is None else seen.unionByName(found)
-    return seen.distinct().groupBy("k").agg(F.count("*").alias("n_t"))
-
-
-def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEXTS, alpha: float = ALPHA, alpha_remove: float = ALPHA_REMOVE) -> DataFrame:
+    """``(k, n_t)``: in how many distinct texts each of the terms ``(k)`` occurs.  One pass over
+    the texts however many terms: what passes the filter is counted and joined with them."""
+    bits = _bit_filter(terms, FILTER_BITS)
+    seen = texts.select("h", "text").mapInPandas(_occurrences(bits), _SEEN)
+    return seen.distinct().groupBy("k").agg(F.count("*").alias("n_t")).join(terms, "k")
+
+
+def disclosing_terms(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``(t, remove, k)``: the terms that disclose an entity by more than the
-    threshold, whether they do so fully, and their hash.  Also see the module's text.
+    threshold, whether they do so fully for one, and their hash."""
+    pairs, _ = _disclosing(docs, text, **options)
+    return pairs.groupBy("t").agg(F.max("remove").alias("remove")).withColumn("k", F.xxhash64("t"))
+
+
+def _disclosing(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEXTS, alpha: float = ALPHA, alpha_remove: float = ALPHA_REMOVE) -> tuple[DataFrame, DataFrame]:
+    """``(e, t, remove)``: the pairs of an entity and a term that discloses it by more than the
+    threshold, and ``(h, t, remove)``: the texts that hold both.  Also see the module's text.
 
     With ``p = n_e / N``, ``p(e | t) = (n_et + w p) / (n_t + w)`` and ``w`` for PRIOR_TEXTS,
     ``PMI >= IC / alpha`` is ``n_t <= (n_et + w p) / p ** (1 - 1 / alpha) - w``.
-    As ``n_et <= n_e``, an entity has a greatest ``n_t`` of its own; and a term needs
-    of all its entities only the greatest ``n_t`` that any of them allows it.
+    As ``n_et <= n_e``, an entity has a greatest ``n_t`` of its own.
     """
     bounded_batches(docs)
     texts = docs.select(col(text).alias("text"), F.xxhash64(col(text)).alias("h")).filter("text is not null")
@@ -270,13 +267,12 @@ def disclosing_terms(docs: DataFrame, text: str = "text", *, min_texts: int = MI
     joint = pairs.groupBy("e", "t", "least", "n_e").agg(F.count("*").alias("n_et"))
     if min_texts > 1:
         joint = joint.filter(F.col("n_et") >= min_texts)
-    joint = joint.select("t", "least", most(F.col("n_et"), alpha).alias("most"), most(F.col("n_et"), alpha_remove).alias("most_removed"))
-    joint = joint.filter(F.col("least") <= F.col("most")).groupBy("t").agg(F.max("most").alias("most"), F.max("most_removed").alias("most_removed"))
-    joint = stored(joint.withColumn("k", F.xxhash64("t")), "joint")
-    if joint.limit(1).count() == 0:
-        return joint.select("t", F.lit(False).alias("remove"), "k")
-    counted = joint.join(_texts_with(texts, joint), "k").filter(F.col("n_t") <= F.col("most"))
-    return stored(counted.select("t", (F.col("n_t") <= F.col("most_removed")).alias("remove"), "k"), "terms")
+    joint = joint.select("e", "t", "least", most(F.col("n_et"), alpha).alias("most"), most(F.col("n_et"), alpha_remove).alias("most_removed"))
+    joint = stored(joint.filter(F.col("least") <= F.col("most")).withColumn("k", F.xxhash64("t")), "joint")
+    counted = joint.join(_texts_with(texts, joint.select("k").distinct()), "k").filter(F.col("n_t") <= F.col("most"))
+    pairs = stored(counted.select("e", "t", (F.col("n_t") <= F.col("most_removed")).alias("remove")), "pairs")
+    both = pairs.join(held, "e").join(words, ["h", "t"]).groupBy("h", "t").agg(F.max("remove").alias("remove"))
+    return pairs, both
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("end", T.IntegerType()), T.StructField("remove", T.BooleanType())])
@@ -293,35 +289,29 @@ def rewritten(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
-def _spans_of(text: str | None, find, remove: np.ndarray, base: bool) -> list[dict]:
-    """Spans of a text: personal data (if ``base``) and the terms that ``find`` knows outside it."""
+def _spans_of(text: str | None, terms: dict[str, bool]) -> list[dict]:
+    """Spans of a text: personal data, and outside it the given terms."""
     if not text:
         return []
     own = base_spans(text)
-    out = [(s, k, e, False) for s, k, e in own] if base else []
-    if len(remove):
-        words, at = find(_distinct_terms(text, own))
-        found = dict(zip(words, remove[at].tolist(), strict=True))
-        if found:
-            out += [(b, 4, z, found[t]) for b, z, t in _terms(text, own) if t in found]
-            out.sort()
+    out = [(s, k, e, False) for s, k, e in own]
+    if terms:
+        out += [(b, 4, z, terms[t]) for b, z, t in _terms(text, own) if t in terms]
+        out.sort()
     return [{"start": s, "kind": KINDS[k], "end": e, "remove": r} for s, k, e, r in out]
 
 
-def _sanitiser(keys: np.ndarray, remove: np.ndarray, base: bool, rewrite: bool):
-    """Struct of spans and, if ``rewrite``, the rewritten text, from a text and the
-    spans found so far.  One function, so that a task needs one Python worker."""
+def _sanitiser(rewrite: bool):
+    """Struct of spans and, if ``rewrite``, the rewritten text, from a text and its
+    terms.  One function, so that a task needs one Python worker."""
     result = T.StructType([T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("text", T.StringType())])
-    find = _lookup(keys)
 
     @F.pandas_udf(result)
-    def udf(texts: pd.Series, known: pd.Series) -> pd.DataFrame:
+    def udf(texts: pd.Series, terms: pd.Series, removes: pd.Series) -> pd.DataFrame:
         pa.default_memory_pool().release_unused()
         spans, clean = [], []
-        for text, before in zip(texts, known, strict=True):
-            found = _spans_of(text, find, remove, base)
-            if before is not None and len(before):
-                found = sorted([*before, *found], key=lambda s: (s["start"], KINDS.index(s["kind"])))
+        for text, own, remove in zip(texts, terms, removes, strict=True):
+            found = _spans_of(text, dict(zip(own, remove, strict=True)) if own is not None else {})
             spans.append(found)
             clean.append(rewritten(text, found) if rewrite and found else text if rewrite else None)
         return pd.DataFrame({"spans": pd.Series(spans, dtype=object), "text": pd.Series(clean, dtype=object)})
@@ -334,30 +324,22 @@ def sanitise(docs: DataFrame, text: str = "text", *, rewrite: bool = True, carry
     ``out``: ``spans`` (array of start, kind, end, remove; code points, end
     exclusive; by start and then kind) and, if ``rewrite``, ``text``: the text
     with personal data and generalised terms replaced by their kind in brackets
-    and removed terms left out.
+    and removed terms left out.  A term is only touched in texts that hold an entity which it discloses.
 
     Defined results: a NULL text has no spans and stays NULL; an empty text stays
-    empty.  Repeated rows count once in the estimates and get equal results.
-    Entities in every text have nothing to disclose.  If there are more disclosing
-    terms than BROADCAST_TERMS, their spans are found in several passes of at most
-    that many.  Clashing names: only ``out`` is taken; if it exists, the new column
+    empty; texts of any length are read whole.  Repeated rows count once in the estimates and get equal results.
+    Entities in every text have nothing to disclose; a term whose information equals the threshold (a tie)
+    discloses.  Clashing names: only ``out`` is taken; if it exists, the new column
     gets a leading underscore.  An empty table gives an empty result.
     """
     names = docs.columns if carry is None else carry
     out = free_name(names, out)
-    terms = disclosing_terms(docs, text, **options)
-    parts = _passes(terms)
-    table = docs.select(packed(docs, names).alias("row"), col(text).alias("t"))
-    table = table.withColumn("spans", F.lit(None).cast(T.ArrayType(_SPAN)))
-    for k, part in enumerate(parts):
-        last = k == len(parts) - 1
-        known = part.select("k", "remove").toArrow()
-        keys, remove = known["k"].to_numpy(), known["remove"].to_numpy()
-        order = np.argsort(keys)
-        found = _sanitiser(keys[order], remove[order], k == 0, rewrite and last)(F.col("t"), F.col("spans"))
-        table = table.select("row", "t", found.alias("found"))
-        if not last:
-            table = stored(table.select("row", "t", "found.spans"), f"pass{k}")
+    _, both = _disclosing(docs, text, **options)
+    own = both.groupBy("h").agg(F.collect_list(F.struct("t", "remove")).alias("own"))
+    own = stored(own.select("h", F.col("own.t").alias("terms"), F.col("own.remove").alias("removes")), "terms")
+    table = docs.select(packed(docs, names).alias("row"), col(text).alias("t"), F.xxhash64(col(text)).alias("h"))
+    table = table.join(broadcast_if_small(own, BROADCAST_TEXTS), "h", "left")
+    table = table.select("row", _sanitiser(rewrite)(F.col("t"), F.col("terms"), F.col("removes")).alias("found"))
     fields = [F.col("found.spans").alias("spans")] + ([F.col("found.text").alias("text")] if rewrite else [])
     return table.select(*unpacked(names), F.struct(*fields).alias(out))
 

@@ -235,6 +235,30 @@ def test_terms_have_digits_and_any_length(spark):
     assert not any(t in got for t in odd) and got.endswith("[CARD][TERM] [EMAIL]")
 
 
+def test_terms_are_touched_only_where_their_entity_is(spark, monkeypatch):
+    rng = random.Random(12)
+    filler = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    texts = [f"Zebulon {filler(9)} ann@mail.example.org" for _ in range(6)] + [f"Zebulon {filler(9)}"] + [f"{filler(9)} 9.8.7.6 {filler(2)} Zebulon"] + [filler(20) for _ in range(300)]
+    texts += [f"{filler(3)} Tarn ann@mail.example.org " + filler(20_000)]  # a very long text
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "", texts[0], texts[0]])], "doc_id long, text string")
+    for few in (50_000, 0):  # with and without a broadcast of the texts' terms
+        monkeypatch.setattr(pii_sanitise, "BROADCAST_TEXTS", few)
+        got = {r["doc_id"]: r["pii"] for r in pii_sanitise.sanitise(docs).collect()}
+        assert all("ebulon" not in got[i]["text"] for i in (*range(6), len(texts) + 2, len(texts) + 3))
+        assert got[6]["text"] == texts[6] and got[6]["spans"] == []
+        assert all(got[i]["text"] == t for i, t in enumerate(texts) if "@" not in t and "9.8" not in t)
+        assert "Tarn" not in got[len(texts) - 1]["text"] and "[EMAIL]" in got[len(texts) - 1]["text"]
+
+
+def test_counting_takes_one_pass_however_many_terms(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = [f"w{k} v{k} x{k} u{k}@mail.example.org " + " ".join(rng.choice(WORDS) for _ in range(9)) for k in range(200)] + [" ".join(rng.choice(WORDS) for _ in range(9)) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    whole = {tuple(r) for r in pii_sanitise.disclosing_terms(docs).collect()}
+    monkeypatch.setattr(pii_sanitise, "FILTER_BITS", 1 << 15)  # lets most words through
+    assert {tuple(r) for r in pii_sanitise.disclosing_terms(docs).collect()} == whole and len(whole) == 600
+
+
 def test_rewriting_overlaps():
     spans = [{"start": 2, "kind": "ip", "end": 6, "remove": False}, {"start": 4, "kind": "card", "end": 8, "remove": False}, {"start": 9, "kind": "term", "end": 10, "remove": True}]
     assert pii_sanitise.rewritten("ab123456 xyz", spans) == "ab[IP] yz"

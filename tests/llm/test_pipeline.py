@@ -15,7 +15,7 @@ import public_tokenizers
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-NAMES = [f"op{k}_" for k in range(1, 11)]
+NAMES = [f"op{k}_" for k in range(1, 14)]
 
 
 def test_every_operator_is_registered_once():
@@ -24,7 +24,7 @@ def test_every_operator_is_registered_once():
     assert "pipeline" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.oracle_sql()
 
 
-@pytest.mark.parametrize("prefix", ["op4_", "op7_", "op10_"])
+@pytest.mark.parametrize("prefix", ["op4_", "op7_", "op10_", "op11_", "op13_"])
 def test_queries_match_their_sql(spark, prefix):
     name = next(q for q in __spark_entry__.queries() if q.startswith(prefix))
     got = __spark_entry__.queries()[name](spark, SF).toPandas()
