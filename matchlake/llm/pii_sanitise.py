@@ -271,7 +271,9 @@ def _disclosing(docs: DataFrame, text: str = "text", *, min_texts: int = MIN_TEX
     joint = stored(joint.filter(F.col("least") <= F.col("most")).withColumn("k", F.xxhash64("t")), "joint")
     counted = joint.join(_texts_with(texts, joint.select("k").distinct()), "k").filter(F.col("n_t") <= F.col("most"))
     pairs = stored(counted.select("e", "t", (F.col("n_t") <= F.col("most_removed")).alias("remove")), "pairs")
-    both = pairs.join(held, "e").join(words, ["h", "t"]).groupBy("h", "t").agg(F.max("remove").alias("remove"))
+    # by text first: the texts of an entity times its terms would grow with the square of the corpus
+    shown = words.join(pairs.select("t").distinct(), "t").join(held.join(pairs.select("e").distinct(), "e"), "h")
+    both = shown.join(pairs, ["e", "t"]).groupBy("h", "t").agg(F.max("remove").alias("remove"))
     return pairs, both
 
 
