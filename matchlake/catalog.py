@@ -323,7 +323,7 @@ def order_top1(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from matchlake.sources import raw as rawmod  # noqa: E402
-from matchlake.streaming import ingest  # noqa: E402
+from matchlake.streaming import ingest, refresh  # noqa: E402
 
 def _landing(spark, kind: str) -> str:
     return scratch_dir(spark, f"landing-{uuid.uuid4().hex}/raw/{kind}")
@@ -411,6 +411,23 @@ register("ingest_new_standings", oracle.table_sql("bronze_standings"))(_ingest("
 register("ingest_new_coach", oracle.table_sql("bronze_coach"))(_ingest("coach"))
 
 
+FIRST_ARRIVAL = {"fixtures": "month < '1997'", "fixture-stats": "month < '1997'", "standing": "season < 1996", "coach": "team % 2 = 0"}
+
+
+@register("gold_match_table_refreshed", oracle.table_sql("gold_match_table"))
+def gold_match_table_refreshed(spark, sf_dir):
+    """Payloads that arrive in two parts; each is ingested, and the gold tables are refreshed after it."""
+    folder, b = scratch_dir(spark, f"landing-{uuid.uuid4().hex}"), bronze_known(spark, sf_dir)
+    tables, changes = ({k: f"{folder}/{k}/{what}" for k in ingest.KINDS} for what in ("bronze", "changes"))
+    for later in (False, True):
+        for kind in ingest.KINDS:
+            here = F.expr(FIRST_ARRIVAL[kind])
+            payloads(b, kind).where(~here if later else here).select("value").write.mode("append").text(f"{folder}/{kind}/raw")
+            ingest.ingest_new(spark, f"{folder}/{kind}/raw", kind, tables[kind], f"{folder}/{kind}/checkpoint", changes=changes[kind])
+        refresh.refresh(spark, tables, changes, f"{folder}/gold")
+    return refresh.gold_table(spark, f"{folder}/gold", "gold_match_table")
+
+
 @register("pretty_payloads", W(["bronze_fixture"], "SELECT fixture_id, fixture_date, referee FROM bronze_fixture"))
 def pretty_payloads(spark, sf_dir):
     """Payload texts checked, indented and parsed again; broken ones are set apart."""

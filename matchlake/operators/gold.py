@@ -23,6 +23,7 @@ from matchlake.operators.rolling import rolling_mean
 
 DEFAULT_CHUNK = "balanced"
 
+FRAME = 9  # rows of the widest frame
 FORM_SPECS = [  # (output, input expression, frame rows)
     ("total_shots_avg", "total_shots", 9),
     ("possession_avg", "possession", 9),
@@ -40,20 +41,31 @@ def _chunk(chunk):
     return F.col(chunk) if isinstance(chunk, str) and chunk != "balanced" else chunk
 
 
-def gold_team_stats(silver_fixture: DataFrame, silver_standing: DataFrame,
-                    silver_fixture_stat: DataFrame, direction: str = "desc",
-                    chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
+FORM_INPUTS = ["total_shots", "possession", "red_cards", "gk_saves", "fouls", "a_passes", "tot_passes"]
+ORDER = ["fixture_date", "fixture_id", "prior_season_rank"]
+
+
+def team_stats_rows(silver_fixture: DataFrame, silver_standing: DataFrame, silver_fixture_stat: DataFrame) -> DataFrame:
+    """The windows' input: a team's statistics in a match, with its date and the rank of the season before."""
     fixture_dates = silver_fixture.select("fixture_date", "fixture_id", "season").distinct()
-    standing = prior_standing(silver_standing)
     temp = silver_fixture_stat.join(fixture_dates, "fixture_id")
-    temp = prior_season_join(temp, standing, "team_id")
+    temp = prior_season_join(temp, prior_standing(silver_standing), "team_id")
+    return temp.select("team_id", *ORDER, *FORM_INPUTS)
+
+
+def team_form(rows: DataFrame, keep: list[str], direction: str = "desc", chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
+    """Rolling form over ``team_stats_rows``; a row's averages need no more than the nine rows
+    before it in frame order."""
     specs = [(name, F.col(src), n) for name, src, n in FORM_SPECS]
-    specs.append(("pass_accuracy_avg", ratio("a_passes", "tot_passes"), 9))
-    return rolling_mean(
-        temp, ["team_id"], ["fixture_date", "fixture_id", "prior_season_rank"], specs,
-        direction=direction, chunk=_chunk(chunk),
-        keep=["team_id", "fixture_id", "prior_season_rank"], store=store,
-    )
+    specs.append(("pass_accuracy_avg", ratio("a_passes", "tot_passes"), FRAME))
+    return rolling_mean(rows, ["team_id"], ORDER, specs, direction=direction, chunk=_chunk(chunk), keep=keep, store=store)
+
+
+def gold_team_stats(silver_fixture: DataFrame, silver_standing: DataFrame,
+                    silver_fixture_stat: DataFrame, direction: str = "desc",
+                    chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
+    rows = team_stats_rows(silver_fixture, silver_standing, silver_fixture_stat)
+    return team_form(rows, ["team_id", "fixture_id", "prior_season_rank"], direction, chunk, store)
 
 
 def team_opponent_rows(silver_fixture: DataFrame, silver_standing: DataFrame) -> DataFrame:
@@ -71,14 +83,16 @@ def team_opponent_rows(silver_fixture: DataFrame, silver_standing: DataFrame) ->
     return rows.select("fixture_id", "team_id", "fixture_date", "season", "prior_season_rank").distinct()
 
 
+def ranks_faced(rows: DataFrame, keep: list[str], direction: str = "desc", chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
+    """Rolling mean of the opponents' ranks over ``team_opponent_rows``."""
+    return rolling_mean(rows, ["team_id"], ORDER, [("rank_team_faced", F.col("prior_season_rank").cast("double"), FRAME)],
+                        direction=direction, chunk=_chunk(chunk), keep=keep, store=store)
+
+
 def gold_avg_team_difficulty(silver_fixture: DataFrame, silver_standing: DataFrame,
                              direction: str = "desc", chunk=DEFAULT_CHUNK, store=None) -> DataFrame:
     combined = team_opponent_rows(silver_fixture, silver_standing)
-    return rolling_mean(
-        combined, ["team_id"], ["fixture_date", "fixture_id", "prior_season_rank"],
-        [("rank_team_faced", F.col("prior_season_rank").cast("double"), 9)],
-        direction=direction, chunk=_chunk(chunk), keep=["fixture_id", "team_id"], store=store,
-    )
+    return ranks_faced(combined, ["fixture_id", "team_id"], direction, chunk, store)
 
 
 TEAM_LEVEL_COLS = ["rank_team_faced", "total_shots_avg", "prior_season_rank", "possession_avg",

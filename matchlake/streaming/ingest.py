@@ -84,7 +84,7 @@ def _merged(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         .filter("_nth = 1").withColumn("_current", F.col("_current") & (F.col("_of_all") == 1)).select(*values, *OWN)
 
 
-def _merge(spark: SparkSession, new: DataFrame, keys: tuple[str, ...], out: str) -> None:
+def _merge(spark: SparkSession, new: DataFrame, keys: tuple[str, ...], out: str, log: str | None = None) -> None:
     scratch = scratch_dir(spark, f"ingest-{uuid.uuid4().hex}")
     new.withColumn("_current", F.lit(True)).write.parquet(f"{scratch}/new")
     rows = spark.read.parquet(f"{scratch}/new")
@@ -96,6 +96,8 @@ def _merge(spark: SparkSession, new: DataFrame, keys: tuple[str, ...], out: str)
     _merged(rows, keys).write.parquet(f"{scratch}/merged")  # the partitions are read before they are replaced
     (spark.read.parquet(f"{scratch}/merged").hint("rebalance", "_part").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(out))
+    if log:  # last, so that whoever reads these keys finds their rows in the table
+        spark.read.parquet(f"{scratch}/new").select(*keys).distinct().write.mode("overwrite").parquet(log)
 
 
 def ingested(spark: SparkSession, out: str) -> DataFrame:
@@ -104,9 +106,10 @@ def ingested(spark: SparkSession, out: str) -> DataFrame:
 
 
 def ingest_new(spark: SparkSession, source: str, kind: str, out: str, checkpoint: str,
-               max_files_per_trigger: int | None = None) -> int:
+               max_files_per_trigger: int | None = None, changes: str | None = None) -> int:
     """Merge every not-yet-seen file under ``source`` into the table at ``out``;
-    returns the number of micro-batches run."""
+    returns the number of micro-batches run.  With ``changes``, a batch leaves the keys it merged
+    in a folder named by its number there (a batch that runs again writes the same folder)."""
     reader = (spark.readStream.schema(rawmod.SCHEMAS[kind]).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", rawmod.CORRUPT))
     if max_files_per_trigger:
@@ -115,7 +118,7 @@ def ingest_new(spark: SparkSession, source: str, kind: str, out: str, checkpoint
     batches = []
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        _merge(spark, batch, KINDS[kind].keys, out)
+        _merge(spark, batch, KINDS[kind].keys, out, f"{changes}/{epoch:012d}" if changes else None)
         batches.append(epoch)
 
     q = (stream.writeStream.foreachBatch(write_batch)
