@@ -52,7 +52,7 @@ def test_statistics_match_brute_force():
 
 def test_quality_verdicts(spark):
     docs, rows = make_docs(spark)
-    out = mcd_quality.assess(docs.withColumn("x0", F.lit("mine")).withColumn("quality", F.lit("own")), min_group=20)
+    out = mcd_quality.assess(docs.withColumn("x0", F.lit("mine")).withColumn("quality", F.lit("own")))
     assert out.columns == [*docs.columns, "x0", "quality", "_quality"]
     got = out.collect()
     assert len(got) == len(rows) and {r["quality"] for r in got} == {"own"}
@@ -78,6 +78,84 @@ def test_mcd_rejects_outliers_and_keeps_the_rest(spark):
     assert np.abs(np.array(fit["mean"]) - 10).max() < 1
 
 
+def brute_median(x):
+    return np.quantile(x, 0.5, axis=0, method="inverted_cdf")
+
+
+def brute_estimate(x, rng):
+    """Minimum covariance determinant of rows by many random starts, reweighted and sized by the median."""
+    n, p = x.shape
+    h, best = min(n, (n + p + 1) // 2), None
+    for _ in range(60):
+        rows = rng.choice(n, size=min(n, p + 3), replace=False)
+        last = np.inf
+        while True:
+            cov = np.cov(x[rows].T, bias=True)
+            d2 = brute_distance(x, x[rows].mean(axis=0), cov)
+            logdet = np.linalg.slogdet(cov)[1]
+            if len(rows) == h and last - logdet < 1e-9:
+                break
+            rows, last = np.argsort(d2, kind="stable")[:h], logdet
+        if best is None or logdet < best[0]:
+            best = (logdet, d2)
+    d2 = best[1]
+    near = x[d2 <= mcd_quality.chi2_quantile(0.975, p) * np.median(d2) / mcd_quality.chi2_quantile(0.5, p)]
+    mean, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+    return mean, cov * np.median(brute_distance(x, mean, cov)) / mcd_quality.chi2_quantile(0.5, p)
+
+
+def brute_distance(x, mean, cov):
+    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+
+def test_verdicts_match_a_brute_force_twin(spark):
+    """Own statistics, medians and estimates of every (language, source), its language and all rows."""
+    rng = random.Random(8)
+
+    def text(junk, capitals):
+        words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(30, 120))]
+        words = [w.capitalize() if rng.random() < capitals else w for w in words]
+        return " ".join(w + rng.choice(["", "", "", "", ".", ",", "!"]) + (rng.choice("#$%|") * 3 if junk else "") for w in words)
+
+    rows = []
+    for i in range(500):
+        lang, source, junk = rng.choice(["aa", "bb", None]), "hot" if i % 3 else f"s{i % 4}", rng.random() < 0.15
+        rows.append((i, text(junk, 0.1 if lang == "aa" else 0.3), lang, source, junk))
+    rows.append((500, text(False, 0.1), "cc", "only", False))  # a group of one row
+    got = {r["doc_id"]: r["quality"] for r in mcd_quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")).collect()}
+    base = [[len(t.split()), sum(map(len, t.split())), sum(c.isupper() for c in t), sum(not c.isalnum() and c != " " for c in t)] for _, t, *_ in rows]
+    langs, keys = [r[2] for r in rows], [(r[2], r[3]) for r in rows]
+    members = lambda of, v: [i for i, x in enumerate(of) if x == v]
+    usual = {v: brute_median([[c / w, u / c, p / c] for w, c, u, p in (base[i] for i in members(langs, v))]) for v in set(langs)}
+    x = np.array([[np.log((c + 100 * usual[v][0]) / (w + 100)), *(np.log1p(100 * (n + 600 * usual[v][k]) / (c + 600)) for k, n in ((1, u), (2, p)))] for (w, c, u, p), v in zip(base, langs, strict=True)])
+    seeded = np.random.default_rng(2)
+    whole, ratios = brute_estimate(x, seeded), []
+    for lang, source in set(keys):
+        fit = whole
+        for rows_of in (members(langs, lang), members(keys, (lang, source))):
+            n = len(rows_of)
+            mean, cov = brute_estimate(x[rows_of], seeded) if n > 1 else (x[rows_of[0]], np.zeros((3, 3)))
+            w, gap = n / (n + 50), mean - fit[0]
+            cov = w * cov + (1 - w) * fit[1] + w * (1 - w) * np.outer(gap, gap)
+            if n == 1:
+                np.fill_diagonal(cov, np.maximum(np.diag(cov), np.diag(fit[1])))
+            fit = (fit[0] + w * gap, cov)
+        for i, d2 in zip(members(keys, (lang, source)), brute_distance(x[members(keys, (lang, source))], *fit), strict=True):
+            ratios.append(got[i]["distance"] / d2)
+            assert got[i]["kept"] == (d2 <= mcd_quality.chi2_quantile(1 - 1e-9, 3)) == (not rows[i][4]), i
+    # two starts, not sixty: a small group may end in another half
+    assert np.median(ratios) == pytest.approx(1, abs=0.05) and np.quantile(np.abs(np.log(ratios)), 0.9) < 0.5
+
+
+def test_statistics_without_spread_and_repeated_rows(spark):
+    """No capitals and no marks anywhere: these have no weight; equal rows get equal verdicts, ties are kept."""
+    texts = ["plain words without any mark at all here to read", "other words that have no mark either and go on longer"]
+    rows = [(i, texts[i % 2], "aa", "s") for i in range(40)] + [(40, "x " * 200000, "aa", "s"), (41, None, None, None)]
+    got = {r["doc_id"]: r["quality"] for r in mcd_quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i]["kept"] for i in range(40)) and len({got[i]["distance"] for i in range(0, 40, 2)}) == 1
+    assert got[40]["base_failed"] and got[41]["base_failed"] and got[41]["distance"] is None and not got[41]["kept"]
+
+
 # --- near-dedup ------------------------------------------------------------
 
 def brute_fingerprint(text):
