@@ -298,14 +298,14 @@ def blended(n: float, mean: np.ndarray, cov: np.ndarray, wide_mean: np.ndarray,
     return wide_mean + w * gap, out
 
 
-def _blender(prior_rows: float):
+def _blender(whole: tuple[np.ndarray, np.ndarray], prior_rows: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
-                fits = [(e["n"], np.array(e["mean"], float), np.array(e["cov"], float).reshape(DIMS, DIMS)) for e in (r.all_e, r.wide_e, r.own_e)]
-                mean, cov = fits[0][1:]
-                for n, m, c in fits[1:]:
+                fits = [(e["n"], np.array(e["mean"], float), np.array(e["cov"], float).reshape(DIMS, DIMS)) for e in (r.wide_e, r.own_e)]
+                mean, cov = whole
+                for n, m, c in fits:
                     mean, cov = blended(n, m, c, mean, cov, prior_rows)
                 out.append((r.own, mean.tolist(), whitening(cov).ravel().tolist(), list(r.usual)))
             yield pd.DataFrame(out, columns=["own", "mean", "white", "usual"])
@@ -347,10 +347,12 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     levels = F.explode(F.array(F.concat(F.lit("1"), "own"), F.concat(F.lit("2"), "wide"), F.lit("3")))
     found = estimates(part.select(levels.alias("grp"), *[f"x{k}" for k in range(DIMS)]))
     groups = part.groupBy("own", "wide").agg(F.count("*").alias("rows")).join(usual, "wide")
-    groups = groups.select("own", "usual", F.concat(F.lit("1"), "own").alias("own_g"), F.concat(F.lit("2"), "wide").alias("wide_g"), F.lit("3").alias("all_g"))
-    for level in ("own", "wide", "all"):
+    groups = groups.select("own", "usual", F.concat(F.lit("1"), "own").alias("own_g"), F.concat(F.lit("2"), "wide").alias("wide_g"))
+    for level in ("own", "wide"):
         groups = groups.join(broadcast_if_small(found.select(F.col("grp").alias(f"{level}_g"), F.struct("n", "mean", "cov").alias(f"{level}_e")), BROADCAST_GROUPS), f"{level}_g")
-    fits = groups.select("own", "usual", "own_e", "wide_e", "all_e").mapInPandas(_blender(prior_rows), "own string, mean array<double>, white array<double>, usual array<double>")
+    whole = found.filter("grp = '3'").first()  # one row; none if no text passes, and then there are no groups
+    whole = (np.array(whole["mean"]), np.array(whole["cov"]).reshape(DIMS, DIMS)) if whole else (np.zeros(DIMS), np.eye(DIMS))
+    fits = groups.select("own", "usual", "own_e", "wide_e").mapInPandas(_blender(whole, prior_rows), "own string, mean array<double>, white array<double>, usual array<double>")
     fits = stored(fits, "blended")
     joined = table.select("row", "s", "own", failed.alias("failed")).join(broadcast_if_small(fits, BROADCAST_GROUPS), "own", "left")
     d2 = F.when(~F.col("failed"), _distance(_vector(s, F.col("usual")), F.col("mean"), F.col("white")))
