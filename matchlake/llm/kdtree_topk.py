@@ -1,6 +1,7 @@
 """Exact top-k search by inner product with a KD-tree for each shard.
 
-Vectors are dealt to shards of about SHARD_ROWS by a hash of their id.  A shard's
+Vectors are dealt to shards of about SHARD_ROWS by a hash of their row's number, so
+that an id which many rows repeat is spread.  A shard's
 tree splits at the median of the widest component and keeps a tight bounding box
 for each node.  The highest score that a box can give a query is the sum of the
 larger of ``q * low`` and ``q * high`` over the components; nodes are visited
@@ -43,11 +44,12 @@ def _largest(v: np.ndarray) -> int:
 
 
 class Tree:
-    """A KD-tree over integer vectors; rows must come in the order of their ids."""
+    """A KD-tree over integer vectors; rows must come in the order of their ids and
+    then their numbers, which tell rows of one id apart."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS):
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS):
         self.low, self.high, self.least, self.children, self.rows = [], [], [], [], []
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.numbers, self.vectors = ids, numbers, vectors
         self.top = _largest(vectors)
         todo = [(np.arange(len(ids)), None)]
         while todo:
@@ -84,11 +86,11 @@ class Tree:
         width = max(1, self.vectors.shape[1])
         return _largest(queries) * self.top * width < EXACT_FLOAT
 
-    def search(self, query: np.ndarray, bounds: np.ndarray, own: int, k: int, worst: tuple[int, int] | None) -> list[tuple[int, int]]:
-        """The (score, id) of at most ``k`` rows other than ``own`` that beat
-        ``worst``, the query's k-th so far (score, id); best first."""
-        best: list[tuple[int, int]] = []  # a heap of (score, -id)
-        limit = (worst[0], -worst[1]) if worst else None
+    def search(self, query: np.ndarray, bounds: np.ndarray, own: int, k: int, worst: tuple[int, int, int] | None) -> list[tuple[int, int, int]]:
+        """The (score, id, number) of at most ``k`` rows other than number ``own`` that
+        beat ``worst``, the query's k-th so far; best first."""
+        best: list[tuple[int, int, int]] = []  # a heap of (score, -id, -number)
+        limit = (worst[0], -worst[1], -worst[2]) if worst else None
         heap = [(-bounds[0], 0)] if len(self.ids) else []
         exact = self.exact(query)
         while heap:
@@ -107,8 +109,8 @@ class Tree:
             if len(near) > k:  # ties keep their order, that of the ids
                 near = near[np.argsort(-scores[near], kind="stable")[:k + 1]]
             for i in near.tolist():
-                item = (int(scores[i]), -int(self.ids[rows[i]]))
-                if -item[1] == own or (limit is not None and item <= limit):
+                item = (int(scores[i]), -int(self.ids[rows[i]]), -int(self.numbers[rows[i]]))
+                if -item[2] == own or (limit is not None and item <= limit):
                     continue
                 if len(best) < k:
                     heapq.heappush(best, item)
@@ -116,10 +118,10 @@ class Tree:
                     heapq.heappushpop(best, item)
                 if len(best) == k and (limit is None or best[0] > limit):
                     limit = best[0]
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+        return [(s, -i, -n) for s, i, n in sorted(best, reverse=True)]
 
 
-_OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_OUT = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id", pa.int64()), ("number", pa.int64()), ("score", pa.int64())])
 
 
 def _vectors(column: pa.Array, width: int) -> np.ndarray:
@@ -127,70 +129,74 @@ def _vectors(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _searcher(k: int, leaf_rows: int):
-    """Searches partitions sorted by (width, shard, kind, id): a shard's vectors
+    """Searches partitions sorted by (width, shard, kind, id, number): a shard's vectors
     (kind 0) and then the queries sent to it (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, tree, ids, vectors = None, None, [], []
+        at, tree, ids, numbers, vectors = None, None, [], [], []
         for batch in batches:
             width, shard, kind = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("width", "shard", "kind"))
             cuts = np.flatnonzero(np.r_[True, (width[1:] != width[:-1]) | (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])])
             for a, b in zip(cuts, np.r_[cuts[1:], batch.num_rows], strict=True):
                 if at != (width[a], shard[a]):
-                    at, tree, ids, vectors = (width[a], shard[a]), None, [], []
+                    at, tree, ids, numbers, vectors = (width[a], shard[a]), None, [], [], []
                 part = batch.slice(a, b - a)
-                own, v = part.column("id").to_numpy(), _vectors(part.column("v"), int(width[a])) if width[a] else np.zeros((b - a, 0), np.int64)
+                own, number = part.column("id").to_numpy(), part.column("number").to_numpy()
+                v = _vectors(part.column("v"), int(width[a])) if width[a] else np.zeros((b - a, 0), np.int64)
                 if kind[a] == 0:
                     ids.append(own)
+                    numbers.append(number)
                     vectors.append(v)
                     continue
                 if not ids:
                     continue
-                tree = tree or Tree(np.concatenate(ids), np.concatenate(vectors), leaf_rows)
+                tree = tree or Tree(np.concatenate(ids), np.concatenate(numbers), np.concatenate(vectors), leaf_rows)
                 bounds = tree.bounds(v)
-                kth, kth_id = part.column("kth").to_pylist(), part.column("kth_id").to_pylist()
-                out = [(int(q), i, s) for n, q in enumerate(own)
-                       for s, i in tree.search(v[n], bounds[n], int(q), k, None if kth[n] is None else (kth[n], kth_id[n]))]
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in (zip(*out, strict=True) if out else ((), (), ()))], schema=_OUT)
+                kth = list(zip(*(part.column(c).to_pylist() for c in ("kth", "kth_id", "kth_number")), strict=True))
+                out = [(int(own[n]), int(q), i, m, s) for n, q in enumerate(number)
+                       for s, i, m in tree.search(v[n], bounds[n], int(q), k, None if kth[n][0] is None else kth[n])]
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in (zip(*out, strict=True) if out else [()] * len(_OUT))], schema=_OUT)
 
     return run
 
 
+_KTH = ["kth", "kth_id", "kth_number"]
+
+
 def _search(candidates: DataFrame, queries: DataFrame, k: int, leaf_rows: int) -> DataFrame:
-    none = F.lit(None).cast("long")
-    rows = candidates.select("width", "shard", F.lit(0).alias("kind"), "id", "v", none.alias("kth"), none.alias("kth_id"))
-    rows = rows.unionByName(queries.select("width", "shard", F.lit(1).alias("kind"), "id", "v", "kth", "kth_id"))
-    rows = rows.repartition("width", "shard").sortWithinPartitions("width", "shard", "kind", "id")
-    return rows.mapInArrow(_searcher(k, leaf_rows), "query_id long, vec_id long, score long")
+    rows = candidates.select("width", "shard", F.lit(0).alias("kind"), "id", "number", "v", *[F.lit(None).cast("long").alias(c) for c in _KTH])
+    rows = rows.unionByName(queries.select("width", "shard", F.lit(1).alias("kind"), "id", "number", "v", *_KTH))
+    rows = rows.repartition("width", "shard").sortWithinPartitions("width", "shard", "kind", "id", "number")
+    return rows.mapInArrow(_searcher(k, leaf_rows), "query_id long, query long, vec_id long, number long, score long")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "number")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "v", *, k: int = K, shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """The ``k`` highest inner products of each query with the other rows:
+    """The ``k`` highest inner products of each query with every row but its own:
     ``query_id, rank, vec_id, score``; ties to the smaller id.
 
     ``vectors`` has integer vectors (``vector``, array<bigint>); ``is_query`` says
     which of its ids are queries.  Defined results: NULL vectors and NULL ids take
-    no part; rows that repeat an id are one vector, the greatest of them; vectors
-    are compared with those of equal length only; scores beyond a long are its
-    bounds.  Extra columns are ignored.  An empty table gives an empty result.
+    no part; rows that repeat an id are rows of their own, as candidates and as queries
+    (each with its ``k`` results under the one id); vectors are compared with those of
+    equal length only; scores beyond a long are its bounds.  Extra columns are ignored.
+    An empty table gives an empty result.
     """
     rows = vectors.select(col(vec_id).cast("long").alias("id"), col(vector).cast("array<bigint>").alias("v"), is_query.alias("q"))
-    rows = rows.filter("id is not null and v is not null").groupBy("id").agg(F.max("v").alias("v"), F.max("q").alias("q"))
+    rows = rows.filter("id is not null and v is not null").withColumn("number", F.monotonically_increasing_id())
     rows = stored(rows.withColumn("width", F.size("v")), "vectors")
     shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    none = F.lit(None).cast("long")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int"))
     queries = rows.filter("q")
-    home = stored(_search(rows, queries.withColumns({"kth": none, "kth_id": none}), k, leaf_rows), "home")
+    home = stored(_search(rows, queries.withColumns({c: F.lit(None).cast("long") for c in _KTH}), k, leaf_rows), "home")
     if shards == 1:
         return _ranked(home, k).select("query_id", "rank", "vec_id", "score")
-    kth = _ranked(home, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"), F.col("vec_id").alias("kth_id"))
-    others = queries.join(kth, "id", "left").withColumn("home", F.col("shard"))
+    kth = _ranked(home, k).filter(F.col("rank") == k).select("query", F.col("score").alias("kth"), F.col("vec_id").alias("kth_id"), F.col("number").alias("kth_number"))
+    others = queries.join(kth, F.col("number") == F.col("query"), "left").drop("query").withColumn("home", F.col("shard"))
     others = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard <> home")
     away = _search(rows, others, k, leaf_rows)
     return _ranked(home.unionByName(away), k).select("query_id", "rank", "vec_id", "score")
