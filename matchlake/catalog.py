@@ -442,7 +442,7 @@ def pretty_payloads(spark, sf_dir):
 # Features, evaluation and models
 # --------------------------------------------------------------------------
 
-from matchlake.ml import evaluate, features, models  # noqa: E402
+from matchlake.ml import evaluate, features, models, network  # noqa: E402
 
 FEATS = features.RATIO_FEATURES
 SHOTS_RULE = ("CASE WHEN total_shots_r < 0.95 THEN 'Win' WHEN total_shots_r > 1.05 THEN 'Lose' "
@@ -818,7 +818,10 @@ def score_regressor(spark, sf_dir):
     each hash split: MAE per target, summed, and share within 0.4."""
     mf = _score_frame(spark, sf_dir)
     model = models.fit_scores(mf.where(F.col("split") == "train"), _score_features(mf))
-    pred = model.transform(mf)
+    return _score_errors(model.transform(mf))
+
+
+def _score_errors(pred):
     parts = [evaluate.mae_within_tol(pred.where(F.col("split") == s),
                                      [("away_goals", "pred_away_goals"), ("home_goals", "pred_home_goals")])
              .withColumn("split", F.lit(s)) for s in ("train", "validation", "test")]
@@ -828,6 +831,15 @@ def score_regressor(spark, sf_dir):
     return out
 
 
+@register("score_network", None)
+def score_network(spark, sf_dir):
+    """One network for both scores by mini-batches, evaluated as ``score_regressor``; six
+    epochs at rate 1e-3, then two at 1e-4."""
+    mf = _score_frame(spark, sf_dir)
+    net = network.fit_network(mf.where(F.col("split") == "train"), _score_features(mf), ["away_goals", "home_goals"], "fixture_id", stages=((6, 1e-3), (2, 1e-4)))
+    return _score_errors(network.predict_network(net, mf))
+
+
 @register("score_history", None)
 def score_history(spark, sf_dir):
     """Validation error of the score model by round, with the best round."""
