@@ -17,6 +17,38 @@ def walked(tree, bins, levels):
     return at
 
 
+@pytest.mark.parametrize("depth", [1, 3, 6, 8])
+def test_nodes_are_those_of_a_walk(depth):
+    rng = np.random.default_rng(depth)
+    bins = rng.integers(0, 64, (500, 5)).astype(np.int16)
+    for leaves in (0.0, 0.3, 1.0):
+        tree = boosting.Tree.empty(depth)
+        inner = 2**depth - 1
+        tree.feature[:inner] = np.where(rng.random(inner) < leaves, -1, rng.integers(0, 5, inner))
+        tree.cut[:inner] = rng.integers(0, 63, inner)
+        for levels in range(depth + 1):
+            assert (tree.nodes(bins, levels) == walked(tree, bins, levels)).all()
+    assert len(tree.nodes(bins[:0], depth)) == 0
+
+
+def test_trees_are_passed_faster_than_walked():
+    import time
+
+    rng = np.random.default_rng(5)
+    bins, tree = np.asfortranarray(rng.integers(0, 64, (200_000, 10)).astype(np.int16)), boosting.Tree.empty(4)
+    tree.feature[:15], tree.cut[:15] = rng.integers(0, 10, 15), 31
+
+    def seconds(f):
+        best = np.inf
+        for _ in range(3):
+            t = time.perf_counter()
+            f()
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    assert seconds(lambda: tree.nodes(bins, 4)) < seconds(lambda: walked(tree, bins, 4)) / 2
+
+
 def test_cells_beyond_the_half_way_plane_hold_nothing_near():
     rng = np.random.default_rng(1)
     pivots, members, asked = rng.normal(size=(12, 6)), rng.normal(size=(3000, 6)), rng.normal(size=(200, 6))
