@@ -67,3 +67,19 @@ def test_far_vectors_are_not_ruled_out_by_overflow():
     d = np.array([[1e200, 2e200, np.inf]])
     gaps = np.array([[0, 1e200, np.inf], [1e200, 0, np.inf], [np.inf, np.inf, 0]])
     assert (neighbours._beyond(d, gaps, np.zeros(3)) == d).all()
+
+
+def test_statistics_are_moved_without_their_names(spark, tmp_path):
+    stat = spark.createDataFrame([(1, 8, "3", "5%", None, "1", "2", "3", "4"), (1, 7, "9", "1%", "2", "0", "2", "9", "1"), (1, 7, "8", "1%", "2", "0", "2", "9", "1")],
+                                 "fixture_id long, team_id long, total_shots string, possession string, red_cards string, gk_saves string, fouls string, tot_passes string, a_passes string")
+    dates = spark.createDataFrame([(1, "1995-02-03")], "fixture_id long, fixture_date string")
+    lines = raw.stat_payloads(stat, dates)
+    plan = lines._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [i for i, x in enumerate(plan) if "Aggregate" in x or "Exchange" in x]
+    assert not any("Shots on Goal" in plan[i] for i in below)
+    path = f"{tmp_path}/landed"
+    rows = raw.stat_rows(stat, dates).withColumn("month", F.substring("date", 1, 7))
+    raw.land(rows, path, ["month"], lines=lambda x: raw.stat_lines(x, "month"))
+    assert [r["value"] for r in spark.read.text(path).collect()] == [lines.first()["value"]]
+    back = raw.bronze_fixture_stat(raw.read_raw(spark, path, "fixture-stats"))
+    assert [tuple(r) for r in back.select(*stat.columns).collect()] == [(1, 7, "8", "1%", "2", "0", "2", "9", "1"), (1, 7, "9", "1%", "2", "0", "2", "9", "1"), (1, 8, "3", "5%", None, "1", "2", "3", "4")]
