@@ -83,3 +83,13 @@ def test_statistics_are_moved_without_their_names(spark, tmp_path):
     assert [r["value"] for r in spark.read.text(path).collect()] == [lines.first()["value"]]
     back = raw.bronze_fixture_stat(raw.read_raw(spark, path, "fixture-stats"))
     assert [tuple(r) for r in back.select(*stat.columns).collect()] == [(1, 7, "8", "1%", "2", "0", "2", "9", "1"), (1, 7, "9", "1%", "2", "0", "2", "9", "1"), (1, 8, "3", "5%", None, "1", "2", "3", "4")]
+
+
+def test_a_batch_is_merged_in_one_shuffle(spark):
+    rows = spark.createDataFrame([(1, "a", "p1", 5, "f", True)], "k long, v string, _part string, _arrived long, _file string, _current boolean")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ingest._merged(rows, ("k",))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 1
