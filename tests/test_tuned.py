@@ -93,3 +93,18 @@ def test_a_batch_is_merged_in_one_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange") == 1
+
+
+def test_fits_of_a_grid_run_side_by_side(spark):
+    import threading
+
+    both = threading.Barrier(2, timeout=60)  # breaks if the fits come one after the other
+
+    def measure(tr, te, point):
+        both.wait()
+        return point["cost"] + te.count()
+
+    df = spark.createDataFrame([(i,) for i in range(20)], "id long")
+    found = models._tuned(df, {"cost": [1.0, 2.0]}, "id", 2, measure, "cost double, fold int, accuracy double").collect()
+    assert [(r["cost"], r["fold"]) for r in found] == [(1.0, 0), (1.0, 1), (2.0, 0), (2.0, 1)]
+    assert sum(r["accuracy"] for r in found) == 46.0
