@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import bounded_batches, col, free_name, packed, unpacked
+from matchlake.llm.common import bounded_batches, col, free_name, packed, trim, unpacked
 
 CACHE_WORDS = 150_000  # distinct words that a worker remembers: some 30 MB
 CACHE_CHARS = 64  # longer words are encoded anew
@@ -216,7 +216,7 @@ def transcoded(text: Column, vocabulary: str, decode: bool = True) -> Column:
 
     @F.arrow_udf(_RESULT)
     def udf(batch: pa.Array) -> pa.Array:
-        pa.default_memory_pool().release_unused()  # what earlier batches took goes back to the system
+        trim()  # what earlier batches took goes back to the system
         codec, offsets, ids, texts = shared.value.get(), [0], [], []
         for part in _in_parts(batch):
             for x in codec.encoded(part):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def bounded_batches(df: DataFrame) -> None:
         conf.set(size, str(BATCH_BYTES))
 
 
+def trim() -> None:
+    """Gives back to the system what earlier batches of this Python worker took, from Arrow's pool and
+    from the C library's heap.  Workers stay for later stages, beside the JVM in an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

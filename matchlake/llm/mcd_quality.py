@@ -21,12 +21,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, trim, unpacked
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -104,7 +103,7 @@ def text_statistics(raw: bytes) -> tuple[int, ...]:
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in STATS]))
 def statistics_of(raw: pd.Series) -> pd.DataFrame:
-    pa.default_memory_pool().release_unused()
+    trim()
     return pd.DataFrame([text_statistics(bytes(x) if x is not None else b"") for x in raw], columns=STATS)
 
 

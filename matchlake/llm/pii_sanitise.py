@@ -29,13 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, packed, stored, trim, unpacked
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -182,11 +181,13 @@ _PRIVATE = T.StructType([T.StructField("h", T.LongType()), T.StructField("es", T
 def _private(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The entities and terms of the texts that hold an entity."""
     for pdf in frames:
+        trim()
         rows = []
         for h, text in zip(pdf["h"], pdf["text"], strict=True):
             if text and (spans := base_spans(text)):
                 rows.append((h, sorted(entities(text, spans)), sorted(_distinct_terms(text, spans))))
         yield pd.DataFrame(rows, columns=["h", "es", "ts"])
+    trim()
 
 
 _SEEN = T.StructType([T.StructField("k", T.LongType()), T.StructField("h", T.LongType())])
@@ -198,6 +199,7 @@ def _occurrences(bits: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done, find = set(), _lookup(bits)
         for pdf in frames:
+            trim()
             ks, hs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for h, text in zip(pdf["h"], pdf["text"], strict=True):
                 if text and h not in done:
@@ -205,6 +207,8 @@ def _occurrences(bits: np.ndarray):
                     ks.append(find(_distinct_terms(text, base_spans(text))))
                     hs.append(np.full(len(ks[-1]), h, np.int64))
             yield pd.DataFrame({"k": np.concatenate(ks), "h": np.concatenate(hs)})
+        del done, find  # with the words remembered
+        trim()
 
     return run
 
@@ -310,7 +314,7 @@ def _sanitiser(rewrite: bool):
 
     @F.pandas_udf(result)
     def udf(texts: pd.Series, terms: pd.Series, removes: pd.Series) -> pd.DataFrame:
-        pa.default_memory_pool().release_unused()
+        trim()
         spans, clean = [], []
         for text, own, remove in zip(texts, terms, removes, strict=True):
             found = _spans_of(text, dict(zip(own, remove, strict=True)) if own is not None else {})

@@ -22,13 +22,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, keyed, packed, stored, unpacked
+from matchlake.llm.common import bounded_batches, broadcast_if_small, col, free_name, keyed, packed, stored, trim, unpacked
 from matchlake.llm.components import components
 
 SHINGLE = 4
@@ -67,7 +66,7 @@ def fingerprint_column(text: Column, size: int = SHINGLE) -> Column:
 
     @F.pandas_udf(T.LongType())
     def udf(raw: pd.Series) -> pd.Series:
-        pa.default_memory_pool().release_unused()
+        trim()
         prints = np.array([fingerprint(bytes(x) if x is not None else None, size) for x in raw], np.uint64)
         return pd.Series(prints.view(np.int64))
 
@@ -150,7 +149,7 @@ def _meetings(fp: np.ndarray, slice_: int, bits: int, radius: int, distance: int
 
 def _slice_task(bits: int, radius: int, distance: int):
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        pa.default_memory_pool().release_unused()
+        trim()
         fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         found = _meetings(fp, int(pdf["slice"].iloc[0]) & ((1 << BITS) - 1), bits, radius, distance).view(np.int64)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
