@@ -21,6 +21,7 @@ import re
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,7 +134,11 @@ def _no_constant(name: str) -> None:
 
 
 def pretty_json(c: Column) -> Column:
-    """A column of JSON texts, indented; NULL where the text is not one JSON value."""
+    """A column of JSON texts, indented; NULL where the text is not one JSON value.
+
+    Marked as not deterministic, so that Spark evaluates it once where a filter and a projection
+    both read it, and not in two Python workers of a task.
+    """
 
     def one(text: str | None) -> str | None:
         try:
@@ -144,9 +149,10 @@ def pretty_json(c: Column) -> Column:
 
     @F.pandas_udf(T.StringType())
     def udf(texts: pd.Series) -> pd.Series:
+        pa.default_memory_pool().release_unused()  # what earlier batches took goes back to the system
         return texts.map(one)
 
-    return udf(c)
+    return udf.asNondeterministic()(c)
 
 
 def ok_responses(df: DataFrame, error_col: str = "error") -> DataFrame:

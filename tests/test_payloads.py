@@ -126,3 +126,11 @@ def test_json_lines_landing_roundtrip(spark, tmp_path):
     back = raw.bronze_fixture(raw.read_raw(spark, path, "fixtures"))
     assert sorted(back.collect()) == sorted(fx.collect())
     assert sorted(x.fixture_id for x in raw.payload_ids(raw.read_raw(spark, path, "fixtures")).collect()) == [1, 2]
+
+
+def test_payload_texts_are_indented_once_for_filter_and_result(spark):
+    df = spark.createDataFrame([('{"a":[1,{}]}',), ('{"a":1}]',), (None,)], "value string")
+    good, bad = raw.valid_json(df)
+    assert good._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
+    assert [r.value for r in good.collect()] == ['{\n  "a": [\n    1,\n    {}\n  ]\n}']
+    assert sorted(r.value or "" for r in bad.collect()) == ["", '{"a":1}]']
