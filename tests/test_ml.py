@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from matchlake.ml import evaluate, features, models
@@ -198,3 +199,12 @@ def test_importances_are_ordered(spark):
     d = models.prepare(_blobs(spark), ["f1", "f2", "f3"], "outcome")
     rows = models.importances(models.random_forest(d, trees=10), ["f1", "f2", "f3"]).collect()
     assert [r.importance for r in rows] == sorted((r.importance for r in rows), reverse=True) and rows[-1].feature == "f2"
+
+
+def test_fourier_features_are_those_of_the_formula(spark):
+    x = np.random.default_rng(5).normal(size=(37, 3))
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x.tolist())], ["i", "features"])
+    got = models.fourier_features(df.repartition(50), 3, dim=8, gamma=0.5, seed=9).orderBy("i").collect()
+    rng = np.random.default_rng(9)
+    w, b = rng.normal(0.0, 1.0, size=(3, 8)), rng.uniform(0.0, 2 * np.pi, size=8)
+    assert np.allclose(np.array([r.rff.toArray() for r in got]), 0.5 * np.cos(x @ w + b), atol=1e-12)
