@@ -78,7 +78,7 @@ def penalized_logit(train: DataFrame, alpha: float, reg_grid: Sequence[float] =
     ev = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="logLoss")
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         seed=seed, parallelism=parallelism)
-    return cv.fit(train).bestModel
+    return cv.fit(train.select("features", LABEL)).bestModel  # each fold is cached: no column more than the fits read
 
 
 def ordered_logit(train: DataFrame, max_iter: int = 250) -> OrderedLogit:
