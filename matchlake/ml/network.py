@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.ml.sums import matrix, summed
 from matchlake.session import scratch_dir
@@ -121,9 +122,12 @@ def fit_network(train: DataFrame, features: Sequence[str], targets: Sequence[str
 def predict_network(net: Network, df: DataFrame) -> DataFrame:
     """``pred_<target>`` for each target; NULL where a feature is NULL."""
 
-    @F.pandas_udf("array<double>")
-    def outputs(x: pd.Series) -> pd.Series:
-        return pd.Series(list(net.outputs(np.stack(x.to_numpy())))) if len(x) else pd.Series([], dtype=object)
+    p, q = len(net.features), len(net.targets)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def outputs(x: pa.Array) -> pa.Array:
+        y = net.outputs(matrix(x, p))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, y.size + 1, q, dtype=np.int32)), pa.array(y.ravel()))
 
     values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in net.features])
     known = F.array(*[F.col(c).isNotNull() for c in net.features])
