@@ -4,7 +4,7 @@ from matchlake import catalog
 from matchlake.ml import models
 
 
-def test_forest_has_all_its_trees(monkeypatch):
+def test_forest_has_all_its_trees(spark, monkeypatch):
     asked = []
     monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, train: asked.append(self.getNumTrees()))
     monkeypatch.setattr(models, "predict_classes", lambda model, te: None)
