@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+PLACED = "place int, v array<double>"
+
+
 def summed(rows: DataFrame, block: Callable[[pa.RecordBatch], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
     """The sum of ``block(batch)``, a matrix of ``shape``, over the batches of ``rows``."""
 
@@ -29,7 +32,11 @@ def summed(rows: DataFrame, block: Callable[[pa.RecordBatch], np.ndarray], shape
         if some:
             yield pa.RecordBatch.from_arrays([pa.array(range(shape[0]), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["place", "v"])
 
-    parts = rows.mapInArrow(run, "place int, v array<double>")
+    return added(rows.mapInArrow(run, PLACED), shape)
+
+
+def added(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
+    """The sum of the tasks' matrices, of which ``parts(place, v)`` has a row for each row."""
     sums = parts.groupBy("place").agg(Summarizer.metrics("sum").summary(array_to_vector("v")).alias("s"))
     out = np.zeros(shape)
     for r in sums.select("place", vector_to_array("s.sum").alias("v")).collect():

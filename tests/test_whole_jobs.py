@@ -1,7 +1,10 @@
 """The registered queries do the whole job of their methods."""
 
+import numpy as np
+import pytest
+
 from matchlake import catalog
-from matchlake.ml import models
+from matchlake.ml import models, network
 
 
 def test_forest_has_all_its_trees(spark, monkeypatch):
@@ -10,3 +13,37 @@ def test_forest_has_all_its_trees(spark, monkeypatch):
     monkeypatch.setattr(models, "predict_classes", lambda model, te: None)
     catalog.METHODS["random_forest"](None, None)
     assert asked == [500]
+
+
+def test_score_network_takes_steps_of_256_rows_for_75_epochs(spark, monkeypatch):
+    rng, steps = np.random.default_rng(4), []
+    x = rng.normal(size=(600, 2))
+    df = spark.createDataFrame([(i, *map(float, v), float(abs(v[0])), float(v[1]), "train") for i, v in enumerate(x)],
+                               "fixture_id long, a double, b double, away_goals double, home_goals double, split string").coalesce(1)
+    monkeypatch.setattr(catalog, "_score_frame", lambda spark, sf_dir: df)
+    fit, kept = network.fit_network, []
+    monkeypatch.setattr(network, "fit_network", lambda *a, **k: kept.append(fit(*a, **k)) or kept[0])
+    errors = catalog.score_network(spark, None)
+    assert len(kept[0].history) == 75 and [w.shape for w in kept[0].layers] == [(3, 64), (65, 32), (33, 2)]
+    assert sum(kept[0].history[-1]) < 0.7 * sum(kept[0].history[0]) and errors.where("split = 'train'").first()["mae_total"] > 0
+    real = network._Adam.step
+    monkeypatch.setattr(network._Adam, "step", lambda self, g, rate: steps.append(rate) or real(self, g, rate))
+    state = network._Adam(np.zeros(2), np.zeros(2), np.zeros(2))
+    import pyarrow as pa
+
+    held = pa.RecordBatch.from_arrays([pa.array(x[:, :1].tolist()), pa.array(x[:, 1:].tolist()), pa.array([0] * 600, pa.int32())], names=["x", "y", "shard"])
+    run = network._epoch(state, [(2, 1)], None, network.BATCH_ROWS, 1e-3, network.SHARD_ROWS, (1, 0), lambda v: v)
+    assert network.BATCH_ROWS == 256 and len(list(run(iter([held])))) == 1 and len(steps) == 3
+
+
+def test_shards_give_what_one_shard_does(spark):
+    """Rows that no hash deals are cut, and weights are averaged by rows."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 2))
+    df = spark.createDataFrame([(None, *map(float, v), float(v[0] - v[1])) for v in x], "id long, a double, b double, y double")
+    plain = np.abs(x[:, 0] - x[:, 1]).mean()
+    for rows in (100, 1000):
+        net = network.fit_network(df, ["a", "b"], ["y"], "id", hidden=12, batch_rows=50, stages=((20, 1e-2),), shard_rows=rows)
+        assert net.history[-1][0] < 0.3 * plain
+    same = spark.createDataFrame([(1, 1.0, 2.0, 3.0)] * 500, "id long, a double, b double, y double")
+    assert len(network.fit_network(same, ["a", "b"], ["y"], "id", stages=((2, 1e-2),), shard_rows=100).history) == 2
