@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from matchlake import catalog
-from matchlake.ml import models, network
+from matchlake.ml import kernel, models, network
 
 
 def test_forest_has_all_its_trees(spark, monkeypatch):
@@ -47,3 +47,57 @@ def test_shards_give_what_one_shard_does(spark):
         assert net.history[-1][0] < 0.3 * plain
     same = spark.createDataFrame([(1, 1.0, 2.0, 3.0)] * 500, "id long, a double, b double, y double")
     assert len(network.fit_network(same, ["a", "b"], ["y"], "id", stages=((2, 1e-2),), shard_rows=100).history) == 2
+
+
+def _rings(n=260, seed=8):
+    """Two classes a kernel of its own parts only, a third apart, and copies."""
+    rng = np.random.default_rng(seed)
+    angle, far = rng.uniform(0, 2 * np.pi, n), np.where(np.arange(n) % 2, 1.0, 1.6) + rng.normal(0, 0.12, n)
+    x = np.c_[far * np.cos(angle), far * np.sin(angle)]
+    label = np.arange(n) % 2
+    x[-20:], label[-20:] = rng.normal(0, 0.3, (20, 2)) + 4, 2
+    again = rng.integers(0, n, n // 4)
+    return np.r_[x, x[again]], np.r_[label, label[again]]
+
+
+def _dual(machine, x, y, cost, gamma):
+    """Coefficients of the rows' places, and what the conditions are violated by."""
+    at, count = np.unique(np.c_[x, y], axis=0, return_counts=True)
+    x, y, c, beta = at[:, :-1], at[:, -1], cost * count, np.zeros(len(at))
+    for r in machine.vectors.collect():
+        for v, b in zip(np.array(r["x"]).reshape(-1, 2), r["beta"], strict=True):
+            beta[np.flatnonzero((x == v).all(axis=1) & (y * b > 0))] += b
+    assert abs(beta.sum()) < 1e-8 and (beta * y >= 0).all() and (beta * y <= c + 1e-9).all()
+    v = y - kernel.kernel(x, x, gamma) @ beta
+    up, down = (np.where(y > 0, beta < c, beta < 0), np.where(y > 0, beta > 0, beta > -c))
+    return v[up].max() - v[down].min(), beta @ y - 0.5 * beta @ (y - v)
+
+
+def test_svm_solves_the_kernels_dual_by_working_sets_too(spark):
+    x, label = _rings()
+    rows = spark.createDataFrame([(i, [float(v) for v in a], int(k)) for i, (a, k) in enumerate(zip(x, label, strict=True))], "id long, x array<double>, label int")
+    whole = kernel.fit_pairs(rows, 3, 2, 5.0, 3.0)
+    parts = kernel.fit_pairs(rows, 3, 2, 5.0, 3.0, local_rows=10, working=24, block_rows=37)
+    assert max(p.steps for p in parts.pairs.values()) > 5
+    for (a, b), p in whole.pairs.items():
+        own = np.isin(label, (a, b))
+        y = np.where(label[own] == b, 1.0, -1.0)
+        found = [_dual(m.pairs[a, b], x[own], y, 5.0, 3.0) for m in (whole, parts)]
+        assert all(gap < 1.1 * kernel.EPS for gap, _ in found)
+        assert found[0][1] == pytest.approx(found[1][1], rel=1e-3)
+        assert p.constant == pytest.approx(parts.pairs[a, b].constant, abs=0.02)
+    given = [{r["id"]: r["values"] for r in kernel.decisions(m, rows, block_rows=50).collect()} for m in (whole, parts)]
+    assert given[0].keys() == given[1].keys() == set(range(len(x)))
+    assert max(np.abs(np.array(given[0][i]) - given[1][i]).max() for i in given[0]) < 0.02
+    votes = np.array([given[0][i] for i in range(len(x))])
+    assert ((votes[:, 0] > 0) == (label == 1))[label < 2].mean() > 0.97
+
+
+def test_svm_with_a_class_missing(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0), (3.0, 1), (4.0, 1)], "a double, k int").selectExpr("a", "double(k) AS label", "array(a) AS x")
+    df = df.withColumn("features", models.array_to_vector("x"))
+    pred = models.predict_svm_ovo(models.svm_ovo(df, 1), df)
+    assert [r["prediction_label"] for r in pred.orderBy("a").collect()] == ["Lose", "Lose", "Draw", "Draw"]
+    one = df.where("label = 1")
+    assert {r["prediction_label"] for r in models.predict_svm_ovo(models.svm_ovo(one, 1), df).collect()} == {"Draw"}
+    assert models.predict_svm_ovo(models.svm_ovo(one, 1), df.limit(0)).count() == 0
