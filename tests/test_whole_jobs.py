@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from matchlake import catalog
-from matchlake.ml import kernel, models, network
+from matchlake.ml import boosting, kernel, models, network
 
 
 def test_forest_has_all_its_trees(spark, monkeypatch):
@@ -101,3 +101,29 @@ def test_svm_with_a_class_missing(spark):
     one = df.where("label = 1")
     assert {r["prediction_label"] for r in models.predict_svm_ovo(models.svm_ovo(one, 1), df).collect()} == {"Draw"}
     assert models.predict_svm_ovo(models.svm_ovo(one, 1), df.limit(0)).count() == 0
+
+
+def test_grids_are_whole(monkeypatch):
+    asked = {}
+    monkeypatch.setattr(catalog, "outcome_data", lambda spark, sf_dir: (None, None, None))
+    monkeypatch.setattr(models, "tune_boosted", lambda tr, grid, key, folds, rounds: asked.update(grid=grid, folds=folds, rounds=rounds))
+    catalog.tune_boosted(None, None)
+    assert np.prod([len(v) for v in asked["grid"].values()]) == 162 and (asked["folds"], asked["rounds"]) == (5, 1500)
+    monkeypatch.setattr(models, "tune_svm", lambda tr, n, costs, gammas, key, folds: asked.update(points=len(costs) * len(gammas), svm_folds=folds))
+    catalog.tune_svm(None, None)
+    assert (asked["points"], asked["svm_folds"]) == (30, 10)
+
+
+def test_a_grid_in_teams_is_the_grid(spark, monkeypatch):
+    points = [boosting.Point(depth=d, step=s) for s in (0.1, 0.2, 0.3) for d in (5, 9)]
+    found = boosting.teams(points, 5, 3, 9)
+    assert sorted(i for t in found for i in t) == list(range(6)) and all(len({points[i].depth for i in t}) == 1 for t in found)
+    assert [len(t) for t in found] == [3, 2, 1] and [len(t) for t in boosting.teams(points, 5, 3, 9, scores=30)] == [2, 1, 2, 1]
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in rng.normal(size=2)], float(i % 3)) for i in range(150)]
+    df = spark.createDataFrame(rows, "fixture_id long, x array<double>, label double")
+    df = df.withColumn("features", models.array_to_vector(models.F.transform("x", lambda v: v + models.F.col("label"))))
+    grid = {"depth": [1, 2], "step": [0.3, 0.5]}
+    one = models.tune_boosted(df, grid, "fixture_id", folds=2, rounds=3).collect()
+    monkeypatch.setattr(models, "teams", lambda points, *a: [[i] for i in reversed(range(len(points)))])
+    assert models.tune_boosted(df, grid, "fixture_id", folds=2, rounds=3).collect() == one and len(one) == 4
