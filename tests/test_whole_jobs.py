@@ -127,3 +127,25 @@ def test_a_grid_in_teams_is_the_grid(spark, monkeypatch):
     one = models.tune_boosted(df, grid, "fixture_id", folds=2, rounds=3).collect()
     monkeypatch.setattr(models, "teams", lambda points, *a: [[i] for i in reversed(range(len(points)))])
     assert models.tune_boosted(df, grid, "fixture_id", folds=2, rounds=3).collect() == one and len(one) == 4
+
+
+def test_ingest_and_refresh_leave_no_scratch(spark, tmp_path):
+    import os
+
+    from matchlake.session import scratch_dir
+    from matchlake.sources import binding
+    from matchlake.streaming import ingest, refresh
+
+    top = scratch_dir(spark, "").removeprefix("file:")
+
+    def left():
+        return {n for n in os.listdir(top) if n.startswith(("ingest-", "refresh-"))}
+
+    before, b = left(), binding.bronze_tables(spark, "/root/testdata/sf0.001")
+    tables, changes = ({k: f"{tmp_path}/{k}/{what}" for k in ingest.KINDS} for what in ("bronze", "changes"))
+    for kind in ingest.KINDS:
+        catalog.payloads(b, kind).select("value").write.text(f"{tmp_path}/{kind}/raw")
+        ingest.ingest_new(spark, f"{tmp_path}/{kind}/raw", kind, tables[kind], f"{tmp_path}/{kind}/checkpoint", changes=changes[kind])
+        assert left() == before
+    made = refresh.refresh(spark, tables, changes, f"{tmp_path}/gold")
+    assert left() == before and refresh.gold_table(spark, f"{tmp_path}/gold", "gold_match_table").count() == made.recomputed["gold_match_table"] > 0
