@@ -149,3 +149,9 @@ def test_ingest_and_refresh_leave_no_scratch(spark, tmp_path):
         assert left() == before
     made = refresh.refresh(spark, tables, changes, f"{tmp_path}/gold")
     assert left() == before and refresh.gold_table(spark, f"{tmp_path}/gold", "gold_match_table").count() == made.recomputed["gold_match_table"] > 0
+
+
+def test_passes_take_only_the_trees_since_scores_were_written():
+    trees = [[boosting.Tree.empty(9)] for _ in range(30)]
+    model = boosting.Boosted(boosting.Point(depth=9), 1, [np.zeros(63)] * 10, 9, trees)
+    assert model.since(28).rounds == trees[28:] and not model.since(30).rounds and not model.since(0).edges
